@@ -23,7 +23,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def raw_works(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_works(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     subject = (F.when(k % 13 == 5, F.lit(None).cast("string"))
@@ -36,7 +36,9 @@ def raw_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     authors = F.concat(
         F.lit('[{"key":"/authors/OL'), _s(k % 100), F.lit('A","name":"n"},'),
         F.lit('{"key":"/authors/OL'), _s((k * 7) % 100), F.lit('A","name":"m"}]'))
+    extra = [k.alias("_pk")] if keep_id else []
     return p.select(
+        *extra,
         F.when(k % 101 == 100, F.lit("bad-key"))
          .otherwise(F.concat(F.lit("/works/OL"), _s(k), F.lit("W"))).alias("key"),
         F.col("p_name").alias("title"),

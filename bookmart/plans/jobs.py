@@ -8,11 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions import catalogue as C
 from ..functions import jsoncols as J
 from ..functions import text as X
-from . import clean, model
-from .fixtures import raw_authors, raw_editions, raw_works
+from ..operators import contracts, frontier, impute, keys, merge, profile, skew
+from ..session import scratch_path
+from ..sources import drifting, landing, sinks
+from ..streaming import dedup as sdedup
+from ..streaming import upsert as supsert
+from . import clean, model, schemas
+from .fixtures import raw_authors, raw_editions, raw_works, read_table
 
 
 def _works(spark, sf):
@@ -75,6 +82,342 @@ def dim_author(spark, sf):
     return model.dim_author(_authors(spark, sf))
 
 
+# --- S1-S3, U1, U2: drifting landings -----------------------------------------
+
+def read_drifting(spark, sf):
+    """Works landed in four folders: cover_id as int (two folders), as double
+    with the columns in another order, and absent; read back as one table."""
+    w = raw_works(spark, sf)
+    g = F.col("edition_count") % 4
+    cover = F.col("edition_count") * 7
+    root = scratch_path(spark, "landing-works")
+    paths = []
+    for i in range(4):
+        part = w.filter(g == i)
+        if i in (0, 1):
+            part = part.withColumn("cover_id", cover.cast("int"))
+        elif i == 2:
+            part = part.withColumn("cover_id", cover.cast("double"))
+            part = part.select(*reversed(part.columns))
+        path = f"{root}/batch={i}"
+        part.write.mode("overwrite").parquet(path)
+        paths.append(path)
+    return drifting.read_drifting(spark, paths, {"cover_id": "bigint"})
+
+
+def harmonise_types(spark, sf):
+    """Editions landed with number_of_pages as int, double and text."""
+    e = raw_editions(spark, sf)
+    g = F.length("key") % 3
+    root = scratch_path(spark, "landing-editions")
+    paths = []
+    for i, t in enumerate(["int", "double", "string"]):
+        path = f"{root}/batch={i}"
+        e.filter(g == i).withColumn("number_of_pages", F.col("number_of_pages").cast(t)) \
+            .write.mode("overwrite").parquet(path)
+        paths.append(path)
+    return drifting.read_drifting(spark, paths, {"number_of_pages": "bigint"})
+
+
+def null_pad_union(spark, sf):
+    """Two record shapes, padded to the declared raw works schema by name."""
+    w = raw_works(spark, sf)
+    even = F.col("edition_count") % 2 == 0
+    a = w.filter(even).select("key", "title", "subject")
+    b = w.filter(~even).select("authors", "key", "edition_count", "title")
+    schema = w.schema
+    return drifting.union_by_name([drifting.null_pad(a, schema), drifting.null_pad(b, schema)])
+
+
+# --- S4-S8, S11, C3: sinks (written, then read back) ----------------------------
+
+def compact_write(spark, sf):
+    path = sinks.compact_write(dim_edition(spark, sf), scratch_path(spark, "dim_edition"))
+    return spark.read.parquet(path)
+
+
+def sample_rows(spark, sf):
+    return sinks.sample_rows(dim_work(spark, sf), 5)
+
+
+def partitioned_write(spark, sf):
+    """dim_work written for two load days; the second write keeps the first."""
+    path = scratch_path(spark, "dim_work")
+    d = dim_work(spark, sf)
+    sinks.partitioned_write(d, path, "2025-01-15")
+    sinks.partitioned_write(d, path, "2025-01-16")
+    return spark.read.parquet(path)
+
+
+def fact_write(spark, sf):
+    path = sinks.fact_write(fact_book(spark, sf), scratch_path(spark, "fact_book"))
+    return spark.read.parquet(path)
+
+
+def stage_load(spark, sf):
+    """dim_subject is written (subject, subject_id) and staged by name."""
+    path = scratch_path(spark, "dim_subject_staging")
+    dim_subject(spark, sf).select("subject", "subject_id").write.parquet(path)
+    return sinks.stage_load(spark, path, schemas.TABLES["dim_subject"])
+
+
+def batched_landing(spark, sf):
+    path = sinks.batched_landing(raw_editions(spark, sf), scratch_path(spark, "editions"),
+                                 C.LANDING_BATCH_EDITIONS)
+    return spark.read.parquet(path)
+
+
+def clustered_write(spark, sf):
+    path = sinks.clustered_write(fact_book(spark, sf), scratch_path(spark, "fact_clustered"),
+                                 "work_id", "time_id")
+    return spark.read.parquet(path)
+
+
+# --- S9, S10, F21, J3: landing ---------------------------------------------------
+
+def explode_response(spark, sf):
+    """Works grouped into 50-record response pages, landed as JSON lines, read
+    back with a declared schema and exploded into records."""
+    recs = raw_works(spark, sf, keep_id=True)
+    pages = landing.pages_of(recs, "works", 50, "_pk")
+    path = scratch_path(spark, "responses")
+    pages.select(F.to_json(F.struct("page", "works")).alias("value")).write.text(path)
+    record = raw_works(spark, sf).schema
+    schema = T.StructType([T.StructField("page", T.LongType()),
+                           T.StructField("works", T.ArrayType(record))])
+    return landing.explode_response(landing.read_responses(spark, path, schema), "works")
+
+
+def nested_to_json(spark, sf):
+    e = raw_editions(spark, sf).select(
+        "key", J.parse("works", J.KEY_ARRAY).alias("works"),
+        J.parse("publishers", J.STRING_ARRAY).alias("publishers"),
+        J.parse("languages", J.KEY_ARRAY).alias("languages"))
+    return J.nested_to_json(e)
+
+
+def linked_keys(spark, sf):
+    return landing.linked_keys(raw_works(spark, sf), "key", "authors")
+
+
+def frontier_anti(spark, sf):
+    """Authors linked from works that have no valid author record yet."""
+    cand = model.work_author(_works(spark, sf), distinct=False)
+    return frontier.unseen(cand, _authors(spark, sf), "author_id")
+
+
+# --- P / F: scalar functions and predicates ---------------------------------------
+
+def extract_id(spark, sf):
+    return raw_works(spark, sf).select("key", X.entity_id("key").alias("work_id"))
+
+
+def extract_year(spark, sf):
+    return raw_editions(spark, sf).select(
+        "key", "publish_date", X.first_year("publish_date").alias("publish_year"))
+
+
+def explode_delimited(spark, sf):
+    return raw_works(spark, sf).select("key", F.explode(X.split_list("subject")).alias("item"))
+
+
+def subject_clean(spark, sf):
+    return _works(spark, sf).select("work_id", "subject")
+
+
+def title_filter(spark, sf):
+    e = impute.fill_constants(raw_editions(spark, sf), {"title": C.UNKNOWN})
+    return e.filter(X.has_latin_letter("title")).select("key", "title")
+
+
+def publisher_clean(spark, sf):
+    e = J.explode_json(raw_editions(spark, sf), "publishers", J.STRING_ARRAY, "p")
+    e = e.select("key", X.normalise_publisher("p").alias("publisher"))
+    return e.filter(X.is_valid_publisher("publisher"))
+
+
+def impute_hash_year(spark, sf):
+    a = raw_authors(spark, sf).select(
+        X.strip_prefix("key", C.AUTHOR_PREFIX).alias("author_id"),
+        X.first_year("birth_date", r"\d{4}", 0).alias("birth_date"))
+    return impute.fill_computed(a, "birth_date", X.hash_year("author_id"))
+
+
+def fill_constants(spark, sf):
+    return impute.fill_constants(raw_editions(spark, sf), {
+        "publishers": C.UNKNOWN, "languages": C.UNKNOWN, "title": C.UNKNOWN})
+
+
+def json_first_key(spark, sf):
+    return raw_editions(spark, sf).select("key", J.first_key("works").alias("work_key"))
+
+
+def explode_json_strings(spark, sf):
+    return J.explode_json(raw_editions(spark, sf), "publishers", J.STRING_ARRAY,
+                          "publisher").select("key", "publisher")
+
+
+def language_code(spark, sf):
+    return raw_editions(spark, sf).select(
+        "key", X.language_code(J.first_key("languages")).alias("language_code"))
+
+
+def map_lookup(spark, sf):
+    code = F.coalesce(X.language_code(J.first_key("languages")), F.lit(C.UNKNOWN))
+    return raw_editions(spark, sf).select("key", X.language_label(code).alias("language"))
+
+
+# --- A: aggregates -------------------------------------------------------------------
+
+def null_profile(spark, sf):
+    return profile.null_counts(raw_editions(spark, sf))
+
+
+def median_exact(spark, sf):
+    e = clean.edition_parsed(raw_editions(spark, sf))
+    return profile.stats(e, ["publish_date", "number_of_pages"], exact=True)
+
+
+def median_approx(spark, sf):
+    e = clean.edition_parsed(raw_editions(spark, sf))
+    return profile.stats(e, ["publish_date", "number_of_pages"], exact=False)
+
+
+def impute_median(spark, sf):
+    w = raw_works(spark, sf).select(
+        X.entity_id("key").alias("work_id"),
+        X.lenient_cast("first_publish_year", "int").alias("first_publish_year"))
+    return impute.fill_median(w, ["first_publish_year"])
+
+
+def group_count(spark, sf):
+    return skew.group_count(dim_edition(spark, sf), ["language"], "n_rows")
+
+
+def salted_agg(spark, sf):
+    return skew.salted_agg(dim_edition(spark, sf), ["language"], {
+        "n_rows": ("count", "*"),
+        "n_editions": ("count_distinct", "edition_id"),
+        "min_year": ("min", "publish_date"),
+        "max_year": ("max", "publish_date"),
+        "sum_year": ("sum", "publish_date"),
+        "avg_year": ("avg", "publish_date"),
+    }, salts=8)
+
+
+def bridge_reload(spark, sf):
+    staged = model.work_author(_works(spark, sf), distinct=False)
+    return merge.bridge_reload(staged, ["work_id", "author_id"])
+
+
+# --- W: windows / keys -----------------------------------------------------------------
+
+def surrogate_key(spark, sf):
+    pubs = dim_edition(spark, sf).select("publisher").distinct()
+    return keys.surrogate_key(pubs, ["publisher"], "publisher_id")
+
+
+def dedup_latest(spark, sf):
+    return keys.one_per_key(fact_book(spark, sf), "edition_id")
+
+
+# --- J: joins ----------------------------------------------------------------------------
+
+def left_join_unhinted(spark, sf):
+    e = _editions(spark, sf)
+    return model.fact_book(e, model.dim_time(e), broadcast_time=False)
+
+
+def previous_fact_load(spark, sf):
+    """The warehouse fact table as an earlier load left it (from orders)."""
+    o = read_table(spark, sf, "orders")
+    return o.select(
+        F.concat(F.lit("OL"), (F.col("o_orderkey") * 10 + 1).cast("string"), F.lit("M")).alias("edition_id"),
+        F.lit(None).cast("string").alias("work_id"),
+        F.lit(None).cast("int").alias("time_id"),
+        (F.col("o_totalprice").cast("bigint") % 1000).alias("number_of_pages"))
+
+
+def merge_upsert(spark, sf):
+    return merge.upsert(previous_fact_load(spark, sf), fact_book(spark, sf), "edition_id")
+
+
+# --- O: order --------------------------------------------------------------------------------
+
+def sorted_subjects(spark, sf):
+    return dim_subject(spark, sf).orderBy("subject")
+
+
+def order_by_hidden(spark, sf):
+    w = _works(spark, sf)
+    d = model.dim_subject(w)
+    return w.join(d, "subject").select("work_id", "subject_id").orderBy("subject")
+
+
+# --- C: contracts --------------------------------------------------------------------------------
+
+def _star(spark, sf):
+    w, e, a = _works(spark, sf), _editions(spark, sf), _authors(spark, sf)
+    t = model.dim_time(e)
+    s = model.dim_subject(w)
+    return {"dim_work": model.dim_work(w), "dim_subject": s,
+            "work_subject": model.work_subject(w, s), "work_author": model.work_author(w),
+            "dim_edition": model.dim_edition(e), "dim_time": t,
+            "dim_author": model.dim_author(a), "fact_book": model.fact_book(e, t)}
+
+
+def check_keys(spark, sf):
+    star = _star(spark, sf)
+    return contracts.keys_report({n: (star[n], k) for n, k in schemas.KEYS.items() if k})
+
+
+def check_lengths(spark, sf):
+    from functools import reduce
+    star = _star(spark, sf)
+    parts = [contracts.length_report(star[n], n, lim) for n, lim in schemas.LENGTHS.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+# --- T: streaming ------------------------------------------------------------------------------------
+
+def _events_stream(spark, sf):
+    schema = read_table(spark, sf, "events").schema
+    s = sdedup.read_stream(spark, sf, schema, glob="events.parquet")
+    # every event arrives twice
+    return s.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
+
+
+def stream_dedup(spark, sf):
+    out, ck = scratch_path(spark, "events-dedup"), scratch_path(spark, "events-dedup-ckpt")
+    q = sdedup.to_parquet(sdedup.dedup(_events_stream(spark, sf), ["event_id"]), out, ck)
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def stream_dedup_watermark(spark, sf):
+    out, ck = scratch_path(spark, "events-wm"), scratch_path(spark, "events-wm-ckpt")
+    d = sdedup.dedup(_events_stream(spark, sf), ["event_id"], event_time="ts", delay="1 hour")
+    q = sdedup.to_parquet(d, out, ck)
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def stream_upsert(spark, sf):
+    """The staged fact rows land as files hashed by edition_id (a key lives in
+    one file), stream in one file per micro-batch and are upserted batch by
+    batch into the previous load; the result equals the one-shot upsert."""
+    land = scratch_path(spark, "fact-landing")
+    fact_book(spark, sf).repartition(4, "edition_id").write.parquet(land)
+    root = scratch_path(spark, "fact-versions")
+    schema = schemas.TABLES["fact_book"]
+    supsert.init_table(spark, previous_fact_load(spark, sf), root)
+    stream = sdedup.read_stream(spark, land, schema, max_files=1)
+    q = supsert.start_upsert(spark, stream, root, "edition_id", schema,
+                             scratch_path(spark, "fact-upsert-ckpt"))
+    q.awaitTermination()
+    return merge.read_version(spark, root, schema=schema)
+
+
 JOBS = {
     "work_clean": work_clean,
     "edition_clean": edition_clean,
@@ -87,4 +430,48 @@ JOBS = {
     "dim_time": dim_time,
     "fact_book": fact_book,
     "dim_author": dim_author,
+    "read_drifting": read_drifting,
+    "harmonise_types": harmonise_types,
+    "null_pad_union": null_pad_union,
+    "compact_write": compact_write,
+    "sample_rows": sample_rows,
+    "partitioned_write": partitioned_write,
+    "fact_write": fact_write,
+    "stage_load": stage_load,
+    "batched_landing": batched_landing,
+    "clustered_write": clustered_write,
+    "explode_response": explode_response,
+    "nested_to_json": nested_to_json,
+    "linked_keys": linked_keys,
+    "frontier_anti": frontier_anti,
+    "extract_id": extract_id,
+    "extract_year": extract_year,
+    "explode_delimited": explode_delimited,
+    "subject_clean": subject_clean,
+    "title_filter": title_filter,
+    "publisher_clean": publisher_clean,
+    "impute_hash_year": impute_hash_year,
+    "fill_constants": fill_constants,
+    "json_first_key": json_first_key,
+    "explode_json_strings": explode_json_strings,
+    "language_code": language_code,
+    "map_lookup": map_lookup,
+    "null_profile": null_profile,
+    "median_exact": median_exact,
+    "median_approx": median_approx,
+    "impute_median": impute_median,
+    "group_count": group_count,
+    "salted_agg": salted_agg,
+    "bridge_reload": bridge_reload,
+    "surrogate_key": surrogate_key,
+    "dedup_latest": dedup_latest,
+    "left_join_unhinted": left_join_unhinted,
+    "merge_upsert": merge_upsert,
+    "sorted_subjects": sorted_subjects,
+    "order_by_hidden": order_by_hidden,
+    "check_keys": check_keys,
+    "check_lengths": check_lengths,
+    "stream_dedup": stream_dedup,
+    "stream_dedup_watermark": stream_dedup_watermark,
+    "stream_upsert": stream_upsert,
 }
