@@ -20,8 +20,12 @@ def fill_median(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame
         return df
     st = profile.stats(df, cols, exact=exact)
     medians = st.select(F.struct(*[f"median_{c}" for c in cols]).alias("m")).scalar()
-    return df.withColumns({
-        c: F.coalesce(F.col(c), medians.getField(f"median_{c}")) for c in cols})
+    # one subquery column, read by every fill, so the statistics run once
+    m = "_bm_medians"
+    return (df.withColumn(m, medians)
+            .withColumns({c: F.coalesce(F.col(c), F.col(m).getField(f"median_{c}"))
+                          for c in cols})
+            .drop(m))
 
 
 def fill_constants(df: DataFrame, values: dict) -> DataFrame:

@@ -13,18 +13,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
+from ..sources.scan import read_parquet
 
 
 def _s(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+def read_table(spark: SparkSession, sf_dir: str, name: str,
+               columns: list[str] | None = None) -> DataFrame:
+    return read_parquet(spark, table_path(sf_dir, name), columns)
 
 
 def raw_works(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:
-    p = read_table(spark, sf_dir, "part")
+    p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_size", "p_brand"])
     k = F.col("p_partkey")
     subject = (F.when(k % 13 == 5, F.lit(None).cast("string"))
                .when(k % 17 == 6, F.lit("[]"))
@@ -51,7 +53,9 @@ def raw_works(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFr
 
 
 def raw_editions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", [
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+        "l_returnflag", "l_linestatus", "l_shipdate"])
     ok, pk, sk, ln = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     null_s = F.lit(None).cast("string")
     return li.select(
@@ -78,7 +82,7 @@ def raw_editions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = read_table(spark, sf_dir, "supplier")
+    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
     k = F.col("s_suppkey")
     null_s = F.lit(None).cast("string")
     return s.select(

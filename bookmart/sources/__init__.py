@@ -1 +1 @@
-from . import drifting, landing, sinks  # noqa: F401
+from . import drifting, landing, scan, sinks  # noqa: F401
