@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 
 
 def unseen(candidates: DataFrame, seen: DataFrame, key: str) -> DataFrame:
-    """Distinct candidate keys absent from ``seen``. The anti join drops seen
-    keys before the distinct, so the distinct shuffles only new keys."""
-    c = candidates.select(key).where(candidates[key].isNotNull())
-    return c.join(seen.select(key), on=key, how="left_anti").distinct()
+    """Distinct candidate keys absent from ``seen``. Candidates are made
+    distinct first: each map task collapses a hot key before the shuffle, so
+    the anti join sees every key once."""
+    c = candidates.select(key).where(candidates[key].isNotNull()).distinct()
+    return c.join(seen.select(key), on=key, how="left_anti")
 
 
 def add_seen(seen: DataFrame, new_keys: DataFrame, key: str) -> DataFrame:

@@ -31,10 +31,18 @@ _ID = "_bm_mid"
 def surrogate_key(df: DataFrame, order_cols: list[str], key: str,
                   num_partitions: int | None = None,
                   checkpoint: bool = True) -> DataFrame:
-    """Add ``key`` = 1-based row number in ``order_cols`` order (INT)."""
-    ranged = (df.repartitionByRange(num_partitions, *order_cols)
-              if num_partitions else df.repartitionByRange(*order_cols))
-    ranged = (ranged.sortWithinPartitions(*order_cols)
+    """Add ``key`` = 1-based row number in ``order_cols`` order (INT).
+
+    Ties are numbered in an arbitrary order, as with ``row_number``. A hash of
+    the whole row is the last range key, so one value repeated on many
+    different rows is spread over several partitions instead of one.
+    """
+    tie = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_bm_tie")
+    df = df.withColumn("_bm_tie", tie)
+    rng = [*order_cols, "_bm_tie"]
+    ranged = (df.repartitionByRange(num_partitions, *rng)
+              if num_partitions else df.repartitionByRange(*rng))
+    ranged = (ranged.sortWithinPartitions(*rng)
               .withColumn(_PART, F.spark_partition_id())
               .withColumn(_ID, F.monotonically_increasing_id()))
     if checkpoint:
@@ -51,7 +59,7 @@ def surrogate_key(df: DataFrame, order_cols: list[str], key: str,
     local = F.col(_ID) - F.shiftleft(F.col(_PART).cast("bigint"), 33)
     return (ranged.join(F.broadcast(offsets), _PART)
             .withColumn(key, (F.col("_bm_off") + local + 1).cast("int"))
-            .drop(_PART, _ID, "_bm_off"))
+            .drop(_PART, _ID, "_bm_off", "_bm_tie"))
 
 
 def surrogate_key_global(df: DataFrame, order_cols: list[str], key: str) -> DataFrame:

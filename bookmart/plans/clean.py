@@ -18,15 +18,16 @@ EDITION_COLS = ["key", "works", "title", "publish_date", "publishers", "language
 def clean_subjects(df: DataFrame, col: str = "subject") -> DataFrame:
     """List text -> one cleaned subject per row.
 
-    A null list gives no rows (the work then has no subject rows at all).
+    Each step runs on the split array (``transform`` / ``filter``), so every
+    item is cleaned once, in order, before the single explode. A null list
+    gives no rows (the work then has no subject rows at all).
     """
-    s = F.col(col)
-    return (df.withColumn(col, F.explode(X.split_list(s)))
-            .withColumn(col, X.strip_subject_tags(s))
-            .filter(X.subject_is_clean_text(s))
-            .withColumn(col, F.trim(s))
-            .filter(X.subject_is_wellformed(s))
-            .withColumn(col, X.strip_subject_marks(s)))
+    items = F.transform(X.split_list(col), X.strip_subject_tags)
+    items = F.filter(items, X.subject_is_clean_text)
+    items = F.transform(items, lambda s: F.trim(s))
+    items = F.filter(items, X.subject_is_wellformed)
+    items = F.transform(items, X.strip_subject_marks)
+    return df.withColumn(col, F.explode(items))
 
 
 def work_clean(works: DataFrame, exact_median: bool = True) -> DataFrame:

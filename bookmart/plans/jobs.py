@@ -231,9 +231,8 @@ def title_filter(spark, sf):
 
 
 def publisher_clean(spark, sf):
-    e = J.explode_json(raw_editions(spark, sf), "publishers", J.STRING_ARRAY, "p")
-    e = e.select("key", X.normalise_publisher("p").alias("publisher"))
-    return e.filter(X.is_valid_publisher("publisher"))
+    return raw_editions(spark, sf).select(
+        "key", F.explode(model.valid_publishers("publishers")).alias("publisher"))
 
 
 def impute_hash_year(spark, sf):
