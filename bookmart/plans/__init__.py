@@ -1 +1 @@
-from . import build, clean, fixtures, model, schemas  # noqa: F401
+from . import build, clean, fixtures, model, schemas, warehouse  # noqa: F401

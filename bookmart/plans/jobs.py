@@ -18,7 +18,7 @@ from ..session import scratch_path
 from ..sources import drifting, landing, sinks
 from ..streaming import dedup as sdedup
 from ..streaming import upsert as supsert
-from . import clean, model, schemas
+from . import clean, model, schemas, warehouse
 from .fixtures import raw_authors, raw_editions, raw_works, read_table
 
 
@@ -341,6 +341,16 @@ def merge_upsert(spark, sf):
     return merge.upsert(previous_fact_load(spark, sf), fact_book(spark, sf), "edition_id")
 
 
+def warehouse_load(spark, sf):
+    """dim_edition loaded twice into an empty warehouse copy (the second
+    load must change nothing); one row per edition id."""
+    root = scratch_path(spark, "warehouse")
+    d = dim_edition(spark, sf)
+    warehouse.load_table(spark, root, "dim_edition", d)
+    warehouse.load_table(spark, root, "dim_edition", d)
+    return warehouse.read_table(spark, root, "dim_edition")
+
+
 # --- O: order --------------------------------------------------------------------------------
 
 def sorted_subjects(spark, sf):
@@ -466,6 +476,7 @@ JOBS = {
     "dedup_latest": dedup_latest,
     "left_join_unhinted": left_join_unhinted,
     "merge_upsert": merge_upsert,
+    "warehouse_load": warehouse_load,
     "sorted_subjects": sorted_subjects,
     "order_by_hidden": order_by_hidden,
     "check_keys": check_keys,
