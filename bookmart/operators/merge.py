@@ -2,11 +2,9 @@
 
 Upsert semantics: update on key match, insert otherwise, never delete.
 When the update covers every target column the result is exactly
-``target - matched keys + deduplicated source``: an anti join and a union,
-both shuffle-partitioned on the key (AQE splits a skewed key in the join).
-For a column subset a full outer join with a match flag keeps target values
-for the columns not updated (``coalesce`` would be wrong: an update may set
-a null).
+``target - matched keys + deduplicated source``. It is computed with one
+full outer join on the key and a match flag (see ``upsert``), which also
+serves a column subset: columns not updated keep the target's values.
 
 There is no row-level table format here, so a new version is written to a
 fresh folder and then recorded in an append-only commit log; a path is never
@@ -24,26 +22,41 @@ from . import keys as K
 
 def upsert(target: DataFrame, source: DataFrame, key: str,
            update_cols: list[str] | None = None, dedup: bool = True) -> DataFrame:
+    """Target rows whose key is not in the (deduplicated) source, plus the
+    source rows; with ``update_cols`` only those columns take source values
+    on a match (others keep the target's, new rows take the source's).
+
+    One full outer join on the key: each input is computed once (an anti
+    join plus a union would run the source lineage twice), both sides hold
+    one row per key, and the deduplicated source arrives already
+    hash-partitioned on the key. A match is decided by a flag, not by
+    ``coalesce``: an update may set a null.
+    """
     src = K.one_per_key(source, key) if dedup else source
     src = src.select(*target.columns)
     rest = [c for c in target.columns if c != key]
-    if update_cols is None or set(update_cols) >= set(rest):
-        kept = target.join(src.select(key), on=key, how="left_anti")
-        return kept.unionByName(src)
-    t = target.withColumn("_bm_t", F.lit(True))
-    s = src.withColumn("_bm_s", F.lit(True))
-    both = t.alias("t").join(s.alias("s"), F.col(f"t.{key}") == F.col(f"s.{key}"), "full")
+    upd = set(rest if update_cols is None else update_cols)
+    t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns], F.lit(True).alias("_bm_t"))
+    s = src.select(*[F.col(c).alias(f"s_{c}") for c in src.columns], F.lit(True).alias("_bm_s"))
+    both = t.join(s, F.col(f"t_{key}") == F.col(f"s_{key}"), "full_outer")
     matched = F.col("_bm_s").isNotNull()
-    out = [F.when(matched, F.col(f"s.{key}")).otherwise(F.col(f"t.{key}")).alias(key)]
+    in_target = F.col("_bm_t").isNotNull()
+    out = [F.when(matched, F.col(f"s_{key}")).otherwise(F.col(f"t_{key}")).alias(key)]
     for c in rest:
-        if c in update_cols:
-            out.append(F.when(matched, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
+        if c in upd:
+            out.append(F.when(matched, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c))
         else:
-            out.append(F.when(F.col("_bm_t").isNotNull(), F.col(f"t.{c}"))
-                       .otherwise(F.col(f"s.{c}")).alias(c))
+            out.append(F.when(in_target, F.col(f"t_{c}")).otherwise(F.col(f"s_{c}")).alias(c))
     return both.select(*out)
 
 
+def upsert_anti_union(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """The same result (all columns updated) as anti join + union; kept for
+    comparison in tests and benchmarks."""
+    src = K.one_per_key(source, key).select(*target.columns)
+    return target.join(source.select(key), on=key, how="left_anti").unionByName(src)
+
+
 def bridge_reload(staging: DataFrame, cols: list[str]) -> DataFrame:
     """A bridge is replaced by the distinct pairs of its staging."""
     return staging.select(*cols).dropDuplicates(cols)

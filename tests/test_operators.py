@@ -63,6 +63,11 @@ def test_upsert_semantics(spark):   # J4
                               "k string, v string, n int")
     out = merge.upsert(t, s, "k")
     assert rows(out) == [("k1", "a2", 10), ("k2", None, 20), ("k3", "c", 30), ("k4", "d", 4)]
+    assert rows(merge.upsert_anti_union(t, s, "k")) == rows(out)
+    # null keys never match: a null-key target row is kept, a null-key source row inserted
+    tn = t.unionByName(spark.createDataFrame([(None, "z", 0)], t.schema))
+    sn = s.unionByName(spark.createDataFrame([(None, "y", 9)], s.schema))
+    assert (None, "z", 0) in rows(merge.upsert(tn, sn, "k")) and (None, "y", 9) in rows(merge.upsert(tn, sn, "k"))
     # idempotent: applying the same staging again changes nothing
     assert rows(merge.upsert(out, s, "k")) == rows(out)
     # column subset: n is updated, v keeps the target value; a null update sticks
