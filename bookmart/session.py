@@ -68,3 +68,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def scale_conf(shuffle_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Settings sized for one run from its expected shuffle volume.
+
+    Shuffle partitions start at shuffle bytes / partition size (at least 200)
+    and AQE coalesces small ones; scan splits and skew thresholds follow the
+    same partition size, so a task's input fits in executor memory.
+    """
+    parts = max(200, -(-int(shuffle_bytes) // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
