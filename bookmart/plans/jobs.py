@@ -18,7 +18,7 @@ from ..session import scratch_path
 from ..sources import drifting, landing, sinks
 from ..streaming import dedup as sdedup
 from ..streaming import upsert as supsert
-from . import clean, model, schemas, warehouse
+from . import build, clean, model, schemas, warehouse
 from .fixtures import raw_authors, raw_editions, raw_works, read_table
 
 
@@ -366,13 +366,8 @@ def order_by_hidden(spark, sf):
 # --- C: contracts --------------------------------------------------------------------------------
 
 def _star(spark, sf):
-    w, e, a = _works(spark, sf), _editions(spark, sf), _authors(spark, sf)
-    t = model.dim_time(e)
-    s = model.dim_subject(w)
-    return {"dim_work": model.dim_work(w), "dim_subject": s,
-            "work_subject": model.work_subject(w, s), "work_author": model.work_author(w),
-            "dim_edition": model.dim_edition(e), "dim_time": t,
-            "dim_author": model.dim_author(a), "fact_book": model.fact_book(e, t)}
+    """The whole star from one build: cleaned frames materialised once."""
+    return build.build_star(raw_works(spark, sf), raw_editions(spark, sf), raw_authors(spark, sf))
 
 
 def check_keys(spark, sf):

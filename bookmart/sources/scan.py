@@ -13,12 +13,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None,
+           cache: bool = True) -> DataFrame:
+    """Spread a narrow scan over ``min_partitions`` (default: parallelism).
+
+    The spread copy is cached: the optimiser pushes each consumer's filters
+    below a repartition, so without it every branch of a plan (statistics
+    subquery, dimension, fact) would re-read the one-task scan. A narrow scan
+    is at most a few row groups, so the cache is bounded; a lost block is
+    recomputed from the (deterministic) hash repartition.
+    """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
         # hash of the whole row: deterministic on retry, and no sort is
         # needed (round-robin would sort every partition first)
-        return df.repartition(want, *df.columns)
+        out = df.repartition(want, *df.columns)
+        return out.cache() if cache else out
     return df
 
 
