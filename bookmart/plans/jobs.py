@@ -169,7 +169,7 @@ def batched_landing(spark, sf):
 
 def clustered_write(spark, sf):
     path = sinks.clustered_write(fact_book(spark, sf), scratch_path(spark, "fact_clustered"),
-                                 "work_id", "time_id")
+                                 "work_id", "time_id", split_key="edition_id")
     return spark.read.parquet(path)
 
 

@@ -60,13 +60,17 @@ def fact_write(df: DataFrame, path: str, partitions: int | None = None,
 
 
 def clustered_write(df: DataFrame, path: str, dist_key: str, sort_key: str,
-                    partitions: int | None = None,
+                    split_key: str | None = None, partitions: int | None = None,
                     max_records: int | None = C.SINK_MAX_RECORDS_PER_FILE) -> str:
-    """Co-locate rows of one ``dist_key`` in one file set and sort each
-    file by ``sort_key`` (row-group statistics then prune on it)."""
-    out = (df.repartition(partitions, dist_key) if partitions
-           else df.repartition(dist_key)).sortWithinPartitions(sort_key)
-    _writer(out, "overwrite", max_records).parquet(path)
+    """Files hold contiguous ranges of ``dist_key`` (tight min/max per
+    file, so readers prune on it and co-located rows stay together), each
+    sorted by ``sort_key`` (row-group statistics prune on it). ``split_key``
+    is a second range key: a ``dist_key`` value holding a large share of the
+    rows spans several adjacent files instead of one oversized task."""
+    keys = [dist_key] + ([split_key] if split_key else [])
+    out = (df.repartitionByRange(partitions, *keys) if partitions
+           else df.repartitionByRange(*keys))
+    _writer(out.sortWithinPartitions(sort_key), "overwrite", max_records).parquet(path)
     return path
 
 

@@ -53,6 +53,21 @@ def digest(cols, rows):
     return hashlib.sha256(repr(normed).encode()).hexdigest()[:16], [cols[i] for i in order]
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+                 "float": "FLOAT", "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+                 "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_diffs(scols, stypes, dcols, dtypes):
+    d = dict(zip(dcols, dtypes))
+    out = []
+    for c, t in zip(scols, stypes):
+        want = SPARK_TO_DUCK.get(t, t.upper())
+        if c in d and d[c] != want:
+            out.append(f"{c}: spark {t} duck {d[c]}")
+    return out
+
+
 def compare(spark, sf_dir, names=None, verbose=True):
     import __spark_entry__ as E
     qs, sqls = E.queries(), E.oracle_sql()
@@ -89,7 +104,10 @@ def compare(spark, sf_dir, names=None, verbose=True):
         sh, sc = digest(scols, srows)
         dh, dc = digest(dcols, drows)
         ok = (len(srows) == len(drows)) and sc == dc and sh == dh
-        results[name] = ("OK" if ok else "MISMATCH", len(srows), len(drows))
+        tdiff = type_diffs(scols, stypes, dcols, dtypes)
+        results[name] = ("OK" if ok else "MISMATCH", len(srows), len(drows), tdiff)
+        if verbose and tdiff:
+            print(f"{name:24s} TYPES {tdiff}")
         if verbose:
             print(f"{name:24s} {'OK' if ok else 'MISMATCH'} spark={len(srows)} duck={len(drows)} "
                   f"{ts:.1f}s" + ("" if sc == dc else f" cols {sc} vs {dc}")

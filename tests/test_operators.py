@@ -159,3 +159,15 @@ def test_contracts(spark):   # C1, C2
     lr = {x.column_name: (x.max_length, x.n_too_long)
           for x in contracts.length_report(df, "t1", {"t": 2, "k": 5}).collect()}
     assert lr == {"t": (4, 1), "k": (1, 0)}
+
+
+def test_clustered_write_splits_hot_key(spark):   # C3
+    path = scratch_path(spark, "t-clustered")
+    df = spark.range(4000).select(
+        F.when(F.col("id") < 3000, F.lit("hot")).otherwise((F.col("id") % 7).cast("string")).alias("w"),
+        (F.col("id") % 13).alias("t"), F.col("id").cast("string").alias("e"))
+    sinks.clustered_write(df, path, "w", "t", split_key="e", partitions=8)
+    back = spark.read.parquet(path)
+    assert back.count() == 4000
+    per_file = back.groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in per_file) < 3000      # the hot work spans files
