@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators import keys as K  # noqa: F401  (re-exported for callers)
 from ..session import checkpoint_root
 from . import clean, model
 

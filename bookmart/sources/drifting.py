@@ -11,6 +11,7 @@ The union has as many branches as there are distinct schemas, not files.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +54,6 @@ def read_drifting(spark: SparkSession, paths: list[str],
     """One table out of drifting landing folders."""
     frames = []
     for schema_json, group in group_by_schema(spark, paths).items():
-        schema = T.StructType.fromJson(__import__("json").loads(schema_json))
+        schema = T.StructType.fromJson(json.loads(schema_json))
         frames.append(harmonise(spark.read.schema(schema).parquet(*group), types or {}))
     return union_by_name(frames)

@@ -136,3 +136,36 @@ def test_nested_to_json(spark):   # S10
     df = spark.createDataFrame([("a", [1, 2], {"k": "v"})], "id string, xs array<int>, m map<string,string>")
     out = J.nested_to_json(df).collect()[0]
     assert out.xs == "[1,2]" and out.m == '{"k":"v"}' and out.id == "a"
+
+
+EDITION_DDL = ("key string, works string, title string, publish_date string, publishers string, "
+               "languages string, number_of_pages bigint, isbn_13 string")
+
+
+def test_edition_chain_quirks(spark):   # Q3, Q4, Q6, Q13, P9, A2b, P11
+    raw = spark.createDataFrame([
+        ("/books/OL1M", '[{"key":"/works/OL1W"}]', "Alpha", "May 1, 2001", '["Penguin."]',
+         '[{"key":"/languages/eng"}]', 100, "x"),
+        ("/books/OL2M", "[]", None, "0987", None, None, None, "x"),
+        ("/books/OL3M", '[{"key":"/works/OL3W"}]', "1234", "2001", '["Harper"]', "[]", 300, "x"),
+        ("/books/OL4M", '[{"key":"/works/OL4W"}]', "Beta", None, '["Foo Press", "[s.n.]"]',
+         '[{"key":"/languages/lat"}]', 200, "x"),
+        ("/books/OL5M", '[{"key":"/works/OL5W"}]', "Gamma", "undated 1999", '["Acme house"]',
+         '[{"key":"/languages/vie"}]', 50, "x"),
+    ], EDITION_DDL)
+    ec = clean.edition_clean(raw)
+    got = {r.edition_id: r for r in ec.collect()}
+    assert set(got) == {"OL1M", "OL2M", "OL4M", "OL5M"}          # '1234' has no letter
+    assert got["OL2M"].title == "unknown" and got["OL2M"].work_id is None
+    assert got["OL2M"].publish_date == 987                        # '0987' is a year < 1000
+    # medians over all parsed rows (before the title filter): years 2001, 987, 2001, 1999
+    assert got["OL4M"].publish_date == 1999
+    assert got["OL2M"].number_of_pages == 100                     # pages 100, 300, 200, 50
+    t = model.dim_time(ec)
+    assert rows(t, "publish_year", "time_id") == [(1999, 1), (2001, 2)]   # 987 dropped
+    f = {r.edition_id: r.time_id for r in model.fact_book(ec, t).collect()}
+    assert f == {"OL1M": 2, "OL2M": None, "OL4M": 1, "OL5M": 1}
+    d = rows(model.dim_edition(ec), "edition_id", "publisher", "language")
+    # OL2M ('unknown' publishers) is absent; [s.n.] is dropped; 'Foo Press' loses its last char
+    assert d == [("OL1M", "Penguin", "English"), ("OL4M", "Foo Pres", None),
+                 ("OL5M", "Acme hous", "Vietnamese")]

@@ -171,3 +171,12 @@ def test_clustered_write_splits_hot_key(spark):   # C3
     assert back.count() == 4000
     per_file = back.groupBy(F.input_file_name()).count().collect()
     assert max(r["count"] for r in per_file) < 3000      # the hot work spans files
+
+
+def test_surrogate_key_ties_and_hot_value(spark):   # W1 with repeated values
+    df = spark.createDataFrame([("a", i) for i in range(500)] + [("b", 1), ("c", 2)], "s string, n int")
+    out = keys.surrogate_key(df, ["s"], "id", num_partitions=6)
+    got = out.groupBy("s").agg(F.min("id").alias("lo"), F.max("id").alias("hi"),
+                               F.count_distinct("id").alias("n")).collect()
+    assert sorted((r.s, r.lo, r.hi, r.n) for r in got) == [("a", 1, 500, 500), ("b", 501, 501, 1),
+                                                           ("c", 502, 502, 1)]
