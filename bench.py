@@ -3,7 +3,8 @@
 Each job is built and fully executed (a ``noop`` write forces every row;
 jobs that write and read back include their writes). Prints one JSON line:
 {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
-with the median of $BENCH_RUNS runs per job (after one warm-up pass).
+with the median of $BENCH_RUNS runs per job (after one warm-up pass). The
+session cache is cleared before every run, so each run includes its scans.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ def _session():
 
 
 def _run(spark, fn):
+    spark.catalog.clearCache()        # every run pays for its own scans
     t0 = time.perf_counter()
     fn().write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t0

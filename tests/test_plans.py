@@ -52,3 +52,14 @@ def test_dedup_uses_partial_aggregation(spark):   # W2 under skew
     df = spark.createDataFrame([("k", i, "x") for i in range(100)], "k string, n int, v string")
     p = plan(keys.one_per_key(df, "k"))
     assert "partial_min" in p and "Window" not in p
+
+
+def test_library_has_no_python_udf_or_rdd_transformations():
+    import pathlib
+    import re
+    root = pathlib.Path(__file__).resolve().parent.parent / "bookmart"
+    banned = re.compile(r"\b(udf|pandas_udf|mapInPandas|applyInPandas|mapInArrow|localCheckpoint)\b"
+                        r"|\.rdd\.(map|flatMap|mapPartitions|foreach|collect)\b|\.collect\(\)")
+    hits = [f"{p.name}:{i}" for p in root.rglob("*.py")
+            for i, line in enumerate(p.read_text().splitlines(), 1) if banned.search(line)]
+    assert not hits, hits
