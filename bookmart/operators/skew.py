@@ -1,15 +1,18 @@
 """A4 group count and A5 two-phase (salted) aggregation for skewed keys.
 
-Plain decomposable aggregates (count, sum, min, max, avg) already combine on
-the map side, so a hot key reaches the reducer as one row per map task.
-Salting pays off where the map side cannot combine: distinct counting, whose
-per-key state is the set of values. Phase 1 groups by (key, salt) where the
-salt is a hash of the distinct column itself, so each distinct value lives
-in exactly one salt bucket and the hot key's values are spread over
-``salts`` tasks; phase 2 adds up the partial results per key. Salts are a
-separate column (never spliced into the key text), so keys containing the
-separator stay intact, and they are deterministic, so a retried task
-produces the same shuffle output.
+Phase 1 groups by (key, salt), phase 2 merges the partial results per key;
+the result equals the plain aggregate. Salts are a separate column (never
+spliced into the key text), so keys containing the separator stay intact,
+and they are deterministic hashes, so a retried task writes the same shuffle
+output. With a distinct count the salt is a hash of the counted value, so
+each value lives in exactly one salt bucket and the partial counts add up.
+
+In Spark the functions offered here are already skew-safe without salting:
+count / sum / min / max / avg combine on the map side (a hot key reaches the
+reducer as one row per map task), and a single distinct count is planned as
+an aggregate on (key, value) first, which spreads a hot key's values. The
+operator is kept as the general two-phase form (and for parity); it pays off
+for aggregates that have no partial form.
 """
 
 from __future__ import annotations
