@@ -63,3 +63,12 @@ def test_library_has_no_python_udf_or_rdd_transformations():
     hits = [f"{p.name}:{i}" for p in root.rglob("*.py")
             for i, line in enumerate(p.read_text().splitlines(), 1) if banned.search(line)]
     assert not hits, hits
+
+
+def test_spread_only_for_narrow_small_scans(spark):
+    from bookmart.sources import scan
+    one = spark.range(10).coalesce(1)
+    assert scan.spread(one, 4, cache=False).rdd.getNumPartitions() == 4
+    wide = spark.range(1000).repartition(100)
+    assert scan.spread(wide, 1000, cache=False).rdd.getNumPartitions() == 100   # > 64: left alone
+    assert scan.spread(spark.range(10).repartition(8), 4, cache=False).rdd.getNumPartitions() == 8
