@@ -68,7 +68,7 @@ def main():
 
     def star(mat):
         def run():
-            for df in build.build_star(w, e, a, materialise=mat).values():
+            for df in build.build_star(w, e, a, materialise_cleaned=mat).values():
                 df.write.format("noop").mode("overwrite").save()
         return run
     res["star_build_8_tables"] = {"materialised_cleaned": timed(star(True)),

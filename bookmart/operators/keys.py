@@ -6,9 +6,10 @@ the frame is range-partitioned on the order columns, sorted inside each
 partition, and numbered locally with ``monotonically_increasing_id`` (whose
 upper bits are the partition index). Per-partition counts (one row per
 partition, a size bounded by the partition count) give each partition its
-offset. The numbered frame is checkpointed to the shared checkpoint folder
-first: the range bounds come from a sample, so the rows and the counts must
-come from one materialisation, and a lost executor must not re-sample.
+offset. The numbered frame is first written as a table in the shared
+checkpoint folder: the range bounds come from a sample, so the rows and the
+counts must come from one materialisation, and a lost executor must not
+re-sample.
 
 W2. The warehouse load kept ``ROW_NUMBER() OVER (PARTITION BY k ORDER BY k)
 = 1``, which picks an arbitrary row. Here the pick is the smallest row in
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import materialise
 
 _PART = "_bm_part"
 _ID = "_bm_mid"
@@ -46,8 +47,7 @@ def surrogate_key(df: DataFrame, order_cols: list[str], key: str,
               .withColumn(_PART, F.spark_partition_id())
               .withColumn(_ID, F.monotonically_increasing_id()))
     if checkpoint:
-        checkpoint_root(df.sparkSession)
-        ranged = ranged.checkpoint(eager=True)
+        ranged = materialise(ranged, "surrogate-key")
     counts = ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_bm_n"))
     # One row per partition: the single-partition window below sees at most
     # num_partitions rows, and the broadcast is bounded by the same number.

@@ -1,28 +1,27 @@
 """The whole star build in dependency order.
 
-The cleaned frames feed up to five outputs each, so they are materialised
-once with a reliable checkpoint (the shared checkpoint folder) instead of
-being recomputed per output; a lost executor then re-reads the checkpoint
-rather than re-running the cleaning and its statistics jobs.
+The cleaned frames feed up to five outputs each, so they are written once as
+parquet tables in the shared checkpoint folder instead of being recomputed
+per output; a lost executor then re-reads the table rather than re-running
+the cleaning and its statistics jobs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..session import checkpoint_root
+from ..session import materialise
 from . import clean, model
 
 
 def build_star(works_raw: DataFrame, editions_raw: DataFrame, authors_raw: DataFrame,
-               materialise: bool = True) -> dict[str, DataFrame]:
+               materialise_cleaned: bool = True) -> dict[str, DataFrame]:
     work = clean.work_clean(works_raw)
     edition = clean.edition_clean(editions_raw)
     author = clean.author_clean(authors_raw)
-    if materialise:
-        checkpoint_root(work.sparkSession)
-        work = work.checkpoint(eager=True)
-        edition = edition.checkpoint(eager=True)
+    if materialise_cleaned:
+        work = materialise(work, "work_clean")
+        edition = materialise(edition, "edition_clean")
     d_subject = model.dim_subject(work)
     d_time = model.dim_time(edition)
     return {

@@ -85,3 +85,14 @@ def scale_conf(shuffle_bytes: int, partition_bytes: int = 256 * 1024 * 1024) ->
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
     }
+
+
+def materialise(df, name: str):
+    """Cut lineage: write ``df`` as a parquet table in the shared checkpoint
+    folder and return its read-back. Columnar and compressed (a checkpoint
+    stores uncompressed rows by default), and later readers get column pruning
+    and predicate pushdown; a lost executor re-reads the table instead of
+    recomputing the lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -23,7 +23,7 @@ def test_build_star_matches_single_jobs_and_keys_hold(spark):
 
 def test_warehouse_load_is_idempotent(spark):
     star = build.build_star(fixtures.raw_works(spark, SF001), fixtures.raw_editions(spark, SF001),
-                            fixtures.raw_authors(spark, SF001), materialise=False)
+                            fixtures.raw_authors(spark, SF001), materialise_cleaned=False)
     root = scratch_path(spark, "t-wh")
     v1 = warehouse.load_star(spark, root, star)
     first = {t: rows(warehouse.read_table(spark, root, t)) for t in v1}
