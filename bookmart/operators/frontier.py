@@ -1,8 +1,13 @@
-"""Keys not yet seen (crawl frontier), and the seen-keys table."""
+"""Keys not yet seen (crawl frontier), and the seen-keys table.
+
+The seen-keys table is a parquet folder that only grows by appends; readers
+take its distinct keys, so a repeated append never double counts.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def unseen(candidates: DataFrame, seen: DataFrame, key: str) -> DataFrame:
@@ -15,3 +20,18 @@ def unseen(candidates: DataFrame, seen: DataFrame, key: str) -> DataFrame:
 
 def add_seen(seen: DataFrame, new_keys: DataFrame, key: str) -> DataFrame:
     return seen.select(key).unionByName(new_keys.select(key)).distinct()
+
+
+def read_seen(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The distinct keys recorded so far (empty if none yet)."""
+    schema = T.StructType([T.StructField(key, T.StringType())])
+    try:
+        return spark.read.schema(schema).parquet(path).distinct()
+    except Exception:  # nothing appended yet
+        return spark.createDataFrame([], schema)
+
+
+def record_seen(new_keys: DataFrame, path: str, key: str) -> str:
+    """Append newly processed keys (distinct per append)."""
+    new_keys.select(key).distinct().write.mode("append").parquet(path)
+    return path

@@ -180,3 +180,17 @@ def test_surrogate_key_ties_and_hot_value(spark):   # W1 with repeated values
                                F.count_distinct("id").alias("n")).collect()
     assert sorted((r.s, r.lo, r.hi, r.n) for r in got) == [("a", 1, 500, 500), ("b", 501, 501, 1),
                                                            ("c", 502, 502, 1)]
+
+
+def test_seen_keys_table(spark):   # S12 + J3 over two rounds
+    path = scratch_path(spark, "t-seen")
+    assert frontier.read_seen(spark, path, "key").count() == 0
+    round1 = spark.createDataFrame([("a",), ("b",), ("a",)], "key string")
+    new1 = frontier.unseen(round1, frontier.read_seen(spark, path, "key"), "key")
+    frontier.record_seen(new1, path, "key")
+    round2 = spark.createDataFrame([("b",), ("c",), (None,)], "key string")
+    new2 = frontier.unseen(round2, frontier.read_seen(spark, path, "key"), "key")
+    assert rows(new2) == [("c",)]
+    frontier.record_seen(new2, path, "key")
+    frontier.record_seen(new2, path, "key")          # a replayed append changes nothing
+    assert rows(frontier.read_seen(spark, path, "key")) == [("a",), ("b",), ("c",)]
