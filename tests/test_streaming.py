@@ -42,3 +42,25 @@ def test_stream_upsert_batches_apply_in_order(spark):
     assert merge.current_version(spark, root) == 2
     assert rows(merge.read_version(spark, root)) == [(1, 2001, 2000, 21), (2, 1999, 1990, 20),
                                                      (3, 1000, 1000, 10)]
+
+
+def test_watermark_dedup_forgets_old_keys(spark):   # T1, bounded state
+    import datetime as dt
+    land = scratch_path(spark, "t-wm-land")
+    schema = "event_id bigint, ts timestamp_ntz"
+    h = lambda x: dt.datetime(2025, 1, 1, *x)
+    batches = [[(1, h((10, 0))), (2, h((12, 0)))],
+               [(2, h((12, 10))), (3, h((15, 0)))],          # 2 repeats within the delay
+               [(1, h((15, 30)))]]                           # 1 comes back after its state expired
+    for i, b in enumerate(batches):
+        spark.createDataFrame(b, schema).coalesce(1).write.parquet(f"{land}/b{i}")
+    out, ck = scratch_path(spark, "t-wm-out"), scratch_path(spark, "t-wm-ck")
+    s = sd.read_stream(spark, f"{land}/*", spark.createDataFrame([], schema).schema, max_files=1)
+    sd.to_parquet(sd.dedup(s, ["event_id"], event_time="ts", delay="1 hour"), out, ck).awaitTermination()
+    got = sorted(r.event_id for r in spark.read.parquet(out).collect())
+    assert got == [1, 1, 2, 3]
+    # the exact (unbounded) mode never emits a key twice
+    out2, ck2 = scratch_path(spark, "t-ex-out"), scratch_path(spark, "t-ex-ck")
+    s2 = sd.read_stream(spark, f"{land}/*", spark.createDataFrame([], schema).schema, max_files=1)
+    sd.to_parquet(sd.dedup(s2, ["event_id"]), out2, ck2).awaitTermination()
+    assert sorted(r.event_id for r in spark.read.parquet(out2).collect()) == [1, 2, 3]
