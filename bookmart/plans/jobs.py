@@ -370,6 +370,11 @@ def _star(spark, sf):
     return build.build_star(raw_works(spark, sf), raw_editions(spark, sf), raw_authors(spark, sf))
 
 
+def quality_report(spark, sf):
+    e = _editions(spark, sf)
+    return model.quality_report(e, model.dim_edition(e), model.fact_book(e, model.dim_time(e)))
+
+
 def check_keys(spark, sf):
     star = _star(spark, sf)
     return contracts.keys_report({n: (star[n], k) for n, k in schemas.KEYS.items() if k})
@@ -475,6 +480,7 @@ JOBS = {
     "sorted_subjects": sorted_subjects,
     "order_by_hidden": order_by_hidden,
     "check_keys": check_keys,
+    "quality_report": quality_report,
     "check_lengths": check_lengths,
     "stream_dedup": stream_dedup,
     "stream_dedup_watermark": stream_dedup_watermark,
