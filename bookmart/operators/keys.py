@@ -31,7 +31,7 @@ _ID = "_bm_mid"
 
 def surrogate_key(df: DataFrame, order_cols: list[str], key: str,
                   num_partitions: int | None = None,
-                  checkpoint: bool = True) -> DataFrame:
+                  materialised: bool = True) -> DataFrame:
     """Add ``key`` = 1-based row number in ``order_cols`` order (INT).
 
     Ties are numbered in an arbitrary order, as with ``row_number``. A hash of
@@ -46,7 +46,7 @@ def surrogate_key(df: DataFrame, order_cols: list[str], key: str,
     ranged = (ranged.sortWithinPartitions(*rng)
               .withColumn(_PART, F.spark_partition_id())
               .withColumn(_ID, F.monotonically_increasing_id()))
-    if checkpoint:
+    if materialised:
         ranged = materialise(ranged, "surrogate-key")
     counts = ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_bm_n"))
     # One row per partition: the single-partition window below sees at most
