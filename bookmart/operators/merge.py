@@ -84,26 +84,52 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return None if row is None or row["v"] is None else int(row["v"])
 
 
+def _table_name(root: str, version: int) -> str:
+    import hashlib
+    return f"bm_{hashlib.md5(root.rstrip('/').encode()).hexdigest()[:10]}_v{version:08d}"
+
+
 def commit(spark: SparkSession, df: DataFrame, root: str, version: int,
            schema: T.StructType | None = None,
-           max_records_per_file: int | None = None) -> str:
+           max_records_per_file: int | None = None,
+           bucket_key: str | None = None, buckets: int = 64) -> str:
     """Write ``df`` as ``version`` (overwrite: a replay rewrites the same
-    folder) and then append the version to the commit log."""
+    folder) and then append the version to the commit log.
+
+    With ``bucket_key`` the version is written bucketed and sorted by that
+    key (an external catalog table over the version folder): a later upsert
+    joins the staging batch to it without shuffling the stored table."""
     path = version_path(root, version)
     w = df.write.mode("overwrite")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.parquet(path)
+    if bucket_key:
+        name = _table_name(root, version)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        (w.bucketBy(buckets, bucket_key).sortBy(bucket_key)
+         .option("path", path).format("parquet").saveAsTable(name))
+    else:
+        w.parquet(path)
     spark.createDataFrame([(int(version),)], _LOG_SCHEMA).coalesce(1) \
         .write.mode("append").parquet(_log(root))
     return path
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None,
-                 schema: T.StructType | None = None) -> DataFrame:
+                 schema: T.StructType | None = None, bucket_key: str | None = None,
+                 buckets: int = 64) -> DataFrame:
     v = current_version(spark, root) if version is None else version
     if v is None:
         raise FileNotFoundError(f"no committed version under {root}")
+    if bucket_key:
+        if schema is None:
+            raise ValueError("a bucketed version is registered with its declared schema")
+        name = _table_name(root, v)
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+                  f"CLUSTERED BY (`{bucket_key}`) SORTED BY (`{bucket_key}`) INTO {buckets} BUCKETS "
+                  f"LOCATION '{version_path(root, v)}'")
+        return spark.table(name)
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
@@ -112,10 +138,14 @@ def read_version(spark: SparkSession, root: str, version: int | None = None,
 
 def upsert_table(spark: SparkSession, root: str, source: DataFrame, key: str,
                  schema: T.StructType | None = None,
-                 update_cols: list[str] | None = None) -> int:
-    """Merge ``source`` into the latest version and commit the result."""
+                 update_cols: list[str] | None = None,
+                 buckets: int | None = None) -> int:
+    """Merge ``source`` into the latest version and commit the result.
+    With ``buckets`` every version is bucketed by ``key`` (see ``commit``)."""
     cur = current_version(spark, root)
-    base = read_version(spark, root, cur, schema)
+    bk = key if buckets else None
+    base = read_version(spark, root, cur, schema, bucket_key=bk, buckets=buckets or 64)
     nxt = (cur or 0) + 1
-    commit(spark, upsert(base, source, key, update_cols), root, nxt)
+    commit(spark, upsert(base, source, key, update_cols), root, nxt,
+           bucket_key=bk, buckets=buckets or 64)
     return nxt

@@ -342,13 +342,14 @@ def merge_upsert(spark, sf):
 
 
 def warehouse_load(spark, sf):
-    """dim_edition loaded twice into an empty warehouse copy (the second
-    load must change nothing); one row per edition id."""
+    """dim_edition loaded twice into an empty warehouse copy stored
+    bucketed by edition_id (the second load must change nothing, and it
+    shuffles only the staging); one row per edition id."""
     root = scratch_path(spark, "warehouse")
     d = dim_edition(spark, sf)
-    warehouse.load_table(spark, root, "dim_edition", d)
-    warehouse.load_table(spark, root, "dim_edition", d)
-    return warehouse.read_table(spark, root, "dim_edition")
+    warehouse.load_table(spark, root, "dim_edition", d, buckets=16)
+    warehouse.load_table(spark, root, "dim_edition", d, buckets=16)
+    return warehouse.read_table(spark, root, "dim_edition", buckets=16)
 
 
 # --- O: order --------------------------------------------------------------------------------
@@ -419,12 +420,12 @@ def stream_upsert(spark, sf):
     fact_book(spark, sf).repartition(4, "edition_id").write.parquet(land)
     root = scratch_path(spark, "fact-versions")
     schema = schemas.TABLES["fact_book"]
-    supsert.init_table(spark, previous_fact_load(spark, sf), root)
+    supsert.init_table(spark, previous_fact_load(spark, sf), root, "edition_id", buckets=16)
     stream = sdedup.read_stream(spark, land, schema, max_files=1)
     q = supsert.start_upsert(spark, stream, root, "edition_id", schema,
-                             scratch_path(spark, "fact-upsert-ckpt"))
+                             scratch_path(spark, "fact-upsert-ckpt"), buckets=16)
     q.awaitTermination()
-    return merge.read_version(spark, root, schema=schema)
+    return merge.read_version(spark, root, schema=schema, bucket_key="edition_id", buckets=16)
 
 
 JOBS = {

@@ -18,26 +18,38 @@ def stage(df: DataFrame, table: str) -> DataFrame:
     return contracts.conform(df, schemas.TABLES[table])
 
 
-def load_table(spark: SparkSession, root: str, table: str, new: DataFrame) -> int:
+def load_table(spark: SparkSession, root: str, table: str, new: DataFrame,
+               buckets: int | None = None) -> int:
+    """Stage and load one table. With ``buckets``, keyed tables are stored
+    bucketed by their key, so each later upsert shuffles only the staging."""
     path = f"{root.rstrip('/')}/{table}"
     staged = stage(new, table)
+    key = schemas.KEYS[table]
+    bk = key if (buckets and key) else None
     cur = merge.current_version(spark, path)
     if table in schemas.BRIDGES:
         out = merge.bridge_reload(staged, staged.columns)
     elif cur is None:
-        out = merge.upsert(staged.limit(0), staged, schemas.KEYS[table])
+        out = merge.upsert(staged.limit(0), staged, key)
     else:
-        base = merge.read_version(spark, path, cur, schemas.TABLES[table])
-        out = merge.upsert(base, staged, schemas.KEYS[table])
+        base = merge.read_version(spark, path, cur, schemas.TABLES[table],
+                                  bucket_key=bk, buckets=buckets or 64)
+        out = merge.upsert(base, staged, key)
     nxt = 0 if cur is None else cur + 1
-    merge.commit(spark, out, path, nxt)
+    merge.commit(spark, out, path, nxt, bucket_key=bk, buckets=buckets or 64)
     return nxt
 
 
-def load_star(spark: SparkSession, root: str, star: dict[str, DataFrame]) -> dict[str, int]:
+def load_star(spark: SparkSession, root: str, star: dict[str, DataFrame],
+              buckets: int | None = None) -> dict[str, int]:
     """Load every built table, in the warehouse load order."""
-    return {t: load_table(spark, root, t, star[t]) for t in schemas.LOAD_ORDER if t in star}
+    return {t: load_table(spark, root, t, star[t], buckets)
+            for t in schemas.LOAD_ORDER if t in star}
 
 
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return merge.read_version(spark, f"{root.rstrip('/')}/{table}", schema=schemas.TABLES[table])
+def read_table(spark: SparkSession, root: str, table: str,
+               buckets: int | None = None) -> DataFrame:
+    key = schemas.KEYS[table]
+    return merge.read_version(spark, f"{root.rstrip('/')}/{table}", schema=schemas.TABLES[table],
+                              bucket_key=key if (buckets and key) else None,
+                              buckets=buckets or 64)

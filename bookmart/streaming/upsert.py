@@ -17,10 +17,16 @@ from ..operators import merge
 
 def start_upsert(spark: SparkSession, stream: DataFrame, root: str, key: str,
                  schema: T.StructType, checkpoint: str,
-                 available_now: bool = True) -> StreamingQuery:
+                 available_now: bool = True, buckets: int | None = None) -> StreamingQuery:
+    """With ``buckets`` the versions are bucketed by ``key`` (the initial one
+    too, see ``init_table``): each micro-batch then shuffles only itself."""
+    bk = key if buckets else None
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        base = merge.read_version(spark, root, batch_id, schema)
-        merge.commit(spark, merge.upsert(base, batch, key), root, batch_id + 1)
+        base = merge.read_version(spark, root, batch_id, schema, bucket_key=bk,
+                                  buckets=buckets or 64)
+        merge.commit(spark, merge.upsert(base, batch, key), root, batch_id + 1,
+                     bucket_key=bk, buckets=buckets or 64)
 
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if available_now:
@@ -28,6 +34,8 @@ def start_upsert(spark: SparkSession, stream: DataFrame, root: str, key: str,
     return w.start()
 
 
-def init_table(spark: SparkSession, df: DataFrame, root: str) -> str:
-    """Write the initial state as version 0."""
-    return merge.commit(spark, df, root, 0)
+def init_table(spark: SparkSession, df: DataFrame, root: str, key: str | None = None,
+               buckets: int | None = None) -> str:
+    """Write the initial state as version 0 (bucketed by ``key`` if asked)."""
+    return merge.commit(spark, df, root, 0, bucket_key=key if buckets else None,
+                        buckets=buckets or 64)
