@@ -173,6 +173,15 @@ def clustered_write(spark, sf):
     return spark.read.parquet(path)
 
 
+def bucketed_fact(spark, sf):
+    """C3 with bucketing: fact_book stored bucketed by work_id, sorted by
+    time_id (joins to other work-bucketed tables need no exchange)."""
+    import uuid
+    name = f"fact_book_by_work_{uuid.uuid4().hex[:8]}"
+    return sinks.bucketed_write(fact_book(spark, sf), name, scratch_path(spark, name),
+                                "work_id", "time_id", buckets=16)
+
+
 # --- S9, S10, F21, J3: landing ---------------------------------------------------
 
 def explode_response(spark, sf):
@@ -450,6 +459,7 @@ JOBS = {
     "stage_load": stage_load,
     "batched_landing": batched_landing,
     "clustered_write": clustered_write,
+    "bucketed_fact": bucketed_fact,
     "explode_response": explode_response,
     "nested_to_json": nested_to_json,
     "linked_keys": linked_keys,

@@ -72,3 +72,20 @@ def test_spread_only_for_narrow_small_scans(spark):
     wide = spark.range(1000).repartition(100)
     assert scan.spread(wide, 1000, cache=False).rdd.getNumPartitions() == 100   # > 64: left alone
     assert scan.spread(spark.range(10).repartition(8), 4, cache=False).rdd.getNumPartitions() == 8
+
+
+def test_bucketed_tables_join_without_exchange(spark):   # C3
+    from bookmart.session import scratch_path
+    from bookmart.sources import sinks
+    f = spark.range(3000).select((F.col("id") % 300).cast("string").alias("work_id"),
+                                 (F.col("id") % 7).alias("time_id"))
+    d = spark.range(300).select(F.col("id").cast("string").alias("work_id"), F.lit("t").alias("title"))
+    ft = sinks.bucketed_write(f, "t_fact_by_work", scratch_path(spark, "tf"), "work_id", "time_id", 8)
+    dt = sinks.bucketed_write(d, "t_work_by_work", scratch_path(spark, "tw"), "work_id", None, 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(ft.join(dt, "work_id"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in p and "Exchange" not in p, p
+    assert ft.join(dt, "work_id").count() == 3000
