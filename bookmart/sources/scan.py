@@ -31,8 +31,11 @@ def spread(df: DataFrame, min_partitions: int | None = None, cache: bool = True,
     spills to disk; a lost block is recomputed from the (deterministic) hash
     repartition.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): keep the scan as it is
+        return df
     if n < want and n <= max_scan_partitions:
         # hash of the whole row: deterministic on retry, and no sort is
         # needed (round-robin would sort every partition first)
