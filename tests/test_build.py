@@ -36,3 +36,26 @@ def test_warehouse_load_is_idempotent(spark):
         if k:
             df = warehouse.read_table(spark, root, t)
             assert df.count() == df.select(k).distinct().count(), t
+
+
+def test_command_line_build_and_load(spark):
+    from bookmart.__main__ import run_build, run_load
+    land = scratch_path(spark, "t-cli-land")
+    paths = {}
+    for name, df in (("works", fixtures.raw_works(spark, SF001)),
+                     ("editions", fixtures.raw_editions(spark, SF001)),
+                     ("authors", fixtures.raw_authors(spark, SF001))):
+        paths[name] = [f"{land}/{name}/b0", f"{land}/{name}/b1"]
+        half = df.randomSplit([0.5, 0.5], seed=3)
+        for p, part in zip(paths[name], half):
+            part.write.parquet(p)
+    out = scratch_path(spark, "t-cli-out")
+    written = run_build(spark, paths["works"], paths["editions"], paths["authors"], out, "2025-01-15")
+    assert set(written) == set(schemas.TABLES)
+    fact = spark.read.parquet(written["fact_book"])
+    assert rows(fact) == rows(jobs.fact_book(spark, SF001))
+    wh = scratch_path(spark, "t-cli-wh")
+    versions = run_load(spark, out, wh, buckets=4)
+    assert set(versions.values()) == {0}
+    assert rows(warehouse.read_table(spark, wh, "dim_time", buckets=4)) == \
+        rows(jobs.dim_time(spark, SF001))
