@@ -39,7 +39,7 @@ def test_one_per_key_nulls_last_and_window_form(spark):   # W2, Q6
         "k string, w string, n int")
     want = [(None, "w8", 2), ("e1", "w1", 3), ("e2", None, 7)]
     assert rows(keys.one_per_key(df, "k")) == want
-    assert rows(keys.one_per_key_window(df, "k")) == want
+    assert rows(keys.one_per_key_agg(df, "k")) == want
 
 
 def test_salted_agg_equals_plain(spark):   # A5, F19

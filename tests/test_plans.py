@@ -48,10 +48,13 @@ def test_scan_prunes_columns(spark):
     assert "ReadSchema: struct<s_suppkey:bigint,s_name:string,s_nationkey:int>" in p
 
 
-def test_dedup_uses_partial_aggregation(spark):   # W2 under skew
+def test_dedup_reduces_keys_before_the_shuffle(spark):   # W2 under skew
     df = spark.createDataFrame([("k", i, "x") for i in range(100)], "k string, n int, v string")
     p = plan(keys.one_per_key(df, "k"))
-    assert "partial_min" in p and "Window" not in p
+    # a WindowGroupLimit sits below the exchange (map side) and above it
+    below = p.split("Exchange hashpartitioning")[1]
+    assert p.count("WindowGroupLimit") == 2 and "WindowGroupLimit" in below
+    assert "partial_min" in plan(keys.one_per_key_agg(df, "k"))
 
 
 def test_library_has_no_python_udf_or_rdd_transformations():

@@ -25,7 +25,7 @@ def frames(spark, data):
 def test_one_per_key_is_order_free(spark, data):
     outs = [rows(keys.one_per_key(df, "k")) for df in frames(spark, data)]
     assert outs[0] == outs[1] == outs[2]
-    assert outs[0] == rows(keys.one_per_key_window(frames(spark, data)[0], "k"))
+    assert outs[0] == rows(keys.one_per_key_agg(frames(spark, data)[0], "k"))
 
 
 @SETTINGS
