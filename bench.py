@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+SHUFFLE = int(os.environ.get("BENCH_SHUFFLE", str(CPUS * 2)))
 
 HEADLINE = [
     "fact_book", "edition_clean", "work_clean", "author_clean", "dim_work", "dim_subject",
@@ -32,7 +33,7 @@ HEADLINE = [
 
 def _session():
     from bookmart.session import get_session
-    spark = get_session(f"local[{CPUS}]", "bookmart-bench", shuffle_partitions=CPUS * 2, extra={
+    spark = get_session(f"local[{CPUS}]", "bookmart-bench", shuffle_partitions=SHUFFLE, extra={
         "spark.driver.memory": "16g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",

@@ -9,8 +9,10 @@ catalogue rules the outputs depend on. Change them only on purpose.
 # Entity id inside a path key: "/works/OL1W" -> "OL1W".
 ENTITY_ID_PATTERN = r"[A-Z]+\d+[A-Z]"
 
-# First four-digit year in free text.
+# First four-digit year in free text (publish dates: group 1; birth dates:
+# the whole match).
 YEAR_PATTERN = r"(\d{4})"
+BIRTH_YEAR_PATTERN = r"\d{4}"
 
 # Subject list: brackets removed, then split on every comma.
 SUBJECT_BRACKETS = r"[\]\[]"

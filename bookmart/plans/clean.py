@@ -66,5 +66,5 @@ def author_clean(authors: DataFrame) -> DataFrame:
     a = (authors.withColumn("key", X.strip_prefix("key", C.AUTHOR_PREFIX))
          .withColumnRenamed("key", "author_id")
          .filter(X.is_real_name("name"))
-         .withColumn("birth_date", X.first_year("birth_date", r"\d{4}", 0)))
+         .withColumn("birth_date", X.first_year("birth_date", C.BIRTH_YEAR_PATTERN, 0)))
     return impute.fill_computed(a, "birth_date", X.hash_year("author_id"))

@@ -247,7 +247,7 @@ def publisher_clean(spark, sf):
 def impute_hash_year(spark, sf):
     a = raw_authors(spark, sf).select(
         X.strip_prefix("key", C.AUTHOR_PREFIX).alias("author_id"),
-        X.first_year("birth_date", r"\d{4}", 0).alias("birth_date"))
+        X.first_year("birth_date", C.BIRTH_YEAR_PATTERN, 0).alias("birth_date"))
     return impute.fill_computed(a, "birth_date", X.hash_year("author_id"))
 
 
