@@ -136,6 +136,12 @@ def read_version(spark: SparkSession, root: str, version: int | None = None,
     return r.parquet(version_path(root, v))
 
 
+def release_version(spark: SparkSession, root: str, version: int) -> None:
+    """Drop the catalog entry of a bucketed version (external: the folder
+    stays and ``read_version`` registers it again when asked)."""
+    spark.sql(f"DROP TABLE IF EXISTS {_table_name(root, version)}")
+
+
 def upsert_table(spark: SparkSession, root: str, source: DataFrame, key: str,
                  schema: T.StructType | None = None,
                  update_cols: list[str] | None = None,
@@ -148,4 +154,6 @@ def upsert_table(spark: SparkSession, root: str, source: DataFrame, key: str,
     nxt = (cur or 0) + 1
     commit(spark, upsert(base, source, key, update_cols), root, nxt,
            bucket_key=bk, buckets=buckets or 64)
+    if bk and cur is not None:
+        release_version(spark, root, cur)
     return nxt

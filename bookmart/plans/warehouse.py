@@ -37,6 +37,8 @@ def load_table(spark: SparkSession, root: str, table: str, new: DataFrame,
         out = merge.upsert(base, staged, key)
     nxt = 0 if cur is None else cur + 1
     merge.commit(spark, out, path, nxt, bucket_key=bk, buckets=buckets or 64)
+    if bk and cur is not None:
+        merge.release_version(spark, path, cur)
     return nxt
 
 

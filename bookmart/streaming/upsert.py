@@ -27,6 +27,8 @@ def start_upsert(spark: SparkSession, stream: DataFrame, root: str, key: str,
                                   buckets=buckets or 64)
         merge.commit(spark, merge.upsert(base, batch, key), root, batch_id + 1,
                      bucket_key=bk, buckets=buckets or 64)
+        if bk:
+            merge.release_version(spark, root, batch_id)
 
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if available_now:
