@@ -213,3 +213,19 @@ def test_bucketed_versions_upsert_without_shuffling_the_target(spark):   # D13 a
     got = merge.read_version(spark, root, v, schema, bucket_key="k", buckets=8)
     assert got.count() == 2001
     assert rows(got.filter("k in ('5', '5000')")) == [("5", 50), ("5000", 1)]
+
+
+def test_approximate_median_is_close_to_exact(spark):   # A2 approx mode (rows-only job)
+    from bookmart.plans import jobs
+    from .conftest import SF01
+    ex = jobs.median_approx(spark, SF01).collect()[0]
+    exact = jobs.median_exact(spark, SF01).collect()[0]
+    from bookmart.plans import clean, fixtures
+    e = clean.edition_parsed(fixtures.raw_editions(spark, SF01))   # the frame the medians see
+    n = e.count()
+    for c in ("publish_date", "number_of_pages"):
+        a, x = ex[f"median_{c}"], exact[f"median_{c}"]
+        # rank error of the approximate value stays within 1% of the rows
+        below_a = e.filter(F.col(c) < a).count()
+        below_x = e.filter(F.col(c) < x).count()
+        assert abs(below_a - below_x) <= 0.01 * n + 1, (c, a, x)
