@@ -6,6 +6,9 @@ views of ``fixtures``), so their work grows with the data.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -176,7 +179,6 @@ def clustered_write(spark, sf):
 def bucketed_fact(spark, sf):
     """C3 with bucketing: fact_book stored bucketed by work_id, sorted by
     time_id (joins to other work-bucketed tables need no exchange)."""
-    import uuid
     name = f"fact_book_by_work_{uuid.uuid4().hex[:8]}"
     return sinks.bucketed_write(fact_book(spark, sf), name, scratch_path(spark, name),
                                 "work_id", "time_id", buckets=16)
@@ -391,7 +393,6 @@ def check_keys(spark, sf):
 
 
 def check_lengths(spark, sf):
-    from functools import reduce
     star = _star(spark, sf)
     parts = [contracts.length_report(star[n], n, lim) for n, lim in schemas.LENGTHS.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
