@@ -18,7 +18,8 @@ def test_build_star_matches_single_jobs_and_keys_hold(spark):
     times = {r.time_id for r in star["dim_time"].collect()}
     assert {r.time_id for r in star["fact_book"].collect()} - {None} <= times
     for name, df in star.items():
-        assert [f.name for f in df.schema.fields] == [f.name for f in schemas.TABLES[name].fields], name
+        got = [(f.name, f.dataType) for f in df.schema.fields]
+        assert got == [(f.name, f.dataType) for f in schemas.TABLES[name].fields], name
 
 
 def test_warehouse_load_is_idempotent(spark):
