@@ -64,6 +64,23 @@ def surrogate_key(df: DataFrame, order_cols: list[str], key: str,
             .drop(_PART, _ID, "_bm_off", "_bm_tie"))
 
 
+def extend_keys(previous: DataFrame, values: DataFrame, value_cols: list[str],
+                key: str) -> DataFrame:
+    """Stable surrogate keys across loads: values already in ``previous``
+    keep their key; values not seen before are numbered in value order after
+    the largest existing key. (Recomputing dense keys each run, the default,
+    shifts ids whenever a value is inserted.) New values are found with an
+    anti join on distinct values and numbered with ``surrogate_key``; the
+    current maximum is a scalar subquery, so nothing passes through the
+    driver."""
+    new = values.select(*value_cols).distinct().join(
+        previous.select(*value_cols), on=value_cols, how="left_anti")
+    top = previous.agg(F.coalesce(F.max(key), F.lit(0)).alias("m")).scalar()
+    numbered = surrogate_key(new, value_cols, key)
+    numbered = numbered.withColumn(key, (F.col(key) + top).cast("int"))
+    return previous.select(key, *value_cols).unionByName(numbered.select(key, *value_cols))
+
+
 def surrogate_key_global(df: DataFrame, order_cols: list[str], key: str) -> DataFrame:
     """Reference form (single-partition window); kept for tests and plans."""
     return df.withColumn(key, F.row_number().over(Window.orderBy(*order_cols)))

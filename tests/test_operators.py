@@ -229,3 +229,13 @@ def test_approximate_median_is_close_to_exact(spark):   # A2 approx mode (rows-o
         below_a = e.filter(F.col(c) < a).count()
         below_x = e.filter(F.col(c) < x).count()
         assert abs(below_a - below_x) <= 0.01 * n + 1, (c, a, x)
+
+
+def test_extend_keys_keeps_existing_ids(spark):   # Q7 stable keys
+    prev = spark.createDataFrame([(1, "drama"), (2, "poetry")], "subject_id int, subject string")
+    vals = spark.createDataFrame([("poetry",), ("art",), ("zoology",), ("art",), ("drama",)], "subject string")
+    out = keys.extend_keys(prev, vals, ["subject"], "subject_id")
+    assert rows(out, "subject", "subject_id") == [("art", 3), ("drama", 1), ("poetry", 2), ("zoology", 4)]
+    empty = spark.createDataFrame([], "subject_id int, subject string")
+    assert rows(keys.extend_keys(empty, vals, ["subject"], "subject_id"), "subject", "subject_id") == [
+        ("art", 1), ("drama", 2), ("poetry", 3), ("zoology", 4)]
