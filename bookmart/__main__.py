@@ -1,7 +1,7 @@
 """Command line: the whole job, end to end.
 
   python -m bookmart build --works DIR [DIR ...] --editions DIR [...] --authors DIR [...]
-                           --out DIR --load-date YYYY-MM-DD
+                           --out DIR --load-date YYYY-MM-DD [--previous WAREHOUSE]
   python -m bookmart load  --built DIR --warehouse DIR [--buckets N]
 
 ``build`` reads drifting landing folders, cleans, models and writes the eight
@@ -28,11 +28,23 @@ LANDING_TYPES = {
 }
 
 
+def previous_dimensions(spark: SparkSession, root: str | None) -> dict:
+    """The warehouse's current numbered dimensions (for stable ids), if any."""
+    out = {}
+    for t in ("dim_subject", "dim_time") if root else ():
+        try:
+            out[t] = warehouse.read_table(spark, root, t)
+        except FileNotFoundError:   # first load: nothing to keep
+            pass
+    return out
+
+
 def run_build(spark: SparkSession, works: list[str], editions: list[str], authors: list[str],
-              out: str, load_date: str) -> dict[str, str]:
+              out: str, load_date: str, previous: str | None = None) -> dict[str, str]:
     raw = {name: drifting.read_drifting(spark, paths, LANDING_TYPES[name])
            for name, paths in (("works", works), ("editions", editions), ("authors", authors))}
-    star = build.build_star(raw["works"], raw["editions"], raw["authors"])
+    star = build.build_star(raw["works"], raw["editions"], raw["authors"],
+                            previous=previous_dimensions(spark, previous))
     written = {}
     for name, df in star.items():
         path = f"{out.rstrip('/')}/{name}"
@@ -59,6 +71,8 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--authors", nargs="+", required=True)
     b.add_argument("--out", required=True)
     b.add_argument("--load-date", required=True)
+    b.add_argument("--previous", default=None,
+                   help="warehouse folder whose subject / time ids are kept")
     ld = sub.add_parser("load")
     ld.add_argument("--built", required=True)
     ld.add_argument("--warehouse", required=True)
@@ -66,7 +80,8 @@ def main(argv: list[str] | None = None) -> None:
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"bookmart-{a.cmd}").getOrCreate()
     if a.cmd == "build":
-        for name, path in run_build(spark, a.works, a.editions, a.authors, a.out, a.load_date).items():
+        for name, path in run_build(spark, a.works, a.editions, a.authors, a.out, a.load_date,
+                                    a.previous).items():
             print(f"{name}\t{path}")
     else:
         for name, v in run_load(spark, a.built, a.warehouse, a.buckets).items():

@@ -15,15 +15,20 @@ from . import clean, model
 
 
 def build_star(works_raw: DataFrame, editions_raw: DataFrame, authors_raw: DataFrame,
-               materialise_cleaned: bool = True) -> dict[str, DataFrame]:
+               materialise_cleaned: bool = True,
+               previous: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """All eight tables. ``previous`` may hold the warehouse's current
+    ``dim_subject`` / ``dim_time``: their ids are then kept stable and the
+    bridges and the fact table use them."""
+    previous = previous or {}
     work = clean.work_clean(works_raw)
     edition = clean.edition_clean(editions_raw)
     author = clean.author_clean(authors_raw)
     if materialise_cleaned:
         work = materialise(work, "work_clean")
         edition = materialise(edition, "edition_clean")
-    d_subject = model.dim_subject(work)
-    d_time = model.dim_time(edition)
+    d_subject = model.dim_subject(work, previous=previous.get("dim_subject"))
+    d_time = model.dim_time(edition, previous=previous.get("dim_time"))
     return {
         "dim_work": model.dim_work(work),
         "dim_subject": d_subject,

@@ -1,5 +1,7 @@
 """D12 whole build and D13/D14 warehouse load, end to end at sf0.001."""
 
+from pyspark.sql import functions as F
+
 from bookmart.plans import build, fixtures, jobs, schemas, warehouse
 from bookmart.session import scratch_path
 
@@ -60,3 +62,32 @@ def test_command_line_build_and_load(spark):
     assert set(versions.values()) == {0}
     assert rows(warehouse.read_table(spark, wh, "dim_time", buckets=4)) == \
         rows(jobs.dim_time(spark, SF001))
+    # a second build against the loaded warehouse keeps its ids
+    out2 = scratch_path(spark, "t-cli-out2")
+    run_build(spark, paths["works"], paths["editions"], paths["authors"], out2, "2025-01-16", wh)
+    assert rows(spark.read.parquet(f"{out2}/dim_subject").select("subject_id", "subject")) == \
+        rows(warehouse.read_table(spark, wh, "dim_subject"))
+
+
+def test_rebuild_keeps_ids_with_previous_dimensions(spark):   # Q7 across runs
+    w, e, a = (fixtures.raw_works(spark, SF001), fixtures.raw_editions(spark, SF001),
+               fixtures.raw_authors(spark, SF001))
+    first = build.build_star(w, e, a, materialise_cleaned=False)
+    # the previous load knew every other subject only, with its own ids
+    prev_subject = first["dim_subject"].filter("subject_id % 2 = 0").select(
+        (F.col("subject_id") * 10).alias("subject_id"), "subject")
+    prev_time = first["dim_time"].filter("time_id = 3").select(
+        F.lit(100).alias("time_id"), "publish_year", "decade", "century")
+    second = build.build_star(w, e, a, materialise_cleaned=False,
+                              previous={"dim_subject": prev_subject, "dim_time": prev_time})
+    s2 = dict(rows(second["dim_subject"], "subject", "subject_id"))
+    for subj, sid in rows(prev_subject, "subject", "subject_id"):
+        assert s2[subj] == sid                       # existing ids kept
+    assert len(s2) == first["dim_subject"].count()   # every subject present once
+    assert len(set(s2.values())) == len(s2)          # ids unique
+    t2 = rows(second["dim_time"], "publish_year", "time_id")
+    year3 = [y for y, t in rows(first["dim_time"], "publish_year", "time_id") if t == 3][0]
+    assert dict(t2)[year3] == 100 and len(t2) == first["dim_time"].count()
+    # bridges and facts use the stable ids
+    assert {r.subject_id for r in second["work_subject"].collect()} <= set(s2.values())
+    assert {r.time_id for r in second["fact_book"].collect()} - {None} <= {t for _, t in t2}
