@@ -236,6 +236,9 @@ def test_extend_keys_keeps_existing_ids(spark):   # Q7 stable keys
     vals = spark.createDataFrame([("poetry",), ("art",), ("zoology",), ("art",), ("drama",)], "subject string")
     out = keys.extend_keys(prev, vals, ["subject"], "subject_id")
     assert rows(out, "subject", "subject_id") == [("art", 3), ("drama", 1), ("poetry", 2), ("zoology", 4)]
+    # nothing new: the previous keys come back unchanged
+    same = keys.extend_keys(prev, vals.filter("subject in ('drama', 'poetry')"), ["subject"], "subject_id")
+    assert rows(same, "subject", "subject_id") == [("drama", 1), ("poetry", 2)]
     empty = spark.createDataFrame([], "subject_id int, subject string")
     assert rows(keys.extend_keys(empty, vals, ["subject"], "subject_id"), "subject", "subject_id") == [
         ("art", 1), ("drama", 2), ("poetry", 3), ("zoology", 4)]
