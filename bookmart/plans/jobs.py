@@ -363,6 +363,17 @@ def warehouse_load(spark, sf):
     return warehouse.read_table(spark, root, "dim_edition", buckets=16)
 
 
+def warehouse_star(spark, sf):
+    """D13 + D14 over the whole star: the build loaded twice into an empty,
+    key-bucketed warehouse copy (the second load must change nothing); the
+    fact table as stored, one row per edition id."""
+    root = scratch_path(spark, "warehouse-star")
+    star = _star(spark, sf)
+    warehouse.load_star(spark, root, star, buckets=16)
+    warehouse.load_star(spark, root, star, buckets=16)
+    return warehouse.read_table(spark, root, "fact_book", buckets=16)
+
+
 # --- O: order --------------------------------------------------------------------------------
 
 def sorted_subjects(spark, sf):
@@ -489,6 +500,7 @@ JOBS = {
     "left_join_unhinted": left_join_unhinted,
     "merge_upsert": merge_upsert,
     "warehouse_load": warehouse_load,
+    "warehouse_star": warehouse_star,
     "sorted_subjects": sorted_subjects,
     "order_by_hidden": order_by_hidden,
     "check_keys": check_keys,
