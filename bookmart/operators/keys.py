@@ -93,17 +93,24 @@ def _nulls_last_key(cols: list[str]):
     return F.struct(*parts)
 
 
+def _orderable(df: DataFrame, cols: list[str]) -> list[str]:
+    from pyspark.sql.types import MapType
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return [c for c in cols if not isinstance(types[c], MapType)]
+
+
 def one_per_key(df: DataFrame, key: str | list[str],
-                       order_cols: list[str] | None = None) -> DataFrame:
+                order_cols: list[str] | None = None) -> DataFrame:
     """One row per key; the smallest by ``order_cols`` (default: all
-    non-key columns in table order, ascending, nulls last).
+    non-key columns in table order, ascending, nulls last; map columns,
+    which have no order, are left out of the default).
 
     ``row_number() = 1`` is planned with a partial ``WindowGroupLimit`` below
     the shuffle: each map task keeps only its first row per key, so a key
     holding a third of the rows is reduced before it moves."""
     keys = [key] if isinstance(key, str) else list(key)
-    order = order_cols if order_cols is not None else [
-        c for c in df.columns if c not in keys]
+    order = order_cols if order_cols is not None else _orderable(
+        df, [c for c in df.columns if c not in keys])
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     return (df.withColumn("_bm_rn", F.row_number().over(w))
             .filter("_bm_rn = 1").drop("_bm_rn"))

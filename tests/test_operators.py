@@ -242,3 +242,9 @@ def test_extend_keys_keeps_existing_ids(spark):   # Q7 stable keys
     empty = spark.createDataFrame([], "subject_id int, subject string")
     assert rows(keys.extend_keys(empty, vals, ["subject"], "subject_id"), "subject", "subject_id") == [
         ("art", 1), ("drama", 2), ("poetry", 3), ("zoology", 4)]
+
+
+def test_one_per_key_with_a_map_column(spark):
+    df = spark.createDataFrame([("k", 2, {"a": "1"}), ("k", 1, {"b": "2"})], "k string, n int, m map<string,string>")
+    got = keys.one_per_key(df, "k").collect()
+    assert len(got) == 1 and got[0].n == 1 and got[0].m == {"b": "2"}
