@@ -60,6 +60,13 @@ def main():
         "four_actions": timed(several)}
     fact = jobs.fact_book(spark, sf).checkpoint(eager=True)
     prev = jobs.previous_fact_load(spark, sf).checkpoint(eager=True)
+    hot = fact.withColumn("edition_id", F.when(F.col("number_of_pages") < 170, F.lit("HOT"))
+                          .otherwise(F.col("edition_id"))).checkpoint(eager=True)
+    res["one_row_per_key"] = {
+        "window_group_limit": timed(lambda: keys.one_per_key(fact, "edition_id")),
+        "min_struct_aggregate": timed(lambda: keys.one_per_key_agg(fact, "edition_id")),
+        "hot_key_window_group_limit": timed(lambda: keys.one_per_key(hot, "edition_id")),
+        "hot_key_min_struct_aggregate": timed(lambda: keys.one_per_key_agg(hot, "edition_id"))}
     res["upsert"] = {
         "full_outer": timed(lambda: merge.upsert(prev, fact, "edition_id")),
         "anti_union": timed(lambda: merge.upsert_anti_union(prev, fact, "edition_id"))}
