@@ -7,10 +7,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, line_spread, mixing, simhash_cover, site_quality
+from . import bpe, imatch, line_spread, mixing, pii_votes, simhash_cover, site_quality
 from .common import documents, table
 
 
+def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_report(documents(spark, sf_dir))
+
+
 def op2_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_spread.line_report(documents(spark, sf_dir))
 
@@ -27,10 +31,15 @@ def op7_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_quality.score(documents(spark, sf_dir), table(spark, sf_dir, "labels")).drop("text_key")
 
 
+def op9_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_votes.detect(documents(spark, sf_dir))
+
+
 def op10_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_spread, op3_bpe_transducer, op4_simhash_cover, op7_site_quality, op10_water_filling)}
+QUERIES = {f.__name__: f for f in (op1_imatch, op2_line_spread, op3_bpe_transducer, op4_simhash_cover, op7_site_quality,
+                                   op9_pii_votes, op10_water_filling)}
 
 ORACLE = {"op2_line_spread": line_spread.ORACLE_SQL, "op10_water_filling": mixing.ORACLE_SQL}
