@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, imatch, line_spread, maxscore, mixing, pii_votes, rans, simhash_cover, site_quality
+from . import bpe, imatch, line_spread, maxscore, mixing, pii_votes, rans, recompress, simhash_cover, site_quality
 from .common import documents, table
 
 
@@ -27,6 +27,10 @@ def op4_simhash_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_cover.simhash_report(documents(spark, sf_dir))
 
 
+def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.dedup_report(documents(spark, sf_dir))
+
+
 def op6_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.search(table(spark, sf_dir, "embeddings"))
 
@@ -47,8 +51,9 @@ def op10_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_imatch, op2_line_spread, op3_bpe_transducer, op4_simhash_cover, op6_maxscore,
-                                   op7_site_quality, op8_rans, op9_pii_votes, op10_water_filling)}
+QUERIES = {f.__name__: f for f in (op1_imatch, op2_line_spread, op3_bpe_transducer, op4_simhash_cover, op5_recompression,
+                                   op6_maxscore, op7_site_quality, op8_rans, op9_pii_votes, op10_water_filling)}
 
-ORACLE = {"op2_line_spread": line_spread.ORACLE_SQL, "op6_maxscore": maxscore.ORACLE_SQL,
+ORACLE = {"op2_line_spread": line_spread.ORACLE_SQL, "op5_recompression": recompress.ORACLE_SQL,
+          "op6_maxscore": maxscore.ORACLE_SQL,
           "op10_water_filling": mixing.ORACLE_SQL}

@@ -34,12 +34,13 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, shuffle_width
@@ -49,11 +50,13 @@ LANES = 512
 CHECK_STEPS = 128
 PACK_IDS = 1 << 18
 SCALE_BITS = 20
-MEMO = 800_000
+MEMO = 400_000                 # pieces of text kept with their ids, per worker
+WORDS = 900_000                # words kept with their ids, per worker
 END_ID = 2
 _LOW = 1 << 31                 # lane states stay in [2^31, 2^63)
 _MAGIC = b"RANS"
 _HEAD = struct.Struct("<4sHHQIIII")
+_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 # ------------------------------------------------------------------- the code
@@ -166,24 +169,51 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.type = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.memo: dict[str, bytes] = {"": b""}
+        self.memo: dict[str, bytes] = {"": b""}      # pieces between spaces
+        self.words: dict[str, bytes] = {}            # the same in lower case without a final stop
+        self.stops = {c: self._ids([c])[0] for c in ".,"}
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        kind = "H" if self.type == "<u2" else "I"
+        return [array(kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    @staticmethod
+    def _word(piece: str) -> tuple[str, str]:
+        """The piece in lower case (A-Z; the tokenizer does the same, but finds
+        special tokens first) and a final stop after a letter, which the
+        tokenizer always cuts off."""
+        word = piece if "<|" in piece else piece.lower() if piece.isascii() else piece.translate(_LOWER)
+        if len(word) > 1 and word[-1] in ".," and "a" <= word[-2] <= "z":
+            return word[:-1], word[-1]
+        return word, ""
+
+    def _learn(self, pieces: set[str]) -> None:
+        cut = [(p, *self._word(p)) for p in pieces]
+        new = list({w for _, w, _ in cut}.difference(self.words))
+        if len(self.words) + len(new) > WORDS:
+            self.words, new = {}, list({w for _, w, _ in cut})
+        words, memo, stops = self.words, self.memo, self.stops
+        words.update(zip(new, self._ids(new)))
+        for p, w, stop in cut:
+            memo[p] = words[w] + stops[stop] if stop else words[w]
+        for w in new:
+            if len(w) > 64:
+                del words[w]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        memo, new = self.memo, set()
-        for pieces in cut:
-            new.update(p for p in set(pieces).difference(memo))
-        if len(memo) + len(new) > MEMO:
-            memo = self.memo = {"": b""}
-            new = {p for pieces in cut for p in pieces if p}
-        new = list(new)
-        extra = dict(zip(new, self._ids(new)))
-        memo.update((p, i) for p, i in extra.items() if len(p) <= 64)
-        find = memo if all(len(p) <= 64 for p in new) else {**extra, **{p: memo[p] for q in cut for p in q if p in memo}}
-        return [np.frombuffer(b"".join(map(find.__getitem__, pieces)), self.type) for pieces in cut]
+        new = set().union(*cut).difference(self.memo)
+        if new and len(self.memo) + len(new) > MEMO:
+            self.memo = {"": b""}
+            new = set().union(*cut).difference(self.memo)
+        if new:
+            self._learn(new)
+        find = self.memo.__getitem__
+        ids = [np.frombuffer(b"".join(map(find, pieces)), self.type) for pieces in cut]
+        for p in new:
+            if len(p) > 64:
+                del self.memo[p]
+        return ids
 
 
 _ENCODERS: dict[int, WordEncoder] = {}
@@ -224,20 +254,14 @@ def tokenize(docs: DataFrame, path: str, *, doc_col: str = "doc_id", text_col: s
     cuts = bounds(narrow, "doc_id", 2 * shuffle_width(spark))
     placed = narrow.select(block_of(F.col("doc_id"), cuts).alias("block"), "doc_id", F.xxhash64("text").alias("tie"), "text")
 
-    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = zstandard.ZstdCompressor(3)
-        for batch in batches:
-            data = [z.compress(t) for t in batch.column(3).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(data, pa.binary())], names=batch.schema.names)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, z, unz = _encoder(spec.value), zstandard.ZstdCompressor(3), zstandard.ZstdDecompressor()
+        encoder, z = _encoder(spec.value), zstandard.ZstdCompressor(1)
         block, pack, start, ids, parts, held = None, 0, 0, [], [], 0
         for batch in batches:
             b, d = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            texts = [unz.decompress(t).decode() for t in batch.column(3).to_pylist()]
-            for at in range(0, len(texts), 64):
-                for this, doc, found in zip(b[at:at + 64], d[at:at + 64], encoder.encode(texts[at:at + 64])):
+            texts = batch.column(3).to_pylist()
+            for at in range(0, len(texts), 128):
+                for this, doc, found in zip(b[at:at + 128], d[at:at + 128], encoder.encode(texts[at:at + 128])):
                     if parts and (this != block or held >= PACK_IDS):
                         yield _pack_rows(block, pack, start, ids, parts, z)
                         pack, start, ids, parts, held = pack + 1, start + held, [], [], 0
@@ -249,7 +273,7 @@ def tokenize(docs: DataFrame, path: str, *, doc_col: str = "doc_id", text_col: s
         if parts:
             yield _pack_rows(block, pack, start, ids, parts, z)
 
-    dealt = (placed.mapInArrow(squeeze, "block int, doc_id long, tie long, text binary").repartition(len(cuts) + 1, "block")
+    dealt = (placed.repartition(len(cuts) + 1, "block")
              .sortWithinPartitions("block", F.col("doc_id").asc_nulls_first(), "tie"))
     return dealt.mapInArrow(run, _PACK_COLUMNS)
 
