@@ -276,16 +276,18 @@ def _send_picks(buckets: int):
                 row = batch.slice(at, 1)
                 chunk = _load(row.column(1)[0].as_py(), row.column(2)[0].as_py())
                 key, doc = chunk.window_picks(), chunk.doc
+                if not len(key):
+                    continue
                 change = np.ones(len(key), bool)           # neighbours mostly pick the same
                 change[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
                 key, doc = key[change], doc[change]
                 order = np.argsort(key, kind="stable")
                 key, doc = key[order], doc[order]
-                begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+                begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
                 end = np.append(begin[1:], len(key)) - 1
                 many = doc[begin] != doc[end]
                 key = key[begin]
-                if len(key) and key[0] == 0:
+                if key[0] == 0:
                     key, many = key[1:], many[1:]
                 rows = [(b, row.column(0)[0].as_py(), _sorted_out(key[lo:hi], z), np.packbits(many[lo:hi]).tobytes(), None)
                         for b, lo, hi in _by_bucket(key, buckets)]
