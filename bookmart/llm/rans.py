@@ -32,6 +32,7 @@ result; other columns are not read.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -43,20 +44,23 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import byte_alphabet
 from .common import materialise, shuffle_width
 from .ordered import block_of, bounds
 
-LANES = 512
+LANES = 1024
 CHECK_STEPS = 128
 PACK_IDS = 1 << 18
 SCALE_BITS = 20
-MEMO = 400_000                 # pieces of text kept with their ids, per worker
-WORDS = 900_000                # words kept with their ids, per worker
+MEMO = 600_000                 # pieces of text kept with their ids, per worker
 END_ID = 2
 _LOW = 1 << 31                 # lane states stay in [2^31, 2^63)
 _MAGIC = b"RANS"
 _HEAD = struct.Struct("<4sHHQIIII")
-_LOWER = {c: c + 32 for c in range(65, 91)}
+_SIGN_STOP = re.compile(r"(?:[^\w\s]|_)[.,](?:[ \n]|$)")
+_STOP_PAIRS = ("..", ".,", ",.", ",,")
+_WIDE = re.compile("[^\x00-\u012f\u0131-\u024f]")
+_BYTE_CHARS = {b: c for c, b in byte_alphabet().items()}
 
 
 # ------------------------------------------------------------------- the code
@@ -160,7 +164,12 @@ def decode_pack(data: bytes, table: Frequencies) -> np.ndarray:
 # ------------------------------------------------------------------ tokenizing
 
 class WordEncoder:
-    """Ids of texts by the tokenizers library, piece by piece."""
+    """Ids of texts by the tokenizers library, piece by piece, as bytes.
+
+    Texts of letters up to U+024F without a special token are put in lower case
+    first, as the tokenizer does, and stops and commas before a space are cut
+    off as pieces of their own, as it does after a letter or digit; a text with
+    other signs before them goes to the library whole."""
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -168,54 +177,75 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.type = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.memo: dict[str, bytes] = {"": b""}      # pieces between spaces
-        self.words: dict[str, bytes] = {}            # the same in lower case without a final stop
-        self.stops = {c: self._ids([c])[0] for c in ".,"}
+        self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.memo: dict[str, bytes] = {"": b""}
+        self.signs: set[str] = set()                 # pieces of the memo that end in another sign
+        # plain letters pass the normalizer and the split unchanged, so their
+        # bytes can go to the library's model itself, if that is what it does
+        self.model = self.tokenizer.model.tokenize
+        probe = ["a", "hello", "überstraße", "éçñ", "zyxwvutsrqponml"]
+        self.direct = [self._plain(w) for w in probe] == self._ids(probe) == self._ids([w.upper() for w in probe[:2]] + probe[2:])
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        kind = "H" if self.type == "<u2" else "I"
-        return [array(kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return [array(self.kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    @staticmethod
-    def _word(piece: str) -> tuple[str, str]:
-        """The piece in lower case (A-Z; the tokenizer does the same, but finds
-        special tokens first) and a final stop after a letter, which the
-        tokenizer always cuts off."""
-        word = piece if "<|" in piece else piece.lower() if piece.isascii() else piece.translate(_LOWER)
-        if len(word) > 1 and word[-1] in ".," and "a" <= word[-2] <= "z":
-            return word[:-1], word[-1]
-        return word, ""
+    def _plain(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTE_CHARS)
+        return array(self.kind, [t.id for t in self.model(word)]).tobytes()
+
+    def _cut(self, text: str) -> list[str]:
+        text = text.replace("\n", " ")
+        if not self.direct or "<|" in text or not _narrow(text):
+            return text.split(" ")
+        return (text.lower() + " ").replace(". ", " . ").replace(", ", " , ").split(" ")
 
     def _learn(self, pieces: set[str]) -> None:
-        cut = [(p, *self._word(p)) for p in pieces]
-        new = list({w for _, w, _ in cut}.difference(self.words))
-        if len(self.words) + len(new) > WORDS:
-            self.words, new = {}, list({w for _, w, _ in cut})
-        words, memo, stops = self.words, self.memo, self.stops
-        words.update(zip(new, self._ids(new)))
-        for p, w, stop in cut:
-            memo[p] = words[w] + stops[stop] if stop else words[w]
-        for w in new:
-            if len(w) > 64:
-                del words[w]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*cut).difference(self.memo)
+        rest, memo = [], self.memo
+        for piece in pieces:
+            if self.direct and piece.isalpha() and piece == piece.lower() and max(piece) < "\u0250":
+                memo[piece] = self._plain(piece)
+            else:
+                rest.append(piece)
+                if not piece[-1].isalnum() and piece not in (".", ","):
+                    self.signs.add(piece)
+        memo.update(zip(rest, self._ids(rest)))
+
+    def encode(self, texts: list[str], end: bytes = b"") -> list[bytes]:
+        """Little-endian ids of each text, ``end`` appended."""
+        cut = list(map(self._cut, texts))
+        every = set().union(*cut)
+        new = every.difference(self.memo)
         if new and len(self.memo) + len(new) > MEMO:
-            self.memo = {"": b""}
-            new = set().union(*cut).difference(self.memo)
+            self.memo, self.signs = {"": b""}, set()
+            new = every - {""}
         if new:
             self._learn(new)
-        find = self.memo.__getitem__
-        ids = [np.frombuffer(b"".join(map(find, pieces)), self.type) for pieces in cut]
+        signs, find = self.signs & every, self.memo.__getitem__
+        ids = []
+        for text, pieces in zip(texts, cut):
+            if (signs and not signs.isdisjoint(pieces) or any(x in text for x in _STOP_PAIRS)) and _SIGN_STOP.search(text):
+                ids.append(self._ids([text])[0] + end)
+            else:
+                ids.append(b"".join(map(find, pieces)) + end)
         for p in new:
             if len(p) > 64:
                 del self.memo[p]
+                self.signs.discard(p)
         return ids
 
 
+def _narrow(text: str) -> bool:
+    """All characters up to U+024F, but for the one whose lower case is two."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+        return True
+    except UnicodeEncodeError:
+        return not _WIDE.search(text)
+
+
 _ENCODERS: dict[int, WordEncoder] = {}
 
 
@@ -230,12 +260,11 @@ def _encoder(spec: str) -> WordEncoder:
 _PACK_COLUMNS = "block int, pack int, start long, doc_ids array<long>, sizes array<long>, ids binary"
 
 
-def _pack_rows(block, pack, start, docs, parts, squeeze) -> pa.RecordBatch:
-    ids = np.concatenate(parts).astype("<u4" if parts[0].dtype.itemsize > 2 else "<u2")
+def _pack_rows(block, pack, start, docs, parts, width, squeeze) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([block], pa.int32()), pa.array([pack], pa.int32()), pa.array([start], pa.int64()),
-         pa.array([docs], pa.list_(pa.int64())), pa.array([[len(p) for p in parts]], pa.list_(pa.int64())),
-         pa.array([bytes([ids.dtype.itemsize]) + squeeze.compress(ids.tobytes())], pa.binary())],
+         pa.array([docs], pa.list_(pa.int64())), pa.array([[len(p) // width for p in parts]], pa.list_(pa.int64())),
+         pa.array([bytes([width]) + squeeze.compress(b"".join(parts))], pa.binary())],
         names=["block", "pack", "start", "doc_ids", "sizes", "ids"])
 
 
@@ -256,22 +285,23 @@ def tokenize(docs: DataFrame, path: str, *, doc_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, z = _encoder(spec.value), zstandard.ZstdCompressor(1)
+        end = array(encoder.kind, [end_id]).tobytes()
+        width = len(end)
         block, pack, start, ids, parts, held = None, 0, 0, [], [], 0
         for batch in batches:
-            b, d = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            texts = batch.column(3).to_pylist()
+            b, d, texts = (batch.column(i).to_pylist() for i in (0, 1, 3))
             for at in range(0, len(texts), 128):
-                for this, doc, found in zip(b[at:at + 128], d[at:at + 128], encoder.encode(texts[at:at + 128])):
+                for this, doc, found in zip(b[at:at + 128], d[at:at + 128], encoder.encode(texts[at:at + 128], end)):
                     if parts and (this != block or held >= PACK_IDS):
-                        yield _pack_rows(block, pack, start, ids, parts, z)
+                        yield _pack_rows(block, pack, start, ids, parts, width, z)
                         pack, start, ids, parts, held = pack + 1, start + held, [], [], 0
                     if this != block:
                         block, pack, start = this, 0, 0
                     ids.append(doc)
-                    parts.append(np.append(found, np.array(end_id, found.dtype)))
-                    held += len(parts[-1])
+                    parts.append(found)
+                    held += len(found) // width
         if parts:
-            yield _pack_rows(block, pack, start, ids, parts, z)
+            yield _pack_rows(block, pack, start, ids, parts, width, z)
 
     dealt = (placed.repartition(len(cuts) + 1, "block")
              .sortWithinPartitions("block", F.col("doc_id").asc_nulls_first(), "tie"))
