@@ -37,6 +37,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -52,11 +53,12 @@ LANES = 1024
 CHECK_STEPS = 128
 PACK_IDS = 1 << 18
 SCALE_BITS = 20
-MEMO = 600_000                 # pieces of text kept with their ids, per worker
+MEMO = 1_200_000                 # pieces of text kept with their ids, per worker
 END_ID = 2
 _LOW = 1 << 31                 # lane states stay in [2^31, 2^63)
 _MAGIC = b"RANS"
 _HEAD = struct.Struct("<4sHHQIIII")
+_ID = attrgetter("id")
 _SIGN_STOP = re.compile(r"(?:[^\w\s]|_)[.,](?:[ \n]|$)")
 _STOP_PAIRS = ("..", ".,", ",.", ",,")
 _WIDE = re.compile("[^\x00-\u012f\u0131-\u024f]")
@@ -192,7 +194,7 @@ class WordEncoder:
     def _plain(self, word: str) -> bytes:
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(_BYTE_CHARS)
-        return array(self.kind, [t.id for t in self.model(word)]).tobytes()
+        return array(self.kind, map(_ID, self.model(word))).tobytes()
 
     def _cut(self, text: str) -> list[str]:
         text = text.replace("\n", " ")
@@ -203,7 +205,7 @@ class WordEncoder:
     def _learn(self, pieces: set[str]) -> None:
         rest, memo = [], self.memo
         for piece in pieces:
-            if self.direct and piece.isalpha() and piece == piece.lower() and max(piece) < "\u0250":
+            if self.direct and piece.isalpha() and piece.islower() and (piece.isascii() or max(piece) < "\u0250"):
                 memo[piece] = self._plain(piece)
             else:
                 rest.append(piece)
