@@ -49,9 +49,9 @@ from .bpe import byte_alphabet
 from .common import materialise, shuffle_width
 from .ordered import block_of, bounds
 
-LANES = 1024
+LANES = 2048
 CHECK_STEPS = 128
-PACK_IDS = 1 << 18
+PACK_IDS = 1 << 19
 SCALE_BITS = 20
 MEMO = 1_200_000                 # pieces of text kept with their ids, per worker
 END_ID = 2
@@ -60,6 +60,7 @@ _MAGIC = b"RANS"
 _HEAD = struct.Struct("<4sHHQIIII")
 _ID = attrgetter("id")
 _SIGN_STOP = re.compile(r"(?:[^\w\s]|_)[.,](?:[ \n]|$)")
+_LONG = " "                   # among the signs: a long piece of the text at hand ends in one
 _STOP_PAIRS = ("..", ".,", ",.", ",,")
 _WIDE = re.compile("[^\x00-\u012f\u0131-\u024f]")
 _BYTE_CHARS = {b: c for c, b in byte_alphabet().items()}
@@ -110,8 +111,9 @@ def encode_pack(ids: np.ndarray, table: Frequencies) -> bytes:
         s = ids[t * lanes:(t + 1) * lanes]
         f, y = table.freq[s], x[:len(s)]
         full = y >= limit * f
-        words.append((y[full] & np.uint64(0xFFFFFFFF)).astype("<u4"))
-        y = np.where(full, y >> shift, y)
+        spill = y[full]
+        words.append(spill.astype("<u4"))              # the low 32 bits
+        y[full] = spill >> shift
         quotient = y // f
         x[:len(s)] = (quotient << bits) + (y - quotient * f) + table.start[s]
         if t % CHECK_STEPS == 0:
@@ -152,10 +154,11 @@ def decode_pack(data: bytes, table: Frequencies) -> np.ndarray:
             z[live - 1, idle:] = y[live - 1, idle:]
             s[live - 1, idle:] = 0
         need = z < low
-        counts = need.sum(1)
-        ranks = np.cumsum(need, axis=1) - 1 + position[:live, None]
-        z[need] = (z[need] << shift) | words[ranks[need]]
-        position[:live] += counts
+        for row in range(live):                        # a stretch reads its words in order
+            rows = np.flatnonzero(need[row])
+            begin = position[row]
+            position[row] += len(rows)
+            z[row, rows] = (z[row, rows] << shift) | words[begin:begin + len(rows)]
         x[:live], ids[:live, t] = z, s
     out = ids.reshape(-1)[:n]
     if zlib.crc32(out.astype("<u4").tobytes()) != ids_crc:
@@ -165,8 +168,9 @@ def decode_pack(data: bytes, table: Frequencies) -> np.ndarray:
 
 # ------------------------------------------------------------------ tokenizing
 
-class WordEncoder:
-    """Ids of texts by the tokenizers library, piece by piece, as bytes.
+class WordEncoder(dict):
+    """Ids of texts by the tokenizers library, piece by piece, as bytes; the
+    dictionary holds the ids of the pieces met.
 
     Texts of letters up to U+024F without a special token are put in lower case
     first, as the tokenizer does, and stops and commas before a space are cut
@@ -174,14 +178,14 @@ class WordEncoder:
     other signs before them goes to the library whole."""
 
     def __init__(self, spec: str):
+        super().__init__({"": b""})
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.memo: dict[str, bytes] = {"": b""}
-        self.signs: set[str] = set()                 # pieces of the memo that end in another sign
+        self.signs: set[str] = set()                 # pieces kept that end in another sign
         # plain letters pass the normalizer and the split unchanged, so their
         # bytes can go to the library's model itself, if that is what it does
         self.model = self.tokenizer.model.tokenize
@@ -202,39 +206,36 @@ class WordEncoder:
             return text.split(" ")
         return (text.lower() + " ").replace(". ", " . ").replace(", ", " , ").split(" ")
 
-    def _learn(self, pieces: set[str]) -> None:
-        rest, memo = [], self.memo
-        for piece in pieces:
-            if self.direct and piece.isalpha() and piece.islower() and (piece.isascii() or max(piece) < "\u0250"):
-                memo[piece] = self._plain(piece)
-            else:
-                rest.append(piece)
-                if not piece[-1].isalnum() and piece not in (".", ","):
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= MEMO:
+            self.clear()
+            self.signs.clear()
+            self[""] = b""
+        if self.direct and piece.isalpha() and piece.islower() and (piece.isascii() or max(piece) < "\u0250"):
+            ids = self._plain(piece)
+        else:
+            ids = self._ids([piece])[0]
+            if not piece[-1].isalnum() and piece not in (".", ","):
+                if len(piece) > 64:
+                    self.signs.add(_LONG)
+                else:
                     self.signs.add(piece)
-        memo.update(zip(rest, self._ids(rest)))
+        if len(piece) <= 64:
+            self[piece] = ids
+        return ids
 
     def encode(self, texts: list[str], end: bytes = b"") -> list[bytes]:
         """Little-endian ids of each text, ``end`` appended."""
-        cut = list(map(self._cut, texts))
-        every = set().union(*cut)
-        new = every.difference(self.memo)
-        if new and len(self.memo) + len(new) > MEMO:
-            self.memo, self.signs = {"": b""}, set()
-            new = every - {""}
-        if new:
-            self._learn(new)
-        signs, find = self.signs & every, self.memo.__getitem__
-        ids = []
-        for text, pieces in zip(texts, cut):
-            if (signs and not signs.isdisjoint(pieces) or any(x in text for x in _STOP_PAIRS)) and _SIGN_STOP.search(text):
-                ids.append(self._ids([text])[0] + end)
-            else:
-                ids.append(b"".join(map(find, pieces)) + end)
-        for p in new:
-            if len(p) > 64:
-                del self.memo[p]
-                self.signs.discard(p)
-        return ids
+        out, find = [], self.__getitem__
+        for text in texts:
+            pieces = self._cut(text)
+            ids = b"".join(map(find, pieces))
+            if (not self.signs.isdisjoint(pieces) or _LONG in self.signs or any(x in text for x in _STOP_PAIRS)) \
+                    and _SIGN_STOP.search(text):
+                ids = self._ids([text])[0]
+            self.signs.discard(_LONG)
+            out.append(ids + end)
+        return out
 
 
 def _narrow(text: str) -> bool:
