@@ -1,19 +1,24 @@
 """Read landings whose schema drifts from file to file.
 
-Parquet schema merging rejects a column that is int in one file and double
-in another, and the source job instead made one plan per file and unioned
-them all (thousands of union branches). Here the landing folders are grouped
-by their schema: one scan per distinct schema (a scan lists and reads its
-folders in parallel), each branch harmonised by name to the target types
-with ``try_cast``, then a by-name union with missing columns as typed nulls.
-The union has as many branches as there are distinct schemas, not files.
+Landing folders are append-only: every batch adds files, and a column may be
+absent, added, or change type from one file to the next. Spark merges the
+schemas of all files in one parallel job; that covers absent and extra
+columns, and the landing is read in one scan. Only where a column's types
+conflict (int in one file, double in another) is the list of files cut in
+halves, merged half by half side by side, until every part agrees; parts that
+agree with each other are joined again. Each group of files is then one scan,
+harmonised to the target types with ``try_cast``, and the groups are united by
+name with typed nulls for missing columns. No file is read with a schema that
+another file lent it, so no column is lost.
 """
 
 from __future__ import annotations
 
-import json
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,19 +46,59 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def group_by_schema(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """Folder paths grouped by the schema Spark infers for each."""
-    groups: dict[str, list[str]] = {}
-    for p in paths:
-        groups.setdefault(spark.read.parquet(p).schema.json(), []).append(p)
+def merged_schema(spark: SparkSession, paths: list[str]) -> T.StructType | None:
+    """The schema of all files together; None where types conflict."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(*paths).schema
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE_SCHEMAS" in str(e):
+            return None
+        raise
+
+
+def data_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The parquet files under the landing folders (a listing; no content)."""
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .option("pathGlobFilter", "*.parquet").load(paths).select("path"))
+    return sorted(r["path"] for r in listing.toLocalIterator())
+
+
+def _agree(a: T.StructType, b: T.StructType) -> bool:
+    types = {f.name: f.dataType for f in a.fields}
+    return all(types.get(f.name, f.dataType) == f.dataType for f in b.fields)
+
+
+def _joined(a: T.StructType, b: T.StructType) -> T.StructType:
+    names = {f.name for f in a.fields}
+    return T.StructType([*a.fields, *(f for f in b.fields if f.name not in names)])
+
+
+def group_by_schema(spark: SparkSession, files: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Groups of files whose schemas agree, each with its merged schema."""
+    schema = merged_schema(spark, files)
+    if schema is not None:
+        return [(schema, files)]
+    if len(files) == 1:
+        raise ValueError(f"the schema of {files[0]} cannot be read")
+    half = len(files) // 2
+    with ThreadPoolExecutor(2) as pool:
+        parts = list(pool.map(lambda part: group_by_schema(spark, part), (files[:half], files[half:])))
+    groups: list[tuple[T.StructType, list[str]]] = []
+    for schema, members in [g for part in parts for g in part]:
+        for i, (other, held) in enumerate(groups):
+            if _agree(other, schema):
+                groups[i] = (_joined(other, schema), held + members)
+                break
+        else:
+            groups.append((schema, members))
     return groups
 
 
 def read_drifting(spark: SparkSession, paths: list[str],
                   types: dict[str, str] | None = None) -> DataFrame:
     """One table out of drifting landing folders."""
-    frames = []
-    for schema_json, group in group_by_schema(spark, paths).items():
-        schema = T.StructType.fromJson(json.loads(schema_json))
-        frames.append(harmonise(spark.read.schema(schema).parquet(*group), types or {}))
-    return union_by_name(frames)
+    schema = merged_schema(spark, paths)
+    if schema is not None:
+        return harmonise(spark.read.schema(schema).parquet(*paths), types or {})
+    return union_by_name([harmonise(spark.read.schema(schema).parquet(*group), types or {})
+                          for schema, group in group_by_schema(spark, data_files(spark, paths))])
