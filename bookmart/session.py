@@ -42,10 +42,10 @@ def get_session(master: str | None = None, app: str = "bookmart",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Uses the session's own setting. Only a local-mode session without one
-    gets a private temporary folder (tests); a cluster session without a
-    shared checkpoint folder is an error, since a machine-local folder would
-    not survive the loss of an executor.
+    Uses the session's own setting. Without one a cluster session is an error,
+    since a machine-local folder would not survive the loss of an executor; a
+    session whose driver and tasks share one machine (tests, the local checks)
+    gets a folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()

@@ -1,11 +1,9 @@
-"""Table scans that keep every core busy.
+"""Table scans: the same plan at every size.
 
-A scan is as parallel as its files and row groups. Landings written as a few
-large single-row-group files give one task per file, and every per-row step
-after the scan (JSON parsing, regexes) then runs in that one task. When a scan
-yields fewer partitions than the session's parallelism, and only a few in
-absolute terms, its rows are spread by a hash of the row first; a scan over a
-large table is left as it is, so this costs nothing at scale.
+Projections reach the parquet reader; how many tasks a scan has is up to the
+files' row groups and ``spark.sql.files.maxPartitionBytes``. Nothing is cached
+or spread here: a job that reads a frame more than once writes it once itself
+(``session.materialise``).
 """
 
 from __future__ import annotations
@@ -13,40 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-# A scan of more partitions than this is never spread: each scan partition is
-# at most one split (maxPartitionBytes) or one row group, so the rows moved and
-# cached by a spread stay bounded however large the cluster's parallelism is.
-MAX_SPREAD_SCAN_PARTITIONS = 64
-
-
-def spread(df: DataFrame, min_partitions: int | None = None, cache: bool = True,
-           max_scan_partitions: int = MAX_SPREAD_SCAN_PARTITIONS) -> DataFrame:
-    """Spread a narrow scan over ``min_partitions`` (default: parallelism).
-
-    Only scans of at most ``max_scan_partitions`` partitions that are also
-    narrower than the target are spread. The spread copy is cached: the
-    optimiser pushes each consumer's filters below a repartition, so without
-    it every branch of a plan (statistics subquery, dimension, fact) would
-    re-read the one-task scan. The cache holds at most a few row groups and
-    spills to disk; a lost block is recomputed from the (deterministic) hash
-    repartition.
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (Spark Connect): keep the scan as it is
-        return df
-    if n < want and n <= max_scan_partitions:
-        # hash of the whole row: deterministic on retry, and no sort is
-        # needed (round-robin would sort every partition first)
-        out = df.repartition(want, *df.columns)
-        return out.cache() if cache else out
-    return df
-
-
-def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None,
-                 min_partitions: int | None = None) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
-    if columns:
-        df = df.select(*columns)
-    return spread(df, min_partitions)
+    return df.select(*columns) if columns else df
