@@ -32,10 +32,8 @@ AUTHOR_PREFIX = "/authors/"
 # Publisher normalisation. The leading ".$" removes the last character of
 # every name (kept as in the source job); PUBLISHER_STRIP_DOT_ONLY is the
 # variant that only removes a trailing dot.
-PUBLISHER_STRIP = (r".$|-$|\?|\]|\[|s\.n\.?|etc\.?|et al\.?"
-                   r"|publisher not identified")
-PUBLISHER_STRIP_DOT_ONLY = (r"\.$|-$|\?|\]|\[|s\.n\.?|etc\.?|et al\.?"
-                            r"|publisher not identified")
+PUBLISHER_STRIP = r".$|-$|\?|\]|\[|s\.n\.?|etc\.?|et al\.?|publisher not identified"
+PUBLISHER_STRIP_DOT_ONLY = r"\.$|-$|\?|\]|\[|s\.n\.?|etc\.?|et al\.?|publisher not identified"
 PUBLISHER_MIN_LETTERS = r"[a-z]{3,}"
 PUBLISHER_MAX_LENGTH = 86                       # kept when length < 86
 PUBLISHER_REJECT = r"printed by|printed for|distributed by|distributor|sold by"

@@ -107,13 +107,13 @@ def language_label(c, mapping: dict | None = None) -> Column:
     return map_lookup(c, mapping or C.LANGUAGE_LABELS)
 
 
-# Integer parts of a year (truncating, as an int cast does).
+# Decade (its first year) and century of a year after 0.
 def decade(y) -> Column:
-    return (_col(y) / 10).cast("int") * 10
+    return _col(y) - _col(y) % 10
 
 
 def century(y) -> Column:
-    return ((_col(y) - 1) / 100).cast("int") + 1
+    return F.floor((_col(y) + 99) / 100).cast("int")
 
 
 # load-date parts of an explicit date (never an implicit "today").

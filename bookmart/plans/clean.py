@@ -51,9 +51,14 @@ def edition_parsed(editions: DataFrame) -> DataFrame:
 
 
 def edition_clean(editions: DataFrame, exact_median: bool = True) -> DataFrame:
-    """Medians for year and pages, 'unknown' for missing text, then rows
-    whose title has no Latin letter are dropped."""
-    e = edition_parsed(editions)
+    """D2 from raw editions."""
+    return edition_filled(edition_parsed(editions), exact_median)
+
+
+def edition_filled(parsed: DataFrame, exact_median: bool = True) -> DataFrame:
+    """D2 on parsed editions: medians for year and pages, 'unknown' for missing
+    text, then rows whose title has no Latin letter are dropped."""
+    e = parsed
     e = impute.fill_median(e, ["publish_date", "number_of_pages"], exact=exact_median)
     e = impute.fill_constants(e, {"publishers": C.UNKNOWN, "languages": C.UNKNOWN,
                                   "title": C.UNKNOWN})
@@ -63,8 +68,7 @@ def edition_clean(editions: DataFrame, exact_median: bool = True) -> DataFrame:
 def author_clean(authors: DataFrame) -> DataFrame:
     """D3: id from key, real names only, birth year from text; a missing year
     becomes a deterministic hash year of the author id."""
-    a = (authors.withColumn("key", X.strip_prefix("key", C.AUTHOR_PREFIX))
-         .withColumnRenamed("key", "author_id")
-         .filter(X.is_real_name("name"))
-         .withColumn("birth_date", X.first_year("birth_date", C.BIRTH_YEAR_PATTERN, 0)))
-    return impute.fill_computed(a, "birth_date", X.hash_year("author_id"))
+    author_id = X.strip_prefix("key", C.AUTHOR_PREFIX)
+    born = F.coalesce(X.first_year("birth_date", C.BIRTH_YEAR_PATTERN, 0), X.hash_year(author_id))
+    return authors.where(X.is_real_name("name")).select(
+        author_id.alias("author_id"), "name", born.alias("birth_date"))

@@ -12,8 +12,8 @@ def _st(*cols):
 # Declared warehouse schemas (staging twins use the same columns, no keys).
 TABLES = {
     "dim_work": _st(("work_id", S), ("title", S), ("first_publish_year", I), ("edition_count", L)),
-    "dim_subject": _st(("subject_id", I), ("subject", S)),
-    "work_subject": _st(("work_id", S), ("subject_id", I)),
+    "dim_subject": _st(("subject_id", L), ("subject", S)),
+    "work_subject": _st(("work_id", S), ("subject_id", L)),
     "work_author": _st(("work_id", S), ("author_id", S)),
     "dim_edition": _st(("edition_id", S), ("title", S), ("publish_date", I),
                        ("publisher", S), ("language", S)),
@@ -40,7 +40,6 @@ LENGTHS = {
     "fact_book": {"edition_id": 50, "work_id": 50},
 }
 
-# Load order of the warehouse copy.
-LOAD_ORDER = ["dim_work", "dim_edition", "dim_author", "dim_time", "dim_subject",
-              "work_subject", "work_author", "fact_book"]
-BRIDGES = {"work_subject", "work_author"}
+# Bridges are reloaded; dimensions come before what refers to them.
+BRIDGES = {t for t, key in KEYS.items() if key is None}
+LOAD_ORDER = sorted(TABLES, key=lambda t: (not t.startswith("dim_"), t))
