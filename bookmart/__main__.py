@@ -2,12 +2,12 @@
 
   python -m bookmart build --works DIR [DIR ...] --editions DIR [...] --authors DIR [...]
                            --out DIR --load-date YYYY-MM-DD [--previous WAREHOUSE]
-  python -m bookmart load  --built DIR --warehouse DIR [--buckets N]
+  python -m bookmart load  --built DIR --warehouse DIR [--load-date YYYY-MM-DD]
 
 ``build`` reads drifting landing folders, cleans, models and writes the eight
-tables (dimensions and bridges partitioned by load date, the fact table
-unpartitioned). ``load`` upserts the keyed tables and reloads the bridges of a
-built output into a versioned warehouse copy. The session comes from the
+tables, partitioned by load date. ``load`` upserts the keyed tables and reloads
+the bridges of one built day (the newest unless named) into a warehouse copy.
+With ``--previous`` the build keeps the warehouse's ids. The session comes from the
 launcher (spark-submit); its ``spark.checkpoint.dir`` must name a shared folder.
 """
 
@@ -18,6 +18,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from .plans import build, schemas, warehouse
+from .session import get_session
 from .sources import drifting, sinks
 
 # Casts applied to every landing before the union (drifting numeric types).
@@ -48,18 +49,18 @@ def run_build(spark: SparkSession, works: list[str], editions: list[str], author
     written = {}
     for name, df in star.items():
         path = f"{out.rstrip('/')}/{name}"
-        if name == "fact_book":
-            sinks.fact_write(df, path)
-        else:
-            sinks.partitioned_write(df, path, load_date)
+        sinks.partitioned_write(df, path, load_date)
         written[name] = path
     return written
 
 
-def run_load(spark: SparkSession, built: str, root: str, buckets: int | None = None) -> dict[str, int]:
-    star = {t: sinks.stage_load(spark, f"{built.rstrip('/')}/{t}", schemas.TABLES[t])
+def run_load(spark: SparkSession, built: str, root: str, load_date: str | None = None) -> str:
+    """Load one built day; returns the day."""
+    day = load_date or sinks.newest_load_day(spark, f"{built.rstrip('/')}/dim_work")
+    star = {t: sinks.stage_day(spark, f"{built.rstrip('/')}/{t}", schemas.TABLES[t], day)
             for t in schemas.LOAD_ORDER}
-    return warehouse.load_star(spark, root, star, buckets)
+    warehouse.load_star(root, star, day)
+    return day
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -76,16 +77,15 @@ def main(argv: list[str] | None = None) -> None:
     ld = sub.add_parser("load")
     ld.add_argument("--built", required=True)
     ld.add_argument("--warehouse", required=True)
-    ld.add_argument("--buckets", type=int, default=None)
+    ld.add_argument("--load-date", default=None)
     a = p.parse_args(argv)
-    spark = SparkSession.builder.appName(f"bookmart-{a.cmd}").getOrCreate()
+    spark = get_session(app=f"bookmart-{a.cmd}")
     if a.cmd == "build":
         for name, path in run_build(spark, a.works, a.editions, a.authors, a.out, a.load_date,
                                     a.previous).items():
             print(f"{name}\t{path}")
     else:
-        for name, v in run_load(spark, a.built, a.warehouse, a.buckets).items():
-            print(f"{name}\tversion {v}")
+        print(run_load(spark, a.built, a.warehouse, a.load_date))
 
 
 if __name__ == "__main__":

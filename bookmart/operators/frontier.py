@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from .merge import read_if_written
+
 
 def unseen(candidates: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     """Distinct candidate keys absent from ``seen``. Candidates are made
@@ -23,12 +25,11 @@ def add_seen(seen: DataFrame, new_keys: DataFrame, key: str) -> DataFrame:
 
 
 def read_seen(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """The distinct keys recorded so far (empty if none yet)."""
+    """The distinct keys recorded so far (empty if none yet; a table that
+    cannot be read is an error)."""
     schema = T.StructType([T.StructField(key, T.StringType())])
-    try:
-        return spark.read.schema(schema).parquet(path).distinct()
-    except Exception:  # nothing appended yet
-        return spark.createDataFrame([], schema)
+    seen = read_if_written(spark, path, schema)
+    return spark.createDataFrame([], schema) if seen is None else seen.distinct()
 
 
 def record_seen(new_keys: DataFrame, path: str, key: str) -> str:

@@ -1,4 +1,4 @@
-"""J4 upsert, A7 bridge reload and the commit log of a versioned table.
+"""J4 upsert, A7 bridge reload, and tables kept as appended changes.
 
 Upsert semantics: update on key match, insert otherwise, never delete.
 When the update covers every target column the result is exactly
@@ -6,19 +6,28 @@ When the update covers every target column the result is exactly
 full outer join on the key and a match flag (see ``upsert``), which also
 serves a column subset: columns not updated keep the target's values.
 
-There is no row-level table format here, so a new version is written to a
-fresh folder and then recorded in an append-only commit log; a path is never
-overwritten while it is being read.
+A stored table is the sum of its changes: every load or micro-batch appends
+its own rows in a partition of its own (source, batch), marked with the time of
+writing, so what is written grows with the batch and not with the table. A
+replay replaces its own partition (dynamic overwrite) and nothing else. The
+current state is the newest row per key; each map task cuts a key's changes to
+one before the shuffle. ``compact`` writes the current state as the start of a
+new table.
 """
 
 from __future__ import annotations
 
+import time
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import keys as K
 
+AT, SOURCE, BATCH = "_bm_at", "_bm_source", "_bm_batch"
+
 
 def upsert(target: DataFrame, source: DataFrame, key: str,
            update_cols: list[str] | None = None, dedup: bool = True) -> DataFrame:
@@ -50,110 +59,67 @@ def upsert(target: DataFrame, source: DataFrame, key: str,
     return both.select(*out)
 
 
-def upsert_anti_union(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """The same result (all columns updated) as anti join + union; kept for
-    comparison in tests and benchmarks."""
-    src = K.one_per_key(source, key).select(*target.columns)
-    return target.join(source.select(key), on=key, how="left_anti").unionByName(src)
-
-
 def bridge_reload(staging: DataFrame, cols: list[str]) -> DataFrame:
     """A bridge is replaced by the distinct pairs of its staging."""
     return staging.select(*cols).dropDuplicates(cols)
 
 
-# --- versioned table on plain parquet ---------------------------------------
+# --- tables of appended changes -------------------------------------------------
 
-_LOG_SCHEMA = T.StructType([T.StructField("version", T.LongType(), False)])
+def read_if_written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A parquet table, or None if nothing has been written there. Every other
+    failure is raised: an unreadable table is not an empty one."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
-def _log(root: str) -> str:
-    return f"{root.rstrip('/')}/_commits"
+def _rows(root: str) -> str:
+    return f"{root.rstrip('/')}/rows"
 
 
-def version_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/version={version:08d}"
+def _loads(root: str) -> str:
+    return f"{root.rstrip('/')}/loads"
 
 
-def current_version(spark: SparkSession, root: str) -> int | None:
-    try:
-        row = spark.read.schema(_LOG_SCHEMA).parquet(_log(root)).agg(
-            F.max("version").alias("v")).first()
-    except Exception:  # no commit yet
-        return None
-    return None if row is None or row["v"] is None else int(row["v"])
-
-
-def _table_name(root: str, version: int) -> str:
-    import hashlib
-    return f"bm_{hashlib.md5(root.rstrip('/').encode()).hexdigest()[:10]}_v{version:08d}"
-
-
-def commit(spark: SparkSession, df: DataFrame, root: str, version: int,
-           schema: T.StructType | None = None,
-           max_records_per_file: int | None = None,
-           bucket_key: str | None = None, buckets: int = 64) -> str:
-    """Write ``df`` as ``version`` (overwrite: a replay rewrites the same
-    folder) and then append the version to the commit log.
-
-    With ``bucket_key`` the version is written bucketed and sorted by that
-    key (an external catalog table over the version folder): a later upsert
-    joins the staging batch to it without shuffling the stored table."""
-    path = version_path(root, version)
-    w = df.write.mode("overwrite")
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", max_records_per_file)
-    if bucket_key:
-        name = _table_name(root, version)
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        (w.bucketBy(buckets, bucket_key).sortBy(bucket_key)
-         .option("path", path).format("parquet").saveAsTable(name))
-    else:
-        w.parquet(path)
-    spark.createDataFrame([(int(version),)], _LOG_SCHEMA).coalesce(1) \
-        .write.mode("append").parquet(_log(root))
-    return path
-
-
-def read_version(spark: SparkSession, root: str, version: int | None = None,
-                 schema: T.StructType | None = None, bucket_key: str | None = None,
-                 buckets: int = 64) -> DataFrame:
-    v = current_version(spark, root) if version is None else version
-    if v is None:
-        raise FileNotFoundError(f"no committed version under {root}")
-    if bucket_key:
-        if schema is None:
-            raise ValueError("a bucketed version is registered with its declared schema")
-        name = _table_name(root, v)
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
-                  f"CLUSTERED BY (`{bucket_key}`) SORTED BY (`{bucket_key}`) INTO {buckets} BUCKETS "
-                  f"LOCATION '{version_path(root, v)}'")
-        return spark.table(name)
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(version_path(root, v))
-
-
-def release_version(spark: SparkSession, root: str, version: int) -> None:
-    """Drop the catalog entry of a bucketed version (external: the folder
-    stays and ``read_version`` registers it again when asked)."""
-    spark.sql(f"DROP TABLE IF EXISTS {_table_name(root, version)}")
-
-
-def upsert_table(spark: SparkSession, root: str, source: DataFrame, key: str,
-                 schema: T.StructType | None = None,
-                 update_cols: list[str] | None = None,
-                 buckets: int | None = None) -> int:
-    """Merge ``source`` into the latest version and commit the result.
-    With ``buckets`` every version is bucketed by ``key`` (see ``commit``)."""
-    cur = current_version(spark, root)
-    bk = key if buckets else None
-    base = read_version(spark, root, cur, schema, bucket_key=bk, buckets=buckets or 64)
-    nxt = (cur or 0) + 1
-    commit(spark, upsert(base, source, key, update_cols), root, nxt,
-           bucket_key=bk, buckets=buckets or 64)
-    if bk and cur is not None:
-        release_version(spark, root, cur)
-    return nxt
+def append_changes(df: DataFrame, root: str, source: str, batch: str) -> None:
+    """Append the rows of one load or micro-batch; repeated with the same
+    ``source`` and ``batch`` it replaces what it wrote before. ``loads`` gets
+    one row per load, written last."""
+    spark, at = df.sparkSession, time.time_ns() // 1000
+    own = {SOURCE: F.lit(source), BATCH: F.lit(batch)}
+    (df.withColumns({AT: F.lit(at).cast("long"), **own}).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(SOURCE, BATCH).parquet(_rows(root)))
+    spark.range(1).select(F.lit(at).cast("long").alias(AT)).write.mode("append").parquet(_loads(root))
+
+
+def _changes(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    rows = read_if_written(spark, _rows(root), T.StructType([*schema.fields, T.StructField(AT, T.LongType())]))
+    return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(AT, T.LongType())])) if rows is None else rows
+
+
+def is_loaded(spark: SparkSession, root: str) -> bool:
+    return read_if_written(spark, _loads(root), T.StructType([T.StructField(AT, T.LongType())])) is not None
+
+
+def read_current(spark: SparkSession, root: str, key: str, schema: T.StructType) -> DataFrame:
+    """The newest row per key (of one load, the smallest; W2)."""
+    names = [f.name for f in schema.fields]
+    rows = _changes(spark, root, schema).select(*names, (-F.col(AT)).alias(AT))
+    return K.one_per_key(rows, key, [AT, *(c for c in names if c != key)]).select(*names)
+
+
+def read_latest(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The rows of the newest load alone (a reloaded table)."""
+    loads = read_if_written(spark, _loads(root), T.StructType([T.StructField(AT, T.LongType())]))
+    newest = None if loads is None else loads.agg(F.max(AT)).first()[0]
+    return (_changes(spark, root, schema).filter(F.col(AT) == F.lit(newest).cast("long"))
+            .select(*[f.name for f in schema.fields]))
+
+
+def compact(spark: SparkSession, root: str, new_root: str, key: str, schema: T.StructType) -> None:
+    """The current state as the first load of a new table."""
+    append_changes(read_current(spark, root, key, schema), new_root, "compact", "0")

@@ -1,16 +1,16 @@
 """Keep a warehouse copy of the star current.
 
 For every table: stage the new build by name with the declared types (S8);
-keyed tables are upserted (W2 dedup, then J4), bridges are replaced by their
-distinct staged pairs (A7). Each table is a versioned folder with a commit
-log (see ``operators.merge``); errors propagate (nothing is swallowed).
+keyed tables append their deduplicated staging (W2) as changes, of which the
+newest row per key counts (J4); bridges are replaced by their distinct staged
+pairs (A7). Errors propagate (nothing is swallowed).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import contracts, merge
+from ..operators import contracts, keys, merge
 from . import schemas
 
 
@@ -18,40 +18,31 @@ def stage(df: DataFrame, table: str) -> DataFrame:
     return contracts.conform(df, schemas.TABLES[table])
 
 
-def load_table(spark: SparkSession, root: str, table: str, new: DataFrame,
-               buckets: int | None = None) -> int:
-    """Stage and load one table. With ``buckets``, keyed tables are stored
-    bucketed by their key, so each later upsert shuffles only the staging."""
-    path = f"{root.rstrip('/')}/{table}"
+def _root(root: str, table: str) -> str:
+    return f"{root.rstrip('/')}/{table}"
+
+
+def load_table(root: str, table: str, new: DataFrame, load: str) -> None:
+    """Stage and load one table; ``load`` names the load (its date), and the
+    same load again replaces itself."""
     staged = stage(new, table)
-    key = schemas.KEYS[table]
-    bk = key if (buckets and key) else None
-    cur = merge.current_version(spark, path)
+    rows = merge.bridge_reload(staged, staged.columns) if table in schemas.BRIDGES \
+        else keys.one_per_key(staged, schemas.KEYS[table])
+    merge.append_changes(rows, _root(root, table), "load", load)
+
+
+def load_star(root: str, star: dict[str, DataFrame], load: str) -> list[str]:
+    """Load every built table, dimensions first."""
+    done = [t for t in schemas.LOAD_ORDER if t in star]
+    for table in done:
+        load_table(root, table, star[table], load)
+    return done
+
+
+def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    path, schema = _root(root, table), schemas.TABLES[table]
+    if not merge.is_loaded(spark, path):
+        raise FileNotFoundError(f"nothing loaded under {path}")
     if table in schemas.BRIDGES:
-        out = merge.bridge_reload(staged, staged.columns)
-    elif cur is None:
-        out = merge.upsert(staged.limit(0), staged, key)
-    else:
-        base = merge.read_version(spark, path, cur, schemas.TABLES[table],
-                                  bucket_key=bk, buckets=buckets or 64)
-        out = merge.upsert(base, staged, key)
-    nxt = 0 if cur is None else cur + 1
-    merge.commit(spark, out, path, nxt, bucket_key=bk, buckets=buckets or 64)
-    if bk and cur is not None:
-        merge.release_version(spark, path, cur)
-    return nxt
-
-
-def load_star(spark: SparkSession, root: str, star: dict[str, DataFrame],
-              buckets: int | None = None) -> dict[str, int]:
-    """Load every built table, in the warehouse load order."""
-    return {t: load_table(spark, root, t, star[t], buckets)
-            for t in schemas.LOAD_ORDER if t in star}
-
-
-def read_table(spark: SparkSession, root: str, table: str,
-               buckets: int | None = None) -> DataFrame:
-    key = schemas.KEYS[table]
-    return merge.read_version(spark, f"{root.rstrip('/')}/{table}", schema=schemas.TABLES[table],
-                              bucket_key=key if (buckets and key) else None,
-                              buckets=buckets or 64)
+        return merge.read_latest(spark, path, schema)
+    return merge.read_current(spark, path, schemas.KEYS[table], schema)

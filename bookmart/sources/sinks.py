@@ -83,7 +83,8 @@ def bucketed_write(df: DataFrame, table: str, path: str, dist_key: str,
     split one key: where a single key may hold a large share of the rows,
     ``clustered_write`` with a ``split_key`` is the skew-safe layout."""
     spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if spark.catalog.tableExists(table):
+        raise ValueError(f"the table {table} exists already")
     w = df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, dist_key)
     if sort_key:
         w = w.sortBy(sort_key)
@@ -108,3 +109,16 @@ def read_load_day(spark: SparkSession, path: str, load_date: str) -> DataFrame:
     p = load_date_parts(load_date)
     return spark.read.parquet(path).filter(
         (F.col("year") == p["year"]) & (F.col("month") == p["month"]) & (F.col("day") == p["day"]))
+
+
+def newest_load_day(spark: SparkSession, path: str) -> str:
+    """The newest load day of a partitioned table, as text (partition values
+    only; no data is read)."""
+    day = F.max(F.make_date("year", "month", "day")).cast("string")
+    return spark.read.parquet(path).agg(day).first()[0]
+
+
+def stage_day(spark: SparkSession, path: str, schema: T.StructType, load_date: str) -> DataFrame:
+    """S8 for one load day of a partitioned table."""
+    return read_load_day(spark, path, load_date).select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -1,34 +1,28 @@
-"""Incremental upsert of each micro-batch into a versioned table.
+"""Incremental upsert of each micro-batch into a table of changes.
 
-Micro-batch ``b`` reads version ``b`` and writes version ``b + 1`` (an
-overwrite of that folder), then records it in the commit log. A replay of
-``b`` after a failure recomputes the same folder from the same inputs, so
-the sink is idempotent without any external transaction.
+A micro-batch appends its rows under (stream, batch id); the stream's name is
+taken from its checkpoint. A replay after a failure replaces the batch's own
+rows, a stream with a new checkpoint writes beside the old one, and batch loads
+(``plans.warehouse``) can share the table. What a batch writes grows with the
+batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+import hashlib
+
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import merge
+from ..operators import keys, merge
 
 
-def start_upsert(spark: SparkSession, stream: DataFrame, root: str, key: str,
-                 schema: T.StructType, checkpoint: str,
-                 available_now: bool = True, buckets: int | None = None) -> StreamingQuery:
-    """With ``buckets`` the versions are bucketed by ``key`` (the initial one
-    too, see ``init_table``): each micro-batch then shuffles only itself."""
-    bk = key if buckets else None
+def start_upsert(stream: DataFrame, root: str, key: str, checkpoint: str,
+                 available_now: bool = True) -> StreamingQuery:
+    source = "stream-" + hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        base = merge.read_version(spark, root, batch_id, schema, bucket_key=bk,
-                                  buckets=buckets or 64)
-        merge.commit(spark, merge.upsert(base, batch, key), root, batch_id + 1,
-                     bucket_key=bk, buckets=buckets or 64)
-        if bk:
-            merge.release_version(spark, root, batch_id)
+        merge.append_changes(keys.one_per_key(batch, key), root, source, str(batch_id))
 
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if available_now:
@@ -36,8 +30,6 @@ def start_upsert(spark: SparkSession, stream: DataFrame, root: str, key: str,
     return w.start()
 
 
-def init_table(spark: SparkSession, df: DataFrame, root: str, key: str | None = None,
-               buckets: int | None = None) -> str:
-    """Write the initial state as version 0 (bucketed by ``key`` if asked)."""
-    return merge.commit(spark, df, root, 0, bucket_key=key if buckets else None,
-                        buckets=buckets or 64)
+def init_table(df: DataFrame, root: str) -> None:
+    """Write the initial state."""
+    merge.append_changes(df, root, "init", "0")
