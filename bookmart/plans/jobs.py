@@ -17,7 +17,7 @@ from ..functions import catalogue as C
 from ..functions import jsoncols as J
 from ..functions import text as X
 from ..operators import contracts, frontier, impute, keys, merge, profile, skew
-from ..session import scratch_path
+from ..session import materialise, scratch_path
 from ..sources import drifting, landing, sinks
 from ..streaming import dedup as sdedup
 from ..streaming import upsert as supsert
@@ -76,8 +76,15 @@ def dim_time(spark, sf):
     return model.dim_time(_editions(spark, sf))
 
 
+def _editions_once(spark, sf):
+    """Cleaned editions over one scan: the parsed rows are written once and read
+    for the medians, the years and the facts."""
+    parsed = materialise(clean.edition_parsed(raw_editions(spark, sf)), "edition-parsed")
+    return clean.edition_filled(parsed)
+
+
 def fact_book(spark, sf):
-    e = _editions(spark, sf)
+    e = _editions_once(spark, sf)
     return model.fact_book(e, model.dim_time(e))
 
 
@@ -88,38 +95,36 @@ def dim_author(spark, sf):
 # --- S1-S3, U1, U2: drifting landings -----------------------------------------
 
 def read_drifting(spark, sf):
-    """Works landed in four folders: cover_id as int (two folders), as double
-    with the columns in another order, and absent; read back as one table."""
+    """Works landed by append in ONE folder: cover_id as int (twice, once with an
+    extra column), as double with the columns in another order, and absent;
+    read back as one table with every column and row."""
     w = raw_works(spark, sf)
     g = F.col("edition_count") % 4
     cover = F.col("edition_count") * 7
-    root = scratch_path(spark, "landing-works")
-    paths = []
+    path = scratch_path(spark, "landing-works")
     for i in range(4):
         part = w.filter(g == i)
         if i in (0, 1):
             part = part.withColumn("cover_id", cover.cast("int"))
+        if i == 1:
+            part = part.withColumn("extra", F.upper("title"))
         elif i == 2:
             part = part.withColumn("cover_id", cover.cast("double"))
             part = part.select(*reversed(part.columns))
-        path = f"{root}/batch={i}"
-        part.write.mode("overwrite").parquet(path)
-        paths.append(path)
-    return drifting.read_drifting(spark, paths, {"cover_id": "bigint"})
+        part.write.mode("append").parquet(path)
+    return drifting.read_drifting(spark, [path], {"cover_id": "bigint"})
 
 
 def harmonise_types(spark, sf):
-    """Editions landed with number_of_pages as int, double and text."""
+    """Editions landed in one folder with number_of_pages as int, double and
+    text."""
     e = raw_editions(spark, sf)
     g = F.length("key") % 3
-    root = scratch_path(spark, "landing-editions")
-    paths = []
+    path = scratch_path(spark, "landing-editions")
     for i, t in enumerate(["int", "double", "string"]):
-        path = f"{root}/batch={i}"
         e.filter(g == i).withColumn("number_of_pages", F.col("number_of_pages").cast(t)) \
-            .write.mode("overwrite").parquet(path)
-        paths.append(path)
-    return drifting.read_drifting(spark, paths, {"number_of_pages": "bigint"})
+            .write.mode("append").parquet(path)
+    return drifting.read_drifting(spark, [path], {"number_of_pages": "bigint"})
 
 
 def null_pad_union(spark, sf):
@@ -177,11 +182,13 @@ def clustered_write(spark, sf):
 
 
 def bucketed_fact(spark, sf):
-    """C3 with bucketing: fact_book stored bucketed by work_id, sorted by
-    time_id (joins to other work-bucketed tables need no exchange)."""
-    name = f"fact_book_by_work_{uuid.uuid4().hex[:8]}"
-    return sinks.bucketed_write(fact_book(spark, sf), name, scratch_path(spark, name),
-                                "work_id", "time_id", buckets=16)
+    """C3 with bucketing: fact_book stored bucketed by its own key, sorted by
+    time_id. Null and empty work ids would share one bucket; edition ids do not
+    repeat much, and a hot work is left to ``clustered_write``. Rows are dealt by
+    bucket before the write, so each bucket is one file."""
+    name = f"fact_book_by_edition_{uuid.uuid4().hex[:8]}"
+    return sinks.bucketed_write(fact_book(spark, sf).repartition(16, "edition_id"), name,
+                                scratch_path(spark, name), "edition_id", "time_id", buckets=16)
 
 
 # --- S9, S10, F21, J3: landing ---------------------------------------------------
@@ -289,8 +296,17 @@ def median_exact(spark, sf):
 
 
 def median_approx(spark, sf):
-    e = clean.edition_parsed(raw_editions(spark, sf))
-    return profile.stats(e, ["publish_date", "number_of_pages"], exact=False)
+    """Approximate medians, reported by what they promise: whether the rank of
+    each lies within a thousandth of the middle."""
+    e = clean.edition_parsed(raw_editions(spark, sf)).select("publish_date", "number_of_pages")
+    e = materialise(e, "median-columns")
+    m = profile.stats(e, e.columns, exact=False).first()
+    checks = []
+    for c in e.columns:
+        n, v = F.count(c), F.lit(m[f"median_{c}"])
+        checks.append(((F.count_if(F.col(c) < v) <= n * 0.501) & (F.count_if(F.col(c) <= v) >= n * 0.499))
+                      .alias(f"{c}_within"))
+    return e.agg(*checks, F.count(F.lit(1)).alias("n_rows"))
 
 
 def impute_median(spark, sf):
@@ -353,37 +369,93 @@ def merge_upsert(spark, sf):
 
 
 def warehouse_load(spark, sf):
-    """dim_edition loaded twice into an empty warehouse copy stored
-    bucketed by edition_id (the second load must change nothing, and it
-    shuffles only the staging); one row per edition id."""
+    """dim_edition loaded on two days into an empty warehouse copy (the
+    second load must change nothing); one row per edition id."""
     root = scratch_path(spark, "warehouse")
-    d = dim_edition(spark, sf)
-    warehouse.load_table(spark, root, "dim_edition", d, buckets=16)
-    warehouse.load_table(spark, root, "dim_edition", d, buckets=16)
-    return warehouse.read_table(spark, root, "dim_edition", buckets=16)
+    d = materialise(dim_edition(spark, sf), "dim-edition")
+    warehouse.load_table(root, "dim_edition", d, "2025-01-15")
+    warehouse.load_table(root, "dim_edition", d, "2025-01-16")
+    return warehouse.read_table(spark, root, "dim_edition")
 
 
 def warehouse_star(spark, sf):
-    """D13 + D14 over the whole star: the build loaded twice into an empty,
-    key-bucketed warehouse copy (the second load must change nothing); the
-    fact table as stored, one row per edition id."""
+    """D13 + D14 over the whole star: the build loaded on two days into an empty
+    warehouse copy (the second load must change nothing); the fact table as
+    stored, one row per edition id."""
+    return warehouse.read_table(spark, _loaded_star(spark, sf), "fact_book")
+
+
+def _loaded_star(spark, sf):
     root = scratch_path(spark, "warehouse-star")
     star = _star(spark, sf)
-    warehouse.load_star(spark, root, star, buckets=16)
-    warehouse.load_star(spark, root, star, buckets=16)
-    return warehouse.read_table(spark, root, "fact_book", buckets=16)
+    for day in ("2025-01-15", "2025-01-16"):
+        warehouse.load_star(root, star, day)
+    return root
+
+
+def warehouse_tables(spark, sf):
+    """Every table of the loaded star, each row as JSON beside its table's name."""
+    root = _loaded_star(spark, sf)
+    parts = [warehouse.read_table(spark, root, t).select(
+        F.lit(t).alias("table_name"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("null"))
+                                                         for c in schemas.TABLES[t].names]).alias("row_text"))
+             for t in schemas.LOAD_ORDER]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _two_days(spark, sf):
+    """A warehouse after two build days in one output folder: the first with all
+    works under older titles, the second without the works whose edition count
+    divides by 3 (they are kept) and with the titles of today."""
+    out, root = scratch_path(spark, "two-days"), scratch_path(spark, "two-days-warehouse")
+    works = materialise(_works(spark, sf), "two-days-works")
+    today = works.filter(F.col("edition_count") % 3 != 0)
+    for day, w in (("2025-01-15", works.withColumn("title", F.concat(F.lit("Aaa "), "title"))), ("2025-01-16", today)):
+        sinks.partitioned_write(model.dim_work(w), f"{out}/dim_work", day)
+        sinks.partitioned_write(model.work_author(w), f"{out}/work_author", day)
+        newest = sinks.newest_load_day(spark, f"{out}/dim_work")
+        for t in ("dim_work", "work_author"):
+            warehouse.load_table(root, t, sinks.stage_day(spark, f"{out}/{t}", schemas.TABLES[t], newest), newest)
+    return root
+
+
+def two_day_dim_work(spark, sf):
+    """S6 + S8 + D13: changed works take today's row, absent ones stay."""
+    return warehouse.read_table(spark, _two_days(spark, sf), "dim_work")
+
+
+def two_day_work_author(spark, sf):
+    """The bridge holds the second day's pairs alone."""
+    return warehouse.read_table(spark, _two_days(spark, sf), "work_author")
+
+
+def stable_keys(spark, sf):
+    """Ids across two builds: the first without the editions of an odd year, the
+    second with all; old years keep their id, and every edition has one fact."""
+    e = materialise(_editions(spark, sf), "stable-keys")
+    first = model.dim_time(e.filter(F.col("publish_date") % 2 == 0))
+    repeated = first.unionByName(first.withColumn("time_id", F.col("time_id") + 1000))   # one value, two keys
+    second = materialise(model.dim_time(e, previous=repeated), "stable-time")
+    facts = model.fact_book(e, second).groupBy("time_id").agg(F.count(F.lit(1)).alias("n_facts"))
+    return second.select("time_id", "publish_year").join(facts, "time_id")
 
 
 # --- O: order --------------------------------------------------------------------------------
 
 def sorted_subjects(spark, sf):
-    return dim_subject(spark, sf).orderBy("subject")
+    """``position`` is the row's place in the sorted output."""
+    placed = keys.surrogate_key(_works(spark, sf).select("subject").distinct(), ["subject"], "position")
+    return placed.orderBy("position").select("subject", "position")
 
 
 def order_by_hidden(spark, sf):
+    """Sorted by a column that is not returned, ties by work id, so a hot subject
+    spans several ranges; ``position`` is the row's place in that order."""
     w = _works(spark, sf)
     d = model.dim_subject(w)
-    return w.join(d, "subject").select("work_id", "subject_id").orderBy("subject")
+    placed = keys.surrogate_key(w.join(d, "subject").select("subject", "work_id", "subject_id"),
+                                ["subject", "work_id"], "position")
+    return placed.orderBy("position").select("work_id", "subject_id", "position")
 
 
 # --- C: contracts --------------------------------------------------------------------------------
@@ -394,7 +466,7 @@ def _star(spark, sf):
 
 
 def quality_report(spark, sf):
-    e = _editions(spark, sf)
+    e = _editions_once(spark, sf)
     return model.quality_report(e, model.dim_edition(e), model.fact_book(e, model.dim_time(e)))
 
 
@@ -435,18 +507,52 @@ def stream_dedup_watermark(spark, sf):
 
 def stream_upsert(spark, sf):
     """The staged fact rows land as files hashed by edition_id (a key lives in
-    one file), stream in one file per micro-batch and are upserted batch by
-    batch into the previous load; the result equals the one-shot upsert."""
-    land = scratch_path(spark, "fact-landing")
-    fact_book(spark, sf).repartition(4, "edition_id").write.parquet(land)
-    root = scratch_path(spark, "fact-versions")
-    schema = schemas.TABLES["fact_book"]
-    supsert.init_table(spark, previous_fact_load(spark, sf), root, "edition_id", buckets=16)
-    stream = sdedup.read_stream(spark, land, schema, max_files=1)
-    q = supsert.start_upsert(spark, stream, root, "edition_id", schema,
-                             scratch_path(spark, "fact-upsert-ckpt"), buckets=16)
-    q.awaitTermination()
-    return merge.read_version(spark, root, schema=schema, bucket_key="edition_id", buckets=16)
+    one file) in two folders, each streamed with a checkpoint of its own, one
+    file per micro-batch, into the table of the previous load; the result
+    equals the one-shot upsert."""
+    root, schema = scratch_path(spark, "fact-changes"), schemas.TABLES["fact_book"]
+    supsert.init_table(previous_fact_load(spark, sf), root)
+    facts = materialise(fact_book(spark, sf), "fact-staged")
+    for half in (0, 1):
+        land = scratch_path(spark, "fact-landing")
+        (facts.filter(F.pmod(F.xxhash64("edition_id"), F.lit(2)) == half)
+         .repartition(2, "edition_id").write.parquet(land))
+        stream = sdedup.read_stream(spark, land, schema, max_files=1)
+        supsert.start_upsert(stream, root, "edition_id", scratch_path(spark, "fact-upsert-ckpt")).awaitTermination()
+    return merge.read_current(spark, root, "edition_id", schema)
+
+
+# --- landing: S9 -> F21 -> J3 -> S11 -> S12 over two rounds ------------------------------------------
+
+def landing_rounds(spark, sf):
+    """Two crawl rounds: response pages are exploded into works, their linked
+    author keys are compared with the seen keys, new keys land in batches and are
+    recorded. The second round has all works and lands only new keys."""
+    seen, land = scratch_path(spark, "seen-authors"), scratch_path(spark, "author-keys")
+    works = raw_works(spark, sf, keep_id=True)
+    for round_, part in ((1, works.filter("_pk % 10 < 5")), (2, works)):
+        pages = landing.pages_of(part, "works", 50, "_pk")
+        path = scratch_path(spark, "responses")
+        pages.select(F.to_json(F.struct("page", "works")).alias("value")).write.text(path)
+        schema = T.StructType([T.StructField("page", T.LongType()),
+                               T.StructField("works", T.ArrayType(raw_works(spark, sf).schema))])
+        records = landing.explode_response(landing.read_responses(spark, path, schema), "works")
+        links = landing.linked_keys(records, "key", "authors")
+        new = materialise(frontier.unseen(links, frontier.read_seen(spark, seen, "linked_key"), "linked_key"), "new-keys")
+        sinks.batched_landing(new.withColumn("round", F.lit(round_)), land, C.LANDING_BATCH_AUTHORS)
+        frontier.record_seen(new, seen, "linked_key")
+    return spark.read.parquet(land).select("linked_key", "round")
+
+
+def star_written(spark, sf):
+    """The whole build written as eight tables for a load day; rows per
+    table as read back."""
+    out = scratch_path(spark, "star")
+    for name, df in _star(spark, sf).items():
+        sinks.partitioned_write(df, f"{out}/{name}", "2025-01-15")
+    parts = [spark.read.parquet(f"{out}/{t}").agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+             for t in schemas.LOAD_ORDER]
+    return reduce(DataFrame.unionByName, parts)
 
 
 JOBS = {
@@ -509,4 +615,10 @@ JOBS = {
     "stream_dedup": stream_dedup,
     "stream_dedup_watermark": stream_dedup_watermark,
     "stream_upsert": stream_upsert,
+    "warehouse_tables": warehouse_tables,
+    "two_day_dim_work": two_day_dim_work,
+    "two_day_work_author": two_day_work_author,
+    "stable_keys": stable_keys,
+    "landing_rounds": landing_rounds,
+    "star_written": star_written,
 }
