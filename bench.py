@@ -27,7 +27,7 @@ HEADLINE = [
     "fact_book", "edition_clean", "work_clean", "author_clean", "dim_work", "dim_subject",
     "work_subject", "work_author", "dim_edition", "dim_time", "dim_author",
     "merge_upsert", "dedup_latest", "salted_agg", "check_keys", "null_profile",
-    "stream_dedup",
+    "stream_dedup", "stream_upsert", "warehouse_load", "warehouse_star", "quality_report",
 ]
 
 
@@ -59,10 +59,7 @@ def star_build(spark):
                             fixtures.raw_authors(spark, SF_DIR))
     root = scratch_path(spark, "bench-star")
     for name, df in star.items():
-        if name == "fact_book":
-            sinks.fact_write(df, f"{root}/{name}")
-        else:
-            sinks.partitioned_write(df, f"{root}/{name}", "2025-01-15")
+        sinks.partitioned_write(df, f"{root}/{name}", "2025-01-15")
     return spark.read.parquet(f"{root}/fact_book")
 
 

@@ -23,7 +23,7 @@ def test_surrogate_key_equals_global_row_number(spark, parts):   # W1
     dist = keys.surrogate_key(df, ["s"], "id", num_partitions=parts)
     glob = df.withColumn("id", F.row_number().over(Window.orderBy("s")))
     assert rows(dist, "s", "id") == rows(glob, "s", "id")
-    assert dist.schema["id"].dataType.simpleString() == "int"
+    assert dist.schema["id"].dataType.simpleString() == "bigint"
 
 
 def test_surrogate_key_with_null_and_int_keys(spark):
@@ -63,7 +63,6 @@ def test_upsert_semantics(spark):   # J4
                               "k string, v string, n int")
     out = merge.upsert(t, s, "k")
     assert rows(out) == [("k1", "a2", 10), ("k2", None, 20), ("k3", "c", 30), ("k4", "d", 4)]
-    assert rows(merge.upsert_anti_union(t, s, "k")) == rows(out)
     # null keys never match: a null-key target row is kept, a null-key source row inserted
     tn = t.unionByName(spark.createDataFrame([(None, "z", 0)], t.schema))
     sn = s.unionByName(spark.createDataFrame([(None, "y", 9)], s.schema))
@@ -75,14 +74,53 @@ def test_upsert_semantics(spark):   # J4
     assert rows(sub) == [("k1", "a", 10), ("k2", "b", 20), ("k3", "c", 30), ("k4", "d", 4)]
 
 
-def test_versioned_upsert_commits(spark):   # D13
-    root = scratch_path(spark, "t-upsert")
-    t = spark.createDataFrame([("k1", 1)], "k string, n int")
-    merge.commit(spark, t, root, 0)
-    assert merge.current_version(spark, root) == 0
-    v = merge.upsert_table(spark, root, spark.createDataFrame([("k2", 2)], "k string, n int"), "k")
-    assert v == 1 and rows(merge.read_version(spark, root)) == [("k1", 1), ("k2", 2)]
-    assert rows(merge.read_version(spark, root, 0)) == [("k1", 1)]
+def test_changes_are_appended_and_the_newest_counts(spark):   # D13
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType())])
+    root = scratch_path(spark, "t-changes")
+    frame = lambda rows_: spark.createDataFrame(rows_, schema)
+    assert not merge.is_loaded(spark, root)
+    merge.append_changes(frame([(f"k{i}", i) for i in range(3000)]), root, "load", "1")
+    size = lambda: sum(f.getLen() for f in _files(spark, root))
+    before = size()
+    merge.append_changes(frame([("k1", 100), ("new", 1)]), root, "load", "2")
+    assert size() - before < before / 4                 # a small batch writes little
+    merge.append_changes(frame([("k1", 101)]), root, "load", "2")      # the same load again replaces itself
+    got = dict(rows(merge.read_current(spark, root, "k", schema)))
+    assert got["k1"] == 101 and got["k2"] == 2 and "new" not in got and len(got) == 3000
+    assert rows(merge.read_latest(spark, root, schema)) == [("k1", 101)]
+    merge.compact(spark, root, root + "-compact", "k", schema)
+    assert dict(rows(merge.read_current(spark, root + "-compact", "k", schema))) == got
+
+
+def _files(spark, root):
+    jvm, out = spark._jvm, []
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    while found.hasNext():
+        out.append(found.next())
+    return out
+
+
+def test_unreadable_tables_are_errors(spark):   # never taken for empty ones
+    import pathlib
+
+    import pytest
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType())])
+    root = scratch_path(spark, "t-broken")
+    merge.append_changes(spark.createDataFrame([("a", 1)], schema), root, "load", "1")
+    local = pathlib.Path(root.replace("file:", ""))
+    for part in [*local.rglob("loads/*.parquet"), *local.rglob("rows/**/*.parquet")]:
+        for x in (part, part.with_name("." + part.name + ".crc")):
+            if x.exists():
+                x.write_bytes(b"broken")
+    with pytest.raises(Exception):
+        merge.read_latest(spark, root, schema).count()
+    with pytest.raises(Exception):
+        merge.read_current(spark, root, "k", schema).count()
+    with pytest.raises(Exception):
+        frontier.read_seen(spark, root + "/rows", "k").count()
 
 
 def test_bridge_reload_and_frontier(spark):   # A7, J3
@@ -101,13 +139,28 @@ def test_read_drifting(spark):   # S1, S2, S3, U1
     spark.createDataFrame([("c", "x")], "key string, extra string").write.parquet(f"{root}/3")
     spark.createDataFrame([("d", 4)], "key string, cover_id int").write.parquet(f"{root}/4")
     paths = [f"{root}/{i}" for i in range(1, 5)]
-    assert len(drifting.group_by_schema(spark, paths)) == 3
     df = drifting.read_drifting(spark, paths, {"cover_id": "bigint"})
     assert df.schema["cover_id"].dataType.simpleString() == "bigint"
     assert rows(df, "key", "cover_id", "extra") == [
         ("a", 1, None), ("b", 2, None), ("c", None, "x"), ("d", 4, None)]
 
 
+def test_read_drift_inside_one_folder(spark):   # S1: files of one append-only landing
+    path = scratch_path(spark, "t-drift-one")
+    land = lambda data, schema: spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(path)
+    land([("a", 1)], "key string, cover_id int")
+    land([("b", 2, "x")], "key string, cover_id int, extra string")
+    assert rows(drifting.read_drifting(spark, [path]), "key", "cover_id", "extra") == [("a", 1, None), ("b", 2, "x")]
+    land([(3.0, "c")], "cover_id double, key string")
+    land([("d", "4", "y")], "key string, cover_id string, extra string")
+    land([("e",)], "key string")
+    land([("f", 6)], "key string, cover_id int")
+    df = drifting.read_drifting(spark, [path], {"cover_id": "bigint"})
+    assert rows(df, "key", "cover_id", "extra") == [("a", 1, None), ("b", 2, "x"), ("c", 3, None), ("d", 4, "y"),
+                                                    ("e", None, None), ("f", 6, None)]
+    assert len(drifting.group_by_schema(spark, drifting.data_files(spark, [path]))) == 3
+
+
 def test_null_pad_is_by_name(spark):   # S3, U2
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.LongType())])
@@ -196,39 +249,11 @@ def test_seen_keys_table(spark):   # S12 + J3 over two rounds
     assert rows(frontier.read_seen(spark, path, "key")) == [("a",), ("b",), ("c",)]
 
 
-def test_bucketed_versions_upsert_without_shuffling_the_target(spark):   # D13 at scale
-    from pyspark.sql import types as T
-    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType())])
-    root = scratch_path(spark, "t-bucketed")
-    base = spark.range(2000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("n"))
-    merge.commit(spark, base, root, 0, bucket_key="k", buckets=8)
-    target = merge.read_version(spark, root, 0, schema, bucket_key="k", buckets=8)
-    src = spark.createDataFrame([("5", 50), ("5000", 1)], schema)
-    plan = merge.upsert(target, src, "k")._jdf.queryExecution().executedPlan().toString()
-    scan_line = [ln for ln in plan.splitlines() if "FileScan" in ln and "Bucketed: true" in ln]
-    assert scan_line, plan                     # the stored table is read bucket by bucket
-    # only the staging side is exchanged: one hash exchange in the join (plus the dedup's)
-    assert plan.count("Exchange hashpartitioning") <= 2, plan
-    v = merge.upsert_table(spark, root, src, "k", schema, buckets=8)
-    got = merge.read_version(spark, root, v, schema, bucket_key="k", buckets=8)
-    assert got.count() == 2001
-    assert rows(got.filter("k in ('5', '5000')")) == [("5", 50), ("5000", 1)]
-
-
-def test_approximate_median_is_close_to_exact(spark):   # A2 approx mode (rows-only job)
+def test_approximate_median_is_close_to_exact(spark):   # A2 approx mode
     from bookmart.plans import jobs
     from .conftest import SF01
-    ex = jobs.median_approx(spark, SF01).collect()[0]
-    exact = jobs.median_exact(spark, SF01).collect()[0]
-    from bookmart.plans import clean, fixtures
-    e = clean.edition_parsed(fixtures.raw_editions(spark, SF01))   # the frame the medians see
-    n = e.count()
-    for c in ("publish_date", "number_of_pages"):
-        a, x = ex[f"median_{c}"], exact[f"median_{c}"]
-        # rank error of the approximate value stays within 1% of the rows
-        below_a = e.filter(F.col(c) < a).count()
-        below_x = e.filter(F.col(c) < x).count()
-        assert abs(below_a - below_x) <= 0.01 * n + 1, (c, a, x)
+    r = jobs.median_approx(spark, SF01).collect()[0]
+    assert r.publish_date_within and r.number_of_pages_within
 
 
 def test_extend_keys_keeps_existing_ids(spark):   # Q7 stable keys
@@ -244,6 +269,13 @@ def test_extend_keys_keeps_existing_ids(spark):   # Q7 stable keys
         ("art", 1), ("drama", 2), ("poetry", 3), ("zoology", 4)]
 
 
+def test_extend_keys_takes_one_key_per_value(spark):   # Q7: repeats and nulls in the previous load
+    prev = spark.createDataFrame([(4, "drama"), (1, "drama"), (2, None)], "subject_id int, subject string")
+    vals = spark.createDataFrame([("drama",), (None,), ("art",)], "subject string")
+    assert rows(keys.extend_keys(prev, vals, ["subject"], "subject_id"), "subject", "subject_id") == [
+        (None, 2), ("art", 5), ("drama", 1)]
+
+
 def test_one_per_key_with_a_map_column(spark):
     df = spark.createDataFrame([("k", 2, {"a": "1"}), ("k", 1, {"b": "2"})], "k string, n int, m map<string,string>")
     got = keys.one_per_key(df, "k").collect()

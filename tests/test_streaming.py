@@ -36,12 +36,17 @@ def test_stream_upsert_batches_apply_in_order(spark):
     spark.createDataFrame([(1, 2000, 2000, 20)], schema).coalesce(1).write.parquet(f"{land}/a")
     spark.createDataFrame([(1, 2001, 2000, 21), (2, 1999, 1990, 20)], schema) \
         .coalesce(1).write.parquet(f"{land}/b")
-    su.init_table(spark, spark.createDataFrame([(3, 1000, 1000, 10)], schema), root)
+    su.init_table(spark.createDataFrame([(3, 1000, 1000, 10)], schema), root)
     s = sd.read_stream(spark, f"{land}/*", schema, max_files=1)
-    su.start_upsert(spark, s, root, "time_id", schema, scratch_path(spark, "t-su-ck")).awaitTermination()
-    assert merge.current_version(spark, root) == 2
-    assert rows(merge.read_version(spark, root)) == [(1, 2001, 2000, 21), (2, 1999, 1990, 20),
-                                                     (3, 1000, 1000, 10)]
+    su.start_upsert(s, root, "time_id", scratch_path(spark, "t-su-ck")).awaitTermination()
+    now = lambda: rows(merge.read_current(spark, root, "time_id", schema))
+    assert now() == [(1, 2001, 2000, 21), (2, 1999, 1990, 20), (3, 1000, 1000, 10)]
+    # a batch load and a stream with a fresh checkpoint share the table
+    merge.append_changes(spark.createDataFrame([(3, 1003, 1000, 11)], schema), root, "load", "1")
+    spark.createDataFrame([(4, 1500, 1500, 15)], schema).coalesce(1).write.parquet(f"{land}2/c")
+    s = sd.read_stream(spark, f"{land}2/*", schema, max_files=1)
+    su.start_upsert(s, root, "time_id", scratch_path(spark, "t-su-ck2")).awaitTermination()
+    assert now() == [(1, 2001, 2000, 21), (2, 1999, 1990, 20), (3, 1003, 1000, 11), (4, 1500, 1500, 15)]
 
 
 def test_watermark_dedup_forgets_old_keys(spark):   # T1, bounded state
