@@ -127,7 +127,6 @@ class Transducer:
         self.tail = b""              # bytes of the open window
         self.last = [-1]             # last token at each boundary of the window; -1: start
         self.back = [0]              # its length
-        self.base = 0                # tokens before the window are emitted
 
     def feed(self, block: bytes) -> list[int]:
         self._extend(block)
@@ -149,8 +148,6 @@ class Transducer:
                 if token is None:
                     continue
                 before = last[start]
-                if before is None:
-                    continue
                 if before >= 0:
                     key = before << 20 | token
                     ok = memo.get(key)

@@ -8,9 +8,7 @@ at other Unicode spaces).
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +16,7 @@ from ..session import materialise
 
 WORD_BREAK = "[\\x20\\x09-\\x0D]+"
 
-__all__ = ["WORD_BREAK", "documents", "materialise", "rows_of", "sha256_hex",
-           "shuffle_width", "table", "to_batch", "word_count"]
+__all__ = ["WORD_BREAK", "documents", "materialise", "sha256_hex", "shuffle_width", "table", "word_count"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,16 +38,3 @@ def shuffle_width(spark: SparkSession) -> int:
 
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
-
-
-def rows_of(batches: Iterator[pa.RecordBatch], binary: tuple[int, ...] = ()) -> Iterator[list[list]]:
-    """Each Arrow batch as a list of Python columns; the columns in ``binary``
-    come as UTF-8 bytes."""
-    for batch in batches:
-        if batch.num_rows:
-            yield [(batch.column(i).cast(pa.binary()) if i in binary else batch.column(i)).to_pylist()
-                   for i in range(batch.num_columns)]
-
-
-def to_batch(columns: list, types: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
