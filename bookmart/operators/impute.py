@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import profile
 
 
-def fill_median(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
+def fill_median(df: DataFrame, cols: list[str], exact: bool | set[str] = True) -> DataFrame:
     """Replace nulls in ``cols`` by the column median (in the column type)."""
     if not cols:
         return df

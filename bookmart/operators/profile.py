@@ -24,8 +24,8 @@ def null_counts(df: DataFrame, cols: list[str] | None = None,
 def median_expr(c: str, exact: bool = True, accuracy: int = 10000) -> Column:
     """Median of a column, nulls ignored, in the column's own type.
 
-    ``exact`` uses percentile_disc: it keeps a value -> count map, so use it
-    for low-cardinality columns (years, page counts). Otherwise the approximate
+    ``exact`` uses percentile_disc: it merges one value -> count map in a single
+    task, so it is for domains with a proven bound (years). Otherwise the approximate
     sketch (relative error ~ 1/accuracy) is bounded whatever the data size.
     """
     if exact:
@@ -34,10 +34,12 @@ def median_expr(c: str, exact: bool = True, accuracy: int = 10000) -> Column:
 
 
 def stats(df: DataFrame, median_cols: list[str], null_cols: list[str] | None = None,
-          exact: bool = True) -> DataFrame:
-    """One-row frame: ``median_<c>`` per column, plus null counts and count."""
+          exact: bool | set[str] = True) -> DataFrame:
+    """One-row frame: ``median_<c>`` per column, plus null counts and count.
+    ``exact`` may name the columns (of a proven small domain) that take the
+    exact form."""
     types = dict(df.dtypes)
-    exprs = [median_expr(c, exact).cast(types[c]).alias(f"median_{c}")
+    exprs = [median_expr(c, exact if isinstance(exact, bool) else c in exact).cast(types[c]).alias(f"median_{c}")
              for c in median_cols]
     for c in null_cols or []:
         exprs.append(F.count_if(F.col(c).isNull()).alias(f"nulls_{c}"))

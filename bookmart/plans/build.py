@@ -21,19 +21,20 @@ def build_star(works_raw: DataFrame, editions_raw: DataFrame, authors_raw: DataF
     ``dim_subject`` / ``dim_time``: their ids are then kept stable and the
     bridges and the fact table use them."""
     previous = previous or {}
-    work = clean.work_clean(works_raw)
+    level = clean.work_level(works_raw)
     edition = clean.edition_clean(editions_raw)
     author = clean.author_clean(authors_raw)
     if materialise_cleaned:
-        work = materialise(work, "work_clean")
+        level = materialise(level, "work_level")
         edition = materialise(edition, "edition_clean")
+    work = clean.explode_works(level)
     d_subject = model.dim_subject(work, previous=previous.get("dim_subject"))
     d_time = model.dim_time(edition, previous=previous.get("dim_time"))
     return {
-        "dim_work": model.dim_work(work),
+        "dim_work": model.dim_work(level),
         "dim_subject": d_subject,
         "work_subject": model.work_subject(work, d_subject),
-        "work_author": model.work_author(work),
+        "work_author": model.work_author(level),
         "dim_edition": model.dim_edition(edition),
         "dim_time": d_time,
         "dim_author": model.dim_author(author),

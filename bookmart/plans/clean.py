@@ -16,28 +16,40 @@ EDITION_COLS = ["key", "works", "title", "publish_date", "publishers", "language
 
 
 def clean_subjects(df: DataFrame, col: str = "subject") -> DataFrame:
-    """List text -> one cleaned subject per row.
+    """List text -> one cleaned subject per row. A null list
+    gives no rows (the work then has no subject rows at all)."""
+    return df.withColumn(col, F.explode(subject_items(col)))
 
-    Each step runs on the split array (``transform`` / ``filter``), so every
-    item is cleaned once, in order, before the single explode. A null list
-    gives no rows (the work then has no subject rows at all).
-    """
+
+def subject_items(col: str = "subject"):
+    """F4-F7, P3, P4 on the split array (``transform`` / ``filter``): every item
+    is cleaned once, in order, before any explode."""
     items = F.transform(X.split_list(col), X.strip_subject_tags)
     items = F.filter(items, X.subject_is_clean_text)
     items = F.transform(items, lambda s: F.trim(s))
     items = F.filter(items, X.subject_is_wellformed)
-    items = F.transform(items, X.strip_subject_marks)
-    return df.withColumn(col, F.explode(items))
+    return F.transform(items, X.strip_subject_marks)
 
 
 def work_clean(works: DataFrame, exact_median: bool = True) -> DataFrame:
-    """D1."""
+    """One row per work and subject."""
+    return explode_works(work_level(works, exact_median))
+
+
+def explode_works(level: DataFrame) -> DataFrame:
+    return level.withColumn("subject", F.explode("subject"))
+
+
+def work_level(works: DataFrame, exact_median: bool = True) -> DataFrame:
+    """Cleaned works before the explode: ``subject`` is the array of cleaned
+    subjects; works without one have no rows in D1 and are left out here too.
+    What depends on works alone (D4, D7) starts from this frame."""
     w = works.select(*WORK_COLS).select(
         X.entity_id("key").alias("work_id"), "title",
         X.lenient_cast("first_publish_year", "int").alias("first_publish_year"),
         "edition_count", "subject", "authors")
     w = impute.fill_median(w, ["first_publish_year"], exact=exact_median)
-    return clean_subjects(w)
+    return w.withColumn("subject", subject_items()).filter(F.size("subject") > 0)
 
 
 def edition_parsed(editions: DataFrame) -> DataFrame:
@@ -57,9 +69,11 @@ def edition_clean(editions: DataFrame, exact_median: bool = True) -> DataFrame:
 
 def edition_filled(parsed: DataFrame, exact_median: bool = True) -> DataFrame:
     """D2 on parsed editions: medians for year and pages, 'unknown' for missing
-    text, then rows whose title has no Latin letter are dropped."""
-    e = parsed
-    e = impute.fill_median(e, ["publish_date", "number_of_pages"], exact=exact_median)
+    text, then rows whose title has no Latin letter are dropped. Years are a
+    bounded domain; page counts are not and take the approximate median (as the
+    source job did), whose state is bounded."""
+    exact = {"publish_date"} if exact_median else False
+    e = impute.fill_median(parsed, ["publish_date", "number_of_pages"], exact=exact)
     e = impute.fill_constants(e, {"publishers": C.UNKNOWN, "languages": C.UNKNOWN,
                                   "title": C.UNKNOWN})
     return e.filter(X.has_latin_letter("title"))

@@ -51,8 +51,12 @@ def author_clean(spark, sf):
     return _authors(spark, sf)
 
 
+def _work_level(spark, sf):
+    return clean.work_level(raw_works(spark, sf))
+
+
 def dim_work(spark, sf):
-    return model.dim_work(_works(spark, sf))
+    return model.dim_work(_work_level(spark, sf))
 
 
 def dim_subject(spark, sf):
@@ -65,7 +69,7 @@ def work_subject(spark, sf):
 
 
 def work_author(spark, sf):
-    return model.work_author(_works(spark, sf))
+    return model.work_author(_work_level(spark, sf))
 
 
 def dim_edition(spark, sf):
@@ -220,7 +224,7 @@ def linked_keys(spark, sf):
 
 def frontier_anti(spark, sf):
     """Authors linked from works that have no valid author record yet."""
-    cand = model.work_author(_works(spark, sf), distinct=False)
+    cand = model.work_author(_work_level(spark, sf), distinct=False)
     return frontier.unseen(cand, _authors(spark, sf), "author_id")
 
 
@@ -332,7 +336,7 @@ def salted_agg(spark, sf):
 
 
 def bridge_reload(spark, sf):
-    staged = model.work_author(_works(spark, sf), distinct=False)
+    staged = model.work_author(_work_level(spark, sf), distinct=False)
     return merge.bridge_reload(staged, ["work_id", "author_id"])
 
 
