@@ -44,7 +44,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 # Fixed value: the split pattern of byte-level BPE.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-MEMO = 700_000
+MEMO = 500_000               # pieces kept with their ids, per worker
+PAIRS = 300_000              # pairs of tokens kept with their verdict
 _FEED = 1 << 12
 _NEVER = 1 << 60
 
@@ -152,7 +153,7 @@ class Transducer:
                     key = before << 20 | token
                     ok = memo.get(key)
                     if ok is None:
-                        if len(memo) >= MEMO:
+                        if len(memo) >= PAIRS:
                             memo.clear()
                         ok = memo[key] = beside(before, token)
                     if not ok:

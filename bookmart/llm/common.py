@@ -16,10 +16,20 @@ from ..session import materialise
 
 WORD_BREAK = "[\\x20\\x09-\\x0D]+"
 
-__all__ = ["WORD_BREAK", "documents", "materialise", "sha256_hex", "shuffle_width", "table", "word_count"]
+__all__ = ["WORD_BREAK", "documents", "materialise", "sha256_hex", "shuffle_width", "table", "text_batches",
+           "word_count"]
+
+
+def text_batches(spark: SparkSession, rows: int = 1024) -> None:
+    """At most ``rows`` rows in an Arrow batch of this session: with whole texts
+    the default of 10,000 would hold tens of MB on both sides of every task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > rows:
+        spark.conf.set(name, rows)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    text_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookmart.llm import bpe, line_spread, mixing, simhash_cover, site_quality
-from bookmart.llm.common import documents, materialise, table
+from bookmart.llm.common import documents, materialise, table, text_batches
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,6 +30,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
+    text_batches(spark)
     return simhash_cover.keep_one(docs)
 
 
@@ -41,6 +42,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as ids: doc_id, source, lang, n_tokens, ids and the digests
     of the ids and of the text that they decode to."""
+    text_batches(spark)
     return bpe.encode_corpus(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
