@@ -44,8 +44,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 # Fixed value: the split pattern of byte-level BPE.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-MEMO = 500_000               # pieces kept with their ids, per worker
-PAIRS = 300_000              # pairs of tokens kept with their verdict
+MEMO = 700_000               # pieces kept with their ids, per worker
+PAIRS = 700_000              # pairs of tokens kept with their verdict
 _FEED = 1 << 12
 _NEVER = 1 << 60
 
