@@ -20,6 +20,7 @@ from bookmart.llm.common import documents, materialise, table, text_batches
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
+    text_batches(spark)
     return site_quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
