@@ -12,7 +12,9 @@ those share are stable. They are emitted and forgotten; the state holds the
 open window, not the text.
 
 Pieces come from the tokenizer's split pattern. Their ids are kept in a table
-of bounded size (``MEMO`` pieces), which is emptied when full.
+of bounded size (``MEMO`` pieces), which is emptied when full. Code points that
+the library and the regex module hold for different classes (letters of a newer
+Unicode version) are split as the library does (``stand_ins``).
 
 *Decoding.* Token bytes are fed in blocks to an incremental byte-to-text state
 machine (UTF-8; malformed bytes become U+FFFD), which holds at most three
@@ -33,7 +35,9 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -67,7 +71,34 @@ def load_vocabulary(path: str) -> dict:
     merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
     specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
     return {"tokens": {i: bytes(of[c] for c in t) for t, i in vocab.items() if t not in specials},
-            "merges": [(vocab[a], vocab[b], vocab[a + b]) for a, b in merges], "specials": specials}
+            "merges": [(vocab[a], vocab[b], vocab[a + b]) for a, b in merges], "specials": specials,
+            "stand_ins": stand_ins()}
+
+
+@lru_cache(maxsize=1)
+def stand_ins() -> dict[int, str]:
+    """The code points that the library and the regex module split differently,
+    as their Unicode versions differ, each with a character of the class (letter,
+    number, space, other) that it has in the library."""
+    from tokenizers.pre_tokenizers import ByteLevel
+    library, pieces = ByteLevel(add_prefix_space=False, use_regex=True), regex.compile(PIECES)
+
+    def cuts(codes) -> tuple[list, list]:
+        text = "".join(f"a{c}1{c}'s" for c in map(chr, codes))
+        return [span for _, span in library.pre_tokenize_str(text)], [m.span() for m in pieces.finditer(text)]
+
+    of_class = {tuple(cuts([ord(c)])[0]): c for c in "\u00e9\u00b2\u2003\u00a7"}
+    # planes 4 to 13 are empty, 15 and 16 private; no surrogates
+    planes = [*range(0, 0xD800, 64), *range(0xE000, 0x40000, 64), *range(0xE0000, 0xE1000, 64)]
+    found, todo = {}, [range(lo, lo + 64) for lo in planes]
+    while todo:
+        codes = todo.pop()
+        theirs, ours = cuts(codes)
+        if theirs != ours and len(codes) > 1:
+            todo += [range(c, c + 1) for c in codes]
+        elif theirs != ours:
+            found[codes[0]] = of_class[tuple(theirs)]
+    return found
 
 
 class MergeList:
@@ -197,6 +228,14 @@ class Codec:
             if self.specials else None
         self.bytes_of = self.merges.bytes_of | {i: t.encode() for t, i in self.specials.items()}
         self.memo: dict[str, bytes] = {}
+        self.stand_ins = vocabulary["stand_ins"]
+        self.odd = frozenset(map(chr, self.stand_ins))
+        self.from_odd = re.compile(f"[{min(self.odd)}-\U0010ffff]") if self.odd else None
+
+    def _split(self, text: str) -> list[str]:
+        if text.isascii() or not self.odd or not self.from_odd.search(text) or self.odd.isdisjoint(text):
+            return self.pieces.findall(text)
+        return [text[m.start():m.end()] for m in self.pieces.finditer(text.translate(self.stand_ins))]
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a piece as little-endian 32-bit integers."""
@@ -206,7 +245,7 @@ class Codec:
         return np.array(ids + machine.finish(), "<u4").tobytes()
 
     def _plain(self, text: str) -> bytes:
-        memo, pieces = self.memo, self.pieces.findall(text)
+        memo, pieces = self.memo, self._split(text)
         for piece in set(pieces).difference(memo):
             if len(piece) <= 64:
                 if len(memo) >= MEMO:
