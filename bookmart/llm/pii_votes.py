@@ -99,7 +99,7 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     spans = {"email": emails(text) if "@" in text else [], "ip": [], "card": [], "phone": []}
     if _DIGITS.search(text):
         spans["ip"] = [m.span() for m in _IP.finditer(text)
-                       if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+                       if all(len(p) <= 3 and int(p or 0) <= 255 for p in (q.lstrip("0") for q in m[0].split(".")))]
         for m in _CARD.finditer(text):
             if 13 <= m.end() - m.start() <= 40:
                 digits = re.sub("[^0-9]", "", m[0])
