@@ -17,7 +17,7 @@ from ..session import materialise
 WORD_BREAK = "[\\x20\\x09-\\x0D]+"
 
 __all__ = ["WORD_BREAK", "documents", "materialise", "sha256_hex", "shuffle_width", "table", "text_batches",
-           "word_count"]
+           "unused", "word_count"]
 
 
 def text_batches(spark: SparkSession, rows: int = 1024) -> None:
@@ -28,6 +28,14 @@ def text_batches(spark: SparkSession, rows: int = 1024) -> None:
         spark.conf.set(name, rows)
 
 
+def unused(name: str, docs: DataFrame) -> str:
+    """``name``, lengthened until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

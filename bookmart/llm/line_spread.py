@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, unused
 
 MIN_SITES = 5
 SKETCH_LG_K = 10          # standard error about 3 %
@@ -83,24 +83,30 @@ def _removed_lines(docs: DataFrame, doc_col: str, text_col: str, site_col: str,
 
 def remove_boilerplate(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text",
                        site_col: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
-    """``docs`` with the text cleaned, plus ``_n_lines`` (lines of the input
-    text) and ``_n_removed``."""
+    """``docs`` with the text cleaned, and two more columns at the end:
+    ``_n_lines`` (lines of the input text) and ``_n_removed`` (names that
+    ``docs`` has already are lengthened)."""
     gone = materialise(_removed_lines(docs, doc_col, text_col, site_col, min_sites), "line-removed").alias("g")
-    keyed = docs.select("*", F.xxhash64(F.col(text_col)).alias("_text_key")).alias("d")
+    key, lines, out = unused("_text_key", docs), unused("_lines", docs), unused("_gone", docs)
+    keyed = docs.select("*", F.xxhash64(F.col(text_col)).alias(key)).alias("d")
     joined = keyed.join(gone, F.col(f"d.{doc_col}").eqNullSafe(F.col("g._doc"))
-                        & (F.col("d._text_key") == F.col("g._text_key")), "left")
-    text = F.col(f"d.{text_col}")
-    kept = F.when(F.col("g._gone").isNull(), text).otherwise(F.array_join(
-        F.filter(_lines(text), lambda line, i: ~F.array_contains(F.col("g._gone"), i)), "\n"))
-    columns = [kept.alias(c) if c == text_col else F.col(f"d.{c}").alias(c) for c in docs.columns]
-    return joined.select(*columns, F.coalesce(F.size(_lines(text)), F.lit(0)).cast("long").alias("_n_lines"),
-                         F.coalesce(F.size("g._gone"), F.lit(0)).cast("long").alias("_n_removed"))
+                        & (F.col(f"d.{key}") == F.col("g._text_key")), "left")
+    # a column of its own: split once a row, however many lines are looked up
+    cut = joined.select("d.*", F.col("g._gone").alias(out), _lines(F.col(f"d.{text_col}")).alias(lines))
+    # the numbers that stay, by hash set: linear in the lines of a document
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(out))
+    kept = F.when(F.col(out).isNull(), F.col(text_col)).otherwise(
+        F.array_join(F.transform(stay, lambda i: F.get(F.col(lines), i)), "\n"))
+    columns = [kept.alias(c) if c == text_col else F.col(c) for c in docs.columns]
+    return cut.select(*columns, F.coalesce(F.size(lines), F.lit(0)).cast("long").alias(unused("_n_lines", docs)),
+                      F.coalesce(F.size(out), F.lit(0)).cast("long").alias(unused("_n_removed", docs)))
 
 
 def line_report(docs: DataFrame, **options) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed and the kept text's sha256."""
     doc_col, text_col = options.get("doc_col", "doc_id"), options.get("text_col", "text")
-    return remove_boilerplate(docs, **options).select(
+    narrow = docs.select(doc_col, text_col, options.get("site_col", "source"))
+    return remove_boilerplate(narrow, **options).select(
         F.col(doc_col).alias("doc_id"), F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
         F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("kept_sha256"))
 
