@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.keys import surrogate_key
-from .common import materialise, word_count
+from .common import materialise, unused, word_count
 
 WEIGHTS = (3, 1, 2)
 EPOCHS = 1.5
@@ -92,19 +92,21 @@ def source_plan(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "te
 
     grouped = sized.withColumn("g", F.substring("h", 1, GROUP_DIGITS))
     before = Window.partitionBy("source").orderBy("g").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (grouped.groupBy("source", "g").agg(F.sum("size").alias("n"))
-              .select("source", "g", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
-    # Only the group in which a source's missing words end has to be ordered;
-    # groups wholly within or beyond them are decided by their start.
-    inner = Window.partitionBy("source", "g").orderBy("h", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = grouped.withColumn("within", F.coalesce(F.sum("size").over(inner), F.lit(0)))
+    starts = (grouped.groupBy("source", "g").agg(F.sum("size").alias("n"), F.max("h").alias("last"))
+              .select("source", "g", "n", "last", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
     s, t = starts.alias("s"), targets.alias("t")
-    cuts = (placed.alias("p")
-            .join(s, F.col("p.source").eqNullSafe(F.col("s.source")) & (F.col("p.g") == F.col("s.g")))
-            .join(t, F.col("p.source").eqNullSafe(F.col("t.source")))
-            .filter(F.col("start") + F.col("within") + F.col("size") / 2 <= F.col("missing"))
-            .groupBy(F.col("p.source").alias("source")).agg(F.max("h").alias("cut")))
-    c = cuts.alias("c")
+    groups = materialise(s.join(t, F.col("s.source").eqNullSafe(F.col("t.source")))
+                         .select("s.source", "g", "n", "last", "start", "missing"), "mix-groups")
+    # Groups wholly within the missing words are taken; only the one group in
+    # which a source's missing words end has to be ordered.
+    taken = groups.filter(F.col("start") + F.col("n") <= F.col("missing")).select("source", F.col("last").alias("h"))
+    e = groups.filter((F.col("start") <= F.col("missing")) & (F.col("start") + F.col("n") > F.col("missing"))).alias("e")
+    inner = Window.partitionBy("d.source", "d.g").orderBy("h", "size").rowsBetween(Window.unboundedPreceding, -1)
+    split = (grouped.alias("d")
+             .join(e, F.col("d.source").eqNullSafe(F.col("e.source")) & (F.col("d.g") == F.col("e.g")))
+             .withColumn("within", F.coalesce(F.sum("size").over(inner), F.lit(0)))
+             .filter(F.col("start") + F.col("within") + F.col("size") / 2 <= F.col("missing")).select("d.source", "h"))
+    c = taken.unionByName(split).groupBy("source").agg(F.max("h").alias("cut")).alias("c")
     plan = materialise(t.join(c, F.col("t.source").eqNullSafe(F.col("c.source")), "left")
                        .select("t.source", "source_size", "target", "whole", "cut"), "mix-plan")
     return sized, plan
@@ -131,8 +133,8 @@ def mix_documents(docs: DataFrame, *, doc_col: str = "doc_id", source_col: str =
     repeats = F.when(word_count(F.col("d." + options.get("text_col", "text"))) > 0,
                      _repeats(_hash(F.col(f"d.{doc_col}"), seed))).otherwise(F.lit(0))
     joined = docs.alias("d").join(plan.alias("plan"), F.col(f"d.{source_col}").eqNullSafe(F.col("plan.source")))
-    copies = F.explode(F.array_repeat(F.lit(1), repeats.cast("int")))
-    return joined.select("d.*", copies.alias("_copy")).drop("_copy")
+    copy = unused("_copy", docs)
+    return joined.select("d.*", F.explode(F.array_repeat(F.lit(1), repeats.cast("int"))).alias(copy)).drop(copy)
 
 
 # DuckDB text of mix_report with the parameters above.
