@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import materialise
+from .common import materialise, unused
 
 SHINGLE = 3
 DISTANCE = 3
@@ -240,8 +240,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, distance: int = DISTANCE, block: int = BLOCK) -> DataFrame:
-    """Per document: doc_id, text_key (hash of the text), fp (signed long) and
-    component_id (smallest doc_id reachable, itself included)."""
+    """Per document: doc_id, text_key (hash of the text), fp (signed long), root
+    (smallest fingerprint of its component) and component_id (smallest doc_id
+    reachable, itself included)."""
     narrow = docs.select(F.col(text_col).alias("_text"), F.col(doc_col).alias("doc_id"),
                          F.xxhash64(F.col(text_col)).alias("text_key"))
     marked = materialise(with_fingerprint(narrow, text_col="_text", shingle=shingle), "simhash-docs")
@@ -250,8 +251,8 @@ def near_duplicates(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str =
     rooted = materialise(fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
                          .select("fp", F.coalesce("root", "fp").alias("root"), "least"), "simhash-rooted")
     smallest = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-components")
-    named = materialise(rooted.join(smallest, "root").select("fp", "component_id"), "simhash-named")
-    return marked.join(named, "fp").select("doc_id", "text_key", "fp", "component_id")
+    named = materialise(rooted.join(smallest, "root").select("fp", "root", "component_id"), "simhash-named")
+    return marked.join(named, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
 
 def simhash_report(docs: DataFrame, **options) -> DataFrame:
@@ -261,18 +262,19 @@ def simhash_report(docs: DataFrame, **options) -> DataFrame:
 
 def keep_one(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each component stays: the row whose doc_id is the
-    component_id (rows without doc_id: the one with the smallest text key), with
-    the columns of ``docs``. Repeated rows of the document that stays are
+    component_id (of a component of rows without doc_id: the one with the smallest
+    text key), with the columns of ``docs``. Repeated rows of the document that stays are
     reduced to one."""
     found = materialise(near_duplicates(docs, doc_col=doc_col, text_col=text_col, **options), "simhash-found")
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("text_key").alias("t"))
-    best = (found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone"))
+    best = (found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("root")).alias("alone"))
             .agg(F.min(order).alias("o")).select(F.col("o.d").alias("_d"), F.col("o.t").alias("_t")))
     best = materialise(best, "simhash-kept").alias("b")
-    keyed = docs.select("*", F.xxhash64(F.col(text_col)).alias("_text_key")).alias("d")
-    kept = keyed.join(best, F.col(f"d.{doc_col}").eqNullSafe(F.col("b._d")) & (F.col("d._text_key") == F.col("b._t")),
+    key = unused("_text_key", docs)
+    keyed = docs.select("*", F.xxhash64(F.col(text_col)).alias(key)).alias("d")
+    kept = keyed.join(best, F.col(f"d.{doc_col}").eqNullSafe(F.col("b._d")) & (F.col(f"d.{key}") == F.col("b._t")),
                       "left_semi")
     repeated = found.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if not repeated.isEmpty():
-        kept = kept.dropDuplicates([doc_col, "_text_key"])
+        kept = kept.dropDuplicates([doc_col, key])
     return kept.select(*docs.columns)

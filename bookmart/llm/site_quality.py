@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from .common import materialise
+from .common import materialise, unused
 
 SAMPLE_ROWS = 20_000
 KEEP_AT = 0.5
@@ -181,7 +181,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, doc_col: str = "doc_id", te
     (doc_id, text key) pairs are anti-joined, so a kept row is never lost."""
     rejected = materialise(score(docs, labels, doc_col=doc_col, text_col=text_col, **options)
                            .filter("keep = 0").select("doc_id", "text_key").distinct(), "quality-rejected").alias("r")
-    keyed = docs.select("*", F.xxhash64(F.col(text_col)).alias("_text_key")).alias("d")
+    key = unused("_text_key", docs)
+    keyed = docs.select("*", F.xxhash64(F.col(text_col)).alias(key)).alias("d")
     kept = keyed.join(rejected, F.col(f"d.{doc_col}").eqNullSafe(F.col("r.doc_id"))
-                      & (F.col("d._text_key") == F.col("r.text_key")), "left_anti")
+                      & (F.col(f"d.{key}") == F.col("r.text_key")), "left_anti")
     return kept.select(*docs.columns)
