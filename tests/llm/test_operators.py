@@ -92,6 +92,14 @@ def test_line_spread_brute_force(spark, hard, empty):
     assert line_spread.line_report(empty).count() == 0
 
 
+def test_line_spread_many_lines_of_one_document(spark):
+    lines = [f"menu {i}" for i in range(30_000)]
+    docs = spark.createDataFrame([(i, "\n".join(lines), f"s{i}") for i in range(5)] + [(9, "menu 7\nown\n\nmenu 8", "s0")],
+                                 "doc_id long, text string, source string")
+    kept = {r["doc_id"]: r["text"] for r in line_spread.dedup_lines(docs).collect()}
+    assert kept == {0: "\n".join(lines), 1: "", 2: "", 3: "", 4: "", 9: "own\n"}
+
+
 # --------------------------------------------------------------------- 3 BPE
 
 def test_bpe_equals_library(small, hard, empty):
@@ -105,6 +113,18 @@ def test_bpe_equals_library(small, hard, empty):
     assert bpe.encode_report(empty, BYTE).count() == 0
 
 
+def test_bpe_splits_code_points_of_any_unicode_version_as_the_library():
+    from tokenizers import Tokenizer
+    t, codec = Tokenizer.from_file(BYTE), bpe.Codec(bpe.load_vocabulary(BYTE))
+    rng = random.Random(5)
+    odd = sorted(codec.odd) or ["\u00e9"]
+    for c in [rng.choice(odd) for _ in range(300)] + [chr(rng.randrange(0xE000, 0x110000)) for _ in range(3000)]:
+        text = f"a{c}b {c}'s 1{c}2{c}'re\n{c} \u00e9"
+        ids = codec.encode(text)
+        assert ids.tolist() == t.encode(text, add_special_tokens=False).ids
+        assert codec.decode(ids) == text
+
+
 def test_bpe_streams_long_pieces_in_a_window():
     from tokenizers import Tokenizer
     t, codec = Tokenizer.from_file(BYTE), bpe.Codec(bpe.load_vocabulary(BYTE))
@@ -202,6 +222,25 @@ def test_simhash_keeps_one(small, hard):
         assert kept.count() == len(set(brute_components(fps)))
 
 
+def test_simhash_keeps_one_of_rows_without_doc_id(spark):
+    text = " ".join(f"w{i}" for i in range(400))
+    near = next(t for t in (text.replace(f"w{i} ", "") for i in range(1, 400))
+                if 0 < bin(brute_simhash(t) ^ brute_simhash(text)).count("1") <= 3)
+    docs = spark.createDataFrame([(None, text), (None, near), (None, "quite another text here")], "doc_id long, text string")
+    assert simhash_cover.keep_one(docs).count() == 2
+
+
+def test_columns_named_like_the_helpers_pass_through(spark, small):
+    from pyspark.sql import functions as F
+    names = ["_text_key", "_copy", "_lines", "_gone", "_n_lines", "_n_removed", "_doc", "_k1", "_host", "root", "cut"]
+    docs = small.limit(60).select("*", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    for kept in (line_spread.dedup_lines(docs), simhash_cover.keep_one(docs), site_quality.keep_good(docs, labels),
+                 mixing.mix_documents(docs)):
+        assert kept.columns == docs.columns
+        assert {tuple(r)[-len(names):] for r in kept.collect()} == {tuple(range(len(names)))}
+
+
 # ---------------------------------------------------------- 5 substring dedup
 
 def brute_windows(rows):
@@ -405,6 +444,12 @@ def test_pii_base_spans(small, hard, empty):
     assert pii_votes.detect(empty).count() == 0
 
 
+def test_pii_ip_with_thousands_of_zeros():
+    zeros = "0" * 6000
+    assert pii_votes.base_spans(f"1.2.3.{zeros}")["ip"] == [(0, 6006)]
+    assert pii_votes.base_spans(f"1.2.3.{zeros}256")["ip"] == []
+
+
 def test_pii_estimates_reliabilities():
     rnd = np.random.default_rng(2)
     truth = rnd.random(4000) < 0.4
