@@ -30,6 +30,7 @@ they occur; an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -135,12 +136,24 @@ def votes(text: str, kind: str, start: int, end: int, strict: bool) -> list[int]
     return [1 if strict else -1, shape, known, cue, near]
 
 
+def _union(spans) -> tuple[list[int], list[int]]:
+    """Starts and ends of the disjoint stretches that the spans cover, in order."""
+    starts, ends = [], []
+    for a, b in sorted(spans):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def candidates(text: str) -> tuple[dict, list[tuple]]:
     """Base spans, and (kind, start, end, strict, votes) for them and for the
     looser candidates that overlap none of them."""
     base = base_spans(text)
     rows = [(k, a, b, True, votes(text, k, a, b, True)) for k in KINDS for a, b in base[k]]
-    taken = sorted(s for spans in base.values() for s in spans)
+    starts, ends = _union(s for spans in base.values() for s in spans)
     for kind, pattern in _LOOSE.items():
         if kind == "email" and not ("@" in text or "at)" in text or "at]" in text or " at " in text):
             continue
@@ -148,7 +161,8 @@ def candidates(text: str) -> tuple[dict, list[tuple]]:
             continue
         for m in pattern.finditer(text):
             a, b = m.span()
-            if not any(x < b and a < y for x, y in taken):
+            at = bisect_left(starts, b)          # the last stretch that starts before the span's end
+            if not at or ends[at - 1] <= a:
                 rows.append((kind, a, b, False, votes(text, kind, a, b, False)))
     return base, rows
 
