@@ -35,6 +35,8 @@ with 3 * 10^-6).
 
 A key arrives once per chunk however often the chunk holds it, so a passage in
 a third of all documents costs one entry per chunk, in buckets spread by hash.
+A task holds one bucket at a time; the number of buckets grows with the text
+(``BUCKET_BYTES`` each).
 
 Cases: null and empty texts have no words; documents of fewer than 13 words
 lose nothing; null doc_ids order last; repeated rows of one doc_id do not
@@ -60,6 +62,7 @@ WINDOW = 13
 ROUNDS = 3
 CHUNK_BYTES = 4 << 20
 CHUNK_DOCS = 1 << 16
+BUCKET_BYTES = 16 << 20      # text whose keys one bucket gets, on average
 _FAR = 1 << 40
 _LAST = (1 << 63) - 1
 _U = np.uint64
@@ -233,16 +236,16 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[list]
 # --------------------------------------------------------------------- rounds
 
 def pack(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Chunks of documents: chunk, doc_ids, texts (compressed)."""
+    """Chunks of documents: chunk, doc_ids, texts (compressed), size (bytes of text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(6)
 
-        def out(ids, texts):
+        def out(ids, texts, held):
             sizes = np.array([len(t) for t in texts], "<u8").tobytes()
             data = z.compress(len(texts).to_bytes(8, "little") + sizes + b"".join(texts))
             return pa.RecordBatch.from_arrays(
                 [pa.array([xxhash.xxh64_intdigest(data + repr(ids).encode()) - (1 << 63)]), pa.array([ids], pa.list_(pa.int64())),
-                 pa.array([data], pa.binary())], names=["chunk", "doc_ids", "texts"])
+                 pa.array([data], pa.binary()), pa.array([held], pa.int64())], names=["chunk", "doc_ids", "texts", "size"])
 
         ids, texts, held = [], [], 0
         for batch in batches:
@@ -251,13 +254,13 @@ def pack(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text", ch
                 texts.append(text or b"")
                 held += len(texts[-1])
                 if held >= chunk_bytes or len(ids) >= CHUNK_DOCS:
-                    yield out(ids, texts)
+                    yield out(ids, texts, held)
                     ids, texts, held = [], [], 0
         if ids:
-            yield out(ids, texts)
+            yield out(ids, texts, held)
 
     narrow = docs.select(F.col(doc_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(run, "chunk long, doc_ids array<long>, texts binary")
+    return narrow.mapInArrow(run, "chunk long, doc_ids array<long>, texts binary, size long")
 
 
 def _load(doc_ids: list, data: bytes) -> Chunk:
@@ -432,12 +435,15 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def dedup_report(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text",
-                 chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+                 chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Per document: doc_id, n_words, n_removed and the sha256 of the kept words
-    joined by one space."""
+    joined by one space. The buckets are as many as the text needs, so the
+    keys that a task holds at a time do not grow with the corpus."""
     width = shuffle_width(docs.sparkSession)
-    buckets = 4 * width
     chunks = materialise(pack(docs, doc_col=doc_col, text_col=text_col, chunk_bytes=chunk_bytes), "recompress-chunks")
+    size = chunks.agg(F.sum("size")).first()[0] or 0
+    buckets = max(4 * width, -(-size // bucket_bytes))
+    chunks = chunks.drop("size")
 
     def answers(messages: DataFrame, settle) -> DataFrame:
         dealt = messages.repartition(width, "bucket").sortWithinPartitions("bucket", "chunk")
