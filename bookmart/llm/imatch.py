@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD_BREAK, materialise, shuffle_width
-from .ordered import block_of, bounds
+from .ordered import block_of, bounds, constants
 
 LEAST, MOST = 0.001, 0.1      # band of document shares: idf between ln 10 and ln 1000
 SUBSETS = 24
@@ -129,14 +129,16 @@ def in_order(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text"
     blocks = sorted(starts)
     if not blocks:
         return placed.select("block", F.lit(False).alias("guard"), "doc_id", "text")
-    before = F.create_map(*[F.lit(x) for b, prior in zip(blocks, [blocks[-1], *blocks[:-1]]) for x in (b, prior)])
-    first = F.create_map(*[F.lit(x) for b in blocks for x in (b, starts[b] if starts[b] is not None else -1)])
+    # by block number; blocks without documents are never looked up
+    prior = dict(zip(blocks, [blocks[-1], *blocks[:-1]]))
+    before = constants([prior.get(b, -1) for b in range(blocks[-1] + 1)])
+    first = constants([-1 if starts.get(b) is None else starts[b] for b in range(blocks[-1] + 1)])
     is_first = F.when(F.col("doc_id").isNull(), F.col("block") == blocks[0]).otherwise(
-        F.col("doc_id") == first[F.col("block")])
+        F.col("doc_id") == F.get(first, F.col("block")))
     if starts[blocks[0]] is None:
         is_first = F.when(F.col("block") == blocks[0], F.col("doc_id").isNull()).otherwise(is_first)
     own = F.struct(F.col("block").alias("block"), F.lit(False).alias("guard"))
-    guard = F.struct(before[F.col("block")].alias("block"), F.lit(True).alias("guard"))
+    guard = F.struct(F.get(before, F.col("block")).cast("int").alias("block"), F.lit(True).alias("guard"))
     rows = placed.select(F.explode(F.when(is_first, F.array(own, guard)).otherwise(F.array(own))).alias("r"), "doc_id", "text")
     return (rows.select("r.block", "r.guard", "doc_id", "text").repartition(len(blocks), "block")
             .sortWithinPartitions("block", "guard", F.col("doc_id").asc_nulls_first(), "text"))

@@ -24,15 +24,17 @@ def bounds(docs: DataFrame, doc_col: str, blocks: int | None = None) -> list[int
     return sorted(set(found or []))
 
 
+def constants(values: list[int]) -> Column:
+    """An array of whole numbers as one constant of the plan, however many."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
 def block_of(doc_id: Column, cuts: list[int]) -> Column:
-    """Number of the cuts below a doc_id (0 for null)."""
+    """Number of the cuts below a doc_id (0 for null), by binary search: the
+    plan has one size for any number of blocks."""
     if not cuts:
         return F.lit(0)
-    # binary search as nested conditions: a few comparisons a row
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(doc_id <= cuts[mid], search(lo, mid)).otherwise(search(mid + 1, hi))
-
-    return F.when(doc_id.isNull(), F.lit(0)).otherwise(search(0, len(cuts)))
+    held = constants(cuts)
+    steps = F.array(*[F.lit(1 << k) for k in range(len(cuts).bit_length() - 1, -1, -1)])
+    # beyond the last cut there is nothing to get, so the step is not taken
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(held, at + step - 1) < doc_id, at + step).otherwise(at))
