@@ -4,15 +4,17 @@ import hashlib
 import random
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from bookmart.llm import (bpe, imatch, line_spread, maxscore, mixing, pii_votes, rans, recompress, simhash_cover,
-                          site_quality)
+from bookmart.llm import (bpe, imatch, line_spread, maxscore, mixing, ordered, pii_votes, rans, recompress,
+                          simhash_cover, site_quality)
 
 BYTE, WORD = P.path("byte_bpe_50k.json"), P.path("word_bpe_49k.json")
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -231,7 +233,6 @@ def test_simhash_keeps_one_of_rows_without_doc_id(spark):
 
 
 def test_columns_named_like_the_helpers_pass_through(spark, small):
-    from pyspark.sql import functions as F
     names = ["_text_key", "_copy", "_lines", "_gone", "_n_lines", "_n_removed", "_doc", "_k1", "_host", "root", "cut"]
     docs = small.limit(60).select("*", *[F.lit(i).alias(n) for i, n in enumerate(names)])
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
@@ -241,6 +242,16 @@ def test_columns_named_like_the_helpers_pass_through(spark, small):
         assert {tuple(r)[-len(names):] for r in kept.collect()} == {tuple(range(len(names)))}
 
 
+# ------------------------------------------------------------- blocks in order
+
+def test_block_of_counts_the_cuts_below(spark):
+    ids = [None, -5, 0, 1, 2, 3, 10, 11, 12, 10**15, *range(0, 20_000, 37)]
+    df = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    for cuts in ([], [3], [0, 2], [-5, 0, 10], list(range(0, 20_000, 2))):
+        got = df.select("doc_id", ordered.block_of(F.col("doc_id"), cuts).alias("b")).collect()
+        assert all(r["b"] == (0 if r["doc_id"] is None else bisect_left(cuts, r["doc_id"])) for r in got)
+
+
 # ---------------------------------------------------------- 5 substring dedup
 
 def brute_windows(rows):
@@ -280,6 +291,9 @@ def test_recompression_few_words_and_runs(spark):
     rows += [(100 + i, t[10:] + " tail") for i, (_, t) in enumerate(rows[:20])]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert order(tuple(r) for r in recompress.dedup_report(df, chunk_bytes=300).collect()) == brute_windows(rows)
+    # more buckets than tasks: as many as the text needs
+    many = recompress.dedup_report(df, chunk_bytes=300, bucket_bytes=100)
+    assert order(tuple(r) for r in many.collect()) == brute_windows(rows)
 
 
 def test_recompression_picks_agree_between_occurrences():
@@ -339,7 +353,6 @@ def test_quality_held_out_accuracy(spark):
 
 
 def test_quality_shrinks_sparse_sites(spark):
-    from pyspark.sql import functions as F
     rows = [("big", "p", 0.1)] * 500 + [("tiny", "p", 0.1)] + [("rest", "p", 0.9)] * 2000 + [(None, None, 0.9)]
     e = spark.createDataFrame(rows, "_host string, _path string, p_doc double")
     p = {r["_host"]: r for r in site_quality.site_posteriors(e).collect()}
@@ -450,6 +463,15 @@ def test_pii_ip_with_thousands_of_zeros():
     assert pii_votes.base_spans(f"1.2.3.{zeros}256")["ip"] == []
 
 
+def test_pii_candidates_of_a_text_with_many_spans():
+    part = "mail a@b.com from 1 . 2 . 3 . 4 call 030 1234 567 or +49 30 1234567. "
+    base, found = pii_votes.candidates(part * 5000)
+    loose = [r[:3] for r in found if not r[3]]
+    taken = {i for spans in base.values() for a, b in spans for i in range(a, b)}
+    assert loose and all(taken.isdisjoint(range(a, b)) for _, a, b in loose)
+    assert len(loose) == 5000 * len([r for r in pii_votes.candidates(part)[1] if not r[3]])
+
+
 def test_pii_estimates_reliabilities():
     rnd = np.random.default_rng(2)
     truth = rnd.random(4000) < 0.4
