@@ -175,7 +175,8 @@ class WordEncoder(dict):
     Texts of letters up to U+024F without a special token are put in lower case
     first, as the tokenizer does, and stops and commas before a space are cut
     off as pieces of their own, as it does after a letter or digit; a text with
-    other signs before them goes to the library whole."""
+    other signs before them goes to the library whole, also when the table was
+    emptied in its midst."""
 
     def __init__(self, spec: str):
         super().__init__({"": b""})
@@ -186,6 +187,7 @@ class WordEncoder(dict):
         self.tokenizer.no_padding()
         self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.signs: set[str] = set()                 # pieces kept that end in another sign
+        self.emptied = False                         # signs met in the text at hand may be forgotten
         # plain letters pass the normalizer and the split unchanged, so their
         # bytes can go to the library's model itself, if that is what it does
         self.model = self.tokenizer.model.tokenize
@@ -210,6 +212,7 @@ class WordEncoder(dict):
         if len(self) >= MEMO:
             self.clear()
             self.signs.clear()
+            self.emptied = True
             self[""] = b""
         if self.direct and piece.isalpha() and piece.islower() and (piece.isascii() or max(piece) < "\u0250"):
             ids = self._plain(piece)
@@ -228,10 +231,11 @@ class WordEncoder(dict):
         """Little-endian ids of each text, ``end`` appended."""
         out, find = [], self.__getitem__
         for text in texts:
+            self.emptied = False
             pieces = self._cut(text)
             ids = b"".join(map(find, pieces))
-            if (not self.signs.isdisjoint(pieces) or _LONG in self.signs or any(x in text for x in _STOP_PAIRS)) \
-                    and _SIGN_STOP.search(text):
+            if (self.emptied or not self.signs.isdisjoint(pieces) or _LONG in self.signs
+                    or any(x in text for x in _STOP_PAIRS)) and _SIGN_STOP.search(text):
                 ids = self._ids([text])[0]
             self.signs.discard(_LONG)
             out.append(ids + end)

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from array import array
 from bisect import bisect_left
 from collections import Counter, defaultdict
 
@@ -410,6 +411,21 @@ def test_rans_scale_keeps_rare_symbols():
     assert scaled.sum() == 1 << rans.SCALE_BITS and ((scaled > 0) == (counts > 0)).all()
 
 
+@pytest.mark.parametrize("memo", [1, 2, 3, 5, 1000])
+def test_rans_table_emptied_in_a_text(monkeypatch, memo):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(WORD)
+    monkeypatch.setattr(rans, "MEMO", memo)
+    with open(WORD, encoding="utf-8") as f:
+        encoder = rans.WordEncoder(f.read())
+    rnd = random.Random(memo)
+    pieces = ["said", '"yes",', "and", "(no).", "he", "went,", "home.", "x" * 70 + '",', "a_,", "Été", "-", "1.5", "end!."]
+    texts = ['said "yes", and then he went home', *(" ".join(rnd.choices(pieces, k=rnd.randint(0, 12))) for _ in range(300))]
+    for _ in range(2):
+        got = [np.frombuffer(x, f"<u{array(encoder.kind).itemsize}").tolist() for x in encoder.encode(texts)]
+        assert got == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 # --------------------------------------------------------------------- 9 PII
 
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
