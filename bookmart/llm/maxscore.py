@@ -23,11 +23,15 @@ Documents whose bound equals the threshold stay (ties go to the smaller
 vec_id). Every shard returns its k best per query, and a window merges them.
 
 All sums are exact: floating point is used only while every partial sum is an
-integer below 2^53, 64-bit integers otherwise.
+integer below 2^53, 64-bit integers while they stay far below 2^63. Beyond
+that (*wide* vectors, with a component of ``LIMIT`` or more after scaling, or
+very long ones) floating-point scores with their rounding bounds leave the
+candidates that may be among the k best, and those are scored in Python
+integers. A score that a long cannot hold is an error where it is returned.
 
 Cases: vectors that are null or hold null or non-finite components take no
-part, nor do rows without vec_id or components of 2^27 or more after scaling
-(their products could leave 64 bits); vectors of different lengths are
+part, nor do rows without vec_id; wide vectors take part with ``limit=None``,
+as in the query, and are left out by default; vectors of different lengths are
 compared as if the shorter ended in zeros; repeated rows are one vector; rows
 with one vec_id and different vectors are separate queries, and none of them is
 a candidate for another; fewer than k candidates give fewer rows; empty tables
@@ -54,6 +58,7 @@ SHARD_ROWS = 32_768        # most candidates of a shard, about
 LEAST_SHARD = 1_024        # smaller shards are not worth a task
 BLOCK_QUERIES = 1_024
 _SEEDS, _SEED_TERMS, _PROBE = 16, 4, 8
+_FAR = 1 << 60             # sums below it, and their bounds, are safe in 64 bits
 
 
 class Shard:
@@ -72,12 +77,20 @@ class Shard:
         by_value = np.argsort(c, axis=0, kind="stable") if heads else np.empty((0, width), np.int64)
         self.best_low, self.best_high = by_value[:heads], by_value[len(by_value) - heads:]
         self.exact_float = c.astype(np.float64)
+        self.most = int(np.abs(c).max(initial=0))
+
+    def exact_top(self, query_id: int, q: list[int], k: int) -> list[tuple[int, int]]:
+        """The k best by Python integers, for sums that may leave 64 bits."""
+        return _exact_top(self.ids, self.exact_float, lambda i: self.c[i].tolist(), query_id, q, k)
 
     def top(self, query_id: int, q: np.ndarray, k: int) -> list[tuple[int, int]]:
         width = self.c.shape[1]
         q = np.concatenate([q, np.zeros(max(0, width - len(q)), np.int64)])[:width]
         size = np.abs(q)
-        small = int(size.max(initial=0)) * int(np.abs(self.c).max(initial=0)) * max(1, width) < 1 << 53
+        reach = int(size.max(initial=0)) * self.most * max(1, width)
+        if reach >= _FAR:
+            return self.exact_top(query_id, q.tolist(), k)
+        small = reach < 1 << 53
         c, w = (self.exact_float, q.astype(np.float64)) if small else (self.c, q)
         own = np.searchsorted(self.ids, query_id), np.searchsorted(self.ids, query_id, "right")
         bound = size * (self.hi - self.lo)
@@ -121,49 +134,130 @@ class Shard:
         return [(int(self.ids[docs[i]]), int(sums[i])) for i in best]
 
 
-def _scaled(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(vec_id, v): the distinct valid vectors, scaled, as arrays of long."""
-    valid = F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < LIMIT))
-    return (vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).filter(valid)
-            .select(F.col(id_col).cast("long").alias("vec_id"),
-                    F.transform(vector_col, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"))
+class Wide:
+    """Wide candidates of one shard, as ``_scaled`` writes them."""
+
+    def __init__(self, ids: list[int], rows: list[list[float]], scale: int):
+        self.ids, self.rows, self.scale = np.array(ids, np.int64), rows, scale
+        self.c = np.zeros((len(rows), max((len(r) // 2 for r in rows), default=0)))
+        for at, r in enumerate(rows):
+            self.c[at, :len(r) // 2] = r[:len(r) // 2]
+
+    def top(self, query_id: int, q: list[int], k: int) -> list[tuple[int, int]]:
+        return _exact_top(self.ids, self.c, lambda i: _integers(self.rows[i], self.scale), query_id, q, k)
+
+
+def _integers(wide: list[float], scale: int) -> list[int]:
+    """The scaled components of a wide vector."""
+    n = len(wide) // 2
+    return [int(y) if np.isfinite(y) else int(x) * scale for y, x in zip(wide[:n], wide[n:])]
+
+
+def _float(x: int) -> float:
+    try:
+        return float(x)
+    except OverflowError:
+        return float("inf") if x > 0 else float("-inf")
+
+
+def _exact_top(ids: np.ndarray, c: np.ndarray, exact, query_id: int, q: list[int], k: int) -> list[tuple[int, int]]:
+    """The k best of candidates whose components ``c`` holds as floats and
+    ``exact(i)`` gives as integers. The rounding bound of a float score is
+    below ``slack``; what cannot be told (overflow) is scored too."""
+    docs = np.flatnonzero(ids != query_id)
+    f = np.zeros(c.shape[1])
+    f[:len(q)] = [_float(x) for x in q[:len(f)]]
+    with np.errstate(all="ignore"):
+        scores = c[docs] @ f
+        slack = (np.abs(c[docs]) @ np.abs(f)) * ((len(f) + 4) * 2.0 ** -50)
+        low, high = scores - slack, scores + slack
+    if len(docs) > k:
+        low[np.isnan(low)] = -np.inf
+        threshold = np.partition(low, len(low) - k)[len(low) - k]
+        docs = docs[~(high < threshold)]
+    best = sorted((-sum(x * y for x, y in zip(q, exact(i))), int(ids[i])) for i in docs.tolist())[:k]
+    return [(i, -s) for s, i in best]
+
+
+def _long(score: int) -> int | None:
+    """A score too small for a long is null, it may yet lose to other shards'
+    candidates; one too large is sure to be, or to be below, a returned one."""
+    if score >= 1 << 63:
+        raise OverflowError("a returned score cannot be a long")
+    return score if score >= -(1 << 63) else None
+
+
+def _scaled(vectors: DataFrame, id_col: str, vector_col: str, scale: int, limit: int | None) -> DataFrame:
+    """(vec_id, v, wide): the distinct valid vectors, scaled, as arrays of long.
+    Wide ones have null for v; ``wide`` holds their scaled components as doubles
+    (integers, or infinite), followed by the components themselves where the
+    scaled ones are infinite and 0 elsewhere."""
+    def whole(y):
+        return F.when(F.abs(y) < float(1 << 53), F.floor(y).cast("double")).otherwise(y)
+
+    def over(x):
+        return F.when(F.abs(x * scale) == float("inf"), x).otherwise(0.0)
+
+    doubles = F.transform(vector_col, lambda x: x.cast("double"))
+    taken = F.forall(doubles, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf") if limit is None
+                                                                       else F.abs(x * scale) < limit))
+    narrow = F.forall("x", lambda x: F.abs(x * scale) < LIMIT)
+    return (vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).filter(taken)
+            .select(F.col(id_col).cast("long").alias("vec_id"), doubles.alias("x"))
+            .select("vec_id", F.when(narrow, F.transform("x", lambda x: F.floor(x * scale).cast("long"))).alias("v"),
+                    F.when(~narrow, F.concat(F.transform("x", lambda x: whole(x * scale)), F.transform("x", over))).alias("wide"))
             .distinct())
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (vec_id, v) into blocks of queries: ids, and the vectors' lengths
-    and components, as bytes."""
+    """Rows (vec_id, v, wide) into blocks of queries, those of wide ones by
+    themselves (kind 2): ids, and the vectors' lengths and components, as bytes."""
     for batch in batches:
-        for at in range(0, batch.num_rows, BLOCK_QUERIES):
-            part = batch.slice(at, BLOCK_QUERIES)
-            rows = [np.array(r, np.int64) for r in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part.column(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()]),
-                 pa.array([np.array([len(r) for r in rows], "<i8").tobytes()]),
-                 pa.array([np.concatenate(rows).astype("<i8").tobytes()])], names=["ids", "lengths", "values"])
+        for kind, column, dtype in ((1, 1, "<i8"), (2, 2, "<f8")):
+            chosen = batch.filter(batch.column(column).is_valid())
+            for at in range(0, chosen.num_rows, BLOCK_QUERIES):
+                part = chosen.slice(at, BLOCK_QUERIES)
+                rows = [np.array(r, dtype) for r in part.column(column).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([kind], pa.int32()),
+                     pa.array([part.column(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()]),
+                     pa.array([np.array([len(r) for r in rows], "<i8").tobytes()]),
+                     pa.array([np.concatenate(rows).tobytes()])], names=["kind", "ids", "lengths", "values"])
 
 
-def _search(k: int):
+def _search(k: int, scale: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, ids, rows, shard = None, [], [], None
+        number, ids, rows, wide_ids, wide_rows, shard, wide = None, [], [], [], [], None, None
         for batch in batches:
-            for s, kind, vec_id, v, q_ids, lengths, values in zip(*(c.to_pylist() for c in batch.columns)):
+            for s, kind, vec_id, v, w, q_ids, lengths, values in zip(*(c.to_pylist() for c in batch.columns)):
                 if s != number:
-                    number, ids, rows, shard = s, [], [], None
+                    number, ids, rows, wide_ids, wide_rows, shard, wide = s, [], [], [], [], None, None
                 if kind == 0:
-                    ids.append(vec_id)
-                    rows.append(np.array(v, np.int64))
+                    if v is None:
+                        wide_ids.append(vec_id)
+                        wide_rows.append(w)
+                    else:
+                        ids.append(vec_id)
+                        rows.append(np.array(v, np.int64))
                     continue
                 if shard is None:
                     shard, rows = Shard(np.array(ids, np.int64), rows), []
-                if not len(shard.ids):
-                    continue
+                    wide, wide_rows = Wide(wide_ids, wide_rows, scale), []
                 out = []
                 ends = np.cumsum(np.frombuffer(lengths, "<i8"))
-                queries = np.split(np.frombuffer(values, "<i8"), ends[:-1])
+                queries = np.split(np.frombuffer(values, "<i8" if kind == 1 else "<f8"), ends[:-1])
                 for query_id, q in zip(np.frombuffer(q_ids, "<i8").tolist(), queries):
                     key = _key(q)
-                    out += [(query_id, key, i, score) for i, score in shard.top(query_id, q, k)]
+                    if kind == 1:
+                        found = shard.top(query_id, q, k) if len(shard.ids) else []
+                        if len(wide.ids):
+                            found = found + wide.top(query_id, q.tolist(), k)
+                    else:
+                        q = _integers(q.tolist(), scale)
+                        found = shard.exact_top(query_id, q, k) + wide.top(query_id, q, k)
+                    if len(found) > k:
+                        found = sorted(found, key=lambda r: (-r[1], r[0]))[:k]
+                    out += [(query_id, key, i, _long(score)) for i, score in found]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)],
                                                      names=["query_id", "q", "vec_id", "score"])
@@ -176,25 +270,28 @@ def _key(q: np.ndarray) -> int:
 
 
 def search(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K,
-           every: int = EVERY, scale: int = SCALE) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score of each query's k best."""
+           every: int = EVERY, scale: int = SCALE, limit: int | None = LIMIT) -> DataFrame:
+    """query_id, rank (from 1), vec_id, score of each query's k best. Vectors
+    with a scaled component of ``limit`` or more take no part; None keeps every
+    finite vector."""
     spark = vectors.sparkSession
-    scaled = materialise(_scaled(vectors, id_col, vector_col, scale), "maxscore-vectors")
+    scaled = materialise(_scaled(vectors, id_col, vector_col, scale, limit), "maxscore-vectors")
     n = scaled.count()
     shards = max(1, -(-n // SHARD_ROWS), min(2 * shuffle_width(spark), n // LEAST_SHARD))
     none = [F.lit(None).cast("binary").alias(c) for c in ("ids", "lengths", "values")]
     rows = scaled.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"), F.lit(0).alias("kind"),
-                         "vec_id", "v", *none)
+                         "vec_id", "v", "wide", *none)
     queries = scaled.filter(F.col("vec_id") % every == 0)
-    blocks = queries.mapInArrow(_pack, "ids binary, lengths binary, values binary")
+    blocks = queries.mapInArrow(_pack, "kind int, ids binary, lengths binary, values binary")
     sent = blocks.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
-                         F.lit(1).alias("kind"), F.lit(None).cast("long").alias("vec_id"),
-                         F.lit(None).cast("array<long>").alias("v"), "ids", "lengths", "values")
+                         "kind", F.lit(None).cast("long").alias("vec_id"), F.lit(None).cast("array<long>").alias("v"),
+                         F.lit(None).cast("array<double>").alias("wide"), "ids", "lengths", "values")
     dealt = rows.unionByName(sent).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
-    found = dealt.mapInArrow(_search(k), "query_id long, q long, vec_id long, score long")
-    best = Window.partitionBy("query_id", "q").orderBy(F.col("score").desc(), "vec_id")
+    found = dealt.mapInArrow(_search(k, scale), "query_id long, q long, vec_id long, score long")
+    best = Window.partitionBy("query_id", "q").orderBy(F.col("score").desc_nulls_last(), "vec_id")
+    score = F.coalesce("score", F.raise_error(F.lit("a returned score cannot be a long")).cast("long"))
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score.alias("score")))
 
 
 # DuckDB text of the query.

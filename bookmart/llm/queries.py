@@ -32,7 +32,7 @@ def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return maxscore.search(table(spark, sf_dir, "embeddings"))
+    return maxscore.search(table(spark, sf_dir, "embeddings"), limit=None)
 
 
 def op7_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -341,6 +341,42 @@ def test_maxscore_prunes_and_stays_exact():
             assert shard.top(i, q, 5) == [(j, -v) for v, j in want]
 
 
+def brute_top(rows, k=5):
+    valid = {(a, tuple(int(x) * 256 if abs(x) > 1e300 else int(np.floor(256 * x)) for x in b)) for a, b in rows}
+    want = []
+    for q, qv in valid:
+        if q % 50 == 0:
+            scores = sorted((-sum(x * y for x, y in zip(qv, cv)), c) for c, cv in valid if c != q)[:k]
+            want += [(q, i + 1, c, -s) for i, (s, c) in enumerate(scores)]
+    return want
+
+
+def test_maxscore_keeps_every_finite_vector(spark):
+    rnd = np.random.default_rng(4)
+    rows = [(int(i), [float(x) for x in rnd.normal(size=8)]) for i in range(200)]
+    rows += [(int(200 + i), [float(x) for x in rnd.normal(size=8) * 10.0 ** rnd.integers(4, 7)]) for i in range(101)]
+    rows += [(401, [1e6] * 8), (402, [1e6] * 8), (403, [1e6] * 7 + [1e6 + 2 ** -8]), (450, [600_000.0] * 3), (450, [600_000.0001] * 3),
+             (451, [524_288.0, -3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert order(tuple(r) for r in maxscore.search(df, limit=None).collect()) == order(brute_top(rows))
+    # components beyond a long, scaled ones beyond a double: only returned scores count
+    rows = [(50, [2.0, 0.0]), (1, [-1e300, 7.0]), (2, [-1e307, 7.0]), *((i, [float(i), 1e307 * (-1) ** i]) for i in range(3, 9))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert order(tuple(r) for r in maxscore.search(df, limit=None).collect()) == order(brute_top(rows))
+    with pytest.raises(Exception, match="cannot be a long"):
+        maxscore.search(df, limit=None, k=8).collect()
+    with pytest.raises(Exception, match="cannot be a long"):
+        maxscore.search(df.union(spark.createDataFrame([(9, [1e300, 0.0])], df.schema)), limit=None).collect()
+
+
+def test_maxscore_long_vectors_stay_in_range():
+    c = np.full((7, 4096), (1 << 27) - 1, np.int64)
+    c[3, 0] = -5
+    shard = maxscore.Shard(np.arange(7), list(c))
+    want = sorted((-sum(x * y for x, y in zip(c[0].tolist(), r.tolist())), i) for i, r in enumerate(c) if i)[:5]
+    assert shard.top(0, c[0], 5) == [(i, -s) for s, i in want]
+
+
 # ----------------------------------------------------------------- 7 quality
 
 def test_quality_held_out_accuracy(spark):
