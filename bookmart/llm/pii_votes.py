@@ -10,13 +10,18 @@ sign) that overlap no base span are judged together with the base spans by
 five labelers, each of which votes yes, no or abstains: the strict pattern,
 the shape of the span, a gazetteer (mail domains, address ranges, card
 prefixes, calling codes), a cue word before the span and the text around it.
-One pass writes all candidates with votes; their counts by kind and vote
-pattern (at most 3^5 patterns a kind, whatever the corpus) go to the driver,
-where expectation-maximisation estimates the labelers' reliabilities and the
-share of true spans per kind. The posteriors of the patterns are the soft
-labels on which the final span classifier (a logistic regression on the votes
-and the span's digits, per kind) is trained. Candidates it gives ``ADD_AT`` or
-more are added, non-overlapping and leftmost first; base spans always stay.
+One pass writes all candidates with votes and features of the span and its
+context (digits, separators, brackets, what stands right before and after,
+digits around). Their counts by kind, votes and features (a bounded number of
+patterns, whatever the corpus) go to the driver, where expectation-maximisation
+estimates the labelers' reliabilities and the share of true spans among the
+looser ones per kind. The strict labeler tells base spans from the others by
+construction, so it is no evidence against a looser span: base spans count as
+true, and the other labelers judge the rest. The posteriors of the patterns are
+the soft labels on which the final span classifier (a logistic regression on
+the features and the other labelers' votes, per kind) is trained. Candidates it
+gives ``ADD_AT`` or more are added, non-overlapping and leftmost first; base
+spans always stay.
 
 Offsets count code points, ends are exclusive.
 
@@ -42,8 +47,10 @@ from .common import materialise, sha256_hex
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("strict", "shape", "gazetteer", "cue", "around")
+FEATURES = ("digits", "separators", "brackets", "left", "right", "crowd")
 ADD_AT = 0.9
 ROUNDS = 50
+_PRIOR = np.array([[8.0, 10.0, 2.0], [2.0, 10.0, 8.0]])     # [class, vote + 1]
 _AROUND = 40
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -119,7 +126,9 @@ def votes(text: str, kind: str, start: int, end: int, strict: bool) -> list[int]
     digits = "".join(c for c in span if "0" <= c <= "9")
     before, after = text[max(0, start - _AROUND):start], text[end:end + _AROUND]
     if kind == "email":
-        shape = 1 if re.search(r"[A-Za-z]", span) and re.search(r"[A-Za-z]{2,}$", span) else -1
+        # "look at example.com" is half a sentence: a bare "at" needs a spelled dot
+        bare = " at " in span and "dot" not in span
+        shape = 1 if re.search(r"[A-Za-z]", span) and re.search(r"[A-Za-z]{2,}$", span) and not bare else -1
         known = 1 if span.lower().replace(" dot ", ".").endswith(_MAIL_ENDS) else 0
     elif kind == "ip":
         parts = [p for p in re.split(r"[^0-9]+", span) if p]
@@ -130,12 +139,36 @@ def votes(text: str, kind: str, start: int, end: int, strict: bool) -> list[int]
         known = 1 if digits[:1] in "3456" and digits[:1] else -1
     else:
         shape = 1 if 9 <= len(digits) <= 15 else -1
-        known = 1 if span.startswith("+") and digits.startswith(_CALLING) else 0
+        # national numbers have a bracketed or zero-led area code in place of the calling code
+        known = 1 if (digits.startswith(_CALLING) if span.startswith("+") else span.startswith(("(", "0"))) else 0
     cue = 1 if _CUES[kind].search(before) else 0
     near = -1 if _WORSE.search(before[-12:]) or _WORSE.search(after[:3]) or re.match(r"[0-9]|[.,][0-9]", after) else 0
     return [1 if strict else -1, shape, known, cue, near]
 
 
+def features(text: str, kind: str, start: int, end: int) -> list[int]:
+    """What the classifier sees of the span and its context, 1, 0 or -1 each,
+    in the order of FEATURES."""
+    span = text[start:end]
+    before, after = text[max(0, start - _AROUND):start], text[end:end + _AROUND]
+    n = sum("0" <= c <= "9" for c in span)
+    if kind == "email":
+        digits = 1 if n == 0 else 0 if n <= 4 else -1
+    elif kind == "ip":
+        digits = -1 if re.search(r"(?<![0-9])0[0-9]", span) else 1
+    elif kind == "card":
+        digits = 1 if n == 16 else 0 if 13 <= n <= 19 else -1
+    else:
+        digits = 1 if 10 <= n <= 12 else 0 if 9 <= n <= 15 else -1
+    marks = {c for c in span if not c.isalnum() and c not in "()[]+@"}
+    separators = 0 if not marks else 1 if len(marks) == 1 else -1
+    brackets = 1 if "(" in span or "[" in span else 0
+    left = 1 if re.search(r"[:#=]\s*$", before) else -1 if before and not before[-1].isspace() else 0
+    right = 1 if re.match(r"[.,;:!?)\"']*(\s|$)", after) else -1
+    around = len(_DIGITS.findall(before)) + len(_DIGITS.findall(after))
+    return [digits, separators, brackets, left, right, 1 if not around else 0 if around <= 8 else -1]
+
+
 def _union(spans) -> tuple[list[int], list[int]]:
     """Starts and ends of the disjoint stretches that the spans cover, in order."""
     starts, ends = [], []
@@ -149,10 +182,10 @@ def _union(spans) -> tuple[list[int], list[int]]:
 
 
 def candidates(text: str) -> tuple[dict, list[tuple]]:
-    """Base spans, and (kind, start, end, strict, votes) for them and for the
-    looser candidates that overlap none of them."""
+    """Base spans, and (kind, start, end, strict, votes, features) for them and
+    for the looser candidates that overlap none of them."""
     base = base_spans(text)
-    rows = [(k, a, b, True, votes(text, k, a, b, True)) for k in KINDS for a, b in base[k]]
+    rows = [(k, a, b, True, votes(text, k, a, b, True), features(text, k, a, b)) for k in KINDS for a, b in base[k]]
     starts, ends = _union(s for spans in base.values() for s in spans)
     for kind, pattern in _LOOSE.items():
         if kind == "email" and not ("@" in text or "at)" in text or "at]" in text or " at " in text):
@@ -163,7 +196,7 @@ def candidates(text: str) -> tuple[dict, list[tuple]]:
             a, b = m.span()
             at = bisect_left(starts, b)          # the last stretch that starts before the span's end
             if not at or ends[at - 1] <= a:
-                rows.append((kind, a, b, False, votes(text, kind, a, b, False)))
+                rows.append((kind, a, b, False, votes(text, kind, a, b, False), features(text, kind, a, b)))
     return base, rows
 
 
@@ -172,9 +205,10 @@ def _joined(rows) -> str:
 
 
 _FOUND = ("doc_id {}, n_email long, n_ip long, n_card long, n_phone long, base string, "
-          "found array<struct<kind:string,start:long,end:long,strict:boolean,votes:array<int>>>")
+          "found array<struct<kind:string,start:long,end:long,strict:boolean,votes:array<int>,features:array<int>>>")
 _FOUND_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
-                                  ("strict", pa.bool_()), ("votes", pa.list_(pa.int32()))]))
+                                  ("strict", pa.bool_()), ("votes", pa.list_(pa.int32())),
+                                  ("features", pa.list_(pa.int32()))]))
 
 
 def find(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -187,7 +221,7 @@ def find(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text") ->
                 for k, c in zip(KINDS, counts):
                     c.append(len(base[k]))
                 base_text.append(_joined((k, a, b) for k in KINDS for a, b in base[k]))
-                found.append([dict(zip(("kind", "start", "end", "strict", "votes"), r)) for r in rows])
+                found.append([dict(zip(("kind", "start", "end", "strict", "votes", "features"), r)) for r in rows])
             columns = [*(pa.array(c, pa.int64()) for c in counts), pa.array(base_text, pa.string()),
                        pa.array(found, _FOUND_TYPE)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[
@@ -220,8 +254,27 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) ->
     return share, table, post
 
 
+def estimate_loose(patterns: np.ndarray, counts: np.ndarray, strict: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+    """Posterior per pattern of the labelers other than the strict one. Strict
+    patterns are true; the share of true ones is that of the others, and the
+    labelers' tables are common to both. ``_PRIOR`` pseudo counts a cell say
+    that a labeler is right more often than wrong."""
+    post = np.where(strict, 1.0, 1 / (1 + np.exp(-patterns.sum(1).astype(float))))
+    j = np.arange(patterns.shape[1])
+    for _ in range(rounds):
+        weight = np.stack([counts * (1 - post), counts * post])
+        loose = weight[:, ~strict].sum(1)
+        share = (loose[1] + 1) / (loose.sum() + 2)
+        table = np.stack([weight @ (patterns == v) + _PRIOR[:, v + 1:v + 2] for v in (-1, 0, 1)], 2)
+        logs = np.log(table / table.sum(2, keepdims=True))
+        odds = np.log(share / (1 - share)) + (logs[1][j, patterns + 1] - logs[0][j, patterns + 1]).sum(1)
+        post = np.where(strict, 1.0, 1 / (1 + np.exp(-np.clip(odds, -30, 30))))
+    return post
+
+
 def fit_classifier(patterns: np.ndarray, counts: np.ndarray, post: np.ndarray, steps: int = 30) -> np.ndarray:
-    """Logistic regression of the soft labels on yes and no votes; intercept last."""
+    """Logistic regression of the soft labels on yes and no votes (or features
+    of 1 and -1); intercept last."""
     x = np.hstack([patterns == 1, patterns == -1, np.ones((len(patterns), 1))]).astype(float)
     w = np.zeros(x.shape[1])
     for _ in range(steps):
@@ -233,17 +286,17 @@ def fit_classifier(patterns: np.ndarray, counts: np.ndarray, post: np.ndarray, s
 
 
 def train(found: DataFrame) -> dict[str, list[float]]:
-    """Classifier weights per kind from the counts of all vote patterns."""
+    """Classifier weights per kind from the counts of all patterns."""
     span = F.explode("found").alias("s")
-    counted = (found.select(span).groupBy(F.col("s.kind").alias("kind"), F.col("s.votes").alias("votes"))
-               .agg(F.count(F.lit(1)).alias("n")).collect())    # at most 4 * 3^5 rows
+    counted = (found.select(span).groupBy(*(F.col(f"s.{c}").alias(c) for c in ("kind", "votes", "features")))
+               .agg(F.count(F.lit(1)).alias("n")).collect())    # bounded by the patterns, whatever the corpus
     weights = {}
     for kind in KINDS:
-        rows = sorted((r["votes"], r["n"]) for r in counted if r["kind"] == kind)
+        rows = sorted((r["votes"], r["features"], r["n"]) for r in counted if r["kind"] == kind)
         if rows:
-            patterns, counts = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
-            _, _, post = estimate(patterns, counts)
-            weights[kind] = fit_classifier(patterns, counts, post).tolist()
+            voted, seen, counts = (np.array(c) for c in zip(*rows))
+            post = estimate_loose(voted[:, 1:], counts.astype(float), voted[:, 0] == 1)
+            weights[kind] = fit_classifier(np.hstack([voted[:, 1:], seen]), counts.astype(float), post).tolist()
     return weights
 
 
@@ -266,7 +319,7 @@ def detect(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text",
                 kept = [(r["kind"], r["start"], r["end"]) for r in rows if r["strict"]]
                 end = -1
                 for r in sorted((r for r in rows if not r["strict"]), key=lambda r: (r["start"], -r["end"])):
-                    if r["start"] >= end and probability(weights[r["kind"]], r["votes"]) >= add_at:
+                    if r["start"] >= end and probability(weights[r["kind"]], r["votes"][1:] + r["features"]) >= add_at:
                         kept.append((r["kind"], r["start"], r["end"]))
                         end = r["end"]
                 sha.append(sha256_hex(base.encode()))

@@ -546,6 +546,25 @@ def test_pii_adds_supported_spans(spark):
     assert all(s["spans"].count("phone:") <= 1 for s in got.values())
 
 
+def test_pii_adds_planted_spans_at_production_threshold(spark):
+    true, false = {}, {}
+    rows = [(i, f"call me +1 (555) 123-{1000 + i} or mail p{i}@mail.example.com") for i in range(60)]
+    for i in range(40):
+        for d, kind, head, span, tail in (
+                (100 + i, "phone", "phone: ", f"(555) 123-{1000 + i}", " now"),
+                (200 + i, "email", "contact ", f"bob{'abcd'[i % 4]} [at] example [dot] com", " today")):
+            rows.append((d, head + span + tail))
+            true[d] = f"{kind}:{len(head)}:{len(head) + len(span)}"
+        for d, text in ((300 + i, f"section 12-13-19{10 + i} of the release"), (400 + i, f"the dot looks at example{i}.com again"),
+                        (500 + i, f"version 10-20-30-{10 + i} costs $ 12 34 5{i % 10}")):
+            rows.append((d, text))
+            false[d] = text
+            assert any(not r[3] for r in pii_votes.candidates(text)[1])
+    got = {r["doc_id"]: r["spans"] for r in pii_votes.detect(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d: got[d] for d in true} == true
+    assert {d: got[d] for d in false} == dict.fromkeys(false, "")
+
+
 # ------------------------------------------------------------------ 10 mixing
 
 def brute_targets(sizes):
