@@ -56,7 +56,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, sha256_hex, shuffle_width
+from .common import materialise, shuffle_width
 
 WINDOW = 13
 ROUNDS = 3
@@ -406,6 +406,9 @@ def _smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _answer(out)
 
 
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, answers, doc_ids, texts in _chunk_groups(batches):
         chunk = _load(doc_ids, texts)
@@ -422,23 +425,24 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(edge, chunk.starts[hit] + WINDOW, -1)
             gone = np.cumsum(edge)[:-1] > 0
         place = {i: (a, b) for i, a, b in zip(chunk.long.tolist(), chunk.begins.tolist(), chunk.ends.tolist())}
-        removed, sha = [], []
+        kept, removed = [], []
         for i, words in enumerate(chunk.split):
             a, b = place.get(i, (0, 0))
             out = gone[a:b]
-            n = int(out.sum())
-            removed.append(n)
-            sha.append(sha256_hex(b" ".join([words[j] for j in np.flatnonzero(~out).tolist()] if n else words)))
+            edges = np.flatnonzero(np.diff(out, prepend=False, append=False)).tolist() if out.any() else []
+            removed.append([{"start": x, "end": y} for x, y in zip(edges[::2], edges[1::2])])
+            kept.append(b" ".join([words[j] for j in np.flatnonzero(~out).tolist()] if edges else words))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(doc_ids, pa.int64()), pa.array(chunk.counts), pa.array(removed, pa.int64()), pa.array(sha, pa.string())],
-            names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+            [pa.array(doc_ids, pa.int64()), pa.array(chunk.counts), pa.array(kept, pa.binary()), pa.array(removed, _SPANS)],
+            names=["doc_id", "n_words", "kept", "removed"])
 
 
-def dedup_report(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text",
-                 chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """Per document: doc_id, n_words, n_removed and the sha256 of the kept words
-    joined by one space. The buckets are as many as the text needs, so the
-    keys that a task holds at a time do not grow with the corpus."""
+def dedup(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text",
+          chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """The documents without their repeats: doc_id, n_words (of the input), kept
+    (the kept words joined by one space) and removed (spans of the input's
+    words, counted from 0, ends exclusive). The buckets are as many as the text
+    needs, so the keys that a task holds at a time do not grow with the corpus."""
     width = shuffle_width(docs.sparkSession)
     chunks = materialise(pack(docs, doc_col=doc_col, text_col=text_col, chunk_bytes=chunk_bytes), "recompress-chunks")
     size = chunks.agg(F.sum("size")).first()[0] or 0
@@ -452,7 +456,15 @@ def dedup_report(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "t
     shared = answers(chunks.mapInArrow(_send_picks(buckets), _MESSAGE), _share)
     windows = _merged(chunks, shared).mapInArrow(_send_windows(buckets), _MESSAGE)
     removed = _merged(chunks, answers(windows, _smallest))
-    return removed.mapInArrow(_remove, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    found = removed.mapInArrow(_remove, "doc_id long, n_words long, kept binary, removed array<struct<start:long,end:long>>")
+    return found.withColumn("kept", F.col("kept").cast("string"))
+
+
+def dedup_report(docs: DataFrame, **options) -> DataFrame:
+    """Per document: doc_id, n_words, n_removed and the sha256 of the kept words
+    joined by one space, from the documents that ``dedup`` gives."""
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return dedup(docs, **options).select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 # DuckDB text of the query.

@@ -297,6 +297,15 @@ def test_recompression_few_words_and_runs(spark):
     assert order(tuple(r) for r in many.collect()) == brute_windows(rows)
 
 
+def test_recompression_gives_documents(spark):
+    head, body, tail = ([f"{c}{i}" for i in range(n)] for c, n in (("h", 5), ("b", 20), ("t", 5)))
+    texts = {1: body, 2: head + body + ["é"], 3: ["x"], 4: body + tail + body, 5: []}
+    df = spark.createDataFrame([(d, "\n".join(w)) for d, w in texts.items()] + [(6, None)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_words"], r["kept"], [tuple(s) for s in r["removed"]]) for r in recompress.dedup(df).collect()}
+    assert got == {1: (20, " ".join(body), []), 2: (26, " ".join(head + ["é"]), [(5, 25)]), 3: (1, "x", []),
+                   4: (45, " ".join(tail), [(0, 20), (25, 45)]), 5: (0, "", []), 6: (0, "", [])}
+
+
 def test_recompression_picks_agree_between_occurrences():
     rnd = np.random.default_rng(5)
     window = rnd.integers(0, 4, 13).astype(np.uint64) + np.uint64(1)
