@@ -8,7 +8,8 @@ conflict (int in one file, double in another) is the list of files cut in
 halves, merged half by half side by side, until every part agrees; parts that
 agree with each other are joined again. Each group of files is then one scan,
 harmonised to the target types with ``try_cast``, and the groups are united by
-name with typed nulls for missing columns. No file is read with a schema that
+name with typed nulls for missing columns. The files are those of the plain
+scan, whatever their names, and partition folders give their columns. No file is read with a schema that
 another file lent it, so no column is lost.
 """
 
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -56,11 +58,30 @@ def merged_schema(spark: SparkSession, paths: list[str]) -> T.StructType | None:
         raise
 
 
+def _plain(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return spark.read.option("mergeSchema", "false").parquet(*paths)
+
+
 def data_files(spark: SparkSession, paths: list[str]) -> list[str]:
-    """The parquet files under the landing folders (a listing; no content)."""
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", "*.parquet").load(paths).select("path"))
-    return sorted(r["path"] for r in listing.toLocalIterator())
+    """The files that a plain scan of the landing folders reads (a listing; no content)."""
+    return sorted(unquote(f) for f in _plain(spark, paths).inputFiles())
+
+
+def partition_folders(files: list[str], plain: T.StructType) -> tuple[dict[str, str], T.StructType]:
+    """Per file the folder above its partition folders, and the partition
+    columns; ``plain``: the columns of the plain scan."""
+    fields = {f.name.lower(): f for f in plain.fields}
+    bases, found = {}, {}
+    for file in files:
+        base = file.rsplit("/", 1)[0]
+        while True:
+            above, _, folder = base.rpartition("/")
+            name = unquote(folder.partition("=")[0]).lower()
+            if "=" not in folder or name not in fields:
+                break
+            base, found[name] = above, fields[name]
+        bases[file] = base
+    return bases, T.StructType([found[n] for n in fields if n in found])
 
 
 def _agree(a: T.StructType, b: T.StructType) -> bool:
@@ -100,5 +121,14 @@ def read_drifting(spark: SparkSession, paths: list[str],
     schema = merged_schema(spark, paths)
     if schema is not None:
         return harmonise(spark.read.schema(schema).parquet(*paths), types or {})
-    return union_by_name([harmonise(spark.read.schema(schema).parquet(*group), types or {})
-                          for schema, group in group_by_schema(spark, data_files(spark, paths))])
+    found = data_files(spark, paths)
+    bases, partitions = partition_folders(found, _plain(spark, paths).schema)
+    landed = {f.name.lower() for f in partitions.fields}
+    frames = []
+    for schema, group in group_by_schema(spark, found):
+        # partition columns have the types that all the folders' values give
+        full = T.StructType([*(f for f in schema.fields if f.name.lower() not in landed), *partitions.fields])
+        for base in sorted({bases[f] for f in group}):
+            files = [f for f in group if bases[f] == base]
+            frames.append(harmonise(spark.read.option("basePath", base).schema(full).parquet(*files), types or {}))
+    return union_by_name(frames)

@@ -1,6 +1,8 @@
 """Operators: keys, dedup, salting, upsert, drifting reads, sinks, contracts."""
 
+import os
 import random
+import shutil
 
 import pytest
 from pyspark.sql import Window
@@ -145,6 +147,23 @@ def test_read_drifting(spark):   # S1, S2, S3, U1
         ("a", 1, None), ("b", 2, None), ("c", None, "x"), ("d", 4, None)]
 
 
+def test_read_drift_unsuffixed_and_partitioned(spark):   # S1: the files and columns of a plain scan
+    root = scratch_path(spark, "t drift=part")
+    land = lambda data, schema: spark.createDataFrame(data, schema).coalesce(1).write.mode("append") \
+        .partitionBy("day", "zone").parquet(root)
+    land([("a", 1, "1", "x y")], "key string, cover_id int, day string, zone string")
+    land([("b", 2.0, "2", "a/b")], "key string, cover_id double, day string, zone string")
+    land([("c", "3", "late", "x y")], "key string, cover_id string, day string, zone string")
+    folder = root.removeprefix("file:")
+    for at, _, names in os.walk(folder):
+        for name in names:
+            if name.startswith("part-") and "day=2" in at:
+                shutil.copyfile(f"{at}/{name}", f"{at}/unsuffixed")
+    df = drifting.read_drifting(spark, [root], {"cover_id": "bigint"})
+    assert rows(df, "key", "cover_id", "day", "zone") == [("a", 1, "1", "x y"), ("b", 2, "2", "a/b"), ("b", 2, "2", "a/b"),
+                                                          ("c", 3, "late", "x y")]
+
+
 def test_read_drift_inside_one_folder(spark):   # S1: files of one append-only landing
     path = scratch_path(spark, "t-drift-one")
     land = lambda data, schema: spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(path)
