@@ -185,14 +185,20 @@ def clustered_write(spark, sf):
     return spark.read.parquet(path)
 
 
+BUCKET_ROWS = 1 << 20        # rows of a bucket, about
+
+
 def bucketed_fact(spark, sf):
     """C3 with bucketing: fact_book stored bucketed by its own key, sorted by
-    time_id. Null and empty work ids would share one bucket; edition ids do not
-    repeat much, and a hot work is left to ``clustered_write``. Rows are dealt by
+    time_id, in as many buckets as its size needs. Null and empty work ids would
+    share one bucket; edition ids do not repeat much, so this layout is not
+    co-located by work, which is left to ``clustered_write``. Rows are dealt by
     bucket before the write, so each bucket is one file."""
+    fact = materialise(fact_book(spark, sf), "fact-to-bucket")
+    buckets = max(16, -(-fact.count() // BUCKET_ROWS))
     name = f"fact_book_by_edition_{uuid.uuid4().hex[:8]}"
-    return sinks.bucketed_write(fact_book(spark, sf).repartition(16, "edition_id"), name,
-                                scratch_path(spark, name), "edition_id", "time_id", buckets=16)
+    return sinks.bucketed_write(fact.repartition(buckets, "edition_id"), name,
+                                scratch_path(spark, name), "edition_id", "time_id", buckets=buckets)
 
 
 # --- S9, S10, F21, J3: landing ---------------------------------------------------

@@ -85,3 +85,12 @@ def test_bucketed_tables_join_without_exchange(spark):   # C3
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in p and "Exchange" not in p, p
     assert ft.join(dt, "work_id").count() == 3000
+
+
+def test_bucketed_fact_has_buckets_for_its_size(spark, monkeypatch):   # C3
+    few = jobs.bucketed_fact(spark, SF001)
+    n = few.count()
+    monkeypatch.setattr(jobs, "BUCKET_ROWS", max(1, n // 20))
+    many = jobs.bucketed_fact(spark, SF001)
+    assert many.count() == n
+    assert len(few.inputFiles()) <= 16 < len(many.inputFiles()) <= -(-n // max(1, n // 20))
