@@ -7,7 +7,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, imatch, line_spread, maxscore, mixing, pii_votes, rans, recompress, simhash_cover, site_quality
+from . import (blocked_search, bpe, imatch, line_spread, maxscore, mixing, pii_votes, quality_rules, rans, recompress,
+               simhash_cover, site_quality, whitening)
 from .common import documents, table
 
 
@@ -51,9 +52,22 @@ def op10_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(documents(spark, sf_dir))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op13_blocked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocked_search.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (op1_imatch, op2_line_spread, op3_bpe_transducer, op4_simhash_cover, op5_recompression,
-                                   op6_maxscore, op7_site_quality, op8_rans, op9_pii_votes, op10_water_filling)}
+                                   op6_maxscore, op7_site_quality, op8_rans, op9_pii_votes, op10_water_filling, op11_whitening,
+                                   op12_quality_rules, op13_blocked_search)}
 
 ORACLE = {"op2_line_spread": line_spread.ORACLE_SQL, "op5_recompression": recompress.ORACLE_SQL,
           "op6_maxscore": maxscore.ORACLE_SQL,
-          "op10_water_filling": mixing.ORACLE_SQL}
+          "op10_water_filling": mixing.ORACLE_SQL, "op13_blocked_search": blocked_search.ORACLE_SQL}
