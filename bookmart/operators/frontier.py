@@ -1,15 +1,17 @@
 """Keys not yet seen (crawl frontier), and the seen-keys table.
 
-The seen-keys table is a parquet folder that only grows by appends; readers
-take its distinct keys, so a repeated append never double counts.
+The seen-keys table is bucketed by the key and only grows by appends; readers
+take its distinct keys, so a repeated append never double counts, and only the
+candidates of a round are shuffled.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .merge import read_if_written
+from ..sources import bucketed
 
 
 def unseen(candidates: DataFrame, seen: DataFrame, key: str) -> DataFrame:
@@ -26,13 +28,12 @@ def add_seen(seen: DataFrame, new_keys: DataFrame, key: str) -> DataFrame:
 
 def read_seen(spark: SparkSession, path: str, key: str) -> DataFrame:
     """The distinct keys recorded so far (empty if none yet; a table that
-    cannot be read is an error)."""
-    schema = T.StructType([T.StructField(key, T.StringType())])
-    seen = read_if_written(spark, path, schema)
-    return spark.createDataFrame([], schema) if seen is None else seen.distinct()
+    cannot be read is an error). The table is bucketed by the key, so neither
+    making its keys distinct nor the anti join of ``unseen`` moves them."""
+    return bucketed.read_or_empty(spark, path, T.StructType([T.StructField(key, T.StringType())])).distinct()
 
 
 def record_seen(new_keys: DataFrame, path: str, key: str) -> str:
     """Append newly processed keys (distinct per append)."""
-    new_keys.select(key).distinct().write.mode("append").parquet(path)
+    bucketed.append(new_keys.select(F.col(key).cast("string").alias(key)).distinct(), path, [key])
     return path

@@ -8,7 +8,9 @@ with dynamic partition overwrite, so writing one day keeps the others.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,13 +45,19 @@ def partitioned_write(df: DataFrame, path: str, load_date: str,
                       max_records: int | None = C.SINK_MAX_RECORDS_PER_FILE,
                       dynamic: bool = True) -> str:
     """Add year/month/day of ``load_date`` and write partitioned by them.
-    Dynamic overwrite replaces only that day's folder."""
+    Dynamic overwrite replaces only that day's folder; a day without rows has
+    nothing to replace it with, so its folder then gets an empty file."""
     parts = load_date_parts(load_date)
     out = df.withColumns(parts)
     out = out.repartition(partitions) if partitions else out.hint("rebalance")
-    (_writer(out, "overwrite", max_records)
+    written = Observation()
+    (_writer(out.observe(written, F.count(F.lit(1)).alias("n")), "overwrite", max_records)
      .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
      .partitionBy("year", "month", "day").parquet(path))
+    if not written.get["n"]:
+        d = dt.date.fromisoformat(load_date)
+        day = f"year={d.year}/month={d.month}/day={d.day}"
+        df.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{day}")
     return path
 
 
@@ -74,18 +82,19 @@ def clustered_write(df: DataFrame, path: str, dist_key: str, sort_key: str,
     return path
 
 
-def bucketed_write(df: DataFrame, table: str, path: str, dist_key: str,
+def bucketed_write(df: DataFrame, table: str, path: str, dist_key: str | list[str],
                    sort_key: str | None = None, buckets: int = 64) -> DataFrame:
     """C3 as Spark bucketing: an external catalog table over ``path``,
     bucketed by ``dist_key`` and sorted by ``sort_key`` inside each bucket.
     Joins and aggregations on ``dist_key`` between tables with the same
     bucket count then run without an exchange (co-location). A bucket cannot
-    split one key: where a single key may hold a large share of the rows,
-    ``clustered_write`` with a ``split_key`` is the skew-safe layout."""
+    split one key: where a single key may hold a large share of the rows, bucket
+    by the key and a salt (``sources.bucketed.salted``), or use
+    ``clustered_write`` with a ``split_key``."""
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         raise ValueError(f"the table {table} exists already")
-    w = df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, dist_key)
+    w = df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *([dist_key] if isinstance(dist_key, str) else dist_key))
     if sort_key:
         w = w.sortBy(sort_key)
     w.saveAsTable(table)

@@ -2,7 +2,7 @@
 
 A micro-batch appends its rows under (stream, batch id); the stream's name is
 taken from its checkpoint. A replay after a failure replaces the batch's own
-rows, a stream with a new checkpoint writes beside the old one, and batch loads
+rows, also by none, a stream with a new checkpoint writes beside the old one, and batch loads
 (``plans.warehouse``) can share the table. What a batch writes grows with the
 batch.
 """
@@ -22,7 +22,7 @@ def start_upsert(stream: DataFrame, root: str, key: str, checkpoint: str,
     source = "stream-" + hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        merge.append_changes(keys.one_per_key(batch, key), root, source, str(batch_id))
+        merge.append_changes(keys.one_per_key(batch, key), root, source, str(batch_id), key)
 
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if available_now:
@@ -30,6 +30,6 @@ def start_upsert(stream: DataFrame, root: str, key: str, checkpoint: str,
     return w.start()
 
 
-def init_table(df: DataFrame, root: str) -> None:
-    """Write the initial state."""
-    merge.append_changes(df, root, "init", "0")
+def init_table(df: DataFrame, root: str, key: str) -> None:
+    """Write the initial state (of no day: every batch comes after it)."""
+    merge.append_changes(keys.one_per_key(df, key), root, "init", "0", key, "0001-01-01")
