@@ -7,7 +7,7 @@ Python UDF is used anywhere. Casts that may meet bad text use ``try_cast``
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import catalogue as C
@@ -107,6 +107,25 @@ def language_label(c, mapping: dict | None = None) -> Column:
     return map_lookup(c, mapping or C.LANGUAGE_LABELS)
 
 
+# F14 from a table: its rows as one map value (a scalar subquery), so a lookup is
+# an expression and no join. For code lists: a longer table is an error, and to be
+# joined.
+MAP_ROWS = 10_000
+
+
+def lookup_map(table: DataFrame, key: str, value: str) -> Column:
+    rows = table.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value))
+    entries = F.map_from_entries(F.collect_list(F.struct(key, value)))
+    too_long = F.raise_error(F.lit(f"more than {MAP_ROWS} codes: join the table"))
+    return rows.agg(F.count(F.lit(1)).alias("n"), entries.alias("m")).select(
+        F.when(F.col("n") <= MAP_ROWS, F.col("m")).otherwise(too_long)).scalar()
+
+
+def lookup(mapping: Column, c) -> Column:
+    """The value under a code; null without one."""
+    return F.try_element_at(mapping, _col(c))
+
+
 # Decade (its first year) and century of a year after 0.
 def decade(y) -> Column:
     return _col(y) - _col(y) % 10

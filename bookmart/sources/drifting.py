@@ -11,10 +11,16 @@ harmonised to the target types with ``try_cast``, and the groups are united by
 name with typed nulls for missing columns. The files are those of the plain
 scan, whatever their names, and partition folders give their columns. No file is read with a schema that
 another file lent it, so no column is lost.
+
+A landing written by ``land_batch`` has a manifest: every batch is a folder of its
+own, and its schema is recorded beside it when it is whole. ``read_landing`` groups
+the batches by recorded schema in one aggregate and opens no file to find out.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
@@ -132,3 +138,29 @@ def read_drifting(spark: SparkSession, paths: list[str],
             files = [f for f in group if bases[f] == base]
             frames.append(harmonise(spark.read.option("basePath", base).schema(full).parquet(*files), types or {}))
     return union_by_name(frames)
+
+
+# --- landings with a manifest -----------------------------------------------------
+
+_BATCH = T.StructType([T.StructField("folder", T.StringType()), T.StructField("schema", T.StringType())])
+
+
+def land_batch(df: DataFrame, path: str, batch_rows: int | None = None) -> str:
+    """Land one batch, in files of at most ``batch_rows`` rows, and record
+    its schema; a batch that is not recorded yet is not read."""
+    folder = uuid.uuid4().hex
+    w = df.write.option("compression", "snappy")
+    (w.option("maxRecordsPerFile", batch_rows) if batch_rows else w).parquet(f"{path.rstrip('/')}/{folder}")
+    row = df.sparkSession.createDataFrame([(folder, df.schema.json())], _BATCH).coalesce(1)
+    row.write.mode("append").parquet(f"{path.rstrip('/')}/_manifest")
+    return folder
+
+
+def read_landing(spark: SparkSession, path: str, types: dict[str, str] | None = None) -> DataFrame:
+    """All recorded batches as one table, one scan per recorded schema."""
+    batches = spark.read.schema(_BATCH).parquet(f"{path.rstrip('/')}/_manifest")
+    groups = batches.groupBy("schema").agg(F.sort_array(F.collect_set("folder")).alias("folders")).orderBy("schema")
+    frames = [harmonise(spark.read.schema(T.StructType.fromJson(json.loads(g["schema"])))
+                        .parquet(*[f"{path.rstrip('/')}/{f}" for f in g["folders"]]), types or {})
+              for g in groups.toLocalIterator()]          # as many rows as there are schemas
+    return union_by_name(frames)
