@@ -10,10 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..session import materialise
+from ..session import PARSED_ROW_GROUP, materialise
 from . import clean, model
 
 
+# What the star is made of; isbn_13 is in none of its tables.
+EDITION_COLUMNS = ["edition_id", "work_id", "title", "publish_date", "publishers", "languages", "number_of_pages"]
+
+
 def build_star(works_raw: DataFrame, editions_raw: DataFrame, authors_raw: DataFrame,
                materialise_cleaned: bool = True,
                previous: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
@@ -22,14 +26,19 @@ def build_star(works_raw: DataFrame, editions_raw: DataFrame, authors_raw: DataF
     bridges and the fact table use them."""
     previous = previous or {}
     level = clean.work_level(works_raw)
-    edition = clean.edition_clean(editions_raw)
+    parsed = clean.edition_parsed(editions_raw, EDITION_COLUMNS)
     author = clean.author_clean(authors_raw)
     if materialise_cleaned:
-        level = materialise(level, "work_level")
-        edition = materialise(edition, "edition_clean")
+        level = materialise(level, "work_level", PARSED_ROW_GROUP)
+        # parsed rather than cleaned rows: one parse for the medians and the rows
+        parsed = materialise(parsed, "edition_parsed", PARSED_ROW_GROUP)
+    edition = clean.edition_filled(parsed)
     work = clean.explode_works(level)
     d_subject = model.dim_subject(work, previous=previous.get("dim_subject"))
     d_time = model.dim_time(edition, previous=previous.get("dim_time"))
+    if materialise_cleaned:
+        # the numbered frames feed a table and a bridge or the fact each
+        d_subject, d_time = materialise(d_subject, "dim_subject"), materialise(d_time, "dim_time")
     return {
         "dim_work": model.dim_work(level),
         "dim_subject": d_subject,

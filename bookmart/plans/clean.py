@@ -44,7 +44,7 @@ def work_level(works: DataFrame, exact_median: bool = True) -> DataFrame:
     """Cleaned works before the explode: ``subject`` is the array of cleaned
     subjects; works without one have no rows in D1 and are left out here too.
     What depends on works alone (D4, D7) starts from this frame."""
-    w = works.select(*WORK_COLS).select(
+    w = spread(works.select(*WORK_COLS)).select(
         X.entity_id("key").alias("work_id"), "title",
         X.lenient_cast("first_publish_year", "int").alias("first_publish_year"),
         "edition_count", "subject", "authors")
@@ -52,14 +52,29 @@ def work_level(works: DataFrame, exact_median: bool = True) -> DataFrame:
     return w.withColumn("subject", subject_items()).filter(F.size("subject") > 0)
 
 
-def edition_parsed(editions: DataFrame) -> DataFrame:
-    """Keys, work id and year extracted; nothing filled yet."""
-    return editions.select(*EDITION_COLS).select(
-        X.entity_id("key").alias("edition_id"),
-        X.entity_id(J.first_key("works")).alias("work_id"),
-        "title",
-        X.first_year(F.col("publish_date").cast("string")).alias("publish_date"),
-        "publishers", "languages", "number_of_pages", "isbn_13")
+def spread(raw: DataFrame) -> DataFrame:
+    """Even out a raw projection before it is parsed. Parsing is the dear part,
+    and a landing's files differ in size by orders of magnitude (batches of one
+    row group each); the same plan at every size."""
+    return raw.hint("rebalance")
+
+
+# The parsed columns, each with the raw column it is made of.
+_PARSED = {
+    "edition_id": ("key", lambda: X.entity_id("key")),
+    "work_id": ("works", lambda: X.entity_id(J.first_key("works"))),
+    "title": ("title", lambda: F.col("title")),
+    "publish_date": ("publish_date", lambda: X.first_year(F.col("publish_date").cast("string"))),
+    **{c: (c, lambda c=c: F.col(c)) for c in ("publishers", "languages", "number_of_pages", "isbn_13")},
+}
+
+
+def edition_parsed(editions: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Keys, work id and year extracted; nothing filled yet. With ``columns``
+    only these are parsed, from the raw columns they need."""
+    columns = columns or list(_PARSED)
+    raw = spread(editions.select(*[_PARSED[c][0] for c in columns]))
+    return raw.select(*[_PARSED[c][1]().alias(c) for c in columns])
 
 
 def edition_clean(editions: DataFrame, exact_median: bool = True) -> DataFrame:
@@ -68,12 +83,13 @@ def edition_clean(editions: DataFrame, exact_median: bool = True) -> DataFrame:
 
 
 def edition_filled(parsed: DataFrame, exact_median: bool = True) -> DataFrame:
-    """D2 on parsed editions: medians for year and pages, 'unknown' for missing
+    """D2 on parsed editions (with a title; other columns as present): medians for year and pages, 'unknown' for missing
     text, then rows whose title has no Latin letter are dropped. Years are a
     bounded domain; page counts are not and take the approximate median (as the
     source job did), whose state is bounded."""
     exact = {"publish_date"} if exact_median else False
-    e = impute.fill_median(parsed, ["publish_date", "number_of_pages"], exact=exact)
+    numbers = [c for c in ("publish_date", "number_of_pages") if c in parsed.columns]
+    e = impute.fill_median(parsed, numbers, exact=exact)
     e = impute.fill_constants(e, {"publishers": C.UNKNOWN, "languages": C.UNKNOWN,
                                   "title": C.UNKNOWN})
     return e.filter(X.has_latin_letter("title"))

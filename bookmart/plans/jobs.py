@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 from ..functions import catalogue as C
 from ..functions import jsoncols as J
 from ..functions import text as X
-from ..operators import contracts, frontier, impute, keys, merge, profile, skew
-from ..session import materialise, scratch_path
-from ..sources import drifting, landing, sinks
+from ..operators import contracts, frontier, impute, keys, merge, profile, sketches, skew
+from ..session import PARSED_ROW_GROUP, materialise, scratch_path
+from ..sources import bucketed, drifting, landing, sinks
 from ..streaming import dedup as sdedup
 from ..streaming import upsert as supsert
 from . import build, clean, model, schemas, warehouse
@@ -29,8 +29,16 @@ def _works(spark, sf):
     return clean.work_clean(raw_works(spark, sf))
 
 
-def _editions(spark, sf):
-    return clean.edition_clean(raw_editions(spark, sf))
+TIME, FACT = ["title", "publish_date"], ["edition_id", "work_id", "title", "publish_date", "number_of_pages"]
+DIMENSION = ["edition_id", "title", "publish_date", "publishers", "languages"]
+
+
+def _editions(spark, sf, columns=None):
+    """Cleaned editions over one scan and one parse: the parsed rows, with the
+    columns of the job, are written once and read for the medians and for what
+    is made of them."""
+    parsed = materialise(clean.edition_parsed(raw_editions(spark, sf), columns), "edition-parsed", PARSED_ROW_GROUP)
+    return clean.edition_filled(parsed)
 
 
 def _authors(spark, sf):
@@ -73,22 +81,15 @@ def work_author(spark, sf):
 
 
 def dim_edition(spark, sf):
-    return model.dim_edition(_editions(spark, sf))
+    return model.dim_edition(_editions(spark, sf, DIMENSION))
 
 
 def dim_time(spark, sf):
-    return model.dim_time(_editions(spark, sf))
-
-
-def _editions_once(spark, sf):
-    """Cleaned editions over one scan: the parsed rows are written once and read
-    for the medians, the years and the facts."""
-    parsed = materialise(clean.edition_parsed(raw_editions(spark, sf)), "edition-parsed")
-    return clean.edition_filled(parsed)
+    return model.dim_time(_editions(spark, sf, TIME))
 
 
 def fact_book(spark, sf):
-    e = _editions_once(spark, sf)
+    e = _editions(spark, sf, FACT)
     return model.fact_book(e, model.dim_time(e))
 
 
@@ -119,6 +120,18 @@ def read_drifting(spark, sf):
     return drifting.read_drifting(spark, [path], {"cover_id": "bigint"})
 
 
+def manifest_landing(spark, sf):
+    """Works landed in eight batches whose cover_id is int, double and
+    absent in turn, read back by the schemas recorded with the batches."""
+    w, path = raw_works(spark, sf), scratch_path(spark, "landing-manifest")
+    cover = F.col("edition_count") * 7
+    for i in range(8):
+        part = w.filter(F.col("edition_count") % 8 == i)
+        kind = ("int", "double", None)[i % 3]
+        drifting.land_batch(part.withColumn("cover_id", cover.cast(kind)) if kind else part, path, C.LANDING_BATCH_EDITIONS)
+    return drifting.read_landing(spark, path, {"cover_id": "bigint"})
+
+
 def harmonise_types(spark, sf):
     """Editions landed in one folder with number_of_pages as int, double and
     text."""
@@ -201,6 +214,20 @@ def bucketed_fact(spark, sf):
                                 scratch_path(spark, name), "edition_id", "time_id", buckets=buckets)
 
 
+def work_co_located(spark, sf):
+    """C3 by work: facts and works stored in as many buckets by (work, salt);
+    works that hold more than a bucket's rows are cut in parts and their dimension
+    rows repeated for each. The facts with their work's title, joined in place."""
+    fact, work = materialise(fact_book(spark, sf), "fact-by-work"), materialise(dim_work(spark, sf), "work-by-work")
+    buckets = max(16, -(-fact.count() // BUCKET_ROWS))
+    hot = materialise(bucketed.hot_keys(fact, "work_id", BUCKET_ROWS), "hot-works")
+    tag, by = uuid.uuid4().hex[:8], ["work_id", bucketed.SALT]
+    sides = {"fact": bucketed.salted(fact, "work_id", hot, buckets), "work": bucketed.replicated(work, "work_id", hot)}
+    stored = [sinks.bucketed_write(df.repartition(buckets, *by), f"{name}_by_work_{tag}", scratch_path(spark, f"{name}_by_work"),
+                                   by, "work_id", buckets) for name, df in sides.items()]
+    return bucketed.co_located(*stored, "work_id").select("edition_id", "work_id", "time_id", "title")
+
+
 # --- S9, S10, F21, J3: landing ---------------------------------------------------
 
 def explode_response(spark, sf):
@@ -216,6 +243,26 @@ def explode_response(spark, sf):
     return landing.explode_response(landing.read_responses(spark, path, schema), "works")
 
 
+def page_shapes(spark, sf):
+    """Works in pages of three shapes, landed with cut pages and pages of
+    another shape among them; all records by one reader, and the rejects."""
+    recs = raw_works(spark, sf, keep_id=True)
+    pages = landing.pages_of(recs, "records", 50, "_pk")
+    shape = F.element_at(F.array(*map(F.lit, landing.PAGE_LISTS)), (F.col("page") % 3 + 1).cast("int"))
+    body = F.to_json(F.struct("page", F.col("records").alias("_list")))
+    text = F.replace(body, F.lit('"_list":'), F.concat(F.lit('"'), shape, F.lit('":')))
+    lines = F.array_compact(F.array(text, F.when(F.col("page") % 7 == 0, F.left(text, F.length(text) - 5)),
+                                    F.when(F.col("page") % 11 == 0, F.lit('{"size": 0, "docs": []}'))))
+    path = scratch_path(spark, "page-shapes")
+    pages.select(F.explode(lines).alias("value")).write.text(path)
+    record = T.StructType([f for f in raw_works(spark, sf).schema.fields if f.name in ("key", "title", "edition_count")])
+    records, rejects = landing.read_pages(spark, path, record)
+    none = F.lit(None).cast("string")
+    return records.select("page_list", "key", "title", "edition_count", none.alias("reason")).unionByName(
+        rejects.select(none.alias("page_list"), none.alias("key"), none.alias("title"),
+                       F.lit(None).cast("bigint").alias("edition_count"), "reason"))
+
+
 def nested_to_json(spark, sf):
     e = raw_editions(spark, sf).select(
         "key", J.parse("works", J.KEY_ARRAY).alias("works"),
@@ -289,6 +336,13 @@ def language_code(spark, sf):
         "key", X.language_code(J.first_key("languages")).alias("language_code"))
 
 
+def map_lookup_table(spark, sf):
+    """F14 from a table: supplier nations by a map of (key, name) rows."""
+    names = X.lookup_map(read_table(spark, sf, "nation"), "n_nationkey", "n_name")
+    return read_table(spark, sf, "supplier").select(
+        "s_suppkey", X.lookup(names, F.when(F.col("s_suppkey") % 7 > 0, F.col("s_nationkey"))).alias("nation"))
+
+
 def map_lookup(spark, sf):
     code = F.coalesce(X.language_code(J.first_key("languages")), F.lit(C.UNKNOWN))
     return raw_editions(spark, sf).select("key", X.language_label(code).alias("language"))
@@ -341,6 +395,46 @@ def salted_agg(spark, sf):
     }, salts=8)
 
 
+def salted_holistic(spark, sf):
+    """A5 for aggregates that gather values: per language the most frequent
+    publisher, the decades, and whether the median and the 0.9 quantile of the
+    year lie within a hundredth of their ranks."""
+    d = materialise(dim_edition(spark, sf).select("edition_id", "publisher", "publish_date", "language"), "holistic")
+    shares = {"median": 0.5, "high": 0.9}
+    q = skew.salted_quantile(d, ["language"], "publish_date", shares, salts=8)
+    mode = skew.salted_mode(d, ["language"], "publisher")
+    decades = skew.salted_set(d.withColumn("decade", X.decade("publish_date")), ["language"], "decade", "decades", salts=8)
+    n, y = F.count("publish_date"), F.col("publish_date")
+    ranks = d.join(q, "language").groupBy("language").agg(*[
+        ((F.count_if(y < F.col(c)) <= n * (s + 0.01)) & (F.count_if(y <= F.col(c)) >= n * (s - 0.01))).alias(f"{c}_within")
+        for c, s in shares.items()])
+    return (ranks.join(mode, "language").join(decades, "language")
+            .select("language", "median_within", "high_within", F.col("mode").alias("publisher"),
+                    F.col("mode_count").alias("n_publisher"), F.concat_ws(",", F.transform("decades", lambda x: x.cast("string"))).alias("decades")))
+
+
+def two_day_impute(spark, sf):
+    """A2b across loads: the works of two days; each day stores its sketch, and the
+    second day's missing years take the median over both days without the first
+    day's rows being read. Per work of the second day: the year if it was known,
+    and whether a filled year lies within a hundredth of the middle of all."""
+    root, land = scratch_path(spark, "year-sketches"), scratch_path(spark, "year-days")
+    w = raw_works(spark, sf).select(X.entity_id("key").alias("work_id"), "edition_count",
+                                    X.lenient_cast("first_publish_year", "int").alias("year"))
+    days = {"2025-01-15": F.col("edition_count") % 3 != 0, "2025-01-16": F.col("edition_count") % 3 == 0}
+    for day, chosen in days.items():
+        w.filter(chosen).write.parquet(f"{land}/{day}")
+        sketches.record(spark.read.parquet(f"{land}/{day}"), root, day, ["year"])
+    today = spark.read.parquet(f"{land}/2025-01-16").withColumn("known", F.col("year"))
+    filled = sketches.fill(today, root, ["year"])
+    value = filled.agg(F.max(F.when(F.col("known").isNull(), F.col("year"))).alias("v"))
+    every, n = spark.read.parquet(f"{land}/2025-01-15", f"{land}/2025-01-16"), F.count("year")
+    within = every.withColumn("v", value.scalar()).agg(
+        ((F.count_if(F.col("year") < F.col("v")) <= n * 0.51) & (F.count_if(F.col("year") <= F.col("v")) >= n * 0.49)).alias("w"))
+    return filled.select("work_id", F.col("known").alias("year"),
+                         F.when(F.col("known").isNull() & F.col("year").isNotNull(), within.scalar()).alias("filled_within"))
+
+
 def bridge_reload(spark, sf):
     staged = model.work_author(_work_level(spark, sf), distinct=False)
     return merge.bridge_reload(staged, ["work_id", "author_id"])
@@ -360,7 +454,7 @@ def dedup_latest(spark, sf):
 # --- J: joins ----------------------------------------------------------------------------
 
 def left_join_unhinted(spark, sf):
-    e = _editions(spark, sf)
+    e = _editions(spark, sf, FACT)
     return model.fact_book(e, model.dim_time(e), broadcast_time=False)
 
 
@@ -397,7 +491,7 @@ def warehouse_star(spark, sf):
 
 def _loaded_star(spark, sf):
     root = scratch_path(spark, "warehouse-star")
-    star = _star(spark, sf)
+    star = {t: materialise(df, f"built-{t}") for t, df in _star(spark, sf).items()}
     for day in ("2025-01-15", "2025-01-16"):
         warehouse.load_star(root, star, day)
     return root
@@ -406,9 +500,7 @@ def _loaded_star(spark, sf):
 def warehouse_tables(spark, sf):
     """Every table of the loaded star, each row as JSON beside its table's name."""
     root = _loaded_star(spark, sf)
-    parts = [warehouse.read_table(spark, root, t).select(
-        F.lit(t).alias("table_name"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("null"))
-                                                         for c in schemas.TABLES[t].names]).alias("row_text"))
+    parts = [warehouse.read_table(spark, root, t).select(F.lit(t).alias("table_name"), row_text(t).alias("row_text"))
              for t in schemas.LOAD_ORDER]
     return reduce(DataFrame.unionByName, parts)
 
@@ -439,10 +531,37 @@ def two_day_work_author(spark, sf):
     return warehouse.read_table(spark, _two_days(spark, sf), "work_author")
 
 
+REPLAYS = ["load older day again", "replay without rows", "day written without rows", "killed before it was named"]
+
+
+def replayed_loads(spark, sf):
+    """Loads repeated in any order, each into a warehouse (or sink) of its own
+    and read back: the first day run again after the second with other titles;
+    a day run again without rows; a day of the date-partitioned sink written
+    again without rows; a rerun of a bridge that ended before it was named."""
+    root = scratch_path(spark, "replayed")
+    works = materialise(_works(spark, sf), "replayed-works")
+    today, older = works.filter("edition_count % 3 <> 0"), works.withColumn("title", F.concat(F.lit("Aaa "), "title"))
+    two, none, sink, killed = (f"{root}/{x}" for x in ("two", "none", "sink", "killed"))
+    for day, w in (("2025-01-15", works), ("2025-01-16", today), ("2025-01-15", older)):
+        warehouse.load_table(two, "dim_work", model.dim_work(w), day)
+    for w in (works, works.limit(0)):
+        warehouse.load_table(none, "work_author", model.work_author(w), "2025-01-15")
+    for day, w in (("2025-01-15", works), ("2025-01-16", works), ("2025-01-16", works.limit(0))):
+        sinks.partitioned_write(model.dim_work(w), sink, day)
+    warehouse.load_table(killed, "work_author", model.work_author(today), "2025-01-15")
+    merge.write_rows(model.work_author(works), f"{killed}/work_author", "ended-early")
+    got = [warehouse.read_table(spark, two, "dim_work").select("work_id", "title"),
+           warehouse.read_table(spark, none, "work_author").select("work_id", F.col("author_id").alias("title")),
+           spark.read.parquet(sink).select("work_id", F.concat_ws("|", "title", "day").alias("title")),
+           warehouse.read_table(spark, killed, "work_author").select("work_id", F.col("author_id").alias("title"))]
+    return reduce(DataFrame.unionByName, [g.withColumn("replay", F.lit(name)) for name, g in zip(REPLAYS, got)])
+
+
 def stable_keys(spark, sf):
     """Ids across two builds: the first without the editions of an odd year, the
     second with all; old years keep their id, and every edition has one fact."""
-    e = materialise(_editions(spark, sf), "stable-keys")
+    e = materialise(_editions(spark, sf, FACT), "stable-keys")
     first = model.dim_time(e.filter(F.col("publish_date") % 2 == 0))
     repeated = first.unionByName(first.withColumn("time_id", F.col("time_id") + 1000))   # one value, two keys
     second = materialise(model.dim_time(e, previous=repeated), "stable-time")
@@ -476,7 +595,7 @@ def _star(spark, sf):
 
 
 def quality_report(spark, sf):
-    e = _editions_once(spark, sf)
+    e = _editions(spark, sf, build.EDITION_COLUMNS)
     return model.quality_report(e, model.dim_edition(e), model.fact_book(e, model.dim_time(e)))
 
 
@@ -485,6 +604,40 @@ def check_keys(spark, sf):
     return contracts.keys_report({n: (star[n], k) for n, k in schemas.KEYS.items() if k})
 
 
+def _text_facts(spark, sf):
+    """Facts as a landing delivers them: time_id as text (some undated), page
+    counts as doubles (some with a half)."""
+    e = raw_editions(spark, sf)
+    year = F.when(F.col("publish_date") == "undated", F.col("publish_date")).otherwise(
+        X.first_year("publish_date").cast("string"))
+    half = F.when(F.col("key").endswith("4M"), F.lit(0.5)).otherwise(F.lit(0.0))
+    return e.select(X.entity_id("key").alias("edition_id"), X.entity_id(J.first_key("works")).alias("work_id"),
+                    year.alias("time_id"), (F.col("number_of_pages") + half).alias("number_of_pages"))
+
+
+def check_types(spark, sf):
+    """The columns of two landed tables against the declared types."""
+    e = raw_editions(spark, sf).select(X.entity_id("key").alias("edition_id"), "title", "publish_date",
+                                       F.col("publishers").alias("publisher"))
+    return contracts.type_report(e, "dim_edition", schemas.TABLES["dim_edition"]).unionByName(
+        contracts.type_report(_text_facts(spark, sf), "fact_book", schemas.TABLES["fact_book"]))
+
+
+def quarantined_load(spark, sf):
+    """Landed facts are loaded; rows with a value beyond its declared type are
+    left out and kept with the reason. Loaded facts (one per edition id) and
+    rejects, row by row."""
+    root = scratch_path(spark, "quarantine")
+    warehouse.load_table(root, "fact_book", materialise(_text_facts(spark, sf), "text-facts"), "2025-01-15")
+    none = F.lit(None).cast("string")
+    loaded = warehouse.read_table(spark, root, "fact_book").select(
+        "edition_id", "time_id", "number_of_pages", none.alias("column"), none.alias("reason"), none.alias("value"))
+    rejects = warehouse.read_rejects(spark, root, "fact_book").select(
+        F.get_json_object("row_json", "$.edition_id").alias("edition_id"), F.lit(None).cast("int").alias("time_id"),
+        F.lit(None).cast("bigint").alias("number_of_pages"), "column", "reason", "value")
+    return loaded.unionByName(rejects)
+
+
 def check_lengths(spark, sf):
     star = _star(spark, sf)
     parts = [contracts.length_report(star[n], n, lim) for n, lim in schemas.LENGTHS.items()]
@@ -515,13 +668,29 @@ def stream_dedup_watermark(spark, sf):
     return spark.read.parquet(out)
 
 
+def stream_dedup_stored(spark, sf):
+    """T1 without state: two files of events, every event twice in each stream and
+    half of them in both files; a second stream with a checkpoint of its own then
+    brings all events again, and adds none."""
+    root, land, schema = scratch_path(spark, "events-stored"), scratch_path(spark, "events-land"), None
+    events = read_table(spark, sf, "events")
+    schema = events.schema
+    events.filter("event_id % 3 > 0").coalesce(1).write.parquet(f"{land}/a")
+    events.filter("event_id % 3 < 2").coalesce(1).write.parquet(f"{land}/b")
+    for _ in (0, 1):
+        twice = (sdedup.read_stream(spark, f"{land}/*", schema, max_files=1)
+                 .withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy"))
+        sdedup.start_stored_dedup(twice, root, ["event_id"], scratch_path(spark, "events-stored-ckpt")).awaitTermination()
+    return sdedup.read_deduped(spark, root, schema)
+
+
 def stream_upsert(spark, sf):
     """The staged fact rows land as files hashed by edition_id (a key lives in
     one file) in two folders, each streamed with a checkpoint of its own, one
     file per micro-batch, into the table of the previous load; the result
     equals the one-shot upsert."""
     root, schema = scratch_path(spark, "fact-changes"), schemas.TABLES["fact_book"]
-    supsert.init_table(previous_fact_load(spark, sf), root)
+    supsert.init_table(previous_fact_load(spark, sf), root, "edition_id")
     facts = materialise(fact_book(spark, sf), "fact-staged")
     for half in (0, 1):
         land = scratch_path(spark, "fact-landing")
@@ -554,14 +723,20 @@ def landing_rounds(spark, sf):
     return spark.read.parquet(land).select("linked_key", "round")
 
 
+def row_text(table: str):
+    """A row of a star table as text, null as ``null``."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in schemas.TABLES[table].names])
+
+
 def star_written(spark, sf):
     """The whole build written as eight tables for a load day; rows per
-    table as read back."""
+    table as read back, and the sum of their hashes."""
     out = scratch_path(spark, "star")
     for name, df in _star(spark, sf).items():
         sinks.partitioned_write(df, f"{out}/{name}", "2025-01-15")
-    parts = [spark.read.parquet(f"{out}/{t}").agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
-             for t in schemas.LOAD_ORDER]
+    number = lambda t: F.conv(F.substring(F.md5(row_text(t)), 1, 8), 16, 10).cast("long")
+    parts = [spark.read.parquet(f"{out}/{t}").agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                                                  F.sum(number(t)).alias("row_hash")) for t in schemas.LOAD_ORDER]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -631,4 +806,14 @@ JOBS = {
     "stable_keys": stable_keys,
     "landing_rounds": landing_rounds,
     "star_written": star_written,
+    "replayed_loads": replayed_loads,
+    "stream_dedup_stored": stream_dedup_stored,
+    "check_types": check_types,
+    "quarantined_load": quarantined_load,
+    "salted_holistic": salted_holistic,
+    "two_day_impute": two_day_impute,
+    "work_co_located": work_co_located,
+    "page_shapes": page_shapes,
+    "map_lookup_table": map_lookup_table,
+    "manifest_landing": manifest_landing,
 }

@@ -23,6 +23,9 @@ DEFAULT_CONF = {
 }
 
 
+PARSED_ROW_GROUP = 8 << 20      # of tables of parsed rows, which are narrow and read several times
+
+
 def get_session(master: str | None = None, app: str = "bookmart",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
@@ -90,12 +93,16 @@ def scale_conf(shuffle_bytes: int, partition_bytes: int = 256 * 1024 * 1024) ->
     }
 
 
-def materialise(df, name: str):
+def materialise(df, name: str, row_group: int | None = None):
     """Cut lineage: write ``df`` as a parquet table in the shared checkpoint
     folder and return its read-back. Columnar and compressed (a checkpoint
     stores uncompressed rows by default), and later readers get column pruning
     and predicate pushdown; a lost executor re-reads the table instead of
-    recomputing the lineage."""
+    recomputing the lineage. ``row_group`` (bytes) makes row groups smaller than
+    Parquet's 128 MB, so a table of few files is read by more tasks."""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    w = df.write.mode("overwrite")
+    if row_group:
+        w = w.option("parquet.block.size", str(row_group))
+    w.parquet(path)
     return df.sparkSession.read.parquet(path)

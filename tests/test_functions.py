@@ -169,3 +169,31 @@ def test_edition_chain_quirks(spark):   # Q3, Q4, Q6, Q13, P9, A2b, P11
     # OL2M ('unknown' publishers) is absent; [s.n.] is dropped; 'Foo Press' loses its last char
     assert d == [("OL1M", "Penguin", "English"), ("OL4M", "Foo Pres", None),
                  ("OL5M", "Acme hous", "Vietnamese")]
+
+
+def test_lookup_map_from_a_table(spark, monkeypatch):   # F14
+    codes = spark.createDataFrame([("a", "A"), ("b", "B"), ("b", "b2"), (None, "x")], "code string, name string")
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "k string")
+    got = df.select("k", X.lookup(X.lookup_map(codes, "code", "name"), "k").alias("v"))
+    assert rows(got) == [(None, None), ("a", "A"), ("b", "B"), ("c", None)]
+    monkeypatch.setattr(X, "MAP_ROWS", 1)
+    import pytest
+    with pytest.raises(Exception, match="join the table"):
+        df.select(X.lookup(X.lookup_map(codes, "code", "name"), "k")).collect()
+
+
+def test_pages_of_any_shape(spark):   # S9
+    from pyspark.sql import types as T
+
+    from bookmart.session import scratch_path
+    from bookmart.sources import landing
+    path = scratch_path(spark, "t-pages")
+    lines = ['{"works": [{"key": "/works/1", "n": 3}, {"key": "/works/2", "n": "x", "more": [1]}], "size": 2}',
+             '{"entries": [{"key": "/books/1"}], "works": null}', '{"subjects": []}', '{"entries": {"key": "no list"}}',
+             '{"works": [{"key": "/works/3", "n":', "", "[]", "null", '{"works": [5, null, {"key": 7}]}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    record = T.StructType([T.StructField("key", T.StringType()), T.StructField("n", T.LongType())])
+    records, rejects = landing.read_pages(spark, path, record)
+    assert rows(records) == [("entries", "/books/1", None), ("works", None, None), ("works", None, None), ("works", "/works/1", 3),
+                             ("works", "/works/2", None), ("works", "7", None)]
+    assert rows(rejects, "reason") == [("no JSON",)] * 2 + [("no known list",)] * 3

@@ -121,8 +121,14 @@ def test_unreadable_tables_are_errors(spark):   # never taken for empty ones
         merge.read_latest(spark, root, schema).count()
     with pytest.raises(Exception):
         merge.read_current(spark, root, "k", schema).count()
+    seen = scratch_path(spark, "t-broken-seen")
+    frontier.record_seen(spark.createDataFrame([("a",)], "k string"), seen, "k")
+    for part in pathlib.Path(seen.replace("file:", "")).rglob("rows/*.parquet"):
+        for x in (part, part.with_name("." + part.name + ".crc")):
+            if x.exists():
+                x.write_bytes(b"broken")
     with pytest.raises(Exception):
-        frontier.read_seen(spark, root + "/rows", "k").count()
+        frontier.read_seen(spark, seen, "k").count()
 
 
 def test_bridge_reload_and_frontier(spark):   # A7, J3
@@ -299,3 +305,204 @@ def test_one_per_key_with_a_map_column(spark):
     df = spark.createDataFrame([("k", 2, {"a": "1"}), ("k", 1, {"b": "2"})], "k string, n int, m map<string,string>")
     got = keys.one_per_key(df, "k").collect()
     assert len(got) == 1 and got[0].n == 1 and got[0].m == {"b": "2"}
+
+
+# --- loads repeated in any order (D13, D14, S6, T2) ------------------------------
+
+KN = "k string, n long"
+
+
+def _kn():
+    from pyspark.sql import types as T
+    return T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType())])
+
+
+def test_an_older_day_run_again_does_not_win(spark):   # D13
+    root = scratch_path(spark, "t-older")
+    load = lambda data, day: merge.append_changes(spark.createDataFrame(data, KN), root, "load", day, "k", day)
+    now = lambda: rows(merge.read_current(spark, root, "k", _kn()))
+    load([("a", 15), ("b", 15)], "2025-01-15")
+    load([("a", 16)], "2025-01-16")
+    load([("a", 150), ("b", 150)], "2025-01-15")          # a backfill
+    assert now() == [("a", 16), ("b", 150)]
+    assert rows(merge.read_latest(spark, root, _kn())) == [("a", 16)]
+    load([("a", 14), ("c", 14)], "2025-01-14")            # a day that came late
+    assert now() == [("a", 16), ("b", 150), ("c", 14)]
+    merge.compact(spark, root, root + "-new", "k", _kn())
+    merge.append_changes(spark.createDataFrame([("a", 1)], KN), root + "-new", "load", "2025-01-15", "k", "2025-01-15")
+    assert rows(merge.read_current(spark, root + "-new", "k", _kn())) == [("a", 16), ("b", 150), ("c", 14)]
+    with pytest.raises(ValueError):
+        load([("a", 1)], "yesterday")
+
+
+@pytest.mark.parametrize("key", [None, "k"])
+def test_a_batch_replaced_by_none_leaves_no_rows(spark, key):   # D13, D14, T2
+    root = scratch_path(spark, "t-empty")
+    frame = spark.createDataFrame([("a", 1), ("b", 2)], KN)
+    merge.append_changes(frame, root, "load", "1", key)
+    merge.append_changes(frame.filter("k = 'a'"), root, "stream", "0", key)
+    merge.append_changes(frame.limit(0), root, "load", "1", key)
+    assert rows(merge.read_current(spark, root, "k", _kn())) == [("a", 1)]
+    merge.append_changes(frame.limit(0), root, "stream", "0", key)
+    assert merge.read_current(spark, root, "k", _kn()).count() == 0 and merge.is_loaded(spark, root)
+    assert merge.read_latest(spark, root, _kn()).count() == 0
+
+
+@pytest.mark.parametrize("key", [None, "k"])
+def test_a_rerun_that_ends_early_changes_nothing(spark, monkeypatch, key):   # D14
+    root = scratch_path(spark, "t-killed")
+    frame = spark.createDataFrame([("a", 1), ("b", 2)], KN)
+    merge.append_changes(frame, root, "load", "1", key, "2025-01-15")
+
+    def killed(*_, **__):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m, pytest.raises(KeyboardInterrupt):
+        m.setattr(merge, "name_attempt", killed)
+        merge.append_changes(spark.createDataFrame([("a", 5)], KN), root, "load", "1", key, "2025-01-15")
+    want = [("a", 1), ("b", 2)]
+    assert rows(merge.read_current(spark, root, "k", _kn())) == want == rows(merge.read_latest(spark, root, _kn()))
+    merge.append_changes(spark.createDataFrame([("a", 5)], KN), root, "load", "1", key, "2025-01-15")
+    assert rows(merge.read_latest(spark, root, _kn())) == [("a", 5)] == rows(merge.read_current(spark, root, "k", _kn()))
+
+
+def test_a_day_written_again_without_rows_is_empty(spark):   # S6
+    path = scratch_path(spark, "t-empty-day")
+    frame = spark.createDataFrame([("a", 1)], KN)
+    for day, df in (("2025-01-15", frame), ("2025-01-16", frame), ("2025-01-16", frame.limit(0))):
+        sinks.partitioned_write(df, path, day)
+    assert rows(spark.read.parquet(path), "k", "n", "day") == [("a", 1, 15)]
+    assert sinks.read_load_day(spark, path, "2025-01-16").count() == 0
+    sinks.partitioned_write(frame.filter("n > 5").groupBy("k").agg(F.sum("n").alias("n")), path, "2025-01-15")
+    assert spark.read.parquet(path).count() == 0 and set(spark.read.parquet(path).columns) >= {"k", "n", "day"}
+    sinks.partitioned_write(frame, path, "2025-01-16")
+    assert rows(spark.read.parquet(path), "k", "day") == [("a", 16)]
+
+
+def test_the_current_state_and_seen_keys_do_not_move(spark):   # D13, S12
+    root = scratch_path(spark, "t-still")
+    wide = spark.range(2000).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.col("id").alias("n"))
+    for day in ("2025-01-15", "2025-01-16"):
+        merge.append_changes(wide, root, "load", day, "k", day)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    now = merge.read_current(spark, root, "k", _kn())
+    assert "Bucketed: true" in plan(now) and "hashpartitioning(k#" not in plan(now)
+    assert now.count() == 2000
+    seen = scratch_path(spark, "t-still-seen")
+    frontier.record_seen(wide.filter("n < 1500"), seen, "k")
+    frontier.record_seen(wide.filter("n < 100"), seen, "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = frontier.unseen(wide, frontier.read_seen(spark, seen, "k"), "k")
+        p = plan(new)
+        candidates, stored = p.split("Range (")
+        assert "LeftAnti" in p and "Exchange" in candidates and "Exchange" not in stored and "Bucketed: true" in stored, p
+        assert new.count() == 500
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_folder_keeps_its_layout(spark):
+    from bookmart.sources import bucketed
+    root = scratch_path(spark, "t-layout")
+    frame = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], KN)
+    bucketed.append(frame, root, ["k"], 8)
+    bucketed.append(frame, root, ["k"], 64)                    # the first rows fixed it
+    assert bucketed.layout(spark, root) == (["k"], 8) and bucketed.read(spark, root, _kn()).count() == 6
+    with pytest.raises(ValueError):
+        bucketed.append(frame, root, ["n"])
+    assert bucketed.read_or_empty(spark, root + "-none", _kn()).count() == 0
+
+
+# --- C2 types, A5 without partial form, A2 across loads ----------------------------
+
+def test_types_are_reported_and_misfits_kept_apart(spark):   # C2
+    from pyspark.sql import types as T
+    from bookmart.plans import warehouse
+    declared = T.StructType([T.StructField("time_id", T.IntegerType()), T.StructField("publish_year", T.IntegerType()),
+                             T.StructField("decade", T.IntegerType()), T.StructField("century", T.IntegerType())])
+    landed = spark.createDataFrame([("1", "1999", 1990.0, 20), ("2", "undated", 1990.0, 20), ("3", None, 1990.5, 20),
+                                    ("x", "12345678901", float("nan"), None), (None, "2000", None, 3000000000)],
+                                   "time_id string, publish_year string, decade double, century bigint")
+    report = {r["column_name"]: (r["found_type"], r["declared_type"], r["n_values"], r["n_misfits"])
+              for r in contracts.type_report(landed, "dim_time", declared).collect()}
+    assert report == {"time_id": ("string", "int", 4, 1), "publish_year": ("string", "int", 4, 2),
+                      "decade": ("double", "int", 4, 2), "century": ("bigint", "int", 4, 1)}
+    assert contracts.type_report(landed.drop("century"), "t", declared).filter("found_type = 'absent'").count() == 1
+    root = scratch_path(spark, "t-quarantine")
+    warehouse.load_table(root, "dim_time", landed, "2025-01-15")          # ended the load before
+    assert rows(warehouse.read_table(spark, root, "dim_time")) == [(1, 1999, 1990, 20)]
+    bad = rows(warehouse.read_rejects(spark, root, "dim_time"), "column", "reason", "value")
+    assert bad == sorted([("publish_year", "not int", "undated"), ("decade", "not int", "1990.5"), ("time_id", "not int", "x"),
+                          ("publish_year", "not int", "12345678901"), ("decade", "not int", "NaN"),
+                          ("century", "not int", "3000000000")])
+    warehouse.load_table(root, "dim_time", landed.limit(1), "2025-01-15")     # the day again, mended
+    assert warehouse.read_rejects(spark, root, "dim_time").count() == 0
+    with pytest.raises(ValueError, match="century"):
+        warehouse.load_table(root, "dim_time", landed.drop("century"), "2025-01-16")
+
+
+def test_lengths_are_part_of_the_contract(spark):   # C2
+    schema = schemas.TABLES["work_author"]
+    df = spark.createDataFrame([("w" * 51, "a"), ("w", "a"), (None, None)], schema)
+    good, bad = contracts.split_valid(df, schema, schemas.LENGTHS["work_author"])
+    assert rows(good) == [(None, None), ("w", "a")]
+    assert [r["reasons"][0]["reason"] for r in bad.collect()] == ["longer than 50"]
+    _, bad = contracts.split_valid(df, schema, key="work_id")
+    assert [r["reasons"][0]["reason"] for r in bad.collect()] == ["no key"]
+
+
+def test_salted_aggregates_without_a_partial_form(spark):   # A5
+    rnd = random.Random(8)
+    data = [("hot", rnd.randrange(5000), rnd.choice("abc")) for _ in range(30_000)] + \
+           [("few", i, "z") for i in range(5)] + [(None, 7, "b"), (None, 7, "a"), ("none", None, None)]
+    df = spark.createDataFrame(data, "k string, v int, s string")
+    q = {r["k"]: (r["lo"], r["mid"]) for r in skew.salted_quantile(df, ["k"], "v", {"lo": 0.1, "mid": 0.5}, salts=8).collect()}
+    values = sorted(v for k, v, _ in data if k == "hot")
+    for got, share in zip(q["hot"], (0.1, 0.5)):
+        below, upto = sum(v < got for v in values), sum(v <= got for v in values)
+        assert below <= len(values) * (share + 0.005) and upto >= len(values) * (share - 0.005)
+    assert q["few"] == (0, 2) and q["none"] == (None, None) and q[None] == (7, 7)
+    counts = {k: sorted(((-sum(1 for a, _, x in data if a == k and x == s)), s) for s in {x for a, _, x in data if a == k and x})
+              for k in ("hot", "few", None)}
+    mode = {r["k"]: (r["mode"], r["mode_count"]) for r in skew.salted_mode(df, ["k"], "s").collect()}
+    assert mode == {**{k: (c[0][1], -c[0][0]) for k, c in counts.items()}, "none": (None, None)}
+    sets = {r["k"]: r["values"] for r in skew.salted_set(df, ["k"], "v", salts=8).collect()}
+    assert sets == {"hot": sorted(set(values)), "few": list(range(5)), None: [7], "none": None}
+    x = skew.salted_quantile(df.withColumn("d", F.col("v") / 2), ["k"], "d", {"m": 0.5}).filter("k = 'few'").first()["m"]
+    assert x == 1.0
+
+
+def test_medians_across_loads_read_no_old_rows(spark):   # A2, A2b
+    from bookmart.operators import sketches
+    root, land = scratch_path(spark, "t-sketch"), scratch_path(spark, "t-sketch-rows")
+    day = {d: spark.createDataFrame([(i,) for i in v], "y int") for d, v in
+           (("2025-01-15", [1, 2, 3, 4, 5, None]), ("2025-01-16", [100, None, 101, 102, 103, 104, 105]))}
+    for d, df in day.items():
+        df.write.parquet(f"{land}/{d}")
+        sketches.record(spark.read.parquet(f"{land}/{d}"), root, d, ["y"])
+    filled = sketches.fill(spark.read.parquet(f"{land}/2025-01-16"), root, ["y"])
+    assert "2025-01-15" not in filled._jdf.queryExecution().toString()
+    assert rows(filled)[0] == (100,) and filled.filter("y = 100").count() == 2          # 100 is the 6th of 11
+    sketches.record(day["2025-01-15"].filter("y > 3"), root, "2025-01-15", ["y"])       # the day again: replaced
+    assert [r["n_values"] for r in sketches.quantiles(spark, root).collect()] == [8]
+    sketches.record(day["2025-01-15"].limit(0), root, "2025-01-15", ["y"])
+    sketches.record(day["2025-01-15"].limit(0), root, "2025-01-16", ["y"])
+    assert sketches.fill(day["2025-01-15"], root, ["y"]).filter("y is null").count() == 1
+
+
+def test_landing_with_a_manifest_opens_no_file_for_its_schema(spark, monkeypatch):   # S1, S11
+    path = scratch_path(spark, "t-manifest")
+    for i in range(6):                                         # alternating types
+        kind = ("int", "double", "string")[i % 3]
+        drifting.land_batch(spark.createDataFrame([(f"k{i}", i), (f"l{i}", None)], f"key string, n {kind}".replace(
+            "n double", "n int").replace("n string", "n int")).withColumn("n", F.col("n").cast(kind)), path, 1)
+    drifting.land_batch(spark.createDataFrame([("more", "x")], "key string, extra string"), path)
+    spark.createDataFrame([("unrecorded", 1)], "key string, n int").write.parquet(f"{path}/half-done")
+    def no_look(*_):
+        raise AssertionError("a schema job")
+    monkeypatch.setattr(drifting, "merged_schema", no_look)
+    got = drifting.read_landing(spark, path, {"n": "bigint"})
+    want = [(f"k{i}", i, None) for i in range(6)] + [(f"l{i}", None, None) for i in range(6)] + [("more", None, "x")]
+    assert rows(got, "key", "n", "extra") == sorted(want, key=lambda t: tuple((x is not None, x) for x in t))
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 4

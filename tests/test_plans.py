@@ -65,6 +65,15 @@ def test_flagship_reads_its_raw_table_once(spark):   # D10
     assert "lineitem.parquet" not in p and "InMemoryTableScan" not in p      # one written copy of the parsed rows
 
 
+def test_flagship_is_wide_after_a_narrow_scan(spark):   # D10: one row group in, several tasks from there on
+    e = jobs._editions(spark, SF001.replace("0.001", "0.01"), jobs.FACT)
+    assert e.columns == jobs.FACT
+    from bookmart.plans import clean, fixtures
+    parsed = clean.edition_parsed(fixtures.raw_editions(spark, SF001), jobs.FACT)
+    p = plan(parsed)
+    assert "rebalance" in p.lower() and "isbn" not in p and "languages" not in p
+
+
 def test_scans_are_neither_cached_nor_spread(spark):
     p = plan(jobs.dim_author(spark, SF001))
     assert "InMemoryTableScan" not in p and "RoundRobin" not in p
@@ -87,6 +96,36 @@ def test_bucketed_tables_join_without_exchange(spark):   # C3
     assert ft.join(dt, "work_id").count() == 3000
 
 
+def test_hot_works_join_in_place(spark):   # C3
+    from bookmart.session import scratch_path
+    from bookmart.sources import bucketed, sinks
+    work = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 11 == 1, F.lit(None)).when(
+        F.col("id") % 11 == 2, F.lit("")).otherwise(F.concat(F.lit("w"), F.col("id") % 300))
+    fact = spark.range(9000).select(F.col("id").alias("edition_id"), work.alias("work_id"))
+    dim = spark.range(300).select(F.concat(F.lit("w"), "id").alias("work_id"), F.lit("t").alias("title")).unionByName(
+        spark.createDataFrame([("hot", "h"), ("", "e"), (None, "n")], "work_id string, title string"))
+    limit, n = 400, 23
+    hot = bucketed.hot_keys(fact, "work_id", limit)
+    assert {r["work_id"]: r["parts"] for r in hot.collect()} == {"hot": 8, "": 2}
+    by = ["work_id", bucketed.SALT]
+    sides = [bucketed.salted(fact, "work_id", hot, n), bucketed.replicated(dim, "work_id", hot)]
+    assert sides[0].count() == 9000 and sides[1].count() == 303 + 7 + 1
+    largest = bucketed.largest_bucket(sides[0], by, n).first()["largest"]
+    assert largest < 4 * limit < bucketed.largest_bucket(fact, ["work_id"], n).first()["largest"]
+    ft, dt = [sinks.bucketed_write(df, f"t_hot_{i}", scratch_path(spark, f"hot{i}"), by, "work_id", n) for i, df in enumerate(sides)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how in ("inner", "left"):
+            joined = bucketed.co_located(ft, dt, "work_id", how)
+            p = plan(joined)
+            assert "SortMergeJoin" in p and "Exchange" not in p, p
+            want = fact.join(dim, "work_id", how)
+            assert sorted(joined.select("edition_id", "work_id", "title").collect(), key=str) == \
+                sorted(want.select("edition_id", "work_id", "title").collect(), key=str)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_bucketed_fact_has_buckets_for_its_size(spark, monkeypatch):   # C3
     few = jobs.bucketed_fact(spark, SF001)
     n = few.count()

@@ -1,6 +1,9 @@
 """Streaming: replaying availableNow on one checkpoint adds nothing; the
 micro-batch upsert equals the one-shot upsert."""
 
+import glob
+import os
+
 from pyspark.sql import functions as F
 
 from bookmart.operators import merge
@@ -36,13 +39,13 @@ def test_stream_upsert_batches_apply_in_order(spark):
     spark.createDataFrame([(1, 2000, 2000, 20)], schema).coalesce(1).write.parquet(f"{land}/a")
     spark.createDataFrame([(1, 2001, 2000, 21), (2, 1999, 1990, 20)], schema) \
         .coalesce(1).write.parquet(f"{land}/b")
-    su.init_table(spark.createDataFrame([(3, 1000, 1000, 10)], schema), root)
+    su.init_table(spark.createDataFrame([(3, 1000, 1000, 10)], schema), root, "time_id")
     s = sd.read_stream(spark, f"{land}/*", schema, max_files=1)
     su.start_upsert(s, root, "time_id", scratch_path(spark, "t-su-ck")).awaitTermination()
     now = lambda: rows(merge.read_current(spark, root, "time_id", schema))
     assert now() == [(1, 2001, 2000, 21), (2, 1999, 1990, 20), (3, 1000, 1000, 10)]
     # a batch load and a stream with a fresh checkpoint share the table
-    merge.append_changes(spark.createDataFrame([(3, 1003, 1000, 11)], schema), root, "load", "1")
+    merge.append_changes(spark.createDataFrame([(3, 1003, 1000, 11)], schema), root, "load", "1", "time_id")
     spark.createDataFrame([(4, 1500, 1500, 15)], schema).coalesce(1).write.parquet(f"{land}2/c")
     s = sd.read_stream(spark, f"{land}2/*", schema, max_files=1)
     su.start_upsert(s, root, "time_id", scratch_path(spark, "t-su-ck2")).awaitTermination()
@@ -69,3 +72,25 @@ def test_watermark_dedup_forgets_old_keys(spark):   # T1, bounded state
     s2 = sd.read_stream(spark, f"{land}/*", spark.createDataFrame([], schema).schema, max_files=1)
     sd.to_parquet(sd.dedup(s2, ["event_id"]), out2, ck2).awaitTermination()
     assert sorted(r.event_id for r in spark.read.parquet(out2).collect()) == [1, 2, 3]
+
+
+def test_stored_dedup_holds_no_keys_and_replays(spark, monkeypatch):   # T1
+    land, root, ck = (scratch_path(spark, f"t-st-{x}") for x in ("land", "root", "ck"))
+    kind = "event_id bigint, v string"
+    schema = spark.createDataFrame([], kind).schema
+    batches = [[(1, "a"), (1, "a"), (None, "n")], [(1, "b"), (2, "c")], [(None, "m"), (3, "d"), (2, "e")]]
+    for i, b in enumerate(batches):
+        spark.createDataFrame(b, kind).coalesce(1).write.parquet(f"{land}/b{i}")
+    run = lambda ck_: sd.start_stored_dedup(sd.read_stream(spark, f"{land}/*", schema, max_files=1), root,
+                                            ["event_id"], ck_).awaitTermination()
+    run(ck)
+    want = rows(sd.read_deduped(spark, root, schema))
+    assert [r[0] for r in want] == [None, 1, 2, 3]
+    assert not glob.glob(ck.replace("file:", "") + "/state/*")           # no state store at all
+    # the last micro-batch again, as after a failure before its commit entry
+    for name in ("2", ".2.crc"):
+        os.remove(f"{ck.replace('file:', '')}/commits/{name}")
+    run(ck)
+    assert rows(sd.read_deduped(spark, root, schema)) == want
+    run(scratch_path(spark, "t-st-ck2"))                                  # another stream adds nothing
+    assert rows(sd.read_deduped(spark, root, schema)) == want
