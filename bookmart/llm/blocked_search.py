@@ -78,13 +78,16 @@ def _groups(pairs: DataFrame, limit: int) -> list[DataFrame]:
     """The items dealt into groups of at most ``limit`` pairs; an item beyond
     it is a group by itself in the end."""
     total = pairs.count()
-    parts = max(1, -(-total // limit))
+    if total <= limit:
+        return [pairs]
+    parts = -(-total // limit)
     while True:
         group = F.pmod(F.xxhash64("item_id"), F.lit(parts))
-        over = (pairs.groupBy(group.alias("g")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(
-            F.coalesce(F.col("item_id"), F.lit(-1))).alias("items")).filter((F.col("n") > limit) & (F.col("items") > 1)))
-        if parts == 1 and total <= limit or over.isEmpty():
-            return [pairs.filter(group == g) for g in range(parts)]
+        # one row per group: as many as the driver then runs passes
+        sizes = (pairs.groupBy(group.alias("g"), "item_id").agg(F.count(F.lit(1)).alias("n"))
+                 .groupBy("g").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("items")).collect())
+        if all(r["n"] <= limit or r["items"] == 1 for r in sizes):
+            return [pairs.filter(group == r["g"]) for r in sizes]
         parts *= 2
 
 
