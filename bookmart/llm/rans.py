@@ -24,7 +24,8 @@ break, so the ids of the pieces between them are kept in a table of bounded
 size and joined.
 
 Cases: null and empty texts have only the end id; repeated rows of one doc_id
-follow each other, ordered by text; null doc_ids come first; very long texts
+follow each other, ordered by a hash of the text; doc_ids are whole numbers
+(others end the job in a cast error); null doc_ids come first; very long texts
 make one pack of their own size; an empty table gives no pack and an empty
 result; other columns are not read.
 """
@@ -53,13 +54,15 @@ LANES = 2048
 CHECK_STEPS = 128
 PACK_IDS = 1 << 19
 SCALE_BITS = 20
+BLOCK_ROWS = 8_192               # documents of a range block, about, where there are many
 MEMO = 1_200_000                 # pieces of text kept with their ids, per worker
 END_ID = 2
 _LOW = 1 << 31                 # lane states stay in [2^31, 2^63)
 _MAGIC = b"RANS"
 _HEAD = struct.Struct("<4sHHQIIII")
 _ID = attrgetter("id")
-_SIGN_STOP = re.compile(r"(?:[^\w\s]|_)[.,](?:[ \n]|$)")
+# U+001C to U+001F are blank for this module, but not for the library
+_SIGN_STOP = re.compile(r"(?:[^\w\s]|[_\x1c-\x1f])[.,](?:[ \n]|$)")
 _LONG = " "                   # among the signs: a long piece of the text at hand ends in one
 _STOP_PAIRS = ("..", ".,", ",.", ",,")
 _WIDE = re.compile("[^\x00-\u012f\u0131-\u024f]")
@@ -287,7 +290,7 @@ def tokenize(docs: DataFrame, path: str, *, doc_col: str = "doc_id", text_col: s
     with open(path, encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())
     narrow = docs.select(F.col(doc_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    cuts = bounds(narrow, "doc_id", 2 * shuffle_width(spark))
+    cuts = bounds(narrow, "doc_id", max(2 * shuffle_width(spark), -(-narrow.count() // BLOCK_ROWS)))
     placed = narrow.select(block_of(F.col("doc_id"), cuts).alias("block"), "doc_id", F.xxhash64("text").alias("tie"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,7 +313,7 @@ def tokenize(docs: DataFrame, path: str, *, doc_col: str = "doc_id", text_col: s
         if parts:
             yield _pack_rows(block, pack, start, ids, parts, width, z)
 
-    dealt = (placed.repartition(len(cuts) + 1, "block")
+    dealt = (placed.repartitionById(len(cuts) + 1, "block")          # a task a block
              .sortWithinPartitions("block", F.col("doc_id").asc_nulls_first(), "tie"))
     return dealt.mapInArrow(run, _PACK_COLUMNS)
 
