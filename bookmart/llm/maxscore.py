@@ -30,9 +30,7 @@ candidates that may be among the k best, and those are scored in Python
 integers. A score that a long cannot hold is an error where it is returned.
 
 Cases: vectors that are null or hold null or non-finite components take no
-part, nor do rows without vec_id; wide vectors take part with ``limit=None``,
-as in the query, and are left out by default; vectors of different lengths are
-compared as if the shorter ended in zeros; repeated rows are one vector; rows
+part, nor do rows without vec_id; vectors of different lengths are compared as if the shorter ended in zeros; repeated rows are one vector; rows
 with one vec_id and different vectors are separate queries, and none of them is
 a candidate for another; fewer than k candidates give fewer rows; empty tables
 and tables without a query give an empty result; other columns are not read.
@@ -187,7 +185,7 @@ def _long(score: int) -> int | None:
     return score if score >= -(1 << 63) else None
 
 
-def _scaled(vectors: DataFrame, id_col: str, vector_col: str, scale: int, limit: int | None) -> DataFrame:
+def _scaled(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """(vec_id, v, wide): the distinct valid vectors, scaled, as arrays of long.
     Wide ones have null for v; ``wide`` holds their scaled components as doubles
     (integers, or infinite), followed by the components themselves where the
@@ -199,8 +197,7 @@ def _scaled(vectors: DataFrame, id_col: str, vector_col: str, scale: int, limit:
         return F.when(F.abs(x * scale) == float("inf"), x).otherwise(0.0)
 
     doubles = F.transform(vector_col, lambda x: x.cast("double"))
-    taken = F.forall(doubles, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf") if limit is None
-                                                                       else F.abs(x * scale) < limit))
+    taken = F.forall(doubles, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     narrow = F.forall("x", lambda x: F.abs(x * scale) < LIMIT)
     return (vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).filter(taken)
             .select(F.col(id_col).cast("long").alias("vec_id"), doubles.alias("x"))
@@ -270,12 +267,10 @@ def _key(q: np.ndarray) -> int:
 
 
 def search(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K,
-           every: int = EVERY, scale: int = SCALE, limit: int | None = LIMIT) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score of each query's k best. Vectors
-    with a scaled component of ``limit`` or more take no part; None keeps every
-    finite vector."""
+           every: int = EVERY, scale: int = SCALE) -> DataFrame:
+    """query_id, rank (from 1), vec_id, score of each query's k best."""
     spark = vectors.sparkSession
-    scaled = materialise(_scaled(vectors, id_col, vector_col, scale, limit), "maxscore-vectors")
+    scaled = materialise(_scaled(vectors, id_col, vector_col, scale), "maxscore-vectors")
     n = scaled.count()
     shards = max(1, -(-n // SHARD_ROWS), min(2 * shuffle_width(spark), n // LEAST_SHARD))
     none = [F.lit(None).cast("binary").alias(c) for c in ("ids", "lengths", "values")]
