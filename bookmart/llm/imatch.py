@@ -5,8 +5,8 @@ documents. The lexicon keeps the words whose inverse document frequency lies
 in a band, i.e. that occur in a share of the documents between ``LEAST`` and
 ``MOST``. At most (mean distinct words per document) / ``LEAST`` words can
 have a share of ``LEAST`` or more, so the lexicon has a size that does not grow
-with the corpus; it is counted against that bound before it is sent to the
-tasks.
+with the corpus. The tasks get its words' 64-bit hashes, eight bytes each (2.4 MB
+where a document has 300 distinct words on average).
 
 *Fingerprint.* The distinct lexicon words of a text are sorted. Randomised
 subsets of the lexicon come in densities 1, 1/2, 1/4, ... (a word belongs to
@@ -27,8 +27,10 @@ instead, marked as such; the two kinds are never alike.
 Cases: null counts as empty; texts without any word have a fingerprint of
 their own, alike (1.0) to each other and to nothing else; equal texts have
 equal fingerprints; repeated rows of one doc_id follow each other ordered by
-text; null doc_ids come first; the only document is its own next; an empty
-table gives an empty result; other columns are not read.
+text; null doc_ids come first, in one block; doc_ids are whole numbers (others
+end the job in a cast error); the only document is its own next; very long
+texts are taken whole; an empty table gives an empty result; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -48,41 +50,40 @@ from .ordered import block_of, bounds, constants
 LEAST, MOST = 0.001, 0.1      # band of document shares: idf between ln 10 and ln 1000
 SUBSETS = 24
 FEW = 4
-MAX_LEXICON = 2_000_000
+BLOCK_ROWS = 8_192            # documents of a range block, about, where there are many
 _DENSITIES = 40
+_SPARK_SEED = 42              # of Spark's xxhash64
 
 
-def lexicon(docs: DataFrame, *, text_col: str = "text", least: float = LEAST, most: float = MOST) -> list[str]:
-    """The words of the band, sorted. Distinct words per document are counted
-    with map-side combination; only words of the band reach the driver."""
+def lexicon(docs: DataFrame, *, text_col: str = "text", least: float = LEAST, most: float = MOST) -> np.ndarray:
+    """The hashes of the words of the band, sorted. Distinct words per document
+    are counted with map-side combination; only the band reaches the driver."""
     words = docs.select(F.explode(F.array_distinct(F.split(F.lower(text_col), WORD_BREAK))).alias("w")).filter("w <> ''")
     counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
     n = docs.count()
-    band = materialise(counts.filter((F.col("df") >= max(2, least * n)) & (F.col("df") <= max(2, most * n))).select("w"),
-                       "imatch-lexicon")
-    size = band.count()
-    if size > MAX_LEXICON:
-        raise ValueError(f"{size} words in the band: raise the least share")
-    return sorted(r[0] for r in band.collect())
+    band = counts.filter((F.col("df") >= max(2, least * n)) & (F.col("df") <= max(2, most * n)))
+    return np.unique(band.select(F.xxhash64("w").alias("h")).toArrow().column(0).to_numpy().view(np.uint64))
 
 
 class Fingerprinter:
-    def __init__(self, words: list[str], subsets: int = SUBSETS):
-        self.hash_of = {w: xxhash.xxh64_intdigest(w, 1) for w in words}
+    def __init__(self, hashes: np.ndarray, subsets: int = SUBSETS):
+        self.lexicon = hashes
         self.multipliers = np.array([xxhash.xxh64_intdigest(b"subset", k) | 1 for k in range(subsets)], np.uint64)
         self.subsets = subsets
 
     def of(self, text: str) -> str:
-        distinct = set(text.lower().encode().split())
+        distinct = sorted(set(text.lower().encode().split()))
         if not distinct:
             return "none"
-        known = sorted(w for w in (b.decode() for b in distinct) if w in self.hash_of)
+        x = np.array([xxhash.xxh64_intdigest(w, _SPARK_SEED) for w in distinct], np.uint64)
+        at = np.searchsorted(self.lexicon, x)
+        known = at < len(self.lexicon)
+        known[known] = self.lexicon[at[known]] == x[known]
         kind = "l"
-        if len(known) >= FEW:
-            hashes = [self.hash_of[w] for w in known]
+        if known.sum() >= FEW:
+            x = x[known]
         else:
-            kind, hashes = "a", [xxhash.xxh64_intdigest(w, 1) for w in sorted(distinct)]
-        x = np.array(hashes, np.uint64)
+            kind = "a"
         depth = max(0, min(_DENSITIES, round(np.log2(len(x)))))
         return kind + ";".join(f"{d}:" + ",".join(self._signatures(x, d)) for d in (depth, depth + 1))
 
@@ -120,7 +121,8 @@ def in_order(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text"
     sorted. The first row of every block also closes the block before it as a
     guard, and the first of all closes the last."""
     narrow = docs.select(F.col(doc_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    cuts = bounds(narrow, "doc_id", 2 * shuffle_width(docs.sparkSession))
+    wanted = max(2 * shuffle_width(docs.sparkSession), -(-narrow.count() // BLOCK_ROWS))
+    cuts = bounds(narrow, "doc_id", wanted)
     placed = narrow.withColumn("block", block_of(F.col("doc_id"), cuts))
     # the smallest (doc_id, text) of each block: as many rows as there are blocks
     order = F.struct(F.col("doc_id").isNotNull().alias("k"), F.col("doc_id").alias("d"))
@@ -140,7 +142,7 @@ def in_order(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text"
     own = F.struct(F.col("block").alias("block"), F.lit(False).alias("guard"))
     guard = F.struct(F.get(before, F.col("block")).cast("int").alias("block"), F.lit(True).alias("guard"))
     rows = placed.select(F.explode(F.when(is_first, F.array(own, guard)).otherwise(F.array(own))).alias("r"), "doc_id", "text")
-    return (rows.select("r.block", "r.guard", "doc_id", "text").repartition(len(blocks), "block")
+    return (rows.select("r.block", "r.guard", "doc_id", "text").repartitionById(blocks[-1] + 1, "block")      # a task a block
             .sortWithinPartitions("block", "guard", F.col("doc_id").asc_nulls_first(), "text"))
 
 
