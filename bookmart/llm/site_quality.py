@@ -8,7 +8,8 @@
    the evidence probabilities per path (host and section) and host. A Beta
    prior over hosts is estimated from the hosts themselves by the method of
    moments; a host's posterior mean shrinks towards the global mean by its
-   strength, and a path's posterior shrinks towards its host. Sparse sites
+   strength. The strength of a host as the prior of its paths is estimated in
+   the same way, from the spread of the paths around their hosts. Sparse sites
    therefore stay near the global prior, large sites follow their own record.
 3. *Decision.* The document's log-odds are shifted by the log-odds of its path
    against the global mean; it is kept at ``KEEP_AT`` or more.
@@ -36,8 +37,7 @@ from .common import materialise, unused
 
 SAMPLE_ROWS = 20_000
 KEEP_AT = 0.5
-MAX_STRENGTH = 1000.0     # of the prior over hosts, in documents
-PATH_STRENGTH = 50.0      # of a host's posterior as the prior of its paths
+MAX_STRENGTH = 1000.0     # of a prior, in documents
 _CLIP = 1e-4
 
 FEATURES = ("log_words", "word_length", "upper", "digits", "symbols", "trailing_symbols", "bars", "stops",
@@ -120,6 +120,15 @@ def _clip(p):
     return F.least(F.greatest(p, F.lit(_CLIP)), F.lit(1 - _CLIP))
 
 
+def _strength(within: float, spread: float, excess: int, weight: float) -> float:
+    """Strength of a Beta prior over groups, in documents, by the method of
+    moments. ``spread``: sum over the groups of size times squared distance from
+    what they shrink to; ``excess``: groups less the means taken; ``weight``: the
+    factor of the variance between groups in the expectation of ``spread``."""
+    between = max((spread - excess * within) / weight, 0.0) if weight > 0 else 0.0
+    return min(within / between, MAX_STRENGTH) if between > 0 else MAX_STRENGTH
+
+
 def site_posteriors(evidence: DataFrame) -> DataFrame:
     """One row per (_host, _path): p_host and p_path, the posterior means, and
     p_global. ``evidence`` has _host, _path, p_doc."""
@@ -127,23 +136,24 @@ def site_posteriors(evidence: DataFrame) -> DataFrame:
              .agg(F.count(F.lit(1)).alias("n"), F.sum("p_doc").alias("s"), F.sum(F.col("p_doc") ** 2).alias("q")))
     paths = materialise(paths, "quality-paths")
     hosts = paths.groupBy("_host").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs"))
-    # prior over hosts: mean and strength by the method of moments
     total = paths.agg(F.sum("n"), F.sum("s"), F.sum("q")).first()
     if not total[0]:
         return paths.select("_host", "_path", F.lit(0.5).alias("p_host"), F.lit(0.5).alias("p_path"),
                             F.lit(0.5).alias("p_global"))
     mean = total[1] / total[0]
     within = max(total[2] / total[0] - mean * mean, 1e-9)       # variance of one document's evidence
-    spread = hosts.agg(F.sum(F.col("hn") * (F.col("hs") / F.col("hn") - mean) ** 2), F.count(F.lit(1)),
-                       F.sum(F.col("hn") * F.col("hn"))).first()
-    weight = total[0] - spread[2] / total[0]
-    between = max((spread[0] - (spread[1] - 1) * within) / weight, 0.0) if weight > 0 else 0.0
-    strength = min(within / between, MAX_STRENGTH) if between > 0 else MAX_STRENGTH
-    hosts = hosts.select("_host", ((F.col("hs") + strength * mean) / (F.col("hn") + strength)).alias("p_host"))
-    joined = paths.alias("p").join(hosts.alias("h"), F.col("p._host").eqNullSafe(F.col("h._host")))
-    return materialise(joined.select(
-        "p._host", "p._path", "h.p_host",
-        ((F.col("p.s") + PATH_STRENGTH * F.col("h.p_host")) / (F.col("p.n") + PATH_STRENGTH)).alias("p_path"),
+    h = hosts.agg(F.sum(F.col("hn") * (F.col("hs") / F.col("hn") - mean) ** 2), F.count(F.lit(1)),
+                  F.sum(F.col("hn") * F.col("hn"))).first()
+    of_hosts = _strength(within, h[0], h[1] - 1, total[0] - h[2] / total[0])
+    placed = paths.alias("p").join(hosts.alias("h"), F.col("p._host").eqNullSafe(F.col("h._host")))
+    p = placed.agg(F.sum(F.col("n") * (F.col("s") / F.col("n") - F.col("hs") / F.col("hn")) ** 2), F.count(F.lit(1)),
+                   F.sum(F.col("n") * F.col("n") / F.col("hn")), F.sum(F.col("q") - F.col("s") * F.col("s") / F.col("n"))).first()
+    inside = max(p[3] / (total[0] - p[1]), 1e-9) if total[0] > p[1] else within
+    of_paths = _strength(inside, p[0], p[1] - h[1], total[0] - p[2])
+    p_host = (F.col("hs") + of_hosts * mean) / (F.col("hn") + of_hosts)
+    return materialise(placed.select(
+        "p._host", "p._path", p_host.alias("p_host"),
+        ((F.col("s") + of_paths * p_host) / (F.col("n") + of_paths)).alias("p_path"),
         F.lit(mean).alias("p_global")), "quality-sites")
 
 
