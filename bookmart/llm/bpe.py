@@ -319,6 +319,9 @@ def encode_report(docs: DataFrame, path: str, *, doc_col: str = "doc_id", text_c
     return narrow.mapInArrow(run, schema)
 
 
+PART_ROWS = 512              # texts whose ids a task holds at a time
+
+
 def encode_corpus(docs: DataFrame, path: str, *, doc_col: str = "doc_id", text_col: str = "text",
                   keep: tuple[str, ...] = ("source", "lang")) -> DataFrame:
     """The encoded corpus: doc_id, the columns in ``keep``, n_tokens, ids, and
@@ -331,13 +334,13 @@ def encode_corpus(docs: DataFrame, path: str, *, doc_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(key, shared.value)
-        for batch in batches:
-            ids = [c.encode(t or "") for t in batch.column(0).to_pylist()]
+        for part in (batch.slice(at, PART_ROWS) for batch in batches for at in range(0, batch.num_rows, PART_ROWS)):
+            ids = [c.encode(t or "") for t in part.column(0).to_pylist()]
             columns = [pa.array([len(x) for x in ids], pa.int64()),
                        pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
                        pa.array([ids_digest(x) for x in ids], pa.string()),
                        pa.array([hashlib.sha256(c.decode(x).encode()).hexdigest() for x in ids], pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *columns], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*part.columns[1:], *columns], names=schema.names)
 
     return narrow.mapInArrow(run, schema)
 

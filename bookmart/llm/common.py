@@ -8,6 +8,8 @@ at other Unicode spaces).
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,12 +22,20 @@ __all__ = ["WORD_BREAK", "documents", "materialise", "sha256_hex", "shuffle_widt
            "unused", "word_count"]
 
 
-def text_batches(spark: SparkSession, rows: int = 1024) -> None:
-    """At most ``rows`` rows in an Arrow batch of this session: with whole texts
-    the default of 10,000 would hold tens of MB on both sides of every task."""
+@contextmanager
+def text_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]:
+    """At most ``rows`` rows in the Arrow batches of what runs inside: with whole
+    texts the default of 10,000 would hold tens of MB on both sides of every
+    task. The session's own setting is back afterwards, so plans that run later
+    do not see it."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(name)) > rows:
-        spark.conf.set(name, rows)
+    before = spark.conf.get(name)
+    if int(before) <= 0 or int(before) > rows:
+        spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def unused(name: str, docs: DataFrame) -> str:

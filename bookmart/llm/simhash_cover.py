@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ..operators.keys import one_per_key
 from .common import materialise, unused
 
 SHINGLE = 3
@@ -264,7 +265,7 @@ def keep_one(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text"
     """One document of each component stays: the row whose doc_id is the
     component_id (of a component of rows without doc_id: the one with the smallest
     text key), with the columns of ``docs``. Repeated rows of the document that stays are
-    reduced to one."""
+    reduced to the one whose other columns are smallest, in their order."""
     found = materialise(near_duplicates(docs, doc_col=doc_col, text_col=text_col, **options), "simhash-found")
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("text_key").alias("t"))
     best = (found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("root")).alias("alone"))
@@ -276,5 +277,5 @@ def keep_one(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text"
                       "left_semi")
     repeated = found.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if not repeated.isEmpty():
-        kept = kept.dropDuplicates([doc_col, key])
+        kept = one_per_key(kept, [doc_col, key], [c for c in docs.columns if c not in (doc_col, text_col)])
     return kept.select(*docs.columns)
