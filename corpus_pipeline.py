@@ -19,31 +19,54 @@ from bookmart.llm.common import documents, materialise, table, text_batches
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
-    text_batches(spark)
-    return site_quality.keep_good(docs, table(spark, sf_dir, "labels"))
+    """Documents that the quality classifier rejects go.
+
+    Cases: null, empty and blank texts are judged as empty ones; null source or
+    lang is a site of its own; repeated rows are kept or go together; without
+    usable labels all stay; very long texts are read whole; an empty table stays
+    empty; other columns pass."""
+    with text_batches(spark):
+        return site_quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines spread over many sites go but for their first place; n_chars follows."""
+    """Lines spread over many sites go but for their first place; n_chars follows.
+
+    Cases: a null text stays null (with null n_chars); a document all of whose
+    lines go stays with an empty text; blank lines stay; null sources are no site;
+    of repeated rows of a doc_id the first place is that of its smallest line
+    number; an empty table stays empty; other columns pass."""
     return line_spread.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    text_batches(spark)
-    return simhash_cover.keep_one(docs)
+    """One document of each group of near copies stays.
+
+    Cases: null, empty and blank texts share fingerprint 0 and are one group;
+    rows without doc_id stay only in a group without any doc_id; of equal
+    (doc_id, text) rows the one with the smallest other columns stays; very long
+    texts are read whole; an empty table stays empty; other columns pass."""
+    with text_batches(spark):
+        return simhash_cover.keep_one(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every source comes to its target; a document may be repeated."""
+    """Every source comes to its target; a document may be repeated.
+
+    Cases: null, empty and blank texts have no words and are not taken; null
+    source is a source; rows without doc_id, or with one doc_id and different
+    texts, are told apart by their text; equal rows are taken together; an empty
+    table stays empty; other columns pass."""
     return mixing.mix_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as ids: doc_id, source, lang, n_tokens, ids and the digests
-    of the ids and of the text that they decode to."""
-    text_batches(spark)
+    of the ids and of the text that they decode to.
+
+    Cases: null and empty texts have no ids; every row gives a row, repeated ones
+    too; nulls in other columns pass; very long texts are encoded whole; an empty
+    table stays empty; other columns are not returned."""
     return bpe.encode_corpus(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
