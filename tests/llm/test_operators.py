@@ -1,6 +1,7 @@
 """The operators against brute force on small tables, and the hard cases."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -49,6 +50,52 @@ def test_imatch_equal_edited_and_next(small):
     assert mean("near_edited") > 0.3 and mean("near_next") < 0.1
 
 
+def brute_fingerprint(text, lexicon):
+    """By the definition, in whole numbers; ``lexicon``: words."""
+    distinct = sorted(set(text.lower().encode().split()))
+    if not distinct:
+        return "none"
+    hashed = [(xxhash.xxh64_intdigest(w, 42), w.decode() in lexicon) for w in distinct]
+    known = [h for h, k in hashed if k]
+    kind, h = ("l", known) if len(known) >= 4 else ("a", [x for x, _ in hashed])
+    depth, full = max(0, min(40, round(math.log2(len(h))))), (1 << 64) - 1
+
+    def signature(k, d):
+        out = b""
+        for v in h:
+            x = v * (xxhash.xxh64_intdigest(b"subset", k) | 1) & full
+            x = (x ^ x >> 29) * 0xBF58476D1CE4E5B9 & full
+            if x >> (64 - d) == 0:
+                out += v.to_bytes(8, "little")
+        return f"{xxhash.xxh32_intdigest(out):08x}" if out else ""
+
+    return kind + ";".join(f"{d}:" + ",".join(signature(k, d) for k in range(24)) for d in (depth, depth + 1))
+
+
+def brute_likeness(a, b):
+    if a == b or "none" in (a, b) or a[0] != b[0]:
+        return float(a == b)
+    one, two = (dict(p.split(":") for p in f[1:].split(";")) for f in (a, b))
+    pairs = [(x, y) for d in one.keys() & two.keys() for x, y in zip(one[d].split(","), two[d].split(",")) if x or y]
+    return sum(x == y for x, y in pairs) / len(pairs) if pairs else 0.0
+
+
+def test_imatch_brute_force(small, hard):
+    for table in (small, hard.filter("doc_id is not null").dropDuplicates(["doc_id"])):
+        rows = sorted((r["doc_id"], r["text"] or "") for r in table.collect())
+        df = Counter(w for _, t in rows for w in set(t.lower().encode().split()))
+        lexicon = {w.decode() for w, n in df.items() if max(2, 0.001 * len(rows)) <= n <= max(2, 0.1 * len(rows))}
+        got = {r["doc_id"]: r for r in imatch.fingerprint_report(table).collect()}
+        fp = [brute_fingerprint(t, lexicon) for _, t in rows]
+        for i, (doc, text) in enumerate(rows):
+            after = (i + 1) % len(rows)
+            k = len(text) // 4
+            changed = brute_fingerprint(text[:len(text) - k] + rows[after][1][:k], lexicon)
+            r = got[doc]
+            assert (r["fingerprint"], r["edited_fingerprint"]) == (fp[i], changed)
+            assert r["near_edited"] == brute_likeness(fp[i], changed) and r["near_next"] == brute_likeness(fp[i], fp[after])
+
+
 def test_imatch_hard_cases(hard, empty):
     rows = imatch.fingerprint_report(hard).collect()
     assert len(rows) == hard.count()
@@ -328,7 +375,7 @@ def test_maxscore_brute_force(spark):
              (550, [1.0, None, 2.0]), (600, [0.5, 0.25]), (650, []), (700, [float("inf")] * 8), (701, [1e9] * 8)]
     df = spark.createDataFrame([(a, b, 1) for a, b in rows], "vec_id long, embedding array<float>, shard int")
     valid = {(a, tuple(int(np.floor(256 * np.float64(np.float32(x)))) for x in b)) for a, b in rows
-             if a is not None and b is not None and all(x is not None and np.isfinite(x) and abs(x) < 1e5 for x in b)}
+             if a is not None and b is not None and all(x is not None and np.isfinite(x) for x in b)}
     want = []
     for q, qv in valid:
         if q % 50 == 0:
@@ -367,15 +414,15 @@ def test_maxscore_keeps_every_finite_vector(spark):
     rows += [(401, [1e6] * 8), (402, [1e6] * 8), (403, [1e6] * 7 + [1e6 + 2 ** -8]), (450, [600_000.0] * 3), (450, [600_000.0001] * 3),
              (451, [524_288.0, -3.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    assert order(tuple(r) for r in maxscore.search(df, limit=None).collect()) == order(brute_top(rows))
+    assert order(tuple(r) for r in maxscore.search(df).collect()) == order(brute_top(rows))
     # components beyond a long, scaled ones beyond a double: only returned scores count
     rows = [(50, [2.0, 0.0]), (1, [-1e300, 7.0]), (2, [-1e307, 7.0]), *((i, [float(i), 1e307 * (-1) ** i]) for i in range(3, 9))]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    assert order(tuple(r) for r in maxscore.search(df, limit=None).collect()) == order(brute_top(rows))
+    assert order(tuple(r) for r in maxscore.search(df).collect()) == order(brute_top(rows))
     with pytest.raises(Exception, match="cannot be a long"):
-        maxscore.search(df, limit=None, k=8).collect()
+        maxscore.search(df, k=8).collect()
     with pytest.raises(Exception, match="cannot be a long"):
-        maxscore.search(df.union(spark.createDataFrame([(9, [1e300, 0.0])], df.schema)), limit=None).collect()
+        maxscore.search(df.union(spark.createDataFrame([(9, [1e300, 0.0])], df.schema))).collect()
 
 
 def test_maxscore_long_vectors_stay_in_range():
@@ -406,6 +453,48 @@ def test_quality_shrinks_sparse_sites(spark):
     assert e.agg(F.avg("p_doc")).first()[0] == pytest.approx(p["big"]["p_global"])
 
 
+def brute_posteriors(rows):
+    """(host, path, p) -> {(host, path): (p_host, p_path)}, by the definition."""
+    n = len(rows)
+    mean = sum(p for *_, p in rows) / n
+    within = max(sum(p * p for *_, p in rows) / n - mean ** 2, 1e-9)
+    hosts, paths = defaultdict(list), defaultdict(list)
+    for host, path, p in rows:
+        hosts[host].append(p)
+        paths[host, path].append(p)
+    avg = lambda v: sum(v) / len(v)
+
+    def strength(variance, groups, centre, taken, weight):
+        spread = sum(len(v) * (avg(v) - centre(k)) ** 2 for k, v in groups.items())
+        between = max((spread - (len(groups) - taken) * variance) / weight, 0) if weight > 0 else 0
+        return min(variance / between, 1000.0) if between > 0 else 1000.0
+
+    a = strength(within, hosts, lambda _: mean, 1, n - sum(len(v) ** 2 for v in hosts.values()) / n)
+    inside = max(sum(sum((x - avg(v)) ** 2 for x in v) for v in paths.values()) / (n - len(paths)), 1e-9) if n > len(paths) else within
+    b = strength(inside, paths, lambda k: avg(hosts[k[0]]), len(hosts),
+                 n - sum(len(v) ** 2 / len(hosts[k[0]]) for k, v in paths.items()))
+    p_host = {h: (sum(v) + a * mean) / (len(v) + a) for h, v in hosts.items()}
+    return {k: (p_host[k[0]], (sum(v) + b * p_host[k[0]]) / (len(v) + b)) for k, v in paths.items()}, b
+
+
+def test_quality_posteriors_brute_force(spark):
+    rnd = random.Random(21)
+    rows = []
+    for host in range(12):
+        level = rnd.betavariate(6, 2)
+        for path in range(rnd.randint(1, 5)):
+            here = min(max(level + rnd.gauss(0, 0.15), 0.05), 0.95)
+            rows += [(f"h{host}" if host else None, f"p{path}" if path else None, min(max(rnd.gauss(here, 0.1), 0.01), 0.99))
+                     for _ in range(rnd.choice((1, 3, 40)))]
+    df = spark.createDataFrame(rows, "_host string, _path string, p_doc double")
+    want, strength = brute_posteriors(rows)
+    got = {(r["_host"], r["_path"]): (r["p_host"], r["p_path"]) for r in site_quality.site_posteriors(df).collect()}
+    assert got.keys() == want.keys() and 0.05 < strength < 50          # estimated, not a constant
+    assert all(got[k] == pytest.approx(want[k], rel=1e-9) for k in want)
+    one = spark.createDataFrame([("a", "b", 0.25)], df.schema)
+    assert tuple(site_quality.site_posteriors(one).first()) == ("a", "b", 0.25, 0.25, 0.25)
+
+
 def test_quality_hard_cases(spark, hard, empty):
     labels = spark.createDataFrame([(1, 1), (2, None), (3, 0), (None, 1), (99, 0), (1, 1)], "doc_id long, quality int")
     none = labels.filter("false")
@@ -574,6 +663,23 @@ def test_pii_adds_planted_spans_at_production_threshold(spark):
     assert {d: got[d] for d in false} == dict.fromkeys(false, "")
 
 
+def test_rans_cuts_where_the_library_does_around_control_characters():
+    """Fuzz over signs, stops and all control characters."""
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(WORD)
+    with open(WORD, encoding="utf-8") as f:
+        encoder = rans.WordEncoder(f.read())
+    rnd = random.Random(11)
+    odd = [chr(c) for c in (*range(0x20), 0x7F, 0x85, 0xA0, 0x2028)]
+    plain = list("ab1_.,,..  ") + ["\n", '"', "-", "é", "Z"]
+    texts = [f"ab{c}. cd" for c in odd] + [f"ab{c}, cd{c}." for c in odd]
+    texts += ["".join(rnd.choice(odd if rnd.random() < 0.3 else plain) for _ in range(rnd.randint(1, 14))) for _ in range(100_000)]
+    ids = [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+    got = encoder.encode(texts)
+    wrong = [x for x, want, found in zip(texts, ids, got) if array(encoder.kind, found).tolist() != want]
+    assert not wrong, wrong[:5]
+
+
 # ------------------------------------------------------------------ 10 mixing
 
 def brute_targets(sizes):
@@ -623,3 +729,38 @@ def test_mixing_brute_force(small, hard, empty):
     assert {r["doc_id"]: r["taken"] for r in got if r["size"]} == {
         r["doc_id"]: times[r["doc_id"]] * r["size"] for r in got if r["size"]}
     assert mixing.mix_documents(empty).count() == 0 and mixing.mix_documents(hard).columns == hard.columns
+
+
+def check_bounds(rows, spark):
+    """No row beyond twice its size; every source within half its largest hash group of its target."""
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix_report(df).collect()
+    assert len(got) == len(rows) and all(r["taken"] <= 2 * r["size"] for r in got)
+    return got
+
+
+def test_mixing_tells_rows_apart_by_their_text(spark):
+    # a source at its cap, with an empty row under the doc_id of another
+    rows = [(1, None, "a"), (1, "x y z", "a")] + [(i, "w " * 50, "b") for i in range(2, 40)]
+    got = check_bounds(rows, spark)
+    assert sorted(r["taken"] for r in got if r["size"] <= 3) == [0, 6]
+    # rows without doc_id
+    rows = [(None, " ".join(f"w{i}x{j}" for j in range(10)), s) for i in range(200) for s in ("a", "b")]
+    got = check_bounds(rows, spark)
+    for target in {r["target"] for r in got}:
+        of = [r for r in got if r["target"] == target]
+        assert abs(sum(r["taken"] for r in of) - target) <= 5
+    assert len(spark.createDataFrame(rows, "doc_id long, text string, source string").collect()) == 400
+
+
+def test_mixing_takes_equal_rows_together(spark):
+    rows = [(7, "same words here", "a")] * 60 + [(i, "one two", "a") for i in range(40)] + [(i, "x " * 30, "b") for i in range(100, 120)]
+    got = check_bounds(rows, spark)
+    for target in {r["target"] for r in got}:
+        of = [r for r in got if r["target"] == target]
+        assert abs(sum(r["taken"] for r in of) - target) <= 60 * 3 / 2
+    assert len({r["taken"] for r in got if r["size"] == 3}) == 1
+
+
+def test_mixing_groups_stay_small():
+    assert [mixing.group_digits(n) for n in (0, 1 << 20, 4096 * mixing.GROUP_ROWS + 1, 10 ** 12)] == [3, 3, 4, 7]

@@ -1,6 +1,7 @@
 """The pipeline stage by stage, and the registered queries against DuckDB."""
 
 import importlib
+from collections import Counter
 
 import duckdb
 import pytest
@@ -8,7 +9,7 @@ import pytest
 import corpus_pipeline
 from bookmart.llm.queries import ORACLE, QUERIES
 
-from .test_operators import BYTE, brute_components, brute_lines, brute_simhash, brute_targets, sha, words
+from .test_operators import BYTE, brute_components, brute_lines, brute_simhash, brute_targets, order, sha, words
 
 SF = "/root/testdata/sf0.001"
 
@@ -77,10 +78,41 @@ def test_run_equals_the_stages(spark, stages):
         (r["doc_id"], r["ids_sha256"]) for r in stages["BPE encoding"][1])
 
 
+@pytest.mark.parametrize("stage", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_on_hard_and_empty_tables(spark, hard, empty, stage):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, run = spark.conf.get(setting), dict(corpus_pipeline.STAGES)[stage]
+    rows = hard.collect()
+    got = corpus_pipeline.materialise(run(spark, hard, SF), "test-hard")
+    assert spark.conf.get(setting) == before
+    out = got.collect()
+    assert run(spark, empty, SF).count() == 0
+    if stage == "BPE encoding":
+        assert order((r["doc_id"], r["decoded_sha256"]) for r in out) == order((r["doc_id"], sha(r["text"] or "")) for r in rows)
+        return
+    assert got.columns == hard.columns
+    if stage == "quality classifier":
+        assert set(map(repr, out)) <= set(map(repr, rows)) and out
+    elif stage == "line dedup":
+        want = brute_lines([(r["doc_id"], r["text"], r["source"]) for r in rows], 5)
+        assert order((r["doc_id"], sha(r["text"] or "")) for r in out) == order((d, s) for d, _, _, s in want)
+        assert sum(r["text"] is None for r in out) == sum(r["text"] is None for r in rows)
+    elif stage == "SimHash near-dedup":
+        components = brute_components([(r["doc_id"], brute_simhash(r["text"])) for r in rows])
+        assert len(out) == len({c for c in components if c is not None}) + len(
+            {brute_simhash(r["text"]) for r, c in zip(rows, components) if c is None})
+        assert {c for c in components if c is not None} <= {r["doc_id"] for r in out}
+    else:
+        times = Counter(map(repr, out))
+        assert set(times) <= set(map(repr, rows)) and all(words(r["text"]) for r in out)
+        held = Counter(map(repr, rows))
+        assert all(n <= 2 * held[k] for k, n in times.items())
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.sql(ORACLE[name]).df()
     got = QUERIES[name](spark, SF).toPandas()
@@ -90,8 +122,8 @@ def test_oracle(spark, name):
     assert rows(got) == rows(want)
 
 
-def test_eleven_queries_registered():
+def test_all_queries_registered():
     entry = importlib.import_module("__spark_entry__")
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names
