@@ -18,7 +18,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from .plans import build, schemas, warehouse
-from .session import get_session
+from .session import clear_scratch, get_session
 from .sources import drifting, sinks
 
 # Casts applied to every landing before the union (drifting numeric types).
@@ -78,6 +78,9 @@ def main(argv: list[str] | None = None) -> None:
     ld.add_argument("--built", required=True)
     ld.add_argument("--warehouse", required=True)
     ld.add_argument("--load-date", default=None)
+    for cmd in (b, ld):
+        cmd.add_argument("--clear-scratch", action="store_true",
+                         help="delete this library's scratch tables under spark.checkpoint.dir afterwards")
     a = p.parse_args(argv)
     spark = get_session(app=f"bookmart-{a.cmd}")
     if a.cmd == "build":
@@ -86,6 +89,8 @@ def main(argv: list[str] | None = None) -> None:
             print(f"{name}\t{path}")
     else:
         print(run_load(spark, a.built, a.warehouse, a.load_date))
+    if a.clear_scratch:
+        clear_scratch(spark)
 
 
 if __name__ == "__main__":

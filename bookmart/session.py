@@ -72,6 +72,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/bookmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this library has written under the checkpoint root. For the
+    owner of the folder, after results are stored: frames that read it, of any
+    session that shares the folder, cannot be read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark).rstrip('/')}/bookmart")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

@@ -24,3 +24,11 @@ def test_scale_conf_sizes_partitions():
     big = session.scale_conf(100 * 1024 ** 4)          # 100 TB of shuffle
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
+
+
+def test_scratch_can_be_cleared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "checkpoint_root", lambda _: str(tmp_path))
+    df = session.materialise(spark.range(3), "t-clear")
+    assert df.count() == 3 and list(tmp_path.glob("bookmart/t-clear-*"))
+    session.clear_scratch(spark)
+    assert not (tmp_path / "bookmart").exists()
