@@ -25,14 +25,14 @@ def build_star(works_raw: DataFrame, editions_raw: DataFrame, authors_raw: DataF
     ``dim_subject`` / ``dim_time``: their ids are then kept stable and the
     bridges and the fact table use them."""
     previous = previous or {}
-    level = clean.work_level(works_raw)
+    works = clean.work_parsed(works_raw)
     parsed = clean.edition_parsed(editions_raw, EDITION_COLUMNS)
     author = clean.author_clean(authors_raw)
     if materialise_cleaned:
-        level = materialise(level, "work_level", PARSED_ROW_GROUP)
+        works = materialise(works, "work_parsed", PARSED_ROW_GROUP)
         # parsed rather than cleaned rows: one parse for the medians and the rows
         parsed = materialise(parsed, "edition_parsed", PARSED_ROW_GROUP)
-    edition = clean.edition_filled(parsed)
+    level, edition = clean.work_filled(works), clean.edition_filled(parsed)
     work = clean.explode_works(level)
     d_subject = model.dim_subject(work, previous=previous.get("dim_subject"))
     d_time = model.dim_time(edition, previous=previous.get("dim_time"))

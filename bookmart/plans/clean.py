@@ -44,12 +44,21 @@ def work_level(works: DataFrame, exact_median: bool = True) -> DataFrame:
     """Cleaned works before the explode: ``subject`` is the array of cleaned
     subjects; works without one have no rows in D1 and are left out here too.
     What depends on works alone (D4, D7) starts from this frame."""
-    w = spread(works.select(*WORK_COLS)).select(
+    return work_filled(work_parsed(works), exact_median)
+
+
+def work_parsed(works: DataFrame) -> DataFrame:
+    """Ids, years and subject arrays; nothing filled or left out yet. Written
+    once before ``work_filled`` where it matters: a filter on the subjects would
+    be pushed below the spread and parse them a second time."""
+    return spread(works.select(*WORK_COLS)).select(
         X.entity_id("key").alias("work_id"), "title",
         X.lenient_cast("first_publish_year", "int").alias("first_publish_year"),
-        "edition_count", "subject", "authors")
-    w = impute.fill_median(w, ["first_publish_year"], exact=exact_median)
-    return w.withColumn("subject", subject_items()).filter(F.size("subject") > 0)
+        "edition_count", subject_items().alias("subject"), "authors")
+
+
+def work_filled(parsed: DataFrame, exact_median: bool = True) -> DataFrame:
+    return impute.fill_median(parsed, ["first_publish_year"], exact=exact_median).filter(F.size("subject") > 0)
 
 
 def spread(raw: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from .fixtures import raw_authors, raw_editions, raw_works, read_table
 
 
 def _works(spark, sf):
-    return clean.work_clean(raw_works(spark, sf))
+    return clean.explode_works(_work_level(spark, sf))
 
 
 TIME, FACT = ["title", "publish_date"], ["edition_id", "work_id", "title", "publish_date", "number_of_pages"]
@@ -60,7 +60,8 @@ def author_clean(spark, sf):
 
 
 def _work_level(spark, sf):
-    return clean.work_level(raw_works(spark, sf))
+    parsed = materialise(clean.work_parsed(raw_works(spark, sf)), "work-parsed", PARSED_ROW_GROUP)
+    return clean.work_filled(parsed)
 
 
 def dim_work(spark, sf):
