@@ -10,8 +10,10 @@ in repeated windows fail.
 adjacent words, and runs of 3 and of 5 bytes. Each is hashed into
 ``2^BITS`` columns; a family's features are its shares, scaled. The logistic
 regression is trained by AdaGrad steps on the labelled rows with the smallest
-hashes of doc_id, at most ``SAMPLE_ROWS`` of them (the bound keeps the fit
-independent of the corpus), each collected as its hashed columns, not as text.
+hashes of doc_id, at most ``SAMPLE_ROWS`` of them and at most ``SAMPLE_COLUMNS``
+hashed columns together (the bounds keep the fit, and what it needs of the
+driver, independent of the corpus), each collected as its hashed columns, not
+as text.
 
 *Calibration.* The rows are dealt into ``FOLDS``; each fold is scored by a model
 of the other folds, and a logistic curve through these held-out scores (Platt)
@@ -44,10 +46,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialise
+
 LEAST_WORDS = 50
 MOST_REPEATED = 50            # percent of the words
 KEEP_AT = 0.5
 SAMPLE_ROWS = 4_000
+SAMPLE_COLUMNS = 6_000_000    # of eight bytes each
 FOLDS = 4
 BITS = 18
 EPOCHS = 6
@@ -209,8 +214,9 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, folds: int = F
 
 
 def train(docs: DataFrame, labels: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on the labelled rows with the smallest hashes, ``sample_rows`` at most."""
+          label_col: str = "quality", sample_rows: int = SAMPLE_ROWS, sample_columns: int = SAMPLE_COLUMNS) -> Model:
+    """Fit on the labelled rows with the smallest hashes, ``sample_rows`` and
+    ``sample_columns`` at most (but one row of each class, where there is one)."""
     chosen = (labels.filter(F.col(label_col).isNotNull() & F.col(doc_col).isNotNull())
               .groupBy(F.col(doc_col).alias("doc")).agg(F.max(label_col).alias("y"))
               .join(docs.select(F.col(doc_col).alias("doc")).distinct(), "doc", "left_semi")
@@ -231,11 +237,21 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_col: str = "doc_id", text_c
 
     kinds = dict(rows.dtypes)
     hashed = rows.mapInArrow(run, f"doc {kinds['doc']}, y {kinds['y']}, tie long, columns binary, values binary")
-    sample = hashed.groupBy("doc").agg(F.min_by(F.struct("columns", "values"), F.struct("tie", "columns")).alias("x"),
-                                       F.first("y").alias("y"), F.xxhash64("doc").alias("k")).collect()
+    once = materialise(hashed.groupBy("doc").agg(
+        F.min_by(F.struct("columns", "values"), F.struct("tie", "columns")).alias("x"), F.first("y").alias("y"),
+        F.xxhash64("doc").alias("k")), "rules-sample")
+    # at most sample_rows rows of a few bytes
+    sizes = sorted((r["k"], r["doc"], r["n"], r["y"] > 0) for r in once.select(
+        "k", "doc", (F.octet_length("x.columns") / 4).cast("long").alias("n"), "y").collect())
+    total, held, chosen = 0, set(), []
+    for k, doc, n, good in sizes:
+        if total + n <= sample_columns or good not in held:
+            total, chosen = total + n, [*chosen, doc]
+            held.add(good)
+    sample = once.filter(F.col("doc").isin(chosen)).select("k", "doc", "y", "x.columns", "x.values").collect()
     sample.sort(key=lambda r: (r["k"], r["doc"]))
-    return fit([(np.frombuffer(r["x"]["columns"], "<i4"), np.frombuffer(r["x"]["values"], "<f4")) for r in sample],
-               np.array([float(r["y"] > 0) for r in sample]))
+    y = np.array([float(r["y"] > 0) for r in sample])
+    return fit([(np.frombuffer(r["columns"], "<i4"), np.frombuffer(r["values"], "<f4")) for r in sample], y)
 
 
 def judge(docs: DataFrame, labels: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text", keep_at: float = KEEP_AT,

@@ -155,6 +155,17 @@ def test_quality_rules_held_out(spark, labels):
     assert abs(np.mean([r["probability"] for r in got]) - len(good) / len(got)) < 0.08
 
 
+def test_quality_rules_sample_is_bounded(spark, labels, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    seen = []
+    monkeypatch.setattr(quality_rules, "fit", lambda rows, y: seen.append((len(rows), sum(len(c) for c, _ in rows), set(y))))
+    for rows, columns in ((50, 10 ** 9), (400, 30_000), (400, 1)):
+        quality_rules.train(docs, labels, sample_rows=rows, sample_columns=columns)
+    assert seen[0][0] == 50 and seen[0][1] > 0
+    assert seen[1][0] < 400 and seen[1][1] <= 30_000
+    assert seen[2][0] == 2 and seen[2][2] == {0.0, 1.0}
+
+
 def test_quality_rules_hard_cases(spark, hard, empty):
     kind = "doc_id long, quality int, toxic int, text string"
     marks = spark.createDataFrame([(1, 1, 0, "x"), (1, 0, 0, "x"), (3, 0, 1, "y"), (6, None, 0, "z"), (None, 1, 0, ""),
