@@ -62,7 +62,9 @@ def lexicon(docs: DataFrame, *, text_col: str = "text", least: float = LEAST, mo
     counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
     n = docs.count()
     band = counts.filter((F.col("df") >= max(2, least * n)) & (F.col("df") <= max(2, most * n)))
-    return np.unique(band.select(F.xxhash64("w").alias("h")).toArrow().column(0).to_numpy().view(np.uint64))
+    # written first, so that the shuffle of the words is gone before that of the texts
+    held = materialise(band.select(F.xxhash64("w").alias("h")), "imatch-lexicon")
+    return np.unique(held.toArrow().column(0).to_numpy().view(np.uint64))
 
 
 class Fingerprinter:
