@@ -13,7 +13,6 @@ from __future__ import annotations
 import hashlib
 import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,15 +24,15 @@ LEAST_BUCKETS = 8
 _LAYOUT = T.StructType([T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("buckets", T.IntegerType())])
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_if_written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """A parquet table, or None if nothing has been written there. Every other
     failure is raised: an unreadable table is not an empty one."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else None
 
 
 def layout(spark: SparkSession, root: str) -> tuple[list[str], int] | None:
