@@ -133,6 +133,18 @@ def manifest_landing(spark, sf):
     return drifting.read_landing(spark, path, {"cover_id": "bigint"})
 
 
+def compacted_landing(spark, sf):
+    """Works landed in one large and seven small batches of two schemas; the
+    small ones are packed, and all rows are read back."""
+    w, path = raw_works(spark, sf), scratch_path(spark, "landing-compacted")
+    drifting.land_batch(w.filter(F.col("edition_count") % 2 == 0), path)
+    for i in range(7):
+        part = w.filter((F.col("edition_count") % 2 == 1) & (F.col("edition_count") % 7 == i))
+        drifting.land_batch(part if i % 2 else part.drop("authors"), path, C.LANDING_BATCH_EDITIONS)
+    drifting.compact_landing(spark, path)
+    return drifting.read_landing(spark, path)
+
+
 def harmonise_types(spark, sf):
     """Editions landed in one folder with number_of_pages as int, double and
     text."""
@@ -817,4 +829,5 @@ JOBS = {
     "page_shapes": page_shapes,
     "map_lookup_table": map_lookup_table,
     "manifest_landing": manifest_landing,
+    "compacted_landing": compacted_landing,
 }

@@ -142,25 +142,59 @@ def read_drifting(spark: SparkSession, paths: list[str],
 
 # --- landings with a manifest -----------------------------------------------------
 
-_BATCH = T.StructType([T.StructField("folder", T.StringType()), T.StructField("schema", T.StringType())])
+_BATCH = T.StructType([T.StructField("folder", T.StringType()), T.StructField("schema", T.StringType()),
+                       T.StructField("replaces", T.ArrayType(T.StringType()))])
+PACKED_BYTES = 128 << 20      # of a file that compaction aims at
 
 
-def land_batch(df: DataFrame, path: str, batch_rows: int | None = None) -> str:
-    """Land one batch, in files of at most ``batch_rows`` rows, and record
-    its schema; a batch that is not recorded yet is not read."""
+def _record(df: DataFrame, path: str, replaces: list[str], batch_rows: int | None = None) -> str:
+    """Write a batch, then name it in the manifest."""
     folder = uuid.uuid4().hex
     w = df.write.option("compression", "snappy")
     (w.option("maxRecordsPerFile", batch_rows) if batch_rows else w).parquet(f"{path.rstrip('/')}/{folder}")
-    row = df.sparkSession.createDataFrame([(folder, df.schema.json())], _BATCH).coalesce(1)
+    row = df.sparkSession.createDataFrame([(folder, df.schema.json(), replaces)], _BATCH).coalesce(1)
     row.write.mode("append").parquet(f"{path.rstrip('/')}/_manifest")
     return folder
 
 
+def _batches(spark: SparkSession, path: str) -> DataFrame:
+    """(folder, schema) of the recorded batches that no other replaces."""
+    rows = spark.read.schema(_BATCH).parquet(f"{path.rstrip('/')}/_manifest")
+    gone = rows.select(F.explode("replaces").alias("folder"))
+    return rows.select("folder", "schema").distinct().join(gone, "folder", "left_anti")
+
+
+def land_batch(df: DataFrame, path: str, batch_rows: int | None = None) -> str:
+    """Land one batch, in files of at most ``batch_rows`` rows, and record
+    its schema; a batch that is not recorded yet is not read."""
+    return _record(df, path, [], batch_rows)
+
+
 def read_landing(spark: SparkSession, path: str, types: dict[str, str] | None = None) -> DataFrame:
     """All recorded batches as one table, one scan per recorded schema."""
-    batches = spark.read.schema(_BATCH).parquet(f"{path.rstrip('/')}/_manifest")
-    groups = batches.groupBy("schema").agg(F.sort_array(F.collect_set("folder")).alias("folders")).orderBy("schema")
+    groups = (_batches(spark, path).groupBy("schema").agg(F.sort_array(F.collect_set("folder")).alias("folders"))
+              .orderBy("schema"))
     frames = [harmonise(spark.read.schema(T.StructType.fromJson(json.loads(g["schema"])))
                         .parquet(*[f"{path.rstrip('/')}/{f}" for f in g["folders"]]), types or {})
               for g in groups.toLocalIterator()]          # as many rows as there are schemas
     return union_by_name(frames)
+
+
+def compact_landing(spark: SparkSession, path: str, target_bytes: int = PACKED_BYTES) -> list[str]:
+    """S4 by size: batches below ``target_bytes`` are packed, schema by schema,
+    into one new batch of files of about that size, which the manifest names as
+    their replacement; larger batches are not read. Until the new batch is named,
+    readers see the old ones. Returns the new folders; those replaced may be
+    deleted when no reader is at them any more."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)      # a listing; no content
+             .select(F.regexp_extract("path", "([^/]+)/[^/]+$", 1).alias("folder"), "length"))
+    sizes = files.groupBy("folder").agg(F.sum("length").alias("bytes"))
+    small = (_batches(spark, path).join(sizes, "folder").filter(F.col("bytes") < target_bytes).groupBy("schema")
+             .agg(F.sort_array(F.collect_set("folder")).alias("folders"), F.sum("bytes").alias("bytes"))
+             .filter(F.size("folders") > 1).orderBy("schema"))
+    new = []
+    for g in small.toLocalIterator():                     # as many rows as there are schemas
+        rows = spark.read.schema(T.StructType.fromJson(json.loads(g["schema"]))).parquet(
+            *[f"{path.rstrip('/')}/{f}" for f in g["folders"]])
+        new.append(_record(rows.repartition(-(-g["bytes"] // target_bytes)), path, g["folders"]))
+    return new

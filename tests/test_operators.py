@@ -506,3 +506,29 @@ def test_landing_with_a_manifest_opens_no_file_for_its_schema(spark, monkeypatch
     want = [(f"k{i}", i, None) for i in range(6)] + [(f"l{i}", None, None) for i in range(6)] + [("more", None, "x")]
     assert rows(got, "key", "n", "extra") == sorted(want, key=lambda t: tuple((x is not None, x) for x in t))
     assert got._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 4
+
+
+def test_compaction_packs_the_small_batches_alone(spark, monkeypatch):   # S4
+    path = scratch_path(spark, "t-pack")
+    large = drifting.land_batch(spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("key"),
+                                                           F.col("id").cast("int").alias("n")), path)
+    small = [drifting.land_batch(spark.createDataFrame([(f"k{i}{j}", i) for j in range(5)], "key string, n int"), path, 1)
+             for i in range(4)]
+    lone = drifting.land_batch(spark.createDataFrame([("x", 1.5)], "key string, n double"), path)
+    size = {f: sum(x.getLen() for x in _files(spark, f"{path}/{f}")) for f in (large, *small)}
+    hashes = lambda: drifting.read_landing(spark, path, {"n": "double"}).agg(
+        F.count(F.lit(1)), F.sum(F.xxhash64("key", "n").cast("decimal(38,0)"))).first()
+    before = hashes()
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m, pytest.raises(KeyboardInterrupt):          # before it is named
+        m.setattr(drifting, "_record", killed)
+        drifting.compact_landing(spark, path, target_bytes=max(size[f] for f in small) + 1)
+    assert hashes() == before
+    new = drifting.compact_landing(spark, path, target_bytes=sum(size[f] for f in small) + 1)
+    left = {r["folder"] for r in drifting._batches(spark, path).collect()}
+    assert len(new) == 1 and left == {large, lone, *new} and hashes() == before
+    assert len([f for f in _files(spark, f"{path}/{new[0]}") if f.getPath().getName().endswith(".parquet")]) == 1
+    assert drifting.compact_landing(spark, path, target_bytes=1) == [] and hashes() == before
