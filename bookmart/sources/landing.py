@@ -61,6 +61,6 @@ def linked_keys(records: DataFrame, id_col: str, links_col: str,
                 schema=J.LINK_ARRAY) -> DataFrame:
     """(record id, linked key) for a JSON links column in either shape;
     links without a key are dropped."""
-    x = records.select(id_col, F.explode(J.parse(links_col, schema)).alias("l"))
+    x = records.select(id_col, F.explode_outer(J.parse(links_col, schema)).alias("l"))
     return (x.select(id_col, J.link_key(F.col("l")).alias("linked_key"))
             .filter(F.col("linked_key").isNotNull()))
