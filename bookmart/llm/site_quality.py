@@ -18,8 +18,8 @@ Cases: null or blank text has the features of an empty text (all zero);
 null host or path is a group of its own; repeated rows count as often as they
 occur; labels that are null, or whose document is missing, are not used; with
 no usable labels, or labels of one class only, the evidence is 0.5 for every
-document and all are kept; an empty table gives an empty result; other columns
-pass through unchanged.
+document and all are kept; very long texts are read whole; an empty table gives
+an empty result; other columns pass through unchanged.
 """
 
 from __future__ import annotations
