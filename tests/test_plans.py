@@ -133,3 +133,10 @@ def test_bucketed_fact_has_buckets_for_its_size(spark, monkeypatch):   # C3
     many = jobs.bucketed_fact(spark, SF001)
     assert many.count() == n
     assert len(few.inputFiles()) <= 16 < len(many.inputFiles()) <= -(-n // max(1, n // 20))
+
+
+def test_language_is_parsed_per_edition_and_filled_texts_not_at_all(spark):   # D8
+    p = plan(jobs.dim_edition(spark, SF001))
+    above = p[:p.index("Generate")]
+    assert "from_json" not in above and "languages" not in above
+    assert "from_json(ArrayType(StringType,true), publishers" not in p     # the filled-in constant is no JSON
