@@ -48,6 +48,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 # Fixed value: the split pattern of byte-level BPE.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 MEMO = 700_000               # pieces kept with their ids, per worker
 PAIRS = 700_000              # pairs of tokens kept with their verdict
 _FEED = 1 << 12
@@ -101,6 +102,25 @@ def stand_ins() -> dict[int, str]:
     return found
 
 
+@lru_cache(maxsize=1)
+def plane_zero_pieces() -> re.Pattern:
+    """``PIECES`` for texts of the basic plane, with its classes spelled out for the
+    standard library's engine, which takes half the time. Only an apostrophe
+    starts a contraction, so letters may be tried before them."""
+    def ranges(one: str) -> str:
+        found: list[list[int]] = []
+        for c in filter(regex.compile(one).match, map(chr, [*range(0xD800), *range(0xE000, 0x10000)])):
+            if found and ord(c) == found[-1][1] + 1:
+                found[-1][1] += 1
+            else:
+                found.append([ord(c), ord(c)])
+        return "".join(f"\\u{lo:04x}-\\u{hi:04x}" for lo, hi in found)
+
+    letter, number, space = map(ranges, (r"\p{L}", r"\p{N}", r"\s"))
+    return re.compile(f" ?[{letter}]+|'(?:s|t|re|ve|m|ll|d)| ?[{number}]+| ?[^{space}{letter}{number}]+"
+                      f"|[{space}]+(?![^{space}])|[{space}]+")
+
+
 class MergeList:
     """Tables of a merge list: merge ranks, spines, lookahead."""
 
@@ -126,6 +146,11 @@ class MergeList:
         for a, b, new in vocabulary["merges"]:
             if self.id_of.get(tokens[new]) == new and not self._own_split(a, b, new):
                 self.id_of.pop(tokens[new], None)
+        # the longest token that ends with these four bytes; a shorter token has three at most
+        self.reach: dict[bytes, int] = {}
+        for t in self.id_of:
+            if len(t) > 3:
+                self.reach[t[-4:]] = max(len(t), self.reach.get(t[-4:], 0))
 
     def _own_split(self, a: int, b: int, new: int) -> bool:
         return self.id_of.get(self.bytes_of[a]) == a and self.id_of.get(self.bytes_of[b]) == b \
@@ -172,11 +197,12 @@ class Transducer:
     def _extend(self, block: bytes) -> None:
         m, n = self.m, len(self.tail)
         self.tail += block
-        tail, last, back, id_of, longest = self.tail, self.last, self.back, m.id_of, m.lookahead
+        tail, last, back, token_of, reach = self.tail, self.last, self.back, m.id_of.get, m.reach.get
         memo, beside = m.beside_memo, m.beside
         for end in range(n + 1, len(tail) + 1):
-            for start in range(max(0, end - longest), end):
-                token = id_of.get(tail[start:end])
+            far = end - reach(tail[end - 4:end], 3) if end > 3 else 0
+            for start in range(far if far > 0 else 0, end):
+                token = token_of(tail[start:end])
                 if token is None:
                     continue
                 before = last[start]
@@ -222,11 +248,12 @@ class Codec:
 
     def __init__(self, vocabulary: dict):
         self.merges = MergeList(vocabulary)
-        self.pieces = regex.compile(PIECES)
+        self.pieces, self.plain_pieces = regex.compile(PIECES), plane_zero_pieces()
         self.specials = vocabulary["specials"]
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True)))) \
             if self.specials else None
         self.bytes_of = self.merges.bytes_of | {i: t.encode() for t, i in self.specials.items()}
+        self.names = {i: str(i) for i in self.bytes_of}      # of the ids, for their digest
         self.memo: dict[str, bytes] = {}
         self.stand_ins = vocabulary["stand_ins"]
         self.odd = frozenset(map(chr, self.stand_ins))
@@ -234,12 +261,17 @@ class Codec:
 
     def _split(self, text: str) -> list[str]:
         if text.isascii() or not self.odd or not self.from_odd.search(text) or self.odd.isdisjoint(text):
-            return self.pieces.findall(text)
+            plain = text.isascii() or not _ASTRAL.search(text)
+            return (self.plain_pieces if plain else self.pieces).findall(text)
         return [text[m.start():m.end()] for m in self.pieces.finditer(text.translate(self.stand_ins))]
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a piece as little-endian 32-bit integers."""
-        data, machine, ids = piece.encode(), Transducer(self.merges), []
+        data = piece.encode()
+        whole = self.merges.id_of.get(data)
+        if whole is not None:        # the only token that spans all of it: nothing to work out
+            return whole.to_bytes(4, "little")
+        machine, ids = Transducer(self.merges), []
         for at in range(0, len(data), _FEED):
             ids += machine.feed(data[at:at + _FEED])
         return np.array(ids + machine.finish(), "<u4").tobytes()
@@ -292,8 +324,8 @@ def _shared(spark: SparkSession, path: str):
     return key, spark.sparkContext.broadcast(vocabulary)
 
 
-def ids_digest(ids: np.ndarray) -> str:
-    return hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest()
+def ids_digest(ids: np.ndarray, names: dict[int, str]) -> str:
+    return hashlib.sha256(",".join(map(names.__getitem__, ids.tolist())).encode()).hexdigest()
 
 
 def encode_report(docs: DataFrame, path: str, *, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -308,7 +340,7 @@ def encode_report(docs: DataFrame, path: str, *, doc_col: str = "doc_id", text_c
             for text in batch.column(1).to_pylist():
                 ids = c.encode(text or "")
                 n.append(len(ids))
-                ids_sha.append(ids_digest(ids))
+                ids_sha.append(ids_digest(ids, c.names))
                 text_sha.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
                                               pa.array(text_sha, pa.string())],
@@ -338,7 +370,7 @@ def encode_corpus(docs: DataFrame, path: str, *, doc_col: str = "doc_id", text_c
             ids = [c.encode(t or "") for t in part.column(0).to_pylist()]
             columns = [pa.array([len(x) for x in ids], pa.int64()),
                        pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
-                       pa.array([ids_digest(x) for x in ids], pa.string()),
+                       pa.array([ids_digest(x, c.names) for x in ids], pa.string()),
                        pa.array([hashlib.sha256(c.decode(x).encode()).hexdigest() for x in ids], pa.string())]
             yield pa.RecordBatch.from_arrays([*part.columns[1:], *columns], names=schema.names)
 
