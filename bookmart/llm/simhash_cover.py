@@ -48,6 +48,8 @@ SHINGLE = 3
 DISTANCE = 3
 SEED = 42
 BLOCK = 1024
+TASK_ROWS = 1 << 18          # narrow rows (two longs) that a task of the components takes, at most about
+_ANCHORS = 32                # of a fingerprint, at most
 _HASHES_AT_ONCE = 1 << 16
 
 
@@ -194,48 +196,62 @@ def fingerprint_links(fps: DataFrame, *, distance: int = DISTANCE, block: int =
     ``fp``) within ``distance`` = 3, as forests of the anchors' groups."""
     if distance > 3:
         raise ValueError("two halves with threshold 1 each cover distances up to 3")
+    n = fps.count()
     placed = fps.select("fp").mapInArrow(_placements, "anchor long, fp long")
     busy = materialise(placed.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-                       .select("anchor", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "simhash-anchors")
+                       .select("anchor", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+                       .coalesce(_tasks(fps, _ANCHORS * n)), "simhash-anchors")
     # one row for each pair of blocks that the fingerprint's block is part of
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = (placed.join(busy, "anchor").select("anchor", "fp", own.alias("own"), other.alias("other"))
             .select("anchor", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "fp"))
     grouped = (rows.repartition("anchor", "b1", "b2").sortWithinPartitions("anchor", "b1", "b2", "fp"))
-    return materialise(grouped.mapInArrow(_link_groups(distance), "a long, b long").distinct(), "simhash-edges")
+    return materialise(grouped.mapInArrow(_link_groups(distance), "a long, b long").distinct().coalesce(_tasks(fps, n)), "simhash-edges")
 
 
 # ------------------------------------------------------------------ components
 
+def _tasks(df: DataFrame, rows: int) -> int:
+    """Tasks for ``rows`` narrow rows: as many as their number needs, and no fewer
+    than the cluster runs at once."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node with an edge, root = the smallest node of its
     component. ``edges`` has a, b. Large-star: every neighbour that is larger
     than a node moves to the smallest of the node and its neighbours;
     small-star: the smaller neighbours of a node move to the smallest of
-    them. Both keep components whole; at the fixed point each is a star."""
+    them. Both keep components whole; at the fixed point each is a star.
+
+    A round is a dozen small shuffles. Their reading ends are joined to the
+    number of tasks that the edges need, which only fall in number: otherwise
+    a round costs as many tasks and files as the session has shuffle partitions,
+    a dozen times, however few the edges are."""
+    tasks = _tasks(edges, edges.count())
     now = materialise(edges.filter("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
-                      .distinct(), "stars")
+                      .distinct().coalesce(tasks), "stars")
     while True:
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = materialise(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-                            .filter("m < u"), "stars-least")
+                            .filter("m < u").coalesce(tasks), "stars-least")
         # nodes that are their own least (the hubs) leave their edges as they are
         large = (now.join(least.withColumnRenamed("u", "lo"), "lo", "left")
                  .select("hi", F.coalesce("m", "lo").alias("lo")).distinct())
-        large = materialise(large, "stars-large")
+        large = materialise(large.coalesce(tasks), "stars-large")
         small_least = materialise(large.groupBy("hi").agg(F.min("lo").alias("m"), F.count(F.lit(1)).alias("n"))
-                                  .filter("n > 1").select("hi", "m"), "stars-small")
+                                  .filter("n > 1").select("hi", "m").coalesce(tasks), "stars-small")
         moved = large.join(small_least, "hi").filter("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        stay = (large.groupBy("hi").agg(F.min("lo").alias("lo")))
-        after = materialise(stay.unionByName(moved).distinct(), "stars")
+        stay = large.groupBy("hi").agg(F.min("lo").alias("lo")).coalesce(tasks)
+        after = materialise(stay.unionByName(moved).distinct().coalesce(tasks), "stars")
         # a star forest: no node is both a child and a parent, one parent per child
-        parents = after.select(F.col("lo").alias("hi")).distinct()
+        parents = after.select(F.col("lo").alias("hi")).distinct().coalesce(tasks)
         if not after.join(parents, "hi", "left_semi").limit(1).count() and \
-                not after.groupBy("hi").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count():
+                not after.groupBy("hi").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").coalesce(tasks).limit(1).count():
             return after.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(
-                after.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
+                after.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct().coalesce(tasks))
         now = after
 
 
@@ -247,12 +263,14 @@ def near_duplicates(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str =
     narrow = docs.select(F.col(text_col).alias("_text"), F.col(doc_col).alias("doc_id"),
                          F.xxhash64(F.col(text_col)).alias("text_key"))
     marked = materialise(with_fingerprint(narrow, text_col="_text", shingle=shingle), "simhash-docs")
-    fps = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-fps")
+    tasks = _tasks(marked, marked.count())
+    fps = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")).coalesce(tasks), "simhash-fps")
     roots = materialise(components(fingerprint_links(fps, distance=distance, block=block)), "simhash-roots")
     rooted = materialise(fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-                         .select("fp", F.coalesce("root", "fp").alias("root"), "least"), "simhash-rooted")
-    smallest = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-components")
-    named = materialise(rooted.join(smallest, "root").select("fp", "root", "component_id"), "simhash-named")
+                         .select("fp", F.coalesce("root", "fp").alias("root"), "least").coalesce(tasks), "simhash-rooted")
+    smallest = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")).coalesce(tasks),
+                           "simhash-components")
+    named = materialise(rooted.join(smallest, "root").select("fp", "root", "component_id").coalesce(tasks), "simhash-named")
     return marked.join(named, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
 

@@ -764,3 +764,31 @@ def test_mixing_takes_equal_rows_together(spark):
 
 def test_mixing_groups_stay_small():
     assert [mixing.group_digits(n) for n in (0, 1 << 20, 4096 * mixing.GROUP_ROWS + 1, 10 ** 12)] == [3, 3, 4, 7]
+
+
+def test_bpe_splits_the_basic_plane_as_its_pattern_does():
+    from tokenizers import Tokenizer
+    wanted, mine = bpe.regex.compile(bpe.PIECES), bpe.plane_zero_pieces()
+    for lo in range(0, 0x10000, 0x100):
+        codes = [c for c in range(lo, lo + 0x100) if not 0xD800 <= c < 0xE000]
+        text = "".join(f"a{chr(c)}1 {chr(c)}'s  {chr(c)}{chr(c)}\n" for c in codes)
+        assert mine.findall(text) == wanted.findall(text)
+    t, codec = Tokenizer.from_file(BYTE), bpe.Codec(bpe.load_vocabulary(BYTE))
+    for text in ("it's \U0001F600 we'll 'tis  x\u00a0\u3000y", "we've  \t'd\U00020000 12'3", " 're\x1c\x85 ok"):
+        assert codec.encode(text).tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_components_take_the_tasks_that_their_edges_need(spark):
+    names = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        edges = spark.range(400).selectExpr("id as a", "id + 7 as b")
+        found = simhash_cover.components(edges)
+        files = found.inputFiles()
+        assert {r["node"]: r["root"] for r in found.collect()} == {i: i % 7 for i in range(407)}
+        assert len(files) <= 2 * spark.sparkContext.defaultParallelism
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
