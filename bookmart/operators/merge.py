@@ -101,13 +101,15 @@ def visible(spark: SparkSession, root: str) -> DataFrame:
         F.max_by("attempt", last).alias(ATTEMPT), F.max_by("as_of", last).alias(AS_OF), F.min("made").alias(PLACE))
 
 
-def write_rows(df: DataFrame, root: str, attempt: str, key: str | list[str] | None = None) -> None:
-    """First half of a load: the rows, which no reader sees yet."""
+def write_rows(df: DataFrame, root: str, attempt: str, key: str | list[str] | None = None,
+               buckets: int | None = None) -> None:
+    """First half of a load: the rows, which no reader sees yet. ``buckets``: of a
+    table that has none yet (by default from a count, which stores the rows once more)."""
     marked = df.withColumn(ATTEMPT, F.lit(attempt))
     if key is None:
         marked.write.mode("append").parquet(_rows_path(root))
     else:
-        bucketed.append(marked, root, [key] if isinstance(key, str) else list(key))
+        bucketed.append(marked, root, [key] if isinstance(key, str) else list(key), buckets)
 
 
 def name_attempt(spark: SparkSession, root: str, source: str, batch: str, attempt: str, as_of: str | None = None) -> None:
@@ -122,12 +124,12 @@ def name_attempt(spark: SparkSession, root: str, source: str, batch: str, attemp
 
 
 def append_changes(df: DataFrame, root: str, source: str, batch: str, key: str | list[str] | None = None,
-                   as_of: str | None = None) -> None:
+                   as_of: str | None = None, buckets: int | None = None) -> None:
     """Append the rows of one load or micro-batch (with a ``key``: at most one
     row per key); repeated with the same ``source`` and ``batch`` it replaces
     what it wrote before. ``as_of``: the day the rows are of (YYYY-MM-DD)."""
     attempt = uuid.uuid4().hex
-    write_rows(df, root, attempt, key)
+    write_rows(df, root, attempt, key, buckets)
     name_attempt(df.sparkSession, root, source, batch, attempt, as_of)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import contracts, keys, merge
+from ..sources import bucketed
 from . import schemas
 
 
@@ -40,7 +41,11 @@ def load_table(root: str, table: str, new: DataFrame, load: str) -> None:
         merge.append_changes(merge.bridge_reload(staged, staged.columns), _root(root, table), "load", load, as_of=load)
     else:
         key = schemas.KEYS[table]
-        merge.append_changes(keys.one_per_key(staged, key), _root(root, table), "load", load, key, load)
+        # the buckets from about how many keys there are: one column of the stored staging,
+        # rather than the deduplicated rows written and read once more to be counted
+        n = 0 if bucketed.layout(new.sparkSession, _root(root, table)) else new.agg(F.approx_count_distinct(key)).first()[0]
+        merge.append_changes(keys.one_per_key(staged, key), _root(root, table), "load", load, key, load,
+                             max(bucketed.LEAST_BUCKETS, -(-n // bucketed.BUCKET_ROWS)))
 
 
 def load_star(root: str, star: dict[str, DataFrame], load: str) -> list[str]:

@@ -91,3 +91,17 @@ def test_rebuild_keeps_ids_with_previous_dimensions(spark):   # Q7 across runs
     # bridges and facts use the stable ids
     assert {r.subject_id for r in second["work_subject"].collect()} <= set(s2.values())
     assert {r.time_id for r in second["fact_book"].collect()} - {None} <= {t for _, t in t2}
+
+
+def test_first_load_of_a_keyed_table_stores_its_rows_once(spark, monkeypatch):   # D13
+    from bookmart.plans import warehouse
+    from bookmart.session import materialise, scratch_path
+    from bookmart.sources import bucketed
+    monkeypatch.setattr(bucketed, "materialise", None)          # a second copy, only to be counted, would need it
+    d = materialise(spark.createDataFrame([("e1", "t", 1999, "p", None), ("e1", "a", 1999, "p", None), ("e2", "b", None, "q", "x")],
+                                          "edition_id string, title string, publish_date int, publisher string, language string"), "d")
+    root = scratch_path(spark, "stored-once")
+    for day in ("2025-01-15", "2025-01-16"):
+        warehouse.load_table(root, "dim_edition", d, day)
+    got = warehouse.read_table(spark, root, "dim_edition").select("edition_id", "title").collect()
+    assert sorted(map(tuple, got)) == [("e1", "a"), ("e2", "b")]
