@@ -57,8 +57,10 @@ def to_parquet(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 def new_rows(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key of ``batch`` whose key ``stored`` does not hold. Null is
     a key like any other; rows with one are compared apart, so that the rest
-    joins on plain equality, in the buckets of the stored side."""
-    once = K.one_per_key(batch, keys)
+    joins on plain equality, in the buckets of the stored side. The batch is
+    spread first: its files may come as one row group each, and a task sorts all
+    that it reads before it leaves one row per key."""
+    once = K.one_per_key(batch.hint("rebalance"), keys)
     complete = F.lit(True)
     for k in keys:
         complete = complete & F.col(k).isNotNull()

@@ -94,3 +94,10 @@ def test_stored_dedup_holds_no_keys_and_replays(spark, monkeypatch):   # T1
     assert rows(sd.read_deduped(spark, root, schema)) == want
     run(scratch_path(spark, "t-st-ck2"))                                  # another stream adds nothing
     assert rows(sd.read_deduped(spark, root, schema)) == want
+
+
+def test_batch_is_spread_before_it_is_sorted(spark):   # T1
+    rows_ = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (2, "d")], "k int, v string")
+    new = sd.new_rows(rows_, rows_.filter("k = 2"), ["k"])
+    assert "REBALANCE_PARTITIONS" in new._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, new.collect()), key=str) == [(1, "a"), (None, "c")]
