@@ -1,4 +1,4 @@
-"""W1 distributed surrogate keys and W2 one-row-per-key selection.
+"""W1 distributed surrogate keys, W2 one-row-per-key selection, distinct rows.
 
 W1. ``row_number() OVER (ORDER BY v)`` with no partition clause plans an
 ``Exchange SinglePartition``: the whole column goes through one task. Here
@@ -32,6 +32,8 @@ from ..session import materialise
 _PART = "_bm_part"
 _ID = "_bm_mid"
 
+TASK_ROWS = 1 << 18         # rows of a task of distinct_rows, about
+
 
 def surrogate_key(df: DataFrame, order_cols: list[str], key: str,
                   num_partitions: int | None = None,
@@ -90,6 +92,16 @@ def surrogate_key_global(df: DataFrame, order_cols: list[str], key: str) -> Data
     return df.withColumn(key, F.row_number().over(Window.orderBy(*order_cols)).cast("long"))
 
 
+def distinct_rows(df: DataFrame, rows: int) -> DataFrame:
+    """Distinct rows of a frame of about ``rows`` rows, ``TASK_ROWS`` of them in a
+    task. A task of ``distinct`` holds its rows in a hash map, and how many it gets
+    follows the compressed bytes of a split or a shuffle partition and a fixed
+    partition count; here tasks, not rows in a task, grow with the frame. Copies
+    of one row meet in one task: they take its time, no memory."""
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+    return df.repartition(tasks, *df.columns).distinct()
+
+
 def _nulls_last_key(cols: list[str]):
     parts = []
     for c in cols:

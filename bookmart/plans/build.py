@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..session import PARSED_ROW_GROUP, materialise
+from ..session import PARSED_FILE_ROWS, PARSED_ROW_GROUP, materialise
 from . import clean, model
 
 
@@ -31,7 +31,8 @@ def build_star(works_raw: DataFrame, editions_raw: DataFrame, authors_raw: DataF
     if materialise_cleaned:
         works = materialise(works, "work_parsed", PARSED_ROW_GROUP)
         # parsed rather than cleaned rows: one parse for the medians and the rows
-        parsed = materialise(parsed, "edition_parsed", PARSED_ROW_GROUP)
+        parsed = materialise(parsed, "edition_parsed", PARSED_ROW_GROUP, PARSED_FILE_ROWS)
+    n_editions = parsed.count() if materialise_cleaned else None
     level, edition = clean.work_filled(works), clean.edition_filled(parsed)
     work = clean.explode_works(level)
     d_subject = model.dim_subject(work, previous=previous.get("dim_subject"))
@@ -44,7 +45,7 @@ def build_star(works_raw: DataFrame, editions_raw: DataFrame, authors_raw: DataF
         "dim_subject": d_subject,
         "work_subject": model.work_subject(work, d_subject),
         "work_author": model.work_author(level),
-        "dim_edition": model.dim_edition(edition),
+        "dim_edition": model.dim_edition(edition, rows=n_editions),
         "dim_time": d_time,
         "dim_author": model.dim_author(author),
         "fact_book": model.fact_book(edition, d_time),

@@ -17,7 +17,7 @@ from ..functions import catalogue as C
 from ..functions import jsoncols as J
 from ..functions import text as X
 from ..operators import contracts, frontier, impute, keys, merge, profile, sketches, skew
-from ..session import PARSED_ROW_GROUP, materialise, scratch_path
+from ..session import PARSED_FILE_ROWS, PARSED_ROW_GROUP, materialise, scratch_path
 from ..sources import bucketed, drifting, landing, sinks
 from ..streaming import dedup as sdedup
 from ..streaming import upsert as supsert
@@ -33,12 +33,16 @@ TIME, FACT = ["title", "publish_date"], ["edition_id", "work_id", "title", "publ
 DIMENSION = ["edition_id", "title", "publish_date", "publishers", "languages"]
 
 
+def _parsed_editions(spark, sf, columns=None):
+    """Editions over one scan and one parse: the parsed rows, with the columns of
+    the job, are written once and read for the medians, for their number and for
+    what is made of them."""
+    parsed = clean.edition_parsed(raw_editions(spark, sf), columns)
+    return materialise(parsed, "edition-parsed", PARSED_ROW_GROUP, PARSED_FILE_ROWS)
+
+
 def _editions(spark, sf, columns=None):
-    """Cleaned editions over one scan and one parse: the parsed rows, with the
-    columns of the job, are written once and read for the medians and for what
-    is made of them."""
-    parsed = materialise(clean.edition_parsed(raw_editions(spark, sf), columns), "edition-parsed", PARSED_ROW_GROUP)
-    return clean.edition_filled(parsed)
+    return clean.edition_filled(_parsed_editions(spark, sf, columns))
 
 
 def _authors(spark, sf):
@@ -82,7 +86,8 @@ def work_author(spark, sf):
 
 
 def dim_edition(spark, sf):
-    return model.dim_edition(_editions(spark, sf, DIMENSION))
+    parsed = _parsed_editions(spark, sf, DIMENSION)
+    return model.dim_edition(clean.edition_filled(parsed), rows=parsed.count())
 
 
 def dim_time(spark, sf):
@@ -608,8 +613,9 @@ def _star(spark, sf):
 
 
 def quality_report(spark, sf):
-    e = _editions(spark, sf, build.EDITION_COLUMNS)
-    return model.quality_report(e, model.dim_edition(e), model.fact_book(e, model.dim_time(e)))
+    parsed = _parsed_editions(spark, sf, build.EDITION_COLUMNS)
+    e = clean.edition_filled(parsed)
+    return model.quality_report(e, model.dim_edition(e, rows=parsed.count()), model.fact_book(e, model.dim_time(e)))
 
 
 def check_keys(spark, sf):

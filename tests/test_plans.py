@@ -1,11 +1,13 @@
 """Plan shape: the physical strategies the design relies on."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from bookmart.operators import keys
 from bookmart.plans import jobs
 
-from .conftest import SF001
+from .conftest import SF001, rows
 
 
 def plan(df) -> str:
@@ -140,3 +142,33 @@ def test_language_is_parsed_per_edition_and_filled_texts_not_at_all(spark):   #
     above = p[:p.index("Generate")]
     assert "from_json" not in above and "languages" not in above
     assert "from_json(ArrayType(StringType,true), publishers" not in p     # the filled-in constant is no JSON
+
+
+def test_distinct_of_editions_has_tasks_for_its_rows(spark, monkeypatch):   # D8: rows of a task are bounded at any size
+    from bookmart.plans import model
+    monkeypatch.setattr(keys, "TASK_ROWS", 500)
+    i = F.col("id") % 18000                    # 2,000 rows come twice
+    e = spark.range(20000).select(
+        F.when(i % 7 > 0, F.concat(F.lit("OL"), i, F.lit("M"))).alias("edition_id"), F.concat(F.lit("t"), i).alias("title"),
+        F.when(i % 5 > 0, i.cast("int")).alias("publish_date"), F.when(i % 3 > 0, F.lit('["some press."]')).otherwise('["other press."]').alias("publishers"),
+        F.when(i % 2 > 0, F.lit("unknown")).otherwise('[{"key":"/languages/eng"}]').alias("languages"))
+    got = model.dim_edition(e, rows=20000)
+    assert rows(got) == rows(model.dim_edition(e)) and got.count() == 18000
+    held = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert held < 2 * 500
+    n = jobs._parsed_editions(spark, SF001, jobs.DIMENSION).count()
+    monkeypatch.setattr(keys, "TASK_ROWS", n // 30)
+    assert re.search(r"Exchange hashpartitioning\(.*, 3[01]\), REPARTITION_BY_NUM", plan(jobs.dim_edition(spark, SF001)))
+
+
+def test_copies_of_one_row_are_one_row(spark, monkeypatch):   # D8 over a row that comes very often
+    monkeypatch.setattr(keys, "TASK_ROWS", 100)
+    df = spark.range(5000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("a"), F.lit(None).cast("string").alias("b"))
+    assert rows(keys.distinct_rows(df, 5000)) == rows(df.distinct())
+    assert keys.distinct_rows(df.limit(0), 0).count() == 0
+
+
+def test_files_of_parsed_editions_are_bounded(spark, monkeypatch):   # D8: and the rows of a task that reads them
+    monkeypatch.setattr(jobs, "PARSED_FILE_ROWS", 300)
+    parsed = jobs._parsed_editions(spark, SF001, jobs.DIMENSION)
+    assert parsed.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] == 300
