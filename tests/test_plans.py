@@ -2,10 +2,11 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from bookmart.operators import keys
-from bookmart.plans import jobs
+from bookmart.plans import fixtures, jobs
 
 from .conftest import SF001, rows
 
@@ -172,3 +173,11 @@ def test_files_of_parsed_editions_are_bounded(spark, monkeypatch):   # D8: and t
     monkeypatch.setattr(jobs, "PARSED_FILE_ROWS", 300)
     parsed = jobs._parsed_editions(spark, SF001, jobs.DIMENSION)
     assert parsed.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] == 300
+
+
+@pytest.mark.parametrize("job", ["compact_write"])
+def test_jobs_over_dim_edition_count_their_rows(spark, monkeypatch, job):   # S4
+    seen, plain = [], keys.distinct_rows
+    monkeypatch.setattr(keys, "distinct_rows", lambda df, n: seen.append(n) or plain(df, n))
+    jobs.JOBS[job](spark, SF001)
+    assert seen == [fixtures.raw_editions(spark, SF001).count()]
