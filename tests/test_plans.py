@@ -175,8 +175,8 @@ def test_files_of_parsed_editions_are_bounded(spark, monkeypatch):   # D8: and t
     assert parsed.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] == 300
 
 
-@pytest.mark.parametrize("job", ["compact_write"])
-def test_jobs_over_dim_edition_count_their_rows(spark, monkeypatch, job):   # S4
+@pytest.mark.parametrize("job", ["compact_write", "surrogate_key"])
+def test_jobs_over_dim_edition_count_their_rows(spark, monkeypatch, job):   # S4, W1
     seen, plain = [], keys.distinct_rows
     monkeypatch.setattr(keys, "distinct_rows", lambda df, n: seen.append(n) or plain(df, n))
     jobs.JOBS[job](spark, SF001)
