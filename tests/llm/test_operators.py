@@ -560,6 +560,34 @@ def test_rans_table_emptied_in_a_text(monkeypatch, memo):
         assert got == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_rans_looks_a_piece_up_once_a_group(monkeypatch):
+    """Also: words among signs are cut as the library does, and special tokens stay whole."""
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(WORD)
+    with open(WORD, encoding="utf-8") as f:
+        encoder = rans.WordEncoder(f.read())
+    calls = Counter()
+    rnd = random.Random(5)
+    signs = list("!#$%&*().;:?'<|>[]_-/@`~^{}+=\\,\"") + ["", "", "<|", "|>", "\u0301", "…", "1"]
+    mixed = ["".join(rnd.choices(signs, k=rnd.randint(0, 3))) + rnd.choice(["hello", "ünder", "Été", "endoftext", "s", "re", "ªb", "ŉ", "7"])
+             + "".join(rnd.choices(signs, k=rnd.randint(0, 3))) for _ in range(3000)]
+    texts = ["<|endoftext|> a", "x<|startoftext|>y.", "", *(" ".join(rnd.choices(mixed, k=9)) for _ in range(2000)), *mixed]
+    for chars in (1, 300, rans.GROUP_CHARS):
+        monkeypatch.setattr(rans, "GROUP_CHARS", chars)
+        got = [array(encoder.kind, x).tolist() for x in encoder.encode(texts)]
+        assert got == [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+
+    class Counted(rans.WordEncoder):
+        def __getitem__(self, piece):
+            calls[piece] += 1
+            return super().__getitem__(piece)
+
+    with open(WORD, encoding="utf-8") as f:
+        counted = Counted(f.read())
+    list(counted.encode(["some words and some words"] * 500))
+    assert set(calls.values()) == {1} and set(calls) == {"some", "words", "and", ""}
+
+
 # --------------------------------------------------------------------- 9 PII
 
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
