@@ -64,8 +64,9 @@ def work_filled(parsed: DataFrame, exact_median: bool = True) -> DataFrame:
 def spread(raw: DataFrame) -> DataFrame:
     """Even out a raw projection before it is parsed. Parsing is the dear part,
     and a landing's files differ in size by orders of magnitude (batches of one
-    row group each); the same plan at every size."""
-    return raw.hint("rebalance")
+    row group each); the same plan at every size. By a hash of the row: dealing rows
+    out in turn sorts them first, and a task then holds all rows of its split."""
+    return raw.hint("rebalance", *[F.col(c) for c in raw.columns])
 
 
 # The parsed columns, each with the raw column it is made of.

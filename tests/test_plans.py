@@ -77,6 +77,16 @@ def test_flagship_is_wide_after_a_narrow_scan(spark):   # D10: one row group in,
     assert "rebalance" in p.lower() and "isbn" not in p and "languages" not in p
 
 
+@pytest.mark.parametrize("raw, columns", [(fixtures.raw_editions, ["key", "title", "publishers"]), (fixtures.raw_works, ["key", "title"])])
+def test_spread_holds_no_split_in_memory(spark, raw, columns):   # S4, W1: rows dealt out in turn are sorted first
+    from bookmart.plans import clean
+    df = raw(spark, SF001).select(*columns)
+    df = df.unionByName(df.limit(50)).unionByName(df.select(*[F.lit(None).cast("string").alias(c) for c in columns]).limit(3))
+    p = plan(clean.spread(df))
+    assert "RoundRobin" not in p and "REBALANCE_PARTITIONS_BY_COL" in p
+    assert rows(clean.spread(df)) == rows(df)
+
+
 def test_scans_are_neither_cached_nor_spread(spark):
     p = plan(jobs.dim_author(spark, SF001))
     assert "InMemoryTableScan" not in p and "RoundRobin" not in p
