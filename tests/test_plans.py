@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bookmart.operators import keys
-from bookmart.plans import fixtures, jobs
+from bookmart.plans import clean, fixtures, jobs
 
 from .conftest import SF001, rows
 
@@ -148,6 +148,19 @@ def test_bucketed_fact_has_buckets_for_its_size(spark, monkeypatch):   # C3
     assert len(few.inputFiles()) <= 16 < len(many.inputFiles()) <= -(-n // max(1, n // 20))
 
 
+def test_spread_streams_rows_whatever_the_shuffle_partitions(spark):   # D1, D2: no map task holds its split
+    df = spark.range(3000).select((F.col("id") % 700).alias("a"), F.when(F.col("id") % 3 > 0, F.lit("x")).alias("b"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts, want in ((7, 7), (300, 200)):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            for out in (clean.spread(df), clean.edition_parsed(fixtures.raw_editions(spark, SF001), jobs.DIMENSION)):
+                assert re.search(rf"Exchange hashpartitioning\(.*, {want}\), REBALANCE_PARTITIONS_BY_COL", plan(out))
+            assert rows(clean.spread(df)) == rows(df)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_language_is_parsed_per_edition_and_filled_texts_not_at_all(spark):   # D8
     p = plan(jobs.dim_edition(spark, SF001))
     above = p[:p.index("Generate")]
