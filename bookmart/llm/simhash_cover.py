@@ -19,7 +19,8 @@ large an anchor gets, and no pair is left out. A group gives the edges of a
 spanning forest of its links (fewer than its members), never all pairs.
 
 *Components.* The edges go through rounds of large-star and small-star steps on
-Spark until they stand still; nothing but counts reaches the driver.
+Spark until they stand still; nothing but counts and tables of ``BROADCAST_ROWS``
+reaches the driver.
 
 Exact copies meet before all this: one row per distinct fingerprint.
 
@@ -49,6 +50,7 @@ DISTANCE = 3
 SEED = 42
 BLOCK = 1024
 TASK_ROWS = 1 << 18          # narrow rows (two longs) that a task of the components takes, at most about
+BROADCAST_ROWS = 1 << 16     # narrow rows of a table that goes through the driver to all tasks, at most (8 MB there)
 _ANCHORS = 32                # of a fingerprint, at most
 _HASHES_AT_ONCE = 1 << 16
 
@@ -204,13 +206,22 @@ def fingerprint_links(fps: DataFrame, *, distance: int = DISTANCE, block: int =
     # one row for each pair of blocks that the fingerprint's block is part of
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = (placed.join(busy, "anchor").select("anchor", "fp", own.alias("own"), other.alias("other"))
+    rows = (placed.join(_sized(busy), "anchor").select("anchor", "fp", own.alias("own"), other.alias("other"))
             .select("anchor", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "fp"))
     grouped = (rows.repartition("anchor", "b1", "b2").sortWithinPartitions("anchor", "b1", "b2", "fp"))
     return materialise(grouped.mapInArrow(_link_groups(distance), "a long, b long").distinct().coalesce(_tasks(fps, n)), "simhash-edges")
 
 
-# ------------------------------------------------------------------ components
+# ----------------------------------------------------------------- table sizes
+
+def _sized(right: DataFrame, within: DataFrame | None = None) -> DataFrame:
+    """``right`` as the right side of a join: broadcast if it (or ``within``, a table
+    of as many rows or more) has few rows, else merged. Left alone, Spark takes the bytes
+    of the files below a side for its size: 32 placements of a fingerprint count as one,
+    and such a side may go through the driver's memory, the left one too."""
+    few = (right if within is None else within).count() <= BROADCAST_ROWS
+    return F.broadcast(right) if few else right.hint("merge")
+
 
 def _tasks(df: DataFrame, rows: int) -> int:
     """Tasks for ``rows`` narrow rows: as many as their number needs, and no fewer
@@ -218,6 +229,8 @@ def _tasks(df: DataFrame, rows: int) -> int:
     return max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
 
 
+# ------------------------------------------------------------------ components
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node with an edge, root = the smallest node of its
     component. ``edges`` has a, b. Large-star: every neighbour that is larger
@@ -238,17 +251,17 @@ def components(edges: DataFrame) -> DataFrame:
         least = materialise(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
                             .filter("m < u").coalesce(tasks), "stars-least")
         # nodes that are their own least (the hubs) leave their edges as they are
-        large = (now.join(least.withColumnRenamed("u", "lo"), "lo", "left")
+        large = (now.join(_sized(least.withColumnRenamed("u", "lo")), "lo", "left")
                  .select("hi", F.coalesce("m", "lo").alias("lo")).distinct())
         large = materialise(large.coalesce(tasks), "stars-large")
         small_least = materialise(large.groupBy("hi").agg(F.min("lo").alias("m"), F.count(F.lit(1)).alias("n"))
                                   .filter("n > 1").select("hi", "m").coalesce(tasks), "stars-small")
-        moved = large.join(small_least, "hi").filter("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        moved = large.join(_sized(small_least), "hi").filter("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         stay = large.groupBy("hi").agg(F.min("lo").alias("lo")).coalesce(tasks)
         after = materialise(stay.unionByName(moved).distinct().coalesce(tasks), "stars")
         # a star forest: no node is both a child and a parent, one parent per child
         parents = after.select(F.col("lo").alias("hi")).distinct().coalesce(tasks)
-        if not after.join(parents, "hi", "left_semi").limit(1).count() and \
+        if not after.join(_sized(parents, after), "hi", "left_semi").limit(1).count() and \
                 not after.groupBy("hi").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").coalesce(tasks).limit(1).count():
             return after.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(
                 after.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct().coalesce(tasks))
@@ -266,12 +279,12 @@ def near_duplicates(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str =
     tasks = _tasks(marked, marked.count())
     fps = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")).coalesce(tasks), "simhash-fps")
     roots = materialise(components(fingerprint_links(fps, distance=distance, block=block)), "simhash-roots")
-    rooted = materialise(fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    rooted = materialise(fps.join(_sized(roots.withColumnRenamed("node", "fp")), "fp", "left")
                          .select("fp", F.coalesce("root", "fp").alias("root"), "least").coalesce(tasks), "simhash-rooted")
     smallest = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")).coalesce(tasks),
                            "simhash-components")
-    named = materialise(rooted.join(smallest, "root").select("fp", "root", "component_id").coalesce(tasks), "simhash-named")
-    return marked.join(named, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
+    named = materialise(rooted.join(_sized(smallest), "root").select("fp", "root", "component_id").coalesce(tasks), "simhash-named")
+    return marked.join(_sized(named), "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
 
 def simhash_report(docs: DataFrame, **options) -> DataFrame:

@@ -263,6 +263,54 @@ def test_simhash_chain_components(spark):
     assert {roots[i] for i in range(61)} == {0} and {roots[i] for i in (100, 200, 300)} == {100}
 
 
+def plans_of(monkeypatch):
+    """The plans of the tables that simhash_cover writes from here on."""
+    plans, write = [], simhash_cover.materialise
+
+    def noted(df, name, *args, **options):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name, *args, **options)
+
+    monkeypatch.setattr(simhash_cover, "materialise", noted)
+    return plans
+
+
+def near_copies(spark, groups=60, copies=20):
+    """Distinct fingerprints, most of whose anchors have another one of their group."""
+    rnd = random.Random(11)
+    fps = {centre ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(0, 3)))
+           for centre in (rnd.getrandbits(64) for _ in range(groups)) for _ in range(copies)}
+    return spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in sorted(fps)], "fp long")
+
+
+@pytest.mark.parametrize("most", [1 << 16, 100])
+def test_simhash_placements_are_not_broadcast(spark, monkeypatch, most):
+    """32 rows of a fingerprint have the size of one to Spark, which then broadcast them."""
+    fps = simhash_cover.materialise(near_copies(spark), "test-fps")
+    want = sorted(map(tuple, simhash_cover.components(simhash_cover.fingerprint_links(fps)).collect()))
+    plans = plans_of(monkeypatch)
+    monkeypatch.setattr(simhash_cover, "BROADCAST_ROWS", most, raising=False)
+    edges = simhash_cover.fingerprint_links(fps)
+    joined = dict(plans)["simhash-edges"]
+    assert "BuildLeft" not in joined
+    assert ("BroadcastHashJoin" if most > 100 else "SortMergeJoin") in joined
+    assert sorted(map(tuple, simhash_cover.components(edges).collect())) == want
+
+
+def test_simhash_broadcasts_few_rows_only(spark, monkeypatch, hard):
+    """However small the files: what is broadcast goes by the rows of the table."""
+    plans = plans_of(monkeypatch)
+    monkeypatch.setattr(simhash_cover, "BROADCAST_ROWS", -1, raising=False)
+    check_simhash(hard)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 200), (100, 300)], "a long, b long")
+    roots = {r["node"]: r["root"] for r in simhash_cover.components(edges).collect()}
+    assert {roots[i] for i in range(61)} == {0} and {roots[i] for i in (100, 200, 300)} == {100}
+    report = simhash_cover.simhash_report(hard)._jdf.queryExecution().executedPlan().toString()
+    for name, plan in [*plans, ("report", report)]:
+        assert "Broadcast" not in plan, name
+    assert "SortMergeJoin" in report
+
+
 def test_simhash_keeps_one(small, hard):
     for table in (small, hard):
         rows = [(r["doc_id"], r["text"]) for r in table.select("doc_id", "text").collect()]
